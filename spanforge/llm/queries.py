@@ -19,6 +19,21 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import mixing
+
+    taken, sources = mixing.mix_sources(table(spark, sf_dir, "documents"), F.array("source"))
+    out = taken.withColumn("source", F.col("members")[0])
+    out = out.join(F.broadcast(sources.withColumnRenamed("source", "of")), out.source.eqNullSafe(F.col("of")))  # mixing.MAX_PATTERNS bounds it
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import decontaminate
+
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanforge.llm import token_store
 
@@ -34,8 +49,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_token_store, op9_minhash)}
+    return {f.__name__: f for f in (op3_mixing, op4_decontaminate, op8_token_store, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from spanforge.llm import decontaminate
+
+    return {"op4_decontaminate": decontaminate.SQL}
