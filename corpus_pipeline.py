@@ -1,8 +1,77 @@
-"""The training-data pipeline (its stages follow)."""
+"""The training-data pipeline: reject toxic documents, keep one of each group of near-duplicates,
+drop documents that leak benchmark passages, mix sources to target weights, store token ids.
 
-STAGES: list = []
+Every stage works on all that the one before kept, written as Parquet and read again. All but the
+last return the columns of documents; the last returns the place of each document in the store.
+Rows that the mix takes twice appear twice.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanforge.llm import common, decontaminate, minhash, mixing, queries, token_store, toxicity
+from spanforge.llm.common import Shared, table
+
+#: The fit and the flow network are iterative, so SQL cannot express the stages.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not reject. It is fitted on the stage's own input."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep=tuple(docs.columns))
+    return scored.where("not toxic").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, that with the smallest doc_id; of rows that repeat it, one.
+
+    Rows with a null doc_id stay, once for each text."""
+    groups = minhash.near_duplicates(docs, common.alnum_words, k=5, percent=80)
+    keep = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "kept_id", "rows": "kept_rows"})
+    keep = Shared(spark).write(keep)
+    once, more = (docs.join(keep.where(x), docs.doc_id == keep.kept_id, "left_semi") for x in ("kept_rows = 1", "kept_rows > 1"))
+    if not keep.where("kept_rows > 1").isEmpty():
+        once = once.unionByName(more.dropDuplicates(["doc_id"]))
+    return once.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])).select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten consecutive words of a benchmark item."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
+    bad = found.where("contaminated").select("key").distinct()
+    keyed = docs.withColumn("leak_key", F.xxhash64("text"))
+    return keyed.join(bad, keyed.leak_key == bad.key, "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    taken, _ = mixing.mix_sources(docs, F.array("source"))
+    copies = taken.groupBy("key").agg(F.sum("copies").cast("int").alias("mix_copies"), F.count("*").alias("mix_rows")).where("mix_copies > 0")
+    keyed = docs.withColumn("mix_key", mixing.pick_key(17))
+    picked = keyed.join(copies, keyed.mix_key == copies.key)
+    again = picked.where("mix_rows > 1").dropDuplicates(["mix_key"])  # rows that agree in id and text are counted together
+    both = picked.where("mix_rows = 1").unionByName(again)
+    return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("mix_copy")).select(*docs.columns)
+
+
+def store(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of all texts in the store, read back: doc_id, start, n_tokens, ids_crc32."""
+    shards = Shared(spark).write(token_store.encode_shards(docs, queries.tokenizer_path(), queries.END_ID))
+    return token_store.read_documents(shards)
+
+
+STAGES = [("toxicity", reject_toxic), ("near_dedup", drop_near_copies), ("decontaminate", drop_leaks), ("mix", mix), ("token_store", store)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = table(spark, sf_dir, "documents")
+    shared = Shared(spark)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = shared.write(docs)
+    return docs

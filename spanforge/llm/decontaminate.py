@@ -150,13 +150,14 @@ def frequencies(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[int, i
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, threshold: float = 1.0, q: int = SHINGLE, index_pairs: int = INDEX_PAIRS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row for each row of docs: doc_id, key (a hash of the text), n_words, n_hit, n_items,
+    items_sha256, contaminated.
 
     n_hit counts the document's words inside any occurrence of a window; items_sha256 is that of
     the ids of items with an occurrence, as strings, sorted, comma-joined."""
     spark = docs.sparkSession
     shared = Shared(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     windows = shared.write(item_windows(benchmark, window))
     pairs = windows.count()
     blocks = max(1, math.ceil(pairs / index_pairs))
@@ -180,13 +181,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, thres
     for f in found[1:]:
         union = union.unionByName(f)
     hits = union.groupBy("doc_id", "key").agg(F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    base = rows.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(counted, "doc_id long, key long, n_words long")
+    base = rows.mapInArrow(counted, "doc_id long, key long, n_words long")
     hits = hits.select(F.coalesce("doc_id", F.lit(0)).alias("h_id"), F.col("doc_id").isNull().alias("h_null"), F.col("key").alias("h_key"), "hit", "items")
     out = base.join(hits, (F.coalesce("doc_id", F.lit(0)) == F.col("h_id")) & (F.col("doc_id").isNull() == F.col("h_null")) & (F.col("key") == F.col("h_key")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce(F.size("hit"), F.lit(0)).cast("long")
     n_hit = F.when(F.col("hit").isNull(), F.lit(0)).otherwise(n_hit).cast("long")
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", "key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +195,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(alnum_words(t or "")) for t in b.column(2).to_pylist()], pa.int64())], names=["doc_id", "key", "n_words"])
 
 
-ROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
+ROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
 
 
 def scan(rows: DataFrame, sent, threshold: float, q: int, alone: bool) -> DataFrame:
@@ -219,7 +220,7 @@ def scan(rows: DataFrame, sent, threshold: float, q: int, alone: bool) -> DataFr
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in hits(batches):
             yield pa.RecordBatch.from_pylist([
-                {"doc_id": r[0], "n_words": len(on), "n_hit": int(on.sum()), "n_items": len(ids), "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(), "contaminated": bool(on.any())}
+                {"doc_id": r[0], "key": r[1], "n_words": len(on), "n_hit": int(on.sum()), "n_items": len(ids), "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(), "contaminated": bool(on.any())}
                 for r, on, ids in out
             ], ROW)
 
@@ -229,8 +230,8 @@ def scan(rows: DataFrame, sent, threshold: float, q: int, alone: bool) -> DataFr
             yield pa.RecordBatch.from_pylist([{"doc_id": r[0], "key": r[1], "hit": np.flatnonzero(on).tolist(), "items": ids} for r, on, ids in out if ids], schema)
 
     if alone:
-        return rows.mapInArrow(whole, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-    return rows.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(some, "doc_id long, key long, hit array<int>, items array<string>").dropDuplicates(["doc_id", "key"])
+        return rows.mapInArrow(whole, "doc_id long, key long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return rows.mapInArrow(some, "doc_id long, key long, hit array<int>, items array<string>").dropDuplicates(["doc_id", "key"])
 
 
 #: The same for windows of 10 words as DuckDB SQL.

@@ -31,7 +31,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanforge.llm import decontaminate
 
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).drop("key")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import toxicity
+
+    return toxicity.grade_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +55,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op4_decontaminate, op8_token_store, op9_minhash)}
+    return {f.__name__: f for f in (op3_mixing, op4_decontaminate, op7_toxicity, op8_token_store, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
