@@ -19,6 +19,19 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import quality
+
+    out = quality.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality", F.col("votes").cast("array<int>").alias("votes"))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import licenses
+
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanforge.llm import mixing
 
@@ -55,7 +68,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op4_decontaminate, op7_toxicity, op8_token_store, op9_minhash)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op7_toxicity, op8_token_store, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

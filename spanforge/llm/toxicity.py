@@ -177,10 +177,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, count: int =
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Columns of keep, then doc_id, severity, grade, p_toxic and toxic of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.known, model.weights, model.cuts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = Model(*sent.value)
         memo = Words(model.known)
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [])
