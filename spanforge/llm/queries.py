@@ -47,6 +47,17 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).drop("key")
 
 
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are labelled by the document that their URL numbers: block if it is of low quality or toxic."""
+    from spanforge.llm import urls
+
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) as bigint)")
+    bad = labels.groupBy(F.col("doc_id").alias("number")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
+    labelled = pages.select("url", number.alias("number")).where("number is not null").join(bad, "number").select("url", "block")
+    return urls.judge(pages, labelled)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanforge.llm import toxicity
 
@@ -67,8 +78,16 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import language
+
+    docs = table(spark, sf_dir, "documents")
+    samples = language.sample(docs, F.col("doc_id").isNotNull() & ~language.held_out(F.col("doc_id")))
+    return language.identify(docs, samples).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op7_toxicity, op8_token_store, op9_minhash)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op6_urls, op7_toxicity, op8_token_store, op9_minhash, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
