@@ -1,17 +1,14 @@
-"""The reference operators' queries by name, and the SQL that says the same."""
+"""All queries of the reference operators by name, and the SQL that says the same."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
+from spanforge.plans import scalar_queries, span_queries  # noqa: F401  they register their queries
+from spanforge.plans.base import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
