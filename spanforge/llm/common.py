@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -63,6 +65,14 @@ def alnum_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().translate(_SEPARATORS).split()
 
 
+def kept_in_worker(key: tuple, make: Callable):
+    """What make() returned the first time in this Python process; Spark uses a process for many tasks."""
+    state = sys.modules.setdefault("_spanforge_kept", types.ModuleType("_spanforge_kept")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 class WordHashes(dict):
     """Word bytes to 64-bit hashes, remembered up to WORD_CACHE words at a time."""
 

@@ -15,6 +15,7 @@ shards and no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -27,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from spanforge.llm.common import kept_in_worker
+
 SHARD_IDS = 1 << 20
 BLOCK_BITS = 512
 MAGIC = b"DAC1"
-#: Distinct pieces of text whose ids a task remembers at a time.
-PIECES = 1 << 19
+#: Distinct pieces of text whose ids a Python worker keeps in each of two generations.
+PIECES = 250_000
 
 SHARD_SCHEMA = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("payload", pa.binary())])
 SHARD_DDL = "part int, seq int, n_ids long, doc_ids array<long>, n_tokens array<long>, payload binary"
@@ -102,40 +105,87 @@ class Encoder:
 
     The vocabulary's own splitter always starts a new token at a single space between two
     characters that are not white space, so text cut there is encoded piece by piece to the same
-    ids; pieces recur, and their ids are kept."""
+    ids; pieces recur, and their ids are kept. The splitter leaves a run of letters whole and cuts
+    off a mark that ends it, so such pieces go to the library's merge model directly."""
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
+    ODD = re.compile(r" \s|[^\S ] |^ | $")
+    MARKS = ".,;:!?#*$%&|<>()[]{}/\\-_+=@~`^\"'"
 
     def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # the pieces are kept here
         self.end = struct.pack("<I", end_id)
+        self.newline = struct.pack("<I", self.tokenizer.encode("\n", add_special_tokens=False).ids[0])
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # how the byte-level splitter writes each byte
+        split = ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = [split.pre_tokenize_str(chr(c))[0][0] for c in range(0x80)]
+        high = {b: w for c in range(0x80, 0x800) for b, w in zip(chr(c).encode(), split.pre_tokenize_str(chr(c))[0][0], strict=True)}
+        self.written = str.maketrans({chr(b): latin[b] if b < 0x80 else high.get(b, "") for b in range(256)})
 
     def pieces(self, text: str) -> list[str]:
-        first, *rest = self.CUT.split(text)
-        return [first, *(" " + x for x in rest)]
+        """The text cut at single spaces; all but the first piece begin with theirs."""
+        first, *rest = self.CUT.split(text) if self.ODD.search(text) else text.split(" ")
+        return [first, *[" " + x for x in rest]]
+
+    def by_model(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.written))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def of(self, piece: str) -> bytes:
+        out = self.older.get(piece)
+        if out is None:
+            out = self.fresh(piece)
+        if len(self.known) >= PIECES:
+            self.known, self.older = {}, self.known
+        self.known[piece] = out
+        return out
+
+    def fresh(self, piece: str) -> bytes:
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isalpha() and max(word) < "\u0250":  # letters of the Latin blocks alone
+            return self.by_model(piece)
+        body = piece.rstrip(self.MARKS)
+        if len(body) < len(piece) and len(body) > 1 and body[1:].isalpha() and (body[0] == " " or body[0].isalpha()) and max(body) < "\u0250":
+            return self.some((body, piece[len(body) :]))
+        if "\n" in piece:  # a line end between two characters that are not white space is a token
+            parts = piece.split("\n")
+            if all(parts) and not any(x[0].isspace() for x in parts[1:]) and not any(x[-1].isspace() for x in parts):
+                return self.newline.join([self.some((x,)) for x in parts])
+        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def some(self, pieces: tuple[str, ...]) -> bytes:
+        return b"".join([i if (i := self.known.get(x)) is not None else self.of(x) for x in pieces])
 
     def __call__(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids, the end id last."""
         if not text:
             return self.end
-        pieces, known = self.pieces(text), self.known
-        if new := list({x for x in pieces if x not in known}):
-            if len(known) > PIECES:
-                known.clear()
-                new = list(set(pieces))
-            for x, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return b"".join(map(known.__getitem__, pieces)) + self.end
+        pieces = self.pieces(text)
+        ids = list(map(self.known.get, pieces))
+        if None in ids:
+            known = self.known
+            for k, i in enumerate(ids):
+                if i is None:
+                    x = pieces[k]
+                    ids[k] = known.get(x) or self.of(x)
+        return b"".join(ids) + self.end
 
 
 def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text", shard_ids: int = SHARD_IDS) -> DataFrame:
     """Shards of the ids of all texts in ascending order of doc_id: (part, seq) orders them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seq = Encoder(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        encode = kept_in_worker(("encoder", tokenizer_path, end_id), lambda: Encoder(tokenizer_path, end_id))
+        part, seq = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         lengths: list[int] = []
         held: list[bytes] = []
