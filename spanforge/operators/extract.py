@@ -17,58 +17,58 @@ AMOUNT, PERCENT, RATIO = r"\$[0-9][0-9,]*(?:\.[0-9]+)?(?: (?:thousand|million|bi
 DAY = r"(?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}, [0-9]{4}"
 NAME = r"[A-Z][A-Za-z0-9&.,' -]{2,80}?(?:Inc\.|LLC|L\.P\.|Corp\.|Corporation|Company|N\.A\.|Ltd\.|Bank)"
 
-#: field, kind, anchored pattern with the value in parentheses, confidence.
+#: Field, kind, anchored pattern with the value in parentheses, confidence, words without which it can't match.
 RULES = [
-    ("borrower.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:as|\(the \"?)[ \"]*Borrower", 0.90),
-    ("holdings.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:as|\(\"?)[ \"]*Holdings", 0.90),
-    ("administrative_agent.legal_name", "text", rf"({NAME}),? as (?:the )?Administrative Agent", 0.90),
-    ("collateral_agent.legal_name", "text", rf"({NAME}),? as (?:the )?Collateral Agent", 0.85),
-    ("arranger.legal_name", "text", rf"({NAME}),? as (?:Sole |Joint )?Lead Arranger", 0.85),
-    ("syndication_agent.legal_name", "text", rf"({NAME}),? as Syndication Agent", 0.90),
-    ("facility.governing_law", "text", r"governed by,? and construed in accordance with,? the laws? of the State of ([A-Z][a-z]+(?: [A-Z][a-z]+)?)", 0.90),
-    ("closing_date", "date", rf"[\"“]Closing Date[\"”] means ({DAY})", 0.95),
-    ("closing_date", "date", rf"dated as of ({DAY})", 0.55),
-    ("initial_term_loan.maturity_date", "date", rf"Initial Term Loan Maturity Date[\"”] means ({DAY})", 0.95),
-    ("revolver.maturity_date", "date", rf"Revolving Credit Maturity Date[\"”] means ({DAY})", 0.95),
-    ("initial_term_loan.commitment", "money", rf"Initial Term Loan Commitments?[^.$]{{0,160}}?({AMOUNT})", 0.92),
-    ("delayed_draw.commitment", "money", rf"Delayed Draw Term Loan Commitments?[^.$]{{0,160}}?({AMOUNT})", 0.92),
-    ("revolver.commitment", "money", rf"Revolving Credit Commitments?[^.$]{{0,160}}?({AMOUNT})", 0.92),
-    ("lc_sublimit", "money", rf"(?:Letter of Credit|L/C) Sublimit[^.$]{{0,120}}?({AMOUNT})", 0.90),
-    ("libor_floor_pct", "percent", rf"(?:Floor|floor)[^.%]{{0,80}}?({PERCENT})", 0.92),
-    ("commitment_fee_pct", "percent", rf"[Cc]ommitment [Ff]ee[^.%]{{0,120}}?({PERCENT})", 0.88),
-    ("fronting_fee_pct", "percent", rf"[Ff]ronting [Ff]ee[^.%]{{0,120}}?({PERCENT})", 0.88),
-    ("ticking_fee_pct", "percent", rf"[Tt]icking [Ff]ee[^.%]{{0,120}}?({PERCENT})", 0.85),
-    ("excess_cash_flow.sweep_pct", "percent", rf"({PERCENT}) of Excess Cash Flow", 0.88),
-    ("financial_covenant.opening_level", "ratio", rf"Total Leverage Ratio[^.]{{0,160}}?to exceed ({RATIO})", 0.80),
-    ("opening_total_leverage_ratio", "ratio", rf"Total Leverage Ratio on the Closing Date[^.]{{0,80}}?({RATIO})", 0.90),
-    ("incremental.leverage_based_test", "ratio", rf"First Lien Net Leverage Ratio[^.]{{0,120}}?(?:not exceed|less than or equal to) ({RATIO})", 0.85),
-    ("indebtedness.purchase_money_basket_amount", "money", rf"purchase money[^.$]{{0,200}}?({AMOUNT})", 0.82),
-    ("indebtedness.purchase_money_basket_ebitda_pct", "percent", rf"purchase money[^.%]{{0,260}}?({PERCENT}) of Consolidated EBITDA", 0.82),
-    ("incremental.free_and_clear_amount", "money", rf"[Ff]ree and [Cc]lear[^.$]{{0,120}}?({AMOUNT})", 0.85),
-    ("mfn_threshold_pct", "percent", rf"All-In Yield[^.%]{{0,240}}?by more than ({PERCENT})", 0.90),
-    ("mfn_sunset", "text", r"(?:on or prior to|within) the date that is ([a-z0-9 ()-]+ months) after the Closing Date", 0.88),
-    ("borrowing_base.advance_rate_accounts", "percent", rf"({PERCENT}) of (?:the )?(?:value of )?Eligible Accounts", 0.88),
-    ("borrowing_base.advance_rate_inventory", "percent", rf"({PERCENT}) of (?:the )?(?:value of )?Eligible Inventory", 0.88),
-    ("borrowing_base.availability_block", "money", rf"[Aa]vailability [Bb]lock[^.$]{{0,80}}?({AMOUNT})", 0.85),
-    ("arr.minimum_liquidity", "money", rf"Liquidity[^.$]{{0,80}}?(?:less than|below) ({AMOUNT})", 0.85),
-    ("arr.leverage_covenant_level", "ratio", rf"Recurring Revenue[^.]{{0,120}}?exceed ({RATIO})", 0.88),
-    ("nav.loan_to_value_cap", "percent", rf"[Ll]oan[- ]to[- ][Vv]alue[^.%]{{0,120}}?({PERCENT})", 0.88),
-    ("pik.toggle_step_up_pct", "percent", rf"PIK[^.%]{{0,120}}?increased? by ({PERCENT})", 0.85),
-    ("consolidated_ebitda.addback_cap_pct", "percent", rf"not (?:to )?exceed ({PERCENT}) of Consolidated EBITDA", 0.88),
+    ("borrower.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:as|\(the \"?)[ \"]*Borrower", 0.90, "Borrower"),
+    ("holdings.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:as|\(\"?)[ \"]*Holdings", 0.90, "Holdings"),
+    ("administrative_agent.legal_name", "text", rf"({NAME}),? as (?:the )?Administrative Agent", 0.90, "Administrative Agent"),
+    ("collateral_agent.legal_name", "text", rf"({NAME}),? as (?:the )?Collateral Agent", 0.85, "Collateral Agent"),
+    ("arranger.legal_name", "text", rf"({NAME}),? as (?:Sole |Joint )?Lead Arranger", 0.85, "Lead Arranger"),
+    ("syndication_agent.legal_name", "text", rf"({NAME}),? as Syndication Agent", 0.90, "Syndication Agent"),
+    ("facility.governing_law", "text", r"governed by,? and construed in accordance with,? the laws? of the State of ([A-Z][a-z]+(?: [A-Z][a-z]+)?)", 0.90, "governed by"),
+    ("closing_date", "date", rf"[\"“]Closing Date[\"”] means ({DAY})", 0.95, "Closing Date"),
+    ("closing_date", "date", rf"dated as of ({DAY})", 0.55, "dated as of"),
+    ("initial_term_loan.maturity_date", "date", rf"Initial Term Loan Maturity Date[\"”] means ({DAY})", 0.95, "Initial Term Loan Maturity Date"),
+    ("revolver.maturity_date", "date", rf"Revolving Credit Maturity Date[\"”] means ({DAY})", 0.95, "Revolving Credit Maturity Date"),
+    ("initial_term_loan.commitment", "money", rf"Initial Term Loan Commitments?[^.$]{{0,160}}?({AMOUNT})", 0.92, "Initial Term Loan Commitment"),
+    ("delayed_draw.commitment", "money", rf"Delayed Draw Term Loan Commitments?[^.$]{{0,160}}?({AMOUNT})", 0.92, "Delayed Draw Term Loan Commitment"),
+    ("revolver.commitment", "money", rf"Revolving Credit Commitments?[^.$]{{0,160}}?({AMOUNT})", 0.92, "Revolving Credit Commitment"),
+    ("lc_sublimit", "money", rf"(?:Letter of Credit|L/C) Sublimit[^.$]{{0,120}}?({AMOUNT})", 0.90, "Sublimit"),
+    ("libor_floor_pct", "percent", rf"(?:Floor|floor)[^.%]{{0,80}}?({PERCENT})", 0.92, "loor"),
+    ("commitment_fee_pct", "percent", rf"[Cc]ommitment [Ff]ee[^.%]{{0,120}}?({PERCENT})", 0.88, "ommitment "),
+    ("fronting_fee_pct", "percent", rf"[Ff]ronting [Ff]ee[^.%]{{0,120}}?({PERCENT})", 0.88, "ronting "),
+    ("ticking_fee_pct", "percent", rf"[Tt]icking [Ff]ee[^.%]{{0,120}}?({PERCENT})", 0.85, "icking "),
+    ("excess_cash_flow.sweep_pct", "percent", rf"({PERCENT}) of Excess Cash Flow", 0.88, "Excess Cash Flow"),
+    ("financial_covenant.opening_level", "ratio", rf"Total Leverage Ratio[^.]{{0,160}}?to exceed ({RATIO})", 0.80, "Total Leverage Ratio"),
+    ("opening_total_leverage_ratio", "ratio", rf"Total Leverage Ratio on the Closing Date[^.]{{0,80}}?({RATIO})", 0.90, "on the Closing Date"),
+    ("incremental.leverage_based_test", "ratio", rf"First Lien Net Leverage Ratio[^.]{{0,120}}?(?:not exceed|less than or equal to) ({RATIO})", 0.85, "First Lien Net Leverage Ratio"),
+    ("indebtedness.purchase_money_basket_amount", "money", rf"purchase money[^.$]{{0,200}}?({AMOUNT})", 0.82, "purchase money"),
+    ("indebtedness.purchase_money_basket_ebitda_pct", "percent", rf"purchase money[^.%]{{0,260}}?({PERCENT}) of Consolidated EBITDA", 0.82, "purchase money"),
+    ("incremental.free_and_clear_amount", "money", rf"[Ff]ree and [Cc]lear[^.$]{{0,120}}?({AMOUNT})", 0.85, "lear"),
+    ("mfn_threshold_pct", "percent", rf"All-In Yield[^.%]{{0,240}}?by more than ({PERCENT})", 0.90, "All-In Yield"),
+    ("mfn_sunset", "text", r"(?:on or prior to|within) the date that is ([a-z0-9 ()-]+ months) after the Closing Date", 0.88, "after the Closing Date"),
+    ("borrowing_base.advance_rate_accounts", "percent", rf"({PERCENT}) of (?:the )?(?:value of )?Eligible Accounts", 0.88, "Eligible Accounts"),
+    ("borrowing_base.advance_rate_inventory", "percent", rf"({PERCENT}) of (?:the )?(?:value of )?Eligible Inventory", 0.88, "Eligible Inventory"),
+    ("borrowing_base.availability_block", "money", rf"[Aa]vailability [Bb]lock[^.$]{{0,80}}?({AMOUNT})", 0.85, "lock"),
+    ("arr.minimum_liquidity", "money", rf"Liquidity[^.$]{{0,80}}?(?:less than|below) ({AMOUNT})", 0.85, "Liquidity"),
+    ("arr.leverage_covenant_level", "ratio", rf"Recurring Revenue[^.]{{0,120}}?exceed ({RATIO})", 0.88, "Recurring Revenue"),
+    ("nav.loan_to_value_cap", "percent", rf"[Ll]oan[- ]to[- ][Vv]alue[^.%]{{0,120}}?({PERCENT})", 0.88, "alue"),
+    ("pik.toggle_step_up_pct", "percent", rf"PIK[^.%]{{0,120}}?increased? by ({PERCENT})", 0.85, "PIK"),
+    ("consolidated_ebitda.addback_cap_pct", "percent", rf"not (?:to )?exceed ({PERCENT}) of Consolidated EBITDA", 0.88, "of Consolidated EBITDA"),
 ]
 
 READING = "doc_id, field, key, start, end, confidence, pass_id, segmentation, external"
 
 
-def rule_readings(docs: DataFrame, rules: list[tuple[str, str, str, float]] = RULES, segmentation: str = "structural") -> DataFrame:
+def rule_readings(docs: DataFrame, rules: list[tuple[str, str, str, float, str]] = RULES, segmentation: str = "structural") -> DataFrame:
     """All hits of anchored patterns: the value is group 1, the citation the whole match.
 
     The rules are an array literal that each document is exploded by, so the text is read once and
     shuffled never; a document without a hit of a rule drops out before offsets are made."""
     rows = []
-    for field, kind, pattern, confidence in rules:
+    for field, kind, pattern, confidence, word in rules:
         hits = F.regexp_extract_all("text", F.lit(pattern), 0)
-        rows.append(F.struct(F.lit(field).alias("field"), F.lit(kind).alias("kind"), F.lit(pattern).alias("pattern"), F.lit(confidence).alias("confidence"), hits.alias("hits"), F.regexp_extract_all("text", F.lit(pattern), 1).alias("values"), F.split("text", pattern, -1).alias("gaps")))
+        rows.append(F.when(F.contains("text", F.lit(word)), F.struct(F.lit(field).alias("field"), F.lit(kind).alias("kind"), F.lit(pattern).alias("pattern"), F.lit(confidence).alias("confidence"), hits.alias("hits"), F.regexp_extract_all("text", F.lit(pattern), 1).alias("values"), F.split("text", pattern, -1).alias("gaps"))))
     each = docs.select("doc_id", F.explode(F.array(*rows)).alias("r")).select("doc_id", "r.*").where("size(hits) > 0")
     ends = F.transform("hits", lambda h, i: F.aggregate(F.slice("gaps", 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)) + F.aggregate(F.slice("hits", 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)))
     flat = each.select("doc_id", "field", "kind", "confidence", F.explode(F.arrays_zip("hits", "values", ends.alias("ends"))).alias("x"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanforge.plans import evaluation_queries, record_queries, scalar_queries, span_queries  # noqa: F401  they register their queries
+from spanforge.plans import document_queries, evaluation_queries, record_queries, scalar_queries, span_queries  # noqa: F401  they register their queries
 from spanforge.plans.base import QUERIES, SQL, Query
 
 
