@@ -8,8 +8,8 @@ words each pattern gives. Documents are then selected in the order of a seeded h
 
 A selection never sorts a source: it narrows the range of hash values in which a pattern's cut
 lies, by counts over 4096 bins a round, until the range holds a few hundred documents. Those
-before it are taken, those after are not, and within it documents are taken in hash order
-wherever they still fit.
+before it are taken, those after are not, and within it documents are taken in hash order up to
+the cut, around which the choice of the last few is the one that comes nearest to the quota.
 
 Cases: a null text has size 0 and takes 0 words; a null source is a source of its own and comes
 last; ties of the hash go by id and text; a source without words has target 0; an empty table
@@ -33,6 +33,8 @@ MAX_PATTERNS = 20_000
 BINS = 4096
 POOL = 256
 TOP = 1 << 63
+SWAPS = 24
+MOST_BITS = 1 << 23
 
 
 def words_in(text: str = "text") -> Column:
@@ -113,6 +115,32 @@ def min_cost_flow(supply: list[int], belongs: list[list[int]], quota: list[int],
     return [sum(graph[e[0]][e[3]][1] for e in graph[s] if e[0] == i) for i in range(n)]
 
 
+def chosen(sizes: list[int], want: int) -> list[int]:
+    """1 for each size that is taken: all up to the cut but for the last SWAPS before it; of those and as many
+    behind it, a choice whose sum comes nearest to what is wanted, from below."""
+    cut, total = 0, 0
+    while cut < len(sizes) and total + sizes[cut] <= want:
+        total += sizes[cut]
+        cut += 1
+    low, high = max(0, cut - SWAPS), min(len(sizes), cut + SWAPS)
+    rest = want - sum(sizes[:low])
+    out = [1] * low + [0] * (len(sizes) - low)
+    if rest > MOST_BITS:  # sums of giant documents: take in order whatever still fits
+        for i in range(low, len(sizes)):
+            if sizes[i] <= rest:
+                out[i], rest = 1, rest - sizes[i]
+        return out
+    reach = [1]  # bit k of the i-th: the first i of these sizes can sum to k
+    for x in sizes[low:high]:
+        reach.append((reach[-1] | reach[-1] << x) & ((1 << (rest + 1)) - 1))
+    best = reach[-1].bit_length() - 1
+    for i in range(high - 1, low - 1, -1):
+        if not reach[i - low] >> best & 1:
+            out[i] = 1
+            best -= sizes[i]
+    return out
+
+
 def mix_sources(docs: DataFrame, members: Column, seed: int = 17, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Two tables: one row for each row of docs (doc_id, key, members, size, copies, taken = copies * size),
     and one for each source (source, source_size, target).
@@ -162,10 +190,7 @@ def mix_sources(docs: DataFrame, members: Column, seed: int = 17, weights: tuple
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["u", "key", "doc_id", "size"], na_position="first")
-        left, out = int(pdf.want.iloc[0]), []
-        for size in pdf["size"].tolist():
-            out.append(1 if size <= left else 0)
-            left -= out[-1] * size
+        out = chosen(pdf["size"].tolist(), int(pdf.want.iloc[0]))
         return pdf.assign(copies=pdf.full + out)[["doc_id", "key", "members", "size", "copies"]]
 
     fields = "doc_id long, key long, members array<string>, size long, copies long"
