@@ -41,17 +41,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten consecutive words of a benchmark item."""
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
-    bad = found.where("contaminated").select("key").distinct()
-    keyed = docs.withColumn("leak_key", F.xxhash64("text"))
-    return keyed.join(bad, keyed.leak_key == bad.key, "left_anti").select(*docs.columns)
+    bad = found.where("contaminated").select(F.col("key").alias("leak_key")).distinct()
+    return docs.withColumn("leak_key", F.xxhash64("text")).join(bad, "leak_key", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     taken, _ = mixing.mix_sources(docs, F.array("source"))
-    copies = taken.groupBy("key").agg(F.sum("copies").cast("int").alias("mix_copies"), F.count("*").alias("mix_rows")).where("mix_copies > 0")
-    keyed = docs.withColumn("mix_key", mixing.pick_key(17))
-    picked = keyed.join(copies, keyed.mix_key == copies.key)
+    copies = taken.groupBy(F.col("key").alias("mix_key")).agg(F.sum("copies").cast("int").alias("mix_copies"), F.count("*").alias("mix_rows")).where("mix_copies > 0")
+    picked = docs.withColumn("mix_key", mixing.pick_key(17)).join(copies, "mix_key")
     again = picked.where("mix_rows > 1").dropDuplicates(["mix_key"])  # rows that agree in id and text are counted together
     both = picked.where("mix_rows = 1").unionByName(again)
     return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("mix_copy")).select(*docs.columns)
