@@ -9,17 +9,22 @@ minima that agree, and (m - 1/16) / (1 - 1/16) corrects it for chance. A pair wh
 more than five standard deviations below the threshold goes no further; all others are confirmed
 on the full sets.
 
-Buckets may hold any number of classes. First each bucket links its members to its smallest
-class, which yields components; pairs within a component need no more work. In the buckets that
-still hold several components, every member outside the bucket's largest component is compared to
-every member of another component. For that the outsiders are packed into arrays of about 128,
-and each member meets each array, so no pair is made unless its estimate passes. That is the
-exact way for the rest; nothing is capped.
+Buckets may hold any number of classes. A class's weight is the size of all its buckets together;
+the heaviest class of a bucket leads it, and each class is first compared to the heaviest of its
+leaders alone, which is the text that the others were copied from if there is one. That yields
+components; pairs within a component need no more work. Where a leader is of another component
+this is done once more. In the buckets that still hold several components, every member outside
+the bucket's largest component is compared to every member of another component on the full sets:
+both are packed into arrays of about PACK, packs meet packs of their bucket, and a pair is looked
+at in the first bucket that it shares. No row is made for a pair, only for a link, and one link
+between an outsider and a component is enough. That is the exact way for the rest; nothing is
+capped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +35,36 @@ from pyspark.sql import functions as F
 from spanforge.llm.common import Shared, WordHashes, ngram_hashes
 from spanforge.llm.components import components
 
-ROWS, BANDS, BITS = 5, 32, 4
-HASHES = ROWS * BANDS
-PLANE = -(-HASHES // 64)
-OUTSIDERS = 128
+BITS = 4
+PACK = 128
+#: Shingles in a pack, about; a larger set is a pack by itself.
+PACK_ITEMS = 100_000
+HASHES = 640
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-_MIX = _rng.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Minima in a band, and bands."""
+
+    rows: int
+    bands: int
+
+    @property
+    def hashes(self) -> int:
+        return self.rows * self.bands
+
+    @property
+    def words(self) -> int:
+        """Longs in a bit plane."""
+        return -(-self.hashes // 64)
+
+
+#: For documents, whose sets share common shingles by chance.
+DOCUMENTS = Shape(5, 32)
 
 UNIT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("nid", pa.int64()), ("bands", pa.list_(pa.int64())), ("planes", pa.list_(pa.int64()))])
 UNIT_DDL = "doc_id long, key long, n long, nid long, bands array<long>, planes array<long>"
@@ -52,28 +79,41 @@ def set_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def minima(s: np.ndarray) -> np.ndarray:
-    """High halves of the smallest of a*x + b over the set, one for each function."""
-    out = None
-    for at in range(0, len(s), 2048):
-        m = (s[None, at : at + 2048] * _A[:, None] + _B[:, None]).min(axis=1)
+def minima(s: np.ndarray, count: int) -> np.ndarray:
+    """High halves of the smallest of a*x + b over the set, one for each of the first functions."""
+    out, step = None, max(1, 330_000 // count)
+    for at in range(0, len(s), step):
+        m = (s[None, at : at + step] * _A[:count, None] + _B[:count, None]).min(axis=1)
         out = m if out is None else np.minimum(out, m)
     return out >> np.uint64(32)
 
 
-def signatures(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(m: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and bit planes of many rows of minima."""
-    x = (m.reshape(-1, BANDS, ROWS) * _MIX).sum(axis=2, dtype=np.uint64)
+    x = (m.reshape(-1, shape.bands, shape.rows) * _MIX[: shape.hashes].reshape(shape.bands, shape.rows)).sum(axis=2, dtype=np.uint64)
     bands = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     planes = []
     for bit in range(BITS):
         on = ((m >> np.uint64(bit)) & np.uint64(1)).astype(np.uint8)
-        on = np.pad(on, ((0, 0), (0, 64 * PLANE - HASHES)))
+        on = np.pad(on, ((0, 0), (0, 64 * shape.words - shape.hashes)))
         planes.append(np.packbits(on, axis=1, bitorder="little").view("<u8"))
     return bands.view(np.int64), np.concatenate(planes, axis=1).view(np.int64)
 
 
-def units_of(rows: DataFrame, words: Callable[[str], list[bytes]], k: int) -> DataFrame:
+Sets = Callable[[str | None, WordHashes], list[np.ndarray]]
+
+
+def document_set(words: Callable[[str], list[bytes]], k: int) -> Sets:
+    """The set of a whole text; none for a text without words."""
+
+    def sets(text: str | None, hashes: WordHashes) -> list[np.ndarray]:
+        s = shingle_set(hashes.of(words(text or "")), k)
+        return [s] if len(s) else []
+
+    return sets
+
+
+def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame:
     """(doc_id, key, n, nid, bands, planes) of rows (doc_id, key, text); nid and what follows are null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +123,7 @@ def units_of(rows: DataFrame, words: Callable[[str], list[bytes]], k: int) -> Da
             known: dict[int, int] = {}
             where: list[int | None] = []
             for t in b.column(2).to_pylist():
-                s = shingle_set(hashes.of(words(t or "")), k)
+                (s,) = sets(t, hashes) or [np.zeros(0, np.uint64)]
                 ns.append(len(s))
                 nid = set_id(s) if len(s) else None
                 nids.append(nid)
@@ -92,10 +132,10 @@ def units_of(rows: DataFrame, words: Callable[[str], list[bytes]], k: int) -> Da
                     continue
                 if nid not in known:
                     known[nid] = len(low)
-                    low.append(minima(s))
+                    low.append(minima(s, shape.hashes))
                 where.append(known[nid])
             if low:
-                bands, planes = (x.tolist() for x in signatures(np.stack(low)))
+                bands, planes = (x.tolist() for x in signatures(np.stack(low), shape))
                 at = [[None if w is None else x[w] for w in where] for x in (bands, planes)]
             else:
                 at = [[None] * len(ns)] * 2
@@ -104,84 +144,146 @@ def units_of(rows: DataFrame, words: Callable[[str], list[bytes]], k: int) -> Da
     return rows.select("doc_id", "key", "text").mapInArrow(run, UNIT_DDL)
 
 
-def sets_of(rows: DataFrame, words: Callable[[str], list[bytes]], k: int) -> DataFrame:
+def sets_of(rows: DataFrame, sets: Sets) -> DataFrame:
     """(nid, items) of rows (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            sets = [s for t in b.column(1).to_pylist() if len(s := shingle_set(hashes.of(words(t or "")), k))]
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["nid", "items"])
+            all_sets = [s for t in b.column(1).to_pylist() for s in sets(t, hashes)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in all_sets], pa.int64()), pa.array([s.view(np.int64) for s in all_sets], pa.list_(pa.int64()))], names=["nid", "items"])
 
     return rows.select("key", "text").mapInArrow(run, "nid long, items array<long>")
 
 
-def estimate(x: Column, y: Column) -> Column:
+def estimate(x: Column, y: Column, shape: Shape) -> Column:
     """Similarity by bit counts of two arrays of planes, corrected for chance agreement."""
     differ = F.lit(0)
-    for w in range(PLANE):
+    for w in range(shape.words):
         word = x[w].bitwiseXOR(y[w])
         for bit in range(1, BITS):
-            word = word.bitwiseOR(x[bit * PLANE + w].bitwiseXOR(y[bit * PLANE + w]))
+            word = word.bitwiseOR(x[bit * shape.words + w].bitwiseXOR(y[bit * shape.words + w]))
         differ = differ + F.bit_count(word)
     chance = 1 / 2**BITS
-    return ((1 - differ / HASHES) - chance) / (1 - chance)
+    return ((1 - differ / shape.hashes) - chance) / (1 - chance)
 
 
-def may_link(t: float) -> float:
+def may_link(t: float, hashes: int) -> float:
     """The least estimate that is within five standard deviations of the threshold."""
     m = t + (1 - t) / 2**BITS
-    return t - 5 * (m * (1 - m) / HASHES) ** 0.5 / (1 - 1 / 2**BITS)
+    return t - 5 * (m * (1 - m) / hashes) ** 0.5 / (1 - 1 / 2**BITS)
 
 
-def linked_classes(rows: DataFrame, classes: DataFrame, words: Callable[[str], list[bytes]], k: int, percent: int, shared: Shared) -> DataFrame:
+def linked_classes(rows: DataFrame, classes: DataFrame, sets: Sets, percent: int, shared: Shared, shape: Shape = DOCUMENTS) -> DataFrame:
     """(nid, root) of the classes that are linked to another, directly or not.
 
     rows: (key, text); classes: one row for each set with columns nid, key (of one of its rows),
     n, bands and planes; percent: links need 100 * intersection >= percent * union."""
     t = percent / 100
-    least = may_link(t)
+    least = may_link(t, shape.hashes)
+    sig = classes.select("nid", "n", "planes")
 
-    def near(n1: Column, n2: Column) -> Column:
-        return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
+    def texts_of(nids: DataFrame) -> DataFrame:
+        """(key, text) of one row of each class."""
+        return rows.join(nids.join(classes.select("nid", "key"), "nid").select("key").distinct(), "key", "left_semi")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets pass."""
         ends = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).distinct()
-        need = ends.join(classes.select("nid", "key"), "nid")
-        texts = rows.join(need.select("key").distinct(), "key", "left_semi")
-        sets = sets_of(texts, words, k).join(ends, "nid", "left_semi").dropDuplicates(["nid"])
-        sets = shared.write(sets)
-        x, y = (sets.select(F.col("nid").alias(c), F.col("items").alias(f"s{c}")) for c in "ab")
+        full = shared.write(sets_of(texts_of(ends), sets).join(ends, "nid", "left_semi").dropDuplicates(["nid"]))
+        x, y = (full.select(F.col("nid").alias(c), F.col("items").alias(f"s{c}")) for c in "ab")
         common = F.size(F.array_intersect("sa", "sb"))
         passed = pairs.join(x, "a").join(y, "b").where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b")
         out = shared.write(passed)
-        shared.drop(sets)
+        shared.drop(full)
         return out
 
+    def led(members: DataFrame) -> DataFrame:
+        """Links of classes to the heaviest leader of their buckets that is of another component."""
+        best = members.where("root <> lead_root").groupBy("nid").agg(F.max(F.struct("lead_weight", "lead")).alias("best"))
+        pairs = best.select(F.col("best.lead").alias("a"), F.col("nid").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        a = sig.select(F.col("nid").alias("a"), F.col("n").alias("na"), F.col("planes").alias("pa"))
+        b = sig.select(F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("planes").alias("pb"))
+        close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+        return confirmed(shared.write(pairs.join(a, "a").join(b, "b").where(close & (estimate(F.col("pa"), F.col("pb"), shape) >= least)).select("a", "b")))
+
+    def named(members: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
+        """The roots of members filled in anew."""
+        for c, r in zip(columns, ("root", "lead_root"), strict=False):
+            to = roots.select(F.col("node").alias(c), F.col("root").alias("top"))
+            members = members.drop(r).join(to, c, "left").withColumn(r, F.coalesce("top", c)).drop("top")
+        return members
+
     keys = classes.select(F.explode("bands").alias("band"), "nid")
-    full = keys.groupBy("band").agg(F.min("nid").alias("lead"), F.max("nid").alias("top")).where("lead <> top").select("band", "lead")
-    members = shared.write(keys.join(full, "band"))
-    sig = classes.select("nid", "n", "planes")
-    a = sig.select(F.col("nid").alias("a"), F.col("n").alias("na"), F.col("planes").alias("pa"))
-    b = sig.select(F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("planes").alias("pb"))
-    stars = members.where("nid <> lead").select(F.col("lead").alias("a"), F.col("nid").alias("b")).distinct().join(a, "a").join(b, "b")
-    stars = shared.write(stars.where(near(F.col("na"), F.col("nb")) & (estimate(F.col("pa"), F.col("pb")) >= least)).select("a", "b"))
-    links = confirmed(stars)
-    first = components(links, shared)
-    # what the stars leave open: buckets with more than one component
-    named = members.select("band", "nid").join(first.select(F.col("node").alias("nid"), "root"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-    sizes = named.groupBy("band", "root").agg(F.count("*").alias("c"))
-    open_ = sizes.groupBy("band").agg(F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = open_.select("band", F.col("main.root").alias("main"), F.ceil((F.col("c") - F.col("main.c")) / OUTSIDERS).alias("blocks"))
-    rest = shared.write(named.join(open_, "band").join(sig, "nid").select("band", "nid", "root", "n", "planes", (F.col("root") == F.col("main")).alias("inside"), "blocks"))
-    outside = rest.where("not inside").groupBy("band", F.pmod(F.xxhash64("nid"), F.col("blocks")).alias("block")).agg(F.collect_list(F.struct("nid", "root", "n", "planes")).alias("out"))
-    fits = lambda x: (x["root"] != F.col("root")) & (F.col("inside") | (x["nid"] < F.col("nid"))) & near(x["n"], F.col("n")) & (estimate(x["planes"], F.col("planes")) >= least)
-    more = rest.join(outside, "band").select(F.col("nid").alias("a"), F.explode(F.transform(F.filter("out", fits), lambda x: x["nid"])).alias("b"))
-    more = shared.write(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    full = keys.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+    found = shared.write(keys.join(full, "band"))
+    weight = found.groupBy("nid").agg(F.sum("c").alias("weight"))
+    heavy = shared.write(found.join(weight, "nid").select("band", "nid", "weight"))
+    lead = heavy.groupBy("band").agg(F.max(F.struct("weight", "nid")).alias("l")).select("band", F.col("l.weight").alias("lead_weight"), F.col("l.nid").alias("lead"))
+    members = shared.write(heavy.join(lead, "band").select("band", "nid", "lead", "lead_weight", F.col("nid").alias("root"), F.col("lead").alias("lead_root")))
+    shared.drop(found)
+    shared.drop(heavy)
+    links = led(members)
+    roots = components(links, shared)
+    links = links.unionByName(led(named(members, roots, "nid", "lead")))
+    roots = components(links, shared)
+    # what that leaves open: buckets with more than one component
+    now = shared.write(named(members.select("band", "nid"), roots, "nid"))
+    sized = now.join(sig.select("nid", "n"), "nid")
+    sizes = sized.groupBy("band", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    mains = sizes.groupBy("band").agg(F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.count("*").alias("many")).where("many > 1")
+    mains = mains.select("band", F.col("main.root").alias("main"), F.ceil(F.greatest(F.col("c") / PACK, F.col("n") / PACK_ITEMS)).alias("packs"))
+    rest = shared.write(now.join(mains, "band"))
+    need = rest.select("nid").distinct()
+    full = shared.write(sets_of(texts_of(need), sets).join(need, "nid", "left_semi").dropDuplicates(["nid"]).join(classes.select("nid", "bands"), "nid"))
+    rest = rest.join(full, "nid").withColumn("one", F.struct("nid", "root", "bands", "items"))
+    pack = F.pmod(F.xxhash64("nid"), F.col("packs")).alias("pack")
+    members_of = rest.groupBy("band", pack).agg(F.collect_list("one").alias("members")).drop("pack")
+    outside_of = rest.where("root <> main").groupBy("band", pack).agg(F.collect_list("one").alias("outside")).drop("pack")
+    more = outside_of.join(members_of, "band").select("band", "outside", "members").mapInArrow(compare(percent), "a long, b long")
+    more = shared.write(more.distinct())
     if more.isEmpty():
-        return first.select(F.col("node").alias("nid"), "root")
-    return components(links.unionByName(confirmed(more)), shared).select(F.col("node").alias("nid"), "root")
+        return roots.select(F.col("node").alias("nid"), "root")
+    return components(links.unionByName(more), shared).select(F.col("node").alias("nid"), "root")
+
+
+def compare(percent: int):
+    """Packs of outsiders against packs of members of a bucket: links between two components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            links: set[tuple[int, int]] = set()
+            for row in range(b.num_rows):
+                band = b.column(0)[row].as_py()
+                mine, theirs = (unpacked(b.column(i)[row].values) for i in (1, 2))
+                nids, roots, bands, items, ends = theirs
+                sizes = np.diff(ends)
+                for nid, root, own, x in zip(mine[0], mine[1], mine[2], np.split(mine[3], mine[4][1:-1]), strict=True):
+                    same = bands == own
+                    here = bands[np.arange(len(nids)), same.argmax(axis=1)] == band  # the first bucket that both are in
+                    near = np.minimum(sizes, len(x)) * 100 >= np.maximum(sizes, len(x)) * percent
+                    at = np.flatnonzero((roots != root) & here & near)
+                    if not len(at):
+                        continue
+                    x = np.sort(x)
+                    parts = [items[ends[k] : ends[k + 1]] for k in at.tolist()]
+                    flat = np.concatenate(parts)
+                    k = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+                    common = np.add.reduceat(x[k] == flat, np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]]), dtype=np.int64)
+                    at = at[common * 100 >= (sizes[at] + len(x) - common) * percent]
+                    _, first = np.unique(roots[at], return_index=True)
+                    links.update((min(int(nid), y), max(int(nid), y)) for y in nids[at[first]].tolist())
+            pairs = list(links)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def unpacked(pack: pa.StructArray) -> tuple[np.ndarray, ...]:
+    """Ids, roots, band keys as a matrix, and all items with where each set's begin."""
+    nids, roots, bands, items = pack.flatten()
+    ends = np.concatenate([[0], np.cumsum(items.value_lengths().to_numpy())])
+    return nids.to_numpy(), roots.to_numpy(), bands.flatten().to_numpy().reshape(len(nids), -1), items.flatten().to_numpy(), ends
 
 
 def near_duplicates(docs: DataFrame, words: Callable[[str], list[bytes]], k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,11 +295,12 @@ def near_duplicates(docs: DataFrame, words: Callable[[str], list[bytes]], k: int
     table gives an empty result; other columns are ignored."""
     shared = Shared(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.col(text).alias("text"))
-    units = shared.write(units_of(rows, words, k))
+    sets = document_set(words, k)
+    units = shared.write(units_of(rows, sets))
     classes = shared.write(
         units.where("nid is not null").groupBy("nid").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
     )
-    roots = linked_classes(rows, classes, words, k, percent, shared)
+    roots = linked_classes(rows, classes, sets, percent, shared)
     named = shared.write(classes.select("nid", "least").join(roots, "nid", "left").select("nid", "least", F.coalesce("root", "nid").alias("root")))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = named.join(smallest, "root").select("nid", "component_id")
