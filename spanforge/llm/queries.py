@@ -47,6 +47,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).drop("key")
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import substrings
+
+    return substrings.repeated(table(spark, sf_dir, "documents"))
+
+
 def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages are labelled by the document that their URL numbers: block if it is of low quality or toxic."""
     from spanforge.llm import urls
@@ -87,7 +93,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op6_urls, op7_toxicity, op8_token_store, op9_minhash, op10_language)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op5_substrings, op6_urls, op7_toxicity, op8_token_store, op9_minhash, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
