@@ -45,7 +45,7 @@ def pieces(spans: DataFrame, most: int) -> DataFrame:
 def merge(spans: DataFrame, keys: list[str], gap: int = 0) -> DataFrame:
     """Spans that overlap, or lie at most gap apart, as one; n counts those merged."""
     before = W.partitionBy(*keys).orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
-    upto = W.partitionBy(*keys).orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0)
+    upto = W.partitionBy(*keys).orderBy("start", "end").rangeBetween(W.unboundedPreceding, W.currentRow)  # equal spans stay together
     fresh = F.coalesce((F.col("start") > F.max("end").over(before) + gap).cast("int"), F.lit(1))
     islands = spans.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(upto))
     return islands.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("island")

@@ -115,7 +115,7 @@ def intervals(spark, sf_dir):
 
 
 MERGED = """islands AS (
-  SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start, "end") AS island FROM (
     SELECT *, CASE WHEN start > max("end") OVER (PARTITION BY doc_id ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + {gap} THEN 1
       WHEN row_number() OVER (PARTITION BY doc_id ORDER BY start, "end") = 1 THEN 1 ELSE 0 END AS fresh FROM intervals)),
 merged AS (SELECT doc_id, min(start) AS start, max("end") AS "end", count(*) AS n FROM islands GROUP BY doc_id, island)"""
@@ -129,7 +129,7 @@ def merge_spans(spark, sf_dir):
 @query("""
 WITH runs AS (SELECT l_suppkey AS doc_id, l_returnflag AS kind, CAST(l_partkey % 1000 AS BIGINT) AS start, CAST(l_partkey % 1000 + 2 AS BIGINT) AS "end" FROM lineitem),
 f AS (SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY doc_id, kind ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM runs),
-i AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, kind ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM f)
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, kind ORDER BY start, "end") AS island FROM f)
 SELECT doc_id, kind, min(start) AS start, max("end") AS "end", count(*) AS n FROM i GROUP BY doc_id, kind, island""")
 def redline_merge(spark, sf_dir):
     """Struck and inserted runs of one kind that touch, as one."""
