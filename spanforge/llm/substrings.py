@@ -10,9 +10,11 @@ MIN_WORDS words that follow are one stretch. What marks the place lies within th
 both copies mark the same places; a shared passage of 51 words has on average three of them and
 hardly ever none. Equal stretches are one repeated paragraph.
 
-A paragraph is repeated if two documents hold it. In each document the repeated paragraphs that
-touch or overlap are one span, and the span is kept where no other document with a smaller id
-holds any of them, else it is for removal.
+A paragraph is repeated if two documents hold it; its first holder is the document of the smallest
+id. The first holder of a word is the smallest of the first holders of the repeated paragraphs that
+the word is in. In each document the words that touch and have the same first holder are one span,
+which is kept where the document is that holder, else it is for removal. So what is removed from a
+document stands in one of a smaller id, and the smallest keeps it.
 
 Cases: null and empty texts, and texts of fewer than MIN_WORDS words, have no spans; paragraphs
 repeated within one document alone are not reported; very long texts are cut whole; rows that
@@ -102,8 +104,8 @@ def parts(rows: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each repeated span: doc_id, first_word, last_word, n_words, cluster_id (smallest
-    doc_id that holds one of its paragraphs) and kept."""
+    """One row for each repeated span: doc_id, first_word, last_word, n_words, cluster_id (the
+    doc_id of its words' first holder) and kept."""
     shared = Shared(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.col(text).alias("text")).where("text is not null")
     cut = shared.write(parts(rows))
@@ -124,16 +126,19 @@ def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: s
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of touching paragraphs of each document."""
+    """Spans of touching words of each document that have the same first holder."""
     for b in batches:
         out: list[tuple] = []
         for key, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            own = sorted((p["at"], p["at"] + p["len"], p["first_key"]) for p in own)
-            start, end, first = own[0]
-            for a, e, f in [*own[1:], (1 << 60, 0, 0)]:
-                if a > end:
-                    out.append((key, start, end - 1, end - start, first, first == key))
-                    start, end, first = a, e, f
-                else:
-                    end, first = max(end, e), min(first, f)
+            low, high = min(p["at"] for p in own), max(p["at"] + p["len"] for p in own)
+            first = np.zeros(high - low, np.int64)
+            there = np.zeros(high - low, bool)
+            for p in sorted(own, key=lambda p: -p["first_key"]):
+                at = slice(p["at"] - low, p["at"] + p["len"] - low)
+                first[at], there[at] = p["first_key"], True
+            cuts = np.flatnonzero((first[1:] != first[:-1]) | (there[1:] != there[:-1])) + 1
+            for a, e in zip([0, *cuts.tolist()], [*cuts.tolist(), high - low], strict=True):
+                if there[a]:
+                    f = int(first[a])
+                    out.append((key, low + a, low + e - 1, e - a, f, f == key))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.bool_() if i == 5 else pa.int64()) for i in range(6)], names=["key", "first_word", "last_word", "n_words", "cluster_id", "kept"])

@@ -304,6 +304,15 @@ def test_substrings(spark):
     assert {r.doc_id: r.kept for r in got}[70] is True
 
 
+def test_substrings_keep_one_copy_of_every_line(spark):
+    rng = random.Random(6)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    a, b = fresh(30), fresh(40)
+    rows = [(1, a), (5, f"{a}\n{b}"), (9, f"{fresh(5)}\n{b}")]
+    got = substrings.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 29, 30, 1, True), (5, 0, 29, 30, 1, False), (5, 30, 69, 40, 5, True), (9, 5, 44, 40, 5, False)]
+
+
 def test_stretches_meet_in_any_passage():
     rng = random.Random(9)
     missed = 0
