@@ -5,10 +5,13 @@ three minima make a band, twelve bands in all, so two lines of similarity 0.8 sh
 probability (1 - 0.8**3)**12, 2e-4, and lines of 0.9 hardly ever. Lines that collide are joined,
 their Jaccard similarity is verified on the full sets, and components of those that pass are one
 repeated paragraph. Passages that were pasted into the middle of other text are caught as
-stretches: at every word whose hash is the least among its REACH neighbours on either side, the
-MIN_WORDS words that follow are one stretch. What marks the place lies within the passage, so
-both copies mark the same places; a shared passage of 51 words has on average three of them and
-hardly ever none. Equal stretches are one repeated paragraph.
+stretches of MIN_WORDS words in two steps. Of every REACH word pairs in a row the one of least hash
+is an anchor. What marks it lies within those pairs, so two copies of a passage mark the same
+anchors, and one of MIN_WORDS + REACH - 1 = 39 words or more has one that MIN_WORDS of its words
+follow. Where the words behind an anchor stand in two documents, all stretches that begin less than
+REACH words from it are indexed in those documents. No stretch of a passage of 39 words is farther
+from such an anchor, so equal stretches, each one repeated paragraph, cover the passage to its
+edges. Shorter passages are found where an anchor falls on them.
 
 A paragraph is repeated if two documents hold it; its first holder is the document of the smallest
 id. The first holder of a word is the smallest of the first holders of the repeated paragraphs that
@@ -36,7 +39,7 @@ from spanforge.llm.minhash import Shape, linked_classes, minima, set_id, shingle
 
 MIN_WORDS = 24
 SHINGLE = 5
-REACH = 4
+REACH = 16
 LINES = Shape(3, 12)
 
 
@@ -56,20 +59,29 @@ def lines(text: str | None, hashes: WordHashes) -> list[tuple[int, int, np.ndarr
 
 
 def stretches(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the stretches of a text's word hashes."""
+    """Places and hashes of the anchored stretches of a text's word hashes."""
     n = len(h) - MIN_WORDS + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     pair = ngram_hashes(h, 2)
-    ends = np.full(REACH, np.iinfo(np.uint64).max, np.uint64)
-    wide = np.concatenate([ends, pair, ends])
-    least = np.ones(len(pair), bool)
-    for d in range(1, REACH + 1):
-        least &= (pair < wide[REACH - d : len(wide) - REACH - d]) & (pair < wide[REACH + d : len(wide) - REACH + d])
-    at = np.flatnonzero(least[:n])
+    views = np.lib.stride_tricks.sliding_window_view(pair, REACH)
+    at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
+    at = at[at < n]
     return at, ngram_hashes(h, MIN_WORDS)[at]
 
 
+def around(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all stretches less than REACH words from the anchored ones of these hashes."""
+    at, anchored = stretches(h)
+    n = max(0, len(h) - MIN_WORDS + 1)
+    edge = np.zeros(n + 1, np.int64)
+    at = at[np.isin(anchored, ids)]
+    np.add.at(edge, np.maximum(at - REACH + 1, 0), 1)
+    np.add.at(edge, np.minimum(at + REACH, n), -1)
+    near = np.flatnonzero(np.cumsum(edge)[:n] > 0)
+    return near, ngram_hashes(h, MIN_WORDS)[near]
+
+
 PARTS = pa.schema([
     ("key", pa.int64()), ("line_nid", pa.list_(pa.int64())), ("line_at", pa.list_(pa.int32())), ("line_len", pa.list_(pa.int32())), ("line_n", pa.list_(pa.int32())),
     ("bands", pa.list_(pa.list_(pa.int64()))), ("planes", pa.list_(pa.list_(pa.int64()))), ("hash", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())),
@@ -103,6 +115,27 @@ def parts(rows: DataFrame) -> DataFrame:
     return rows.select("key", "text").mapInArrow(run, PARTS_DDL)
 
 
+def windows(marked: DataFrame) -> DataFrame:
+    """The stretches (hash, at) around the repeated anchors (ids) of every row (key, text, ids), as arrays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            own = [around(hashes.of(space_words(t)), np.array(ids, np.int64).view(np.uint64)) for t, ids in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.view(np.int64) for _, h in own], pa.list_(pa.int64())), pa.array([at for at, _ in own], pa.list_(pa.int32()))], names=["key", "hash", "at"])
+
+    return marked.select("key", "text", "ids").mapInArrow(run, "key long, hash array<long>, at array<int>")
+
+
+def in_two(one: DataFrame) -> DataFrame:
+    """(id, first_key) of the ids that rows of two keys have."""
+    return one.groupBy("id").agg(F.min("key").alias("first_key"), F.max("key").alias("last_key")).where("first_key <> last_key").select("id", "first_key")
+
+
+def stretch_rows(cut: DataFrame) -> DataFrame:
+    return cut.select("key", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("key", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
+
+
 def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each repeated span: doc_id, first_word, last_word, n_words, cluster_id (the
     doc_id of its words' first holder) and kept."""
@@ -114,11 +147,12 @@ def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: s
     roots = shared.write(linked_classes(rows, classes, line_sets, percent, shared, LINES))
     held = line.select("key", "nid", F.col("line_at").alias("at"), F.col("line_len").alias("len")).join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     held = shared.write(held.select("key", F.col("root").alias("id"), "at", "len"))
-    stretch = cut.select("key", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("key", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
+    anchored = stretch_rows(cut)
+    marks = anchored.join(in_two(anchored).select("id"), "id").groupBy("key").agg(F.collect_set("id").alias("ids"))
+    stretch = stretch_rows(shared.write(windows(rows.join(marks, "key"))))
     found = None
     for one in (held, stretch):
-        many = one.groupBy("id").agg(F.min("key").alias("first_key"), F.max("key").alias("last_key")).where("first_key <> last_key").select("id", "first_key")
-        hits = one.join(many, "id").select("key", "at", "len", "first_key")
+        hits = one.join(in_two(one), "id").select("key", "at", "len", "first_key")
         found = hits if found is None else found.unionByName(hits)
     spans = found.groupBy("key").agg(F.collect_list(F.struct("at", "len", "first_key")).alias("parts")).mapInArrow(merged, "key long, first_word long, last_word long, n_words long, cluster_id long, kept boolean")
     ids = docs.where(F.col(doc_id).isNull()).select(F.xxhash64(text).alias("key")).distinct().withColumn("unnamed", F.lit(True))

@@ -327,6 +327,21 @@ def test_stretches_meet_in_any_passage():
     assert missed <= 6
 
 
+def test_substrings_report_whole_passages(spark):
+    rng = random.Random(8)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    rows, planted = [], {}
+    for k, n in enumerate([39, 45, 51, 60, 80] * 12):
+        passage = " ".join(["to", "be"] * 30) if k == 2 else fresh(n)
+        for copy in (k, 100 + k):
+            before = rng.randrange(50)
+            rows.append((copy, f"{fresh(before)} {passage} {fresh(rng.randrange(50))}"))
+            planted[copy] = (before, before + len(passage.split()) - 1, k, copy == k)
+    got = substrings.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.first_word, r.last_word, r.cluster_id, r.kept) for r in got} == planted
+    assert len(got) == len(planted)
+
+
 STATED = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
 
 
