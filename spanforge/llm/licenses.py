@@ -1,8 +1,8 @@
 """License scans by ordered signatures.
 
 Text is brought to lower-case words joined by single spaces. A signature is a regular expression
-over that with a label, a priority and a score; it runs only if the text holds one of its keyword
-words, and texts without any keyword are passed over at once. Of overlapping detections, one that
+over that with a label, a priority and a score; it runs only if the text holds a word of each of its
+keyword sets, without which it cannot match, and texts without any keyword are passed over at once. Of overlapping detections, one that
 lies inside the interval of another is suppressed if the other has a higher priority, or the same
 and a longer interval, or both are equal and the other comes first in the order of signatures.
 
@@ -28,43 +28,43 @@ from spanforge.llm.common import alnum_words
 #: Phrases that count by contract, fixed values.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Families: label, how the name is written, versions, words of the SPDX identifier.
+#: Families: label, how the name is written, versions, words of the SPDX identifier, words of which any name has one.
 FAMILIES = [
-    ("mit", r"(?:expat )?mit(?: x11)?", [], "mit"),
-    ("apache", r"apache(?: software)?", ["1 0", "1 1", "2 0"], "apache"),
-    ("gpl", r"(?:gnu )?general public|(?:gnu )?gpl", ["1", "2", "3"], "gpl"),
-    ("lgpl", r"(?:gnu )?(?:lesser|library) general public|(?:gnu )?lgpl", ["2", "2 1", "3"], "lgpl"),
-    ("agpl", r"(?:gnu )?affero general public|(?:gnu )?agpl", ["1", "3"], "agpl"),
-    ("gfdl", r"(?:gnu )?free documentation|gfdl", ["1 1", "1 2", "1 3"], "gfdl"),
-    ("bsd-2", r"(?:simplified|freebsd|2 clause|two clause) bsd|bsd 2 clause", [], "bsd 2 clause"),
-    ("bsd-3", r"(?:new|modified|revised|3 clause|three clause) bsd|bsd 3 clause", [], "bsd 3 clause"),
-    ("bsd-4", r"(?:original|old|4 clause|four clause) bsd|bsd 4 clause", [], "bsd 4 clause"),
-    ("bsd", r"bsd(?: style)?", [], "0bsd"),
-    ("isc", r"isc", [], "isc"),
-    ("mpl", r"mozilla public|mpl", ["1 0", "1 1", "2 0"], "mpl"),
-    ("epl", r"eclipse public|epl", ["1 0", "2 0"], "epl"),
-    ("cddl", r"common development and distribution|cddl", ["1 0", "1 1"], "cddl"),
-    ("cpl", r"common public", ["1 0"], "cpl"),
-    ("eupl", r"european union public|eupl", ["1 0", "1 1", "1 2"], "eupl"),
-    ("artistic", r"(?:perl )?artistic", ["1 0", "2 0"], "artistic"),
-    ("zlib", r"zlib(?: libpng)?", [], "zlib"),
-    ("boost", r"boost software", ["1 0"], "bsl"),
-    ("unlicense", r"unlicense", [], "unlicense"),
-    ("wtfpl", r"do what the f\w* you want to public|wtfpl", ["2"], "wtfpl"),
-    ("psf", r"python software foundation|psf", ["2"], "psf"),
-    ("ofl", r"(?:sil )?open font|ofl", ["1 0", "1 1"], "ofl"),
-    ("osl", r"open software", ["1 0", "2 0", "3 0"], "osl"),
-    ("afl", r"academic free", ["1 2", "2 0", "3 0"], "afl"),
-    ("ms-pl", r"microsoft public", [], "ms pl"),
-    ("ms-rl", r"microsoft reciprocal", [], "ms rl"),
-    ("cc-by-nc-nd", r"(?:creative commons|cc) (?:attribution non ?commercial no ?deriv(?:ative)?s|by nc nd)", ["2 0", "2 5", "3 0", "4 0"], "cc by nc nd"),
-    ("cc-by-nc-sa", r"(?:creative commons|cc) (?:attribution non ?commercial share ?alike|by nc sa)", ["2 0", "2 5", "3 0", "4 0"], "cc by nc sa"),
-    ("cc-by-nc", r"(?:creative commons|cc) (?:attribution non ?commercial|by nc)", ["2 0", "2 5", "3 0", "4 0"], "cc by nc"),
-    ("cc-by-nd", r"(?:creative commons|cc) (?:attribution no ?deriv(?:ative)?s|by nd)", ["2 0", "2 5", "3 0", "4 0"], "cc by nd"),
-    ("cc-by-sa", r"(?:creative commons|cc) (?:attribution share ?alike|by sa)", ["2 0", "2 5", "3 0", "4 0"], "cc by sa"),
-    ("cc-by", r"(?:creative commons|cc) (?:attribution|by)", ["2 0", "2 5", "3 0", "4 0"], "cc by"),
-    ("cc0", r"(?:creative commons|cc) (?:zero|0)|cc0", ["1 0"], "cc0"),
-    ("odbl", r"open (?:data commons open )?database", ["1 0"], "odbl"),
+    ("mit", r"(?:expat )?mit(?: x11)?", [], "mit", "mit"),
+    ("apache", r"apache(?: software)?", ["1 0", "1 1", "2 0"], "apache", "apache"),
+    ("gpl", r"(?:gnu )?general public|(?:gnu )?gpl", ["1", "2", "3"], "gpl", "general gpl"),
+    ("lgpl", r"(?:gnu )?(?:lesser|library) general public|(?:gnu )?lgpl", ["2", "2 1", "3"], "lgpl", "lesser library lgpl"),
+    ("agpl", r"(?:gnu )?affero general public|(?:gnu )?agpl", ["1", "3"], "agpl", "affero agpl"),
+    ("gfdl", r"(?:gnu )?free documentation|gfdl", ["1 1", "1 2", "1 3"], "gfdl", "documentation gfdl"),
+    ("bsd-2", r"(?:simplified|freebsd|2 clause|two clause) bsd|bsd 2 clause", [], "bsd 2 clause", "bsd"),
+    ("bsd-3", r"(?:new|modified|revised|3 clause|three clause) bsd|bsd 3 clause", [], "bsd 3 clause", "bsd"),
+    ("bsd-4", r"(?:original|old|4 clause|four clause) bsd|bsd 4 clause", [], "bsd 4 clause", "bsd"),
+    ("bsd", r"bsd(?: style)?", [], "0bsd", "bsd"),
+    ("isc", r"isc", [], "isc", "isc"),
+    ("mpl", r"mozilla public|mpl", ["1 0", "1 1", "2 0"], "mpl", "mozilla mpl"),
+    ("epl", r"eclipse public|epl", ["1 0", "2 0"], "epl", "eclipse epl"),
+    ("cddl", r"common development and distribution|cddl", ["1 0", "1 1"], "cddl", "distribution cddl"),
+    ("cpl", r"common public", ["1 0"], "cpl", "common"),
+    ("eupl", r"european union public|eupl", ["1 0", "1 1", "1 2"], "eupl", "european eupl"),
+    ("artistic", r"(?:perl )?artistic", ["1 0", "2 0"], "artistic", "artistic"),
+    ("zlib", r"zlib(?: libpng)?", [], "zlib", "zlib"),
+    ("boost", r"boost software", ["1 0"], "bsl", "boost"),
+    ("unlicense", r"unlicense", [], "unlicense", "unlicense"),
+    ("wtfpl", r"do what the f\w* you want to public|wtfpl", ["2"], "wtfpl", "want wtfpl"),
+    ("psf", r"python software foundation|psf", ["2"], "psf", "python psf"),
+    ("ofl", r"(?:sil )?open font|ofl", ["1 0", "1 1"], "ofl", "font ofl"),
+    ("osl", r"open software", ["1 0", "2 0", "3 0"], "osl", "software"),
+    ("afl", r"academic free", ["1 2", "2 0", "3 0"], "afl", "academic"),
+    ("ms-pl", r"microsoft public", [], "ms pl", "microsoft"),
+    ("ms-rl", r"microsoft reciprocal", [], "ms rl", "reciprocal"),
+    ("cc-by-nc-nd", r"(?:creative commons|cc) (?:attribution non ?commercial no ?deriv(?:ative)?s|by nc nd)", ["2 0", "2 5", "3 0", "4 0"], "cc by nc nd", "creative cc"),
+    ("cc-by-nc-sa", r"(?:creative commons|cc) (?:attribution non ?commercial share ?alike|by nc sa)", ["2 0", "2 5", "3 0", "4 0"], "cc by nc sa", "creative cc"),
+    ("cc-by-nc", r"(?:creative commons|cc) (?:attribution non ?commercial|by nc)", ["2 0", "2 5", "3 0", "4 0"], "cc by nc", "creative cc"),
+    ("cc-by-nd", r"(?:creative commons|cc) (?:attribution no ?deriv(?:ative)?s|by nd)", ["2 0", "2 5", "3 0", "4 0"], "cc by nd", "creative cc"),
+    ("cc-by-sa", r"(?:creative commons|cc) (?:attribution share ?alike|by sa)", ["2 0", "2 5", "3 0", "4 0"], "cc by sa", "creative cc"),
+    ("cc-by", r"(?:creative commons|cc) (?:attribution|by)", ["2 0", "2 5", "3 0", "4 0"], "cc by", "creative cc"),
+    ("cc0", r"(?:creative commons|cc) (?:zero|0)|cc0", ["1 0"], "cc0", "creative cc cc0"),
+    ("odbl", r"open (?:data commons open )?database", ["1 0"], "odbl", "database"),
 ]
 
 #: Sentences of the license texts themselves: label, expression, keyword.
@@ -90,7 +90,7 @@ TEXTS = [
 class Signature:
     label: str
     pattern: re.Pattern
-    keywords: frozenset[bytes]
+    keywords: tuple[frozenset[bytes], ...]
     priority: int
     score: float
     base: bool = False
@@ -103,30 +103,33 @@ def compiled(pattern: str) -> re.Pattern:
 def signatures() -> list[Signature]:
     """All signatures, in order: the forms of every family by rule, license sentences, base phrases."""
     out = []
-    said = frozenset({b"license", b"licence", b"licensed", b"licenced", b"licenses", b"spdx", b"licensing"})
-    for label, name, versions, spdx in FAMILIES:
+    any_of = lambda text: frozenset(text.encode().split())
+    under, one, many, tagged = any_of("licensed licenced released distributed available provided"), any_of("license licence"), any_of("licenses licences"), any_of("spdx")
+    for label, name, versions, spdx, names in FAMILIES:
         name = f"(?:{name})"
-        add = lambda p, priority, score, label=label: out.append(Signature(label, compiled(p), said, priority, score))
+        # a version may follow its name without a space
+        names = any_of(" ".join([names, *(f"{w}{v.split()[0]}" for w in names.split() for v in versions)]))
+        add = lambda p, priority, score, *keywords, label=label: out.append(Signature(label, compiled(p), keywords, priority, score))
         for v in versions:
-            add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: version| v)? ?{v}", 90, 1.0)
-            add(rf"{name}(?: licen[sc]e)?(?: version| v)? ?{v}", 70, 0.9)
-            add(rf"spdx license identifier {spdx} {v}(?: only| or later)?", 95, 1.0)
-        add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the |an |a )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: international| unported)?", 80, 0.95)
-        add(rf"{name} licen[sc]e", 60, 0.8)
-        add(rf"licen[sc]e {name}", 50, 0.7)
-        add(rf"(?:opensource org|gnu org|creativecommons org|apache org|mozilla org) licen[sc]es {name}", 85, 0.95)
-        add(rf"spdx license identifier {spdx}(?: only| or later)?", 94, 1.0)
+            add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: version| v)? ?{v}", 90, 1.0, names, under)
+            add(rf"{name}(?: licen[sc]e)?(?: version| v)? ?{v}", 70, 0.9, names)
+            add(rf"spdx license identifier {spdx} {v}(?: only| or later)?", 95, 1.0, tagged)
+        add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the |an |a )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: international| unported)?", 80, 0.95, names, under)
+        add(rf"{name} licen[sc]e", 60, 0.8, names, one)
+        add(rf"licen[sc]e {name}", 50, 0.7, names, one)
+        add(rf"(?:opensource org|gnu org|creativecommons org|apache org|mozilla org) licen[sc]es {name}", 85, 0.95, names, many)
+        add(rf"spdx license identifier {spdx}(?: only| or later)?", 94, 1.0, tagged)
     for label, p, keyword in TEXTS:
-        out.append(Signature(label, compiled(p), frozenset({keyword.encode(), keyword.encode() + b"s"}), 40 if label in ("proprietary", "public-domain") else 100, 0.5 if label == "proprietary" else 1.0))
+        out.append(Signature(label, compiled(p), (frozenset({keyword.encode(), keyword.encode() + b"s"}),), 40 if label in ("proprietary", "public-domain") else 100, 0.5 if label == "proprietary" else 1.0))
     for phrase, label in BASE.items():
-        out.append(Signature(label, compiled(phrase), frozenset({b"license"}), 55, 0.8, True))
+        out.append(Signature(label, compiled(phrase), (one,), 55, 0.8, True))
     return out
 
 
 class Scanner:
     def __init__(self, all_signatures: list[Signature] | None = None):
         self.signatures = signatures() if all_signatures is None else all_signatures
-        self.keywords = frozenset().union(*(s.keywords for s in self.signatures))
+        self.keywords = frozenset().union(*(k for s in self.signatures for k in s.keywords))
 
     def detections(self, words: list[bytes]) -> list[tuple[int, int, Signature, bool]]:
         """(first word, word after the last, signature, suppressed), in order."""
@@ -137,7 +140,7 @@ class Scanner:
         starts = [0, *accumulate(len(w) + 1 for w in text.split(" "))]
         found = []
         for order, s in enumerate(self.signatures):
-            if not s.keywords.isdisjoint(there):
+            if not any(k.isdisjoint(there) for k in s.keywords):
                 for m in s.pattern.finditer(text):
                     found.append((bisect.bisect_right(starts, m.start()) - 1, bisect.bisect_left(starts, m.end() + 1), s, order))
         # best first; kept intervals never lie inside one another, so starts and ends rise together

@@ -125,6 +125,41 @@ def test_license_suppression():
     assert licenses.Scanner().detections([b"nothing"]) == []
 
 
+def example(tree, rng):
+    """A text that a parsed regular expression matches."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "SUBPATTERN":
+            out += example(arg[3], rng)
+        elif op == "BRANCH":
+            out += example(rng.choice(arg[1]), rng)
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(example(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 1))))
+        elif op == "IN":
+            out += rng.choice([chr(x) for kind, x in arg if str(kind) == "LITERAL"] or ["u"])
+        elif op == "ANY":
+            out += "u"
+        else:
+            assert op == "ASSERT_NOT", op
+    return out
+
+
+def test_license_gate_is_necessary():
+    rng = random.Random(1)
+    scanner = licenses.Scanner()
+    for s in scanner.signatures:
+        tree = re._parser.parse(s.pattern.pattern)
+        for _ in range(60):
+            text = example(tree, rng)
+            assert s.pattern.search(text), text
+            assert s in [d[2] for d in scanner.detections(text.encode().split())], text
+    for text, label in (("released under the gnu gpl version 3", "gpl"), ("distributed under the terms of apache 2 0", "apache"), ("available under cc by sa 4 0", "cc-by-sa"), ("this is released under the unlicense", "unlicense"), ("see gpl3", "gpl"), ("opensource org licences mit", "mit")):
+        assert label in {d[2].label for d in scanner.detections(text.encode().split()) if not d[3]}, text
+
+
 def test_targets_and_flow():
     # weights 5, 2, 1, 5: the first and the last stop at 200, the other two share 200 as 2 to 1
     t = mixing.targets({"a": 100, "b": 100, "c": 100, None: 100})
