@@ -7,7 +7,9 @@ text's length estimates the cross entropy, and the language with the least wins.
 
 The automaton is completed: where no transition goes on, a new phrase begins, which the
 transition itself notes. So parsing is one table lookup a character, and a task parses thousands
-of blocks of BLOCK characters in step. A block's first character begins a phrase.
+of blocks of BLOCK characters in step. A block's first character begins a phrase. All letters of the
+samples are told apart. A language whose sample holds more than DENSE of them, as with Han, has a
+sorted list of its transitions in place of the table, which is slower but of the sample's size.
 
 The fit reads at most DOCS documents a language, CHARS characters a language and TOTAL characters
 in all, chosen by hash among rows that may be learned from, of the LANGUAGES most frequent
@@ -35,7 +37,8 @@ DOCS = 64
 CHARS = 24_000
 TOTAL = 240_000
 LANGUAGES = 100
-ALPHABET = 94
+#: Letters of a sample up to which its automaton is a table.
+DENSE = 94
 BLOCK = 512
 #: Characters of text that a task parses at a time.
 AT_ONCE = 4_000_000
@@ -48,7 +51,7 @@ class Alphabet:
 
     def __init__(self, letters: str):
         self.letters = letters
-        self.lookup = np.zeros(0x110000, np.uint8)
+        self.lookup = np.zeros(0x110000, np.min_scalar_type(len(letters) + 2))
         for block in range(0, 0x110000, 0x10000):
             if block > 0x30000:
                 break
@@ -122,21 +125,56 @@ def completed(move: list[dict[int, int]], size: int) -> np.ndarray:
     return table.ravel()
 
 
+class Sparse:
+    """The same automaton as a sorted list of transitions, for alphabets that make the table too large."""
+
+    def __init__(self, move: list[dict[int, int]], size: int):
+        self.size = size
+        moves = sorted((s * size + c, to) for s, row in enumerate(move) for c, to in row.items())
+        self.keys = np.array([k for k, _ in moves] + [np.iinfo(np.int64).max], np.int64)
+        self.to = np.array([to for _, to in moves] + [0], np.int32)
+        self.first = np.full(size, len(move) | NEW, np.int32)
+        for c, to in move[0].items():
+            self.first[c] = to | NEW
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        key = state.astype(np.int64) * self.size + c
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.to[at], self.first[c])
+
+
+class Dense:
+    def __init__(self, move: list[dict[int, int]], size: int):
+        self.width, self.table = size + 1, completed(move, size)
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return self.table[state * self.width + c]
+
+
+def lower(c: str) -> str:
+    """A letter in lower case, itself where that is not one letter."""
+    low = c.lower()
+    return low if len(low) == 1 else c
+
+
 class Model:
     def __init__(self, samples: dict[str, str]):
         """samples: sample text by language."""
         self.languages = sorted(samples)
-        seen = Counter(c for t in samples.values() for c in t.lower() if c.isalpha())
-        letters = "".join(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
-        self.alphabet = Alphabet(letters)
-        self.tables, self.starts, self.bits = [], [], []
+        seen = Counter(lower(c) for t in samples.values() for c in t if c.isalpha())
+        self.alphabet = Alphabet("".join(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))))
+        self.automata, self.own, self.starts, self.bits = [], [], [], []
         for lang in self.languages:
             codes, _ = self.alphabet.classes(samples[lang])
-            # letters beyond the alphabet, in a sample too, match nothing
-            move = suffix_automaton(codes.tolist())
-            for row in move:
-                row.pop(OTHER, None)
-            self.tables.append(completed(move, self.alphabet.size))
+            size, own = self.alphabet.size, None
+            if size > DENSE + 2:
+                # the sample's own letters, numbered anew; the others are one class that matches nothing
+                held = np.unique(codes[codes > OTHER])
+                own = np.full(size, OTHER, np.int32)
+                own[SPACE], own[held], size = SPACE, np.arange(2, len(held) + 2), len(held) + 2
+            move = suffix_automaton((codes if own is None else own[codes]).tolist())
+            self.automata.append((Dense if size <= DENSE + 2 else Sparse)(move, size))
+            self.own.append(own)
             self.starts.append(len(move))
             self.bits.append(math.log2(max(2, len(codes))))
 
@@ -151,17 +189,16 @@ class Model:
         at = np.repeat(np.cumsum(sizes) - sizes, blocks) + place * BLOCK
         order = np.argsort(-length, kind="stable")
         owner, length, at = owner[order], length[order], at[order]
-        width = self.alphabet.size + 1
         flat = np.concatenate([*texts, np.zeros(BLOCK, np.uint8)])
         alive = np.searchsorted(-length, -np.arange(BLOCK), side="left")  # blocks longer than t
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         steps = [flat[at[: alive[t]] + t].astype(np.int32) for t in range(BLOCK) if alive[t]]
-        for k, table in enumerate(self.tables):
+        for k, (automaton, own) in enumerate(zip(self.automata, self.own, strict=True)):
             state = np.full(len(owner), self.starts[k], np.int32)
             count = np.zeros(len(owner), np.int32)
             for c in steps:
                 n = len(c)
-                to = table[state[:n] * width + c]
+                to = automaton.step(state[:n], c if own is None else own[c])
                 count[:n] += to >> 30
                 state[:n] = to & (NEW - 1)
             out[:, k] = np.bincount(owner, count, len(texts))

@@ -498,6 +498,22 @@ def test_language_phrases():
     assert model.predict([long, "zz 12", "12", "", None])[0] == ["x", "y", "und", "und", "und"]
 
 
+def test_language_of_many_letters():
+    rng = random.Random(3)
+    scripts = {"de": range(0x61, 0x7B), "el": range(0x3B1, 0x3C2), "ko": range(0xAC00, 0xAC00 + 400), "ru": range(0x430, 0x450), "zh": range(0x4E00, 0x4E00 + 600)}
+    words = {k: ["".join(chr(rng.choice(v)) for _ in range(rng.randint(2, 6))) for _ in range(300)] for k, v in scripts.items()}
+    fresh = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    model = language.Model({k: fresh(k, 400 + 50 * i) for i, k in enumerate(scripts)})
+    asked = [k for k in scripts for _ in range(20)]
+    named, scores = model.predict([fresh(k, 12) for k in asked])
+    assert named == asked
+    assert min(scores) > 0.2
+    move = language.suffix_automaton([2, 3, 2, 4, 2, 3])
+    dense, sparse = language.Dense(move, 6), language.Sparse(move, 6)
+    state, c = (x.ravel() for x in np.meshgrid(np.arange(len(move) + 1), np.arange(6)))
+    assert (dense.step(state, c) == sparse.step(state, c)).all()
+
+
 def test_language_held_out(spark, folder, docs):
     got = queries.op10_language(spark, folder).collect()
     assert len(got) == docs.count()
