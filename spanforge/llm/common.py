@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else one of our own (tests, one machine)."""
+    """The folder all executors share: spark.checkpoint.dir, else one of our own if this machine is all there is."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spanforge-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
@@ -55,6 +58,70 @@ class Shared:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A membership filter has 2**FILTER_BITS slots at most: 16 MB in the driver and each worker.
+FILTER_BITS = 27
+
+
+class Membership:
+    """Which of many uniform 64-bit hashes may be among those it was made of: never a false no, some false yes.
+
+    Its size is bounded; with more hashes than slots it lets more and in the end all through, so it
+    may only save work in front of an exact step."""
+
+    def __init__(self, bits: np.ndarray, shift: int):
+        self.bits, self.shift = bits, np.uint64(shift)
+
+    def test(self, h: np.ndarray) -> np.ndarray:
+        slot = h.view(np.uint64) >> self.shift
+        return (self.bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def membership(hashes: DataFrame, column: str):
+    """A broadcast Membership of the uniform hashes in a column of a written table."""
+    k = min(FILTER_BITS, max(12, (16 * hashes.count()).bit_length()))
+    slot = hashes.select(F.shiftrightunsigned(column, 64 - k).alias("slot"))
+    words = slot.select(F.shiftright("slot", 6).alias("w"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # 2**(FILTER_BITS - 6) rows at most
+    bits = np.zeros(1 << (k - 6), np.uint64)
+    bits[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(Membership(bits, 64 - k))
+
+
+#: Rows of a key from which a join deals them out, or a thousandth of all rows if that is more.
+HOT_ROWS = 1_000
+
+
+def hot_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """big.join(small, on, how), where one key may hold any share of big, a written table.
+
+    small has a row a key. Keys of more than HOT_ROWS rows and a thousandth of all, which are a
+    thousand at most, get as many salts as they need, and their rows of small are repeated."""
+    limit = max(HOT_ROWS, big.count() // 1000)
+    hot = big.groupBy(on).count().where((F.col("count") > limit) & F.col(on).isNotNull()).select(on, F.ceil(F.col("count") / limit).cast("int").alias("salts"))
+    rows = hot.collect()
+    if not rows:
+        return big.join(small, on, how)
+    salts = F.broadcast(big.sparkSession.createDataFrame(rows, hot.schema))
+    dealt = big.join(salts, on, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(*big.columns), "salts"), F.lit(0).cast("long")))
+    many = small.join(salts, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), (F.coalesce("salts", F.lit(1)) - 1).cast("long"))))
+    return dealt.drop("salts").join(many.drop("salts"), [on, "salt"], how).drop("salt")
+
+
+#: A column that tells the rows of a table apart, whatever they hold.
+ROW = "spanforge_row"
+
+
+def numbered(docs: DataFrame, shared: Shared) -> tuple[DataFrame, str]:
+    """docs with that column, and its name: the file and the place in it; a table that is not read from Parquet is written first."""
+    name = ROW
+    while name in docs.columns:
+        name += "_"
+    try:
+        at = docs.metadataColumn("_metadata")
+        return docs.withColumn(name, F.struct(at["file_path"].alias("file"), at["row_index"].alias("place"))), name
+    except AnalysisException:
+        return numbered(shared.write(docs), shared)
+
+
 def space_words(text: str) -> list[bytes]:
     """Words of `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased."""
     return text.encode("utf-8", "surrogatepass").lower().split()

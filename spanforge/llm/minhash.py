@@ -9,14 +9,18 @@ minima that agree, and (m - 1/16) / (1 - 1/16) corrects it for chance. A pair wh
 more than five standard deviations below the threshold goes no further; all others are confirmed
 on the full sets.
 
+A set's signature is written once in a task, and the minima of a bucket go no further than a count
+if nothing else is in it: a bounded filter of the full buckets passes over the rest, as others pass
+over the texts whose sets are not asked for.
+
 Buckets may hold any number of classes. A class's weight is the size of all its buckets together;
 the heaviest class of a bucket leads it, and each class is first compared to the heaviest of its
 leaders alone, which is the text that the others were copied from if there is one. That yields
 components; pairs within a component need no more work. Where a leader is of another component
 this is done once more. In the buckets that still hold several components, every member outside
-the bucket's largest component is compared to every member of another component on the full sets:
-both are packed into arrays of about PACK, packs meet packs of their bucket, and a pair is looked
-at in the first bucket that it shares. No row is made for a pair, only for a link, and one link
+the bucket's largest component is compared to every member of another component, in packs of about
+PACK and in the first bucket that both share: by the bits first, which leaves the classes that have
+a candidate, then those on the full sets. No row is made for a pair, only for a link, and one link
 between an outsider and a component is enough. That is the exact way for the rest; nothing is
 capped.
 """
@@ -32,13 +36,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Shared, WordHashes, ngram_hashes
+from spanforge.llm.common import Shared, WordHashes, hot_join, membership, ngram_hashes
 from spanforge.llm.components import components
 
 BITS = 4
 PACK = 128
 #: Shingles in a pack, about; a larger set is a pack by itself.
 PACK_ITEMS = 100_000
+#: Packs of members in a group.
+SALT_PACKS = 16
+#: Members that meet one copy of their leader's set.
+SALT = 200
 HASHES = 640
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -100,40 +108,46 @@ def signatures(m: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return bands.view(np.int64), np.concatenate(planes, axis=1).view(np.int64)
 
 
-Sets = Callable[[str | None, WordHashes], list[np.ndarray]]
+#: A text's sets with their ids.
+Sets = Callable[[str | None, WordHashes], list[tuple[int, np.ndarray]]]
 
 
 def document_set(words: Callable[[str], list[bytes]], k: int) -> Sets:
     """The set of a whole text; none for a text without words."""
 
-    def sets(text: str | None, hashes: WordHashes) -> list[np.ndarray]:
+    def sets(text: str | None, hashes: WordHashes) -> list[tuple[int, np.ndarray]]:
         s = shingle_set(hashes.of(words(text or "")), k)
-        return [s] if len(s) else []
+        return [(set_id(s), s)] if len(s) else []
 
     return sets
 
 
+#: Ids of sets that a task remembers, so that it gives a signature once.
+REMEMBERED = 1 << 18
+
+
 def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame:
-    """(doc_id, key, n, nid, bands, planes) of rows (doc_id, key, text); nid and what follows are null without words."""
+    """(doc_id, key, n, nid, bands, planes) of rows (doc_id, key, text).
+
+    nid is null without words; bands and planes stand only where the task has not given them for that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, given = WordHashes(), set()
         for b in batches:
-            ns, nids, low = [], [], []
-            known: dict[int, int] = {}
-            where: list[int | None] = []
+            if len(given) > REMEMBERED:
+                given.clear()
+            ns, nids, low, where = [], [], [], []
             for t in b.column(2).to_pylist():
-                (s,) = sets(t, hashes) or [np.zeros(0, np.uint64)]
+                own = sets(t, hashes)
+                nid, s = own[0] if own else (None, ())
                 ns.append(len(s))
-                nid = set_id(s) if len(s) else None
                 nids.append(nid)
-                if nid is None:
+                if nid is None or nid in given:
                     where.append(None)
                     continue
-                if nid not in known:
-                    known[nid] = len(low)
-                    low.append(minima(s, shape.hashes))
-                where.append(known[nid])
+                given.add(nid)
+                where.append(len(low))
+                low.append(minima(s, shape.hashes))
             if low:
                 bands, planes = (x.tolist() for x in signatures(np.stack(low), shape))
                 at = [[None if w is None else x[w] for w in where] for x in (bands, planes)]
@@ -144,16 +158,33 @@ def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame
     return rows.select("doc_id", "key", "text").mapInArrow(run, UNIT_DDL)
 
 
-def sets_of(rows: DataFrame, sets: Sets) -> DataFrame:
-    """(nid, items) of rows (key, text)."""
+def sets_of(rows: DataFrame, sets: Sets, keys, nids) -> DataFrame:
+    """(nid, items) of rows (key, text): the sets whose ids, of rows whose keys, pass the broadcast filters; a set may come twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            all_sets = [s for t in b.column(1).to_pylist() for s in sets(t, hashes)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in all_sets], pa.int64()), pa.array([s.view(np.int64) for s in all_sets], pa.list_(pa.int64()))], names=["nid", "items"])
+            texts = b.column(1).filter(pa.array(keys.value.test(b.column(0).to_numpy()))).to_pylist()
+            own = [x for t in texts for x in sets(t, hashes)]
+            ids = np.array([i for i, _ in own], np.int64)
+            on = np.flatnonzero(nids.value.test(ids)) if len(ids) else []
+            yield pa.RecordBatch.from_arrays([pa.array([own[k][0] for k in on], pa.int64()), pa.array([own[k][1].view(np.int64) for k in on], pa.list_(pa.int64()))], names=["nid", "items"])
+
+    return rows.select(F.xxhash64("key").alias("h"), "text").mapInArrow(run, "nid long, items array<long>")
+
+
+def bands_in(sigs: DataFrame, full) -> DataFrame:
+    """(band, nid) of the signatures' bands that pass the broadcast filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(1)
+            flat = lists.flatten().to_numpy()
+            on = full.value.test(flat)
+            nids = np.repeat(b.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(flat[on]), pa.array(nids[on])], names=["band", "nid"])
 
-    return rows.select("key", "text").mapInArrow(run, "nid long, items array<long>")
+    return sigs.select("nid", "bands").mapInArrow(run, "band long, nid long")
 
 
 def estimate(x: Column, y: Column, shape: Shape) -> Column:
@@ -174,38 +205,45 @@ def may_link(t: float, hashes: int) -> float:
     return t - 5 * (m * (1 - m) / hashes) ** 0.5 / (1 - 1 / 2**BITS)
 
 
-def linked_classes(rows: DataFrame, classes: DataFrame, sets: Sets, percent: int, shared: Shared, shape: Shape = DOCUMENTS) -> DataFrame:
+def linked_classes(rows: DataFrame, sigs: DataFrame, keys: DataFrame, sets: Sets, percent: int, shared: Shared, shape: Shape = DOCUMENTS, sized: bool = True) -> DataFrame:
     """(nid, root) of the classes that are linked to another, directly or not.
 
-    rows: (key, text); classes: one row for each set with columns nid, key (of one of its rows),
-    n, bands and planes; percent: links need 100 * intersection >= percent * union."""
-    t = percent / 100
-    least = may_link(t, shape.hashes)
-    sig = classes.select("nid", "n", "planes")
+    rows: (key, text); sigs: a written table nid, n, bands, planes, where a set may come more than
+    once; keys: nid and the key of one of its rows; sized: n is the size of the set; percent: links
+    need 100 * intersection >= percent * union."""
+    least = may_link(percent / 100, shape.hashes)
 
-    def texts_of(nids: DataFrame) -> DataFrame:
-        """(key, text) of one row of each class."""
-        return rows.join(nids.join(classes.select("nid", "key"), "nid").select("key").distinct(), "key", "left_semi")
+    def full_sets(nids: DataFrame) -> DataFrame:
+        """(nid, items) of the classes in a table of them."""
+        at = shared.write(nids.join(keys, "nid").select("nid", F.xxhash64("key").alias("h")))
+        got = sets_of(rows, sets, membership(at, "h"), membership(at, "nid"))
+        return got.join(at.select("nid"), "nid", "left_semi").dropDuplicates(["nid"])
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets pass."""
-        ends = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).distinct()
-        full = shared.write(sets_of(texts_of(ends), sets).join(ends, "nid", "left_semi").dropDuplicates(["nid"]))
-        x, y = (full.select(F.col("nid").alias(c), F.col("items").alias(f"s{c}")) for c in "ab")
-        common = F.size(F.array_intersect("sa", "sb"))
-        passed = pairs.join(x, "a").join(y, "b").where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b")
-        out = shared.write(passed)
-        shared.drop(full)
-        return out
-
-    def led(members: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full sets pass, a table of one pair for each b.
+
+        Of the members of a leader, SALT meet in a group, and each group has the leader's set."""
+        groups = pairs.groupBy(F.col("a").alias("nid")).agg(F.ceil(F.count("*") / SALT).cast("int").alias("salts"))
+        dealt = pairs.join(groups.withColumnRenamed("nid", "a"), "a").select(F.col("b").alias("nid"), F.col("a").alias("lead"), F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"))
+        asked = shared.write(dealt.join(groups, "nid", "full"))
+        one = full_sets(asked.select("nid")).join(asked, "nid")
+        as_lead = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: F.struct(F.col("nid").alias("lead"), s.alias("salt"), F.lit(0).alias("role")))
+        as_member = F.array(F.struct("lead", "salt", F.lit(1).alias("role")))
+        none = F.expr("array()").cast("array<struct<lead:long,salt:int,role:int>>")
+        parts = F.concat(F.when(F.col("salts").isNull(), none).otherwise(as_lead), F.when(F.col("lead").isNull(), none).otherwise(as_member))
+        met = one.select("nid", "items", F.explode(parts).alias("p")).select("p.lead", "p.salt", "p.role", "nid", "items")
+        met = met.repartition("lead", "salt").sortWithinPartitions("lead", "salt", "role")
+        return shared.write(met.mapInArrow(with_leader(percent), "a long, b long"))
+
+    def led(members: DataFrame, sig: DataFrame) -> DataFrame:
         """Links of classes to the heaviest leader of their buckets that is of another component."""
         best = members.where("root <> lead_root").groupBy("nid").agg(F.max(F.struct("lead_weight", "lead")).alias("best"))
-        pairs = best.select(F.col("best.lead").alias("a"), F.col("nid").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = best.select(F.col("best.lead").alias("a"), F.col("nid").alias("b"))
         a = sig.select(F.col("nid").alias("a"), F.col("n").alias("na"), F.col("planes").alias("pa"))
         b = sig.select(F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("planes").alias("pb"))
-        close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        return confirmed(shared.write(pairs.join(a, "a").join(b, "b").where(close & (estimate(F.col("pa"), F.col("pb"), shape) >= least)).select("a", "b")))
+        close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent if sized else F.lit(True)
+        near = shared.write(pairs.join(b, "b").join(a, "a").where(close & (estimate(F.col("pa"), F.col("pb"), shape) >= least)).select("a", "b"))
+        return confirmed(near)
 
     def named(members: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
         """The roots of members filled in anew."""
@@ -214,67 +252,140 @@ def linked_classes(rows: DataFrame, classes: DataFrame, sets: Sets, percent: int
             members = members.drop(r).join(to, c, "left").withColumn(r, F.coalesce("top", c)).drop("top")
         return members
 
-    keys = classes.select(F.explode("bands").alias("band"), "nid")
-    full = keys.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
-    found = shared.write(keys.join(full, "band"))
-    weight = found.groupBy("nid").agg(F.sum("c").alias("weight"))
-    heavy = shared.write(found.join(weight, "nid").select("band", "nid", "weight"))
+    many = shared.write(sigs.select(F.explode("bands").alias("band")).groupBy("band").count().where("count > 1").select("band"))
+    found = bands_in(sigs, membership(many, "band")).distinct()
+    shared.drop(many)
+    found = shared.write(found)
+    counts = found.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+    full = shared.write(found.join(counts, "band"))
+    shared.drop(found)
+    weight = full.groupBy("nid").agg(F.sum("c").alias("weight"))
+    heavy = shared.write(full.join(weight, "nid").select("band", "nid", "weight"))
+    shared.drop(full)
     lead = heavy.groupBy("band").agg(F.max(F.struct("weight", "nid")).alias("l")).select("band", F.col("l.weight").alias("lead_weight"), F.col("l.nid").alias("lead"))
     members = shared.write(heavy.join(lead, "band").select("band", "nid", "lead", "lead_weight", F.col("nid").alias("root"), F.col("lead").alias("lead_root")))
-    shared.drop(found)
     shared.drop(heavy)
-    links = led(members)
+    sig = shared.write(sigs.join(members.select("nid").distinct(), "nid", "left_semi").dropDuplicates(["nid"]))
+    links = led(members, sig)
     roots = components(links, shared)
-    links = links.unionByName(led(named(members, roots, "nid", "lead")))
+    links = links.unionByName(led(named(members, roots, "nid", "lead"), sig))
     roots = components(links, shared)
     # what that leaves open: buckets with more than one component
     now = shared.write(named(members.select("band", "nid"), roots, "nid"))
-    sized = now.join(sig.select("nid", "n"), "nid")
-    sizes = sized.groupBy("band", "root").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
-    mains = sizes.groupBy("band").agg(F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.count("*").alias("many")).where("many > 1")
-    mains = mains.select("band", F.col("main.root").alias("main"), F.ceil(F.greatest(F.col("c") / PACK, F.col("n") / PACK_ITEMS)).alias("packs"))
-    rest = shared.write(now.join(mains, "band"))
-    need = rest.select("nid").distinct()
-    full = shared.write(sets_of(texts_of(need), sets).join(need, "nid", "left_semi").dropDuplicates(["nid"]).join(classes.select("nid", "bands"), "nid"))
-    rest = rest.join(full, "nid").withColumn("one", F.struct("nid", "root", "bands", "items"))
-    pack = F.pmod(F.xxhash64("nid"), F.col("packs")).alias("pack")
-    members_of = rest.groupBy("band", pack).agg(F.collect_list("one").alias("members")).drop("pack")
-    outside_of = rest.where("root <> main").groupBy("band", pack).agg(F.collect_list("one").alias("outside")).drop("pack")
-    more = outside_of.join(members_of, "band").select("band", "outside", "members").mapInArrow(compare(percent), "a long, b long")
-    more = shared.write(more.distinct())
+    shared.drop(members)
+    mains = now.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band").agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("many")).where("many > 1")
+    rest = shared.write(now.join(mains.select("band", F.col("main.root").alias("main")), "band"))
+    shared.drop(now)
+    # first by the bits alone: which classes have a candidate of another component, and in which bucket
+    bits = packs(rest.join(sig.select("nid", F.lit(1).cast("long").alias("items_n"), F.col("planes").alias("items"), "bands"), "nid")).mapInArrow(by_bits(shape, least), "band long, nid long")
+    flagged = shared.write(rest.join(bits.distinct(), ["band", "nid"]))
+    shared.drop(rest)
+    if flagged.isEmpty():
+        shared.drop(sig)
+        return roots.select(F.col("node").alias("nid"), "root")
+    # then these on the full sets
+    items = shared.write(full_sets(flagged.select("nid").distinct()).join(sig.select("nid", "bands"), "nid"))
+    shared.drop(sig)
+    more = shared.write(packs(flagged.join(items.withColumn("items_n", F.size("items").cast("long")), "nid")).mapInArrow(by_sets(percent), "a long, b long").distinct())
+    shared.drop(items)
     if more.isEmpty():
         return roots.select(F.col("node").alias("nid"), "root")
     return components(links.unionByName(more), shared).select(F.col("node").alias("nid"), "root")
 
 
-def compare(percent: int):
-    """Packs of outsiders against packs of members of a bucket: links between two components."""
+def packs(rest: DataFrame) -> DataFrame:
+    """(band, outside, members): packs of a bucket's outsiders met with packs of all its members.
+
+    rest: band, nid, root, main, bands, items, items_n. A bucket is cut into packs of about PACK classes
+    or PACK_ITEMS items, and the packs of members into groups of SALT_PACKS, which the outsiders'
+    packs are repeated for, so that no task has to meet all of a large bucket."""
+    size = rest.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / PACK, F.sum("items_n") / PACK_ITEMS)).alias("packs"))
+    rest = rest.join(size, "band").withColumns({"one": F.struct("nid", "root", "bands", "items"), "pack": F.pmod(F.xxhash64("nid"), "packs")})
+    salt = F.floor(F.col("pack") / SALT_PACKS).alias("salt")
+    members = rest.groupBy("band", "pack").agg(F.collect_list("one").alias("members")).select("band", salt, "members")
+    outside = rest.where("root <> main").groupBy("band", "pack", "packs").agg(F.collect_list("one").alias("outside"))
+    outside = outside.select("band", "outside", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("packs") - 1) / SALT_PACKS))).alias("salt"))
+    return outside.join(members, ["band", "salt"]).select("band", "outside", "members")
+
+
+def with_leader(percent: int):
+    """Of rows (lead, salt, role, nid, items) in that order, the pairs (lead, nid) that pass; a group's first row is its leader."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, x = None, None
+        for b in batches:
+            lead, salt, role, nid = (b.column(i).to_numpy() for i in range(4))
+            lists = b.column(4)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            flat = lists.flatten().to_numpy()
+            pairs = []
+            for k in range(b.num_rows):
+                own = flat[ends[k] : ends[k + 1]]
+                if role[k] == 0:
+                    at, x = (lead[k], salt[k]), np.sort(own)
+                elif at == (lead[k], salt[k]) and lead[k] != nid[k]:
+                    common = int((x[np.minimum(np.searchsorted(x, own), len(x) - 1)] == own).sum())
+                    if common * 100 >= (len(x) + len(own) - common) * percent:
+                        pairs.append((lead[k], nid[k]))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def each_outsider(b: pa.RecordBatch) -> Iterator[tuple]:
+    """Of packs that met: band, then the outsider's id, items, and the ids, roots and items of the members
+    of other components that share this bucket with it and none before."""
+    for row in range(b.num_rows):
+        band = b.column(0)[row].as_py()
+        mine, theirs = (unpacked(b.column(i)[row].values) for i in (1, 2))
+        nids, roots, bands, items, ends = theirs
+        for nid, root, own, x in zip(mine[0].tolist(), mine[1], mine[2], np.split(mine[3], mine[4][1:-1]), strict=True):
+            same = bands == own
+            here = bands[np.arange(len(nids)), same.argmax(axis=1)] == band  # the first bucket that both are in
+            at = np.flatnonzero((roots != root) & here)
+            if len(at):
+                yield band, nid, x, at, nids, roots, items, ends
+
+
+def by_bits(shape: Shape, least: float):
+    """(band, nid) of outsiders and members whose planes say that they may link."""
+    chance = 1 / 2**BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: set[tuple[int, int]] = set()
+            for band, nid, x, at, nids, _, items, _ in each_outsider(b):
+                differ = (items.reshape(len(nids), BITS, shape.words)[at] ^ x.reshape(BITS, shape.words)).view(np.uint64)
+                share = 1 - np.bitwise_count(np.bitwise_or.reduce(differ, axis=1)).sum(axis=1) / shape.hashes
+                near = nids[at[(share - chance) / (1 - chance) >= least]]
+                if len(near):
+                    out.add((band, nid))
+                    out.update((band, y) for y in near.tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["band", "nid"])
+
+    return run
+
+
+def by_sets(percent: int):
+    """Links (a, b) between two components by full sets: of each outsider one to each component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             links: set[tuple[int, int]] = set()
-            for row in range(b.num_rows):
-                band = b.column(0)[row].as_py()
-                mine, theirs = (unpacked(b.column(i)[row].values) for i in (1, 2))
-                nids, roots, bands, items, ends = theirs
+            for _, nid, x, at, nids, roots, items, ends in each_outsider(b):
                 sizes = np.diff(ends)
-                for nid, root, own, x in zip(mine[0], mine[1], mine[2], np.split(mine[3], mine[4][1:-1]), strict=True):
-                    same = bands == own
-                    here = bands[np.arange(len(nids)), same.argmax(axis=1)] == band  # the first bucket that both are in
-                    near = np.minimum(sizes, len(x)) * 100 >= np.maximum(sizes, len(x)) * percent
-                    at = np.flatnonzero((roots != root) & here & near)
-                    if not len(at):
-                        continue
-                    x = np.sort(x)
-                    parts = [items[ends[k] : ends[k + 1]] for k in at.tolist()]
-                    flat = np.concatenate(parts)
-                    k = np.minimum(np.searchsorted(x, flat), len(x) - 1)
-                    common = np.add.reduceat(x[k] == flat, np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]]), dtype=np.int64)
-                    at = at[common * 100 >= (sizes[at] + len(x) - common) * percent]
-                    _, first = np.unique(roots[at], return_index=True)
-                    links.update((min(int(nid), y), max(int(nid), y)) for y in nids[at[first]].tolist())
-            pairs = list(links)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+                at = at[np.minimum(sizes[at], len(x)) * 100 >= np.maximum(sizes[at], len(x)) * percent]
+                if not len(at):
+                    continue
+                x = np.sort(x)
+                parts = [items[ends[k] : ends[k + 1]] for k in at.tolist()]
+                flat = np.concatenate(parts)
+                k = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+                common = np.add.reduceat(x[k] == flat, np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]]), dtype=np.int64)
+                at = at[common * 100 >= (sizes[at] + len(x) - common) * percent]
+                _, first = np.unique(roots[at], return_index=True)
+                links.update((min(nid, y), max(nid, y)) for y in nids[at[first]].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -287,22 +398,25 @@ def unpacked(pack: pa.StructArray) -> tuple[np.ndarray, ...]:
 
 
 def near_duplicates(docs: DataFrame, words: Callable[[str], list[bytes]], k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id (smallest doc_id that links reach).
+    """One row for each row of docs: doc_id, n_shingles, component_id (smallest doc_id that links reach), nid.
+
+    nid is a hash of the row's set, the same for equal sets alone.
 
     Cases: a text without words, or null, has no shingles and is linked with nothing, so it is its
-    own component; rows with equal sets are always linked; a null doc_id never becomes a
-    component_id while the component has another; rows that repeat a doc_id each get a row; an empty
-    table gives an empty result; other columns are ignored."""
+    own component and its nid is null; a text of fewer than k words is one shingle; very long texts are
+    taken whole; rows with equal sets are always linked; among leaders of equal weight the larger nid
+    leads, which changes no component; a null doc_id never becomes a component_id while the component
+    has another; rows that repeat a doc_id each get a row; an empty table gives an empty result; other
+    columns, whatever their names, are ignored."""
     shared = Shared(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.col(text).alias("text"))
     sets = document_set(words, k)
     units = shared.write(units_of(rows, sets))
-    classes = shared.write(
-        units.where("nid is not null").groupBy("nid").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
-    )
-    roots = linked_classes(rows, classes, sets, percent, shared)
+    classes = shared.write(units.where("nid is not null").groupBy("nid").agg(F.min("key").alias("key"), F.min("doc_id").alias("least")))
+    roots = linked_classes(rows, units.where("bands is not null").select("nid", "n", "bands", "planes"), classes.select("nid", "key"), sets, percent, shared)
     named = shared.write(classes.select("nid", "least").join(roots, "nid", "left").select("nid", "least", F.coalesce("root", "nid").alias("root")))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = named.join(smallest, "root").select("nid", "component_id")
-    out = units.select("doc_id", F.col("n").alias("n_shingles"), "nid").join(by_class, "nid", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("nid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    by_class = hot_join(named, smallest, "root").select("nid", "component_id")
+    ids = units.select("doc_id", F.col("n").alias("n_shingles"), "nid")
+    out = hot_join(ids.where("nid is not null"), by_class, "nid").select("doc_id", "n_shingles", "component_id", "nid")
+    return out.unionByName(ids.where("nid is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "nid"))

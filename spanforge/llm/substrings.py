@@ -1,169 +1,276 @@
 """Substring deduplication by paragraph MinHash banding.
 
-Paragraphs are of two kinds. Lines of at least MIN_WORDS words are sets of five-word shingles;
-three minima make a band, twelve bands in all, so two lines of similarity 0.8 share none with
-probability (1 - 0.8**3)**12, 2e-4, and lines of 0.9 hardly ever. Lines that collide are joined,
-their Jaccard similarity is verified on the full sets, and components of those that pass are one
-repeated paragraph. Passages that were pasted into the middle of other text are caught as
-stretches of MIN_WORDS words in two steps. Of every REACH word pairs in a row the one of least hash
-is an anchor. What marks it lies within those pairs, so two copies of a passage mark the same
-anchors, and one of MIN_WORDS + REACH - 1 = 39 words or more has one that MIN_WORDS of its words
-follow. Where the words behind an anchor stand in two documents, all stretches that begin less than
-REACH words from it are indexed in those documents. No stretch of a passage of 39 words is farther
-from such an anchor, so equal stretches, each one repeated paragraph, cover the passage to its
-edges. Shorter passages are found where an anchor falls on them.
-
-A paragraph is repeated if two documents hold it; its first holder is the document of the smallest
-id. The first holder of a word is the smallest of the first holders of the repeated paragraphs that
+Texts of the same words form a class and are cut once. Paragraphs are of two kinds.
+
+Lines of at least MIN_WORDS words are sets of five-word shingles. Two minima make a band, eight
+bands in all, so two lines of similarity 0.8 share none with probability (1 - 0.8**2)**8, 3e-4.
+Lines that collide are joined, their Jaccard similarity is verified on the full sets, and
+components of those that pass are one repeated paragraph.
+
+Passages that were pasted into the middle of other text are no lines of their own. Each run of
+MIN_WORDS words is a paragraph too, and is repeated if another class has the same words, that is if
+their Jaccard similarity is 1. To find these runs without indexing them all, the banding is that of
+a sliding minimum: of every REACH word pairs in a row the one of least hash is an anchor, and the
+ANCHOR words from there on are its key. What marks an anchor lies within MIN_WORDS words, so a
+passage of MIN_WORDS words or more has in all its copies the same anchors, one in each of its runs.
+The runs that hold a key of two classes are then verified by all of their words. So passages of
+MIN_WORDS words and more are found to the word; shorter ones are not reported.
+
+The first holder of a word is the smallest id among the documents of the repeated paragraphs that
 the word is in. In each document the words that touch and have the same first holder are one span,
 which is kept where the document is that holder, else it is for removal. So what is removed from a
 document stands in one of a smaller id, and the smallest keeps it.
 
 Cases: null and empty texts, and texts of fewer than MIN_WORDS words, have no spans; paragraphs
-repeated within one document alone are not reported; very long texts are cut whole; rows that
-repeat an id count as one document; with a null id the hash of the text stands for it; an empty
-table gives an empty result; other columns are ignored.
+repeated within one text alone are not reported; very long texts are cut whole; where minima
+tie all of them are anchors, so texts of repeating words have anchors like others; rows that agree
+in id and words count as one document; rows of one id with different texts are documents that hold
+each other's copies, and both are kept; documents without an id come after all others, each for
+itself, and as holders have a null cluster_id; an empty table gives an empty result; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Shared, WordHashes, ngram_hashes, space_words
-from spanforge.llm.minhash import Shape, linked_classes, minima, set_id, shingle_set, signatures
+from spanforge.llm.common import Shared, WordHashes, hot_join, membership, mix, numbered
+from spanforge.llm.minhash import _A, _B, REMEMBERED, Shape, linked_classes, signatures
 
-MIN_WORDS = 24
+MIN_WORDS = 50
 SHINGLE = 5
-REACH = 16
-LINES = Shape(3, 12)
+REACH = 24
+#: Words of an anchor's key: with the REACH - 1 places that it may stand behind, fewer than MIN_WORDS.
+ANCHOR = 26
+LINES = Shape(2, 8)
+#: Keys of documents without an id start here.
+UNNAMED = 1 << 62
+#: Shingles whose minima are taken at a time.
+AT_ONCE = 1 << 16
+
+_PAIR, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def sequence_id(h: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
+
+
+def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every n consecutive words, made of those of runs of powers of two."""
+    out, covered, step, power = None, 0, 1, h
+    while True:
+        if n & step:
+            size = len(h) - covered - step + 1
+            if size <= 0:
+                return np.zeros(0, np.uint64)
+            part = power[covered : covered + size]
+            out = part if out is None else mix(out[:size] * _PAIR + part * _TURN + np.uint64(n))
+            covered += step
+        step *= 2
+        if step > n:
+            return out
+        if len(power) <= step // 2:
+            return np.zeros(0, np.uint64)
+        power = mix(power[: -(step // 2)] * _PAIR + power[step // 2 :] + np.uint64(step))
+
+
+def sliding(x: np.ndarray, n: int, f: np.ufunc) -> np.ndarray:
+    """f (minimum or maximum) over every n consecutive values."""
+    step = 1
+    while step * 2 <= n:
+        x = f(x[:-step], x[step:])
+        step *= 2
+    return f(x[: len(x) - (n - step)], x[n - step :]) if n > step else x
+
+
+def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of a text's anchors."""
+    if len(h) < REACH + ANCHOR - 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    pair = run_hashes(h, 2)
+    least = np.pad(sliding(pair, REACH, np.minimum), REACH - 1)
+    at = np.flatnonzero(sliding(least, REACH, np.maximum) == pair)
+    at = at[at <= len(h) - ANCHOR]
+    return at, run_hashes(h, ANCHOR)[at]
 
 
-def line_sets(text: str | None, hashes: WordHashes) -> list[np.ndarray]:
-    return [s for _, _, s in lines(text, hashes)]
+def runs_near(h: np.ndarray, repeated) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the runs of MIN_WORDS words that hold an anchor whose key is in the filter."""
+    at, keys = anchors(h)
+    n = max(0, len(h) - MIN_WORDS + 1)
+    at = at[repeated.test(keys)] if len(at) else at
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.clip(at - (MIN_WORDS - ANCHOR), 0, n), 1)
+    np.add.at(edge, np.minimum(at + 1, n), -1)
+    near = np.flatnonzero(np.cumsum(edge)[:n] > 0)
+    return near, run_hashes(h, MIN_WORDS)[near] if len(near) else np.zeros(0, np.uint64)
 
 
-def lines(text: str | None, hashes: WordHashes) -> list[tuple[int, int, np.ndarray]]:
-    """(first word, words, shingle set) of every line of enough words."""
-    out, at = [], 0
-    for line in (text or "").split("\n"):
-        words = space_words(line)
-        if len(words) >= MIN_WORDS:
-            out.append((at, len(words), shingle_set(hashes.of(words), SHINGLE)))
-        at += len(words)
-    return out
+def cut(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a text, and how many words each line has."""
+    own = [line.split() for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n")]
+    return hashes.of(list(chain.from_iterable(own))), np.fromiter(map(len, own), np.int64, len(own))
 
 
-def stretches(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchored stretches of a text's word hashes."""
-    n = len(h) - MIN_WORDS + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    pair = ngram_hashes(h, 2)
-    views = np.lib.stride_tricks.sliding_window_view(pair, REACH)
-    at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
-    at = at[at < n]
-    return at, ngram_hashes(h, MIN_WORDS)[at]
+def long_lines(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and lengths of the lines of enough words."""
+    on = np.flatnonzero(counts >= MIN_WORDS)
+    return (np.cumsum(counts) - counts)[on], counts[on]
 
 
-def around(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of all stretches less than REACH words from the anchored ones of these hashes."""
-    at, anchored = stretches(h)
-    n = max(0, len(h) - MIN_WORDS + 1)
-    edge = np.zeros(n + 1, np.int64)
-    at = at[np.isin(anchored, ids)]
-    np.add.at(edge, np.maximum(at - REACH + 1, 0), 1)
-    np.add.at(edge, np.minimum(at + REACH, n), -1)
-    near = np.flatnonzero(np.cumsum(edge)[:n] > 0)
-    return near, ngram_hashes(h, MIN_WORDS)[near]
+def line_sets(text: str | None, hashes: WordHashes) -> list[tuple[int, np.ndarray]]:
+    h, counts = cut(text or "", hashes)
+    return [(sequence_id(h[a : a + n]), np.unique(run_hashes(h[a : a + n], SHINGLE))) for a, n in zip(*(x.tolist() for x in long_lines(counts)), strict=True)]
+
+
+def line_minima(shingles: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A row of minima for each line: high halves of the smallest of a*x + b over its shingles."""
+    k = LINES.hashes
+    out = np.empty((len(at), k), np.uint64)
+    ends = np.stack([at, at + size - SHINGLE + 1], axis=1).ravel()
+    padded = np.append(shingles, np.uint64(0))
+    step = k if len(padded) <= AT_ONCE else 1
+    for i in range(0, k, step):
+        m = padded[None, :] * _A[i : i + step, None] + _B[i : i + step, None]
+        out[:, i : i + step] = np.minimum.reduceat(m, ends, axis=1)[:, ::2].T
+    return out >> np.uint64(32)
 
 
 PARTS = pa.schema([
-    ("key", pa.int64()), ("line_nid", pa.list_(pa.int64())), ("line_at", pa.list_(pa.int32())), ("line_len", pa.list_(pa.int32())), ("line_n", pa.list_(pa.int32())),
-    ("bands", pa.list_(pa.list_(pa.int64()))), ("planes", pa.list_(pa.list_(pa.int64()))), ("hash", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())),
+    ("key", pa.int64()), ("class", pa.int64()), ("n_words", pa.int64()), ("line_id", pa.list_(pa.int64())), ("line_at", pa.list_(pa.int32())), ("line_len", pa.list_(pa.int32())),
+    ("new_id", pa.list_(pa.int64())), ("new_n", pa.list_(pa.int64())), ("bands", pa.list_(pa.list_(pa.int64()))), ("planes", pa.list_(pa.list_(pa.int64()))), ("anchors", pa.list_(pa.int64())),
 ])
-PARTS_DDL = "key long, line_nid array<long>, line_at array<int>, line_len array<int>, line_n array<int>, bands array<array<long>>, planes array<array<long>>, hash array<long>, at array<int>"
+PARTS_DDL = "key long, class long, n_words long, line_id array<long>, line_at array<int>, line_len array<int>, new_id array<long>, new_n array<long>, bands array<array<long>>, planes array<array<long>>, anchors array<long>"
 
 
 def parts(rows: DataFrame) -> DataFrame:
-    """The paragraphs of every row (key, text), as arrays."""
+    """Class and paragraphs of every row (key, text) of enough words.
+
+    A task gives the paragraphs of a class once, and the signature of a line once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, classes, given = WordHashes(), set(), set()
         for b in batches:
+            if len(classes) > REMEMBERED:
+                classes.clear()
+            if len(given) > REMEMBERED:
+                given.clear()
             out: dict[str, list] = {f.name: [] for f in PARTS}
             low: list[np.ndarray] = []
             for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = lines(t, hashes)
-                at, h = stretches(hashes.of(space_words(t or "")))
-                low += [minima(s, LINES.hashes) for _, _, s in own]
-                for name, x in (("key", key), ("line_nid", [set_id(s) for _, _, s in own]), ("line_at", [a for a, _, _ in own]), ("line_len", [n for _, n, _ in own]), ("line_n", [len(s) for _, _, s in own]), ("hash", h.view(np.int64)), ("at", at)):
-                    out[name].append(x)
-            if low:
-                bands, planes = (x.tolist() for x in signatures(np.stack(low), LINES))
+                h, counts = cut(t, hashes)
+                if len(h) < MIN_WORDS:
+                    continue
+                name = sequence_id(h)
+                out["key"].append(key)
+                out["class"].append(name)
+                out["n_words"].append(len(h))
+                if name in classes:
+                    for f in ("line_id", "line_at", "line_len", "new_id", "new_n", "anchors"):
+                        out[f].append([])
+                    continue
+                classes.add(name)
+                at, size = long_lines(counts)
+                ids = [sequence_id(h[a : a + n]) for a, n in zip(at.tolist(), size.tolist(), strict=True)]
+                new = []
+                for k, i in enumerate(ids):
+                    if i not in given:
+                        given.add(i)
+                        new.append(k)
+                if new:
+                    low.append(line_minima(run_hashes(h, SHINGLE), at[new], size[new]))
+                for f, x in (("line_id", ids), ("line_at", at), ("line_len", size), ("new_id", [ids[k] for k in new]), ("new_n", size[new] - SHINGLE + 1 if new else []), ("anchors", np.unique(anchors(h)[1]).view(np.int64))):
+                    out[f].append(x)
+            bands, planes = (x.tolist() for x in signatures(np.concatenate(low), LINES)) if low else ([], [])
             k = 0
-            for own in out["line_nid"]:
-                out["bands"].append(bands[k : k + len(own)] if own else [])
-                out["planes"].append(planes[k : k + len(own)] if own else [])
+            for own in out["new_id"]:
+                out["bands"].append(bands[k : k + len(own)])
+                out["planes"].append(planes[k : k + len(own)])
                 k += len(own)
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in PARTS], schema=PARTS)
 
     return rows.select("key", "text").mapInArrow(run, PARTS_DDL)
 
 
-def windows(marked: DataFrame) -> DataFrame:
-    """The stretches (hash, at) around the repeated anchors (ids) of every row (key, text, ids), as arrays."""
+def holding(cuts: DataFrame, repeated) -> DataFrame:
+    """key of the rows with an anchor that passes the broadcast filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
-            own = [around(hashes.of(space_words(t)), np.array(ids, np.int64).view(np.uint64)) for t, ids in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h.view(np.int64) for _, h in own], pa.list_(pa.int64())), pa.array([at for at, _ in own], pa.list_(pa.int32()))], names=["key", "hash", "at"])
+            lists = b.column(1)
+            on = repeated.value.test(lists.flatten().to_numpy())
+            owner = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.unique(owner[on])))], names=["key"])
 
-    return marked.select("key", "text", "ids").mapInArrow(run, "key long, hash array<long>, at array<int>")
+    return cuts.select("key", "anchors").mapInArrow(run, "key long")
 
 
-def in_two(one: DataFrame) -> DataFrame:
-    """(id, first_key) of the ids that rows of two keys have."""
-    return one.groupBy("id").agg(F.min("key").alias("first_key"), F.max("key").alias("last_key")).where("first_key <> last_key").select("id", "first_key")
+def runs(rows: DataFrame, keys, repeated) -> DataFrame:
+    """(key, class, hash, at), as arrays, of the runs that hold an anchor in the filter, in rows whose keys pass theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            on = pa.array(keys.value.test(b.column(0).to_numpy()))
+            own, names, got = b.column(1).filter(on), [], []
+            for t in b.column(2).filter(on).to_pylist():
+                h, _ = cut(t, hashes)
+                names.append(sequence_id(h))
+                got.append(runs_near(h, repeated.value))
+            yield pa.RecordBatch.from_arrays([own, pa.array(names, pa.int64()), pa.array([x.view(np.int64) for _, x in got], pa.list_(pa.int64())), pa.array([a for a, _ in got], pa.list_(pa.int32()))], names=["key", "class", "hash", "at"])
 
+    return rows.select(F.xxhash64("key").alias("h"), "key", "text").mapInArrow(run, "key long, class long, hash array<long>, at array<int>")
 
-def stretch_rows(cut: DataFrame) -> DataFrame:
-    return cut.select("key", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("key", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
+
+def in_two(one: DataFrame) -> DataFrame:
+    """(id, first_key) of the ids that two classes have."""
+    return one.groupBy("id").agg(F.min("key").alias("first_key"), F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("id", "first_key")
 
 
 def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each repeated span: doc_id, first_word, last_word, n_words, cluster_id (the
     doc_id of its words' first holder) and kept."""
     shared = Shared(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.col(text).alias("text")).where("text is not null")
-    cut = shared.write(parts(rows))
-    line = cut.select("key", F.explode(F.arrays_zip("line_nid", "line_at", "line_len", "line_n", "bands", "planes")).alias("x")).select("key", "x.*").withColumnRenamed("line_nid", "nid")
-    classes = shared.write(line.groupBy("nid").agg(F.min("key").alias("key"), F.first("line_n").cast("long").alias("n"), F.first("bands").alias("bands"), F.first("planes").alias("planes")))
-    roots = shared.write(linked_classes(rows, classes, line_sets, percent, shared, LINES))
-    held = line.select("key", "nid", F.col("line_at").alias("at"), F.col("line_len").alias("len")).join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-    held = shared.write(held.select("key", F.col("root").alias("id"), "at", "len"))
-    anchored = stretch_rows(cut)
-    marks = anchored.join(in_two(anchored).select("id"), "id").groupBy("key").agg(F.collect_set("id").alias("ids"))
-    stretch = stretch_rows(shared.write(windows(rows.join(marks, "key"))))
-    found = None
-    for one in (held, stretch):
-        hits = one.join(in_two(one), "id").select("key", "at", "len", "first_key")
-        found = hits if found is None else found.unionByName(hits)
-    spans = found.groupBy("key").agg(F.collect_list(F.struct("at", "len", "first_key")).alias("parts")).mapInArrow(merged, "key long, first_word long, last_word long, n_words long, cluster_id long, kept boolean")
-    ids = docs.where(F.col(doc_id).isNull()).select(F.xxhash64(text).alias("key")).distinct().withColumn("unnamed", F.lit(True))
-    return spans.join(ids, "key", "left").select(F.when(F.col("unnamed").isNull(), F.col("key")).alias("doc_id"), "first_word", "last_word", "n_words", "cluster_id", "kept")
+    row, named = numbered(docs, shared)
+    rows = row.select(F.coalesce(F.col(doc_id).cast("long"), F.shiftrightunsigned(F.xxhash64(named), 2).bitwiseOR(UNNAMED)).alias("key"), F.col(text).alias("text")).where("text is not null")
+    cuts = shared.write(parts(rows))
+    classes = shared.write(cuts.groupBy("class").agg(F.min("key").alias("key"), F.max("key").alias("last_key"), F.first("n_words").alias("n")))
+    # lines
+    line = cuts.where("size(line_id) > 0").select("class", F.explode(F.arrays_zip("line_id", "line_at", "line_len")).alias("x")).select("class", F.col("x.line_id").alias("nid"), F.col("x.line_at").alias("at"), F.col("x.line_len").alias("len"))
+    line = shared.write(line.join(classes.select("class", "key"), "class"))
+    sigs = shared.write(cuts.select(F.explode(F.arrays_zip("new_id", "new_n", "bands", "planes")).alias("x")).select(F.col("x.new_id").alias("nid"), F.col("x.new_n").alias("n"), "x.bands", "x.planes"))
+    roots = linked_classes(rows, sigs, line.groupBy("nid").agg(F.min("key").alias("key")), line_sets, percent, shared, LINES, sized=False)
+    shared.drop(sigs)
+    held = hot_join(line, roots, "nid", "left").select("class", "key", F.coalesce("root", "nid").alias("id"), "at", "len")
+    held = shared.write(held)
+    # runs of words around anchors of two classes
+    anchored = cuts.select("class", F.explode("anchors").alias("id"))
+    met = shared.write(anchored.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("id"))
+    found = membership(met, "id")
+    near = shared.write(holding(cuts, found).join(classes.select("key").distinct(), "key", "left_semi").select(F.xxhash64("key").alias("h")).distinct())
+    run = shared.write(runs(rows, membership(near, "h"), found).where("size(at) > 0"))
+    run = run.select("class", "key", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("class", "key", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
+    hits = hot_join(held, in_two(held), "id").unionByName(hot_join(run, in_two(run), "id")).select("class", "at", "len", "first_key")
+    whole = classes.where("key <> last_key").select("class", F.lit(0).alias("at"), F.col("n").cast("int").alias("len"), F.col("key").alias("first_key"))
+    spans = hits.unionByName(whole).groupBy("class").agg(F.collect_list(F.struct("at", "len", "first_key")).alias("parts")).mapInArrow(merged, "class long, first_word long, last_word long, n_words long, first_key long")
+    spans = shared.write(spans.groupBy("class").agg(F.collect_list(F.struct("first_word", "last_word", "n_words", "first_key")).alias("spans")))
+    out = hot_join(shared.write(cuts.select("key", "class").distinct()), spans, "class").select("key", F.inline("spans"))
+    told = lambda k: F.when(F.col(k) < UNNAMED, F.col(k))
+    return out.select(told("key").alias("doc_id"), "first_word", "last_word", "n_words", told("first_key").alias("cluster_id"), (F.col("key") == F.col("first_key")).alias("kept"))
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of touching words of each document that have the same first holder."""
+    """Spans of touching words of each class that have the same first holder."""
     for b in batches:
         out: list[tuple] = []
-        for key, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for name, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             low, high = min(p["at"] for p in own), max(p["at"] + p["len"] for p in own)
             first = np.zeros(high - low, np.int64)
             there = np.zeros(high - low, bool)
@@ -171,8 +278,5 @@ def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = slice(p["at"] - low, p["at"] + p["len"] - low)
                 first[at], there[at] = p["first_key"], True
             cuts = np.flatnonzero((first[1:] != first[:-1]) | (there[1:] != there[:-1])) + 1
-            for a, e in zip([0, *cuts.tolist()], [*cuts.tolist(), high - low], strict=True):
-                if there[a]:
-                    f = int(first[a])
-                    out.append((key, low + a, low + e - 1, e - a, f, f == key))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.bool_() if i == 5 else pa.int64()) for i in range(6)], names=["key", "first_word", "last_word", "n_words", "cluster_id", "kept"])
+            out += [(name, low + a, low + e - 1, e - a, int(first[a])) for a, e in zip([0, *cuts.tolist()], [*cuts.tolist(), high - low], strict=True) if there[a]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], names=["class", "first_word", "last_word", "n_words", "first_key"])

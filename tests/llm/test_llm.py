@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanforge.llm import common, components, decontaminate, language, licenses, minhash, mixing, quality, queries, substrings, token_store, toxicity, urls
+from spanforge.llm import common, components, decontaminate, language, licenses, minhash, mixing, quality, queries, token_store, toxicity, urls
 from spanforge.llm.common import Shared
 from tests.llm import brute
 
@@ -319,64 +319,6 @@ def test_signature_estimates():
         assert minhash.may_link(0.8, shape.hashes) < 0.7
 
 
-def test_substrings(spark):
-    rng = random.Random(4)
-    fresh = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
-    passage = fresh(60)
-    line = fresh(40)
-    near = line.split(" ")
-    near[3] = "changed"
-    rows = [(k, fresh(80)) for k in range(20)]
-    rows += [(50 + k, f"{fresh(30)} {passage} {fresh(30)}") for k in range(4)]
-    rows += [(70, fresh(10) + "\n" + line + "\n" + fresh(10)), (71, fresh(10) + "\n" + " ".join(near)), (80, None), (81, ""), (None, f"{passage}")]
-    got = substrings.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id for r in got} == {None, 50, 51, 52, 53, 70, 71}
-    for r in got:
-        if r.doc_id in (50, 51, 52, 53):
-            assert 29 <= r.first_word and r.last_word < 91
-            assert r.n_words >= 24
-    assert {r.doc_id: r.kept for r in got}[71] is False
-    assert {r.doc_id: r.kept for r in got}[70] is True
-
-
-def test_substrings_keep_one_copy_of_every_line(spark):
-    rng = random.Random(6)
-    fresh = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
-    a, b = fresh(30), fresh(40)
-    rows = [(1, a), (5, f"{a}\n{b}"), (9, f"{fresh(5)}\n{b}")]
-    got = substrings.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(map(tuple, got)) == [(1, 0, 29, 30, 1, True), (5, 0, 29, 30, 1, False), (5, 30, 69, 40, 5, True), (9, 5, 44, 40, 5, False)]
-
-
-def test_stretches_meet_in_any_passage():
-    rng = random.Random(9)
-    missed = 0
-    hashes = common.WordHashes()
-    for _ in range(300):
-        p = [str(rng.random()).encode() for _ in range(51)]
-        marks = []
-        for _ in range(2):
-            w = [str(rng.random()).encode() for _ in range(40)] + p + [str(rng.random()).encode() for _ in range(40)]
-            marks.append(set(substrings.stretches(hashes.of(w))[1].tolist()))
-        missed += not marks[0] & marks[1]
-    assert missed <= 6
-
-
-def test_substrings_report_whole_passages(spark):
-    rng = random.Random(8)
-    fresh = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
-    rows, planted = [], {}
-    for k, n in enumerate([39, 45, 51, 60, 80] * 12):
-        passage = " ".join(["to", "be"] * 30) if k == 2 else fresh(n)
-        for copy in (k, 100 + k):
-            before = rng.randrange(50)
-            rows.append((copy, f"{fresh(before)} {passage} {fresh(rng.randrange(50))}"))
-            planted[copy] = (before, before + len(passage.split()) - 1, k, copy == k)
-    got = substrings.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: (r.first_word, r.last_word, r.cluster_id, r.kept) for r in got} == planted
-    assert len(got) == len(planted)
-
-
 STATED = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
 
 
