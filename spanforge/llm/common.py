@@ -106,18 +106,18 @@ def hot_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -> D
     return dealt.drop("salts").join(many.drop("salts"), [on, "salt"], how).drop("salt")
 
 
-#: A column that tells the rows of a table apart, whatever they hold.
+#: Columns that tell the rows of a table apart, whatever they hold, begin so.
 ROW = "spanforge_row"
 
 
-def numbered(docs: DataFrame, shared: Shared) -> tuple[DataFrame, str]:
-    """docs with that column, and its name: the file and the place in it; a table that is not read from Parquet is written first."""
+def numbered(docs: DataFrame, shared: Shared) -> tuple[DataFrame, list[str]]:
+    """docs with two such columns, and their names: the file and the place in it; a table that is not read from Parquet is written first."""
     name = ROW
-    while name in docs.columns:
+    while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
     try:
         at = docs.metadataColumn("_metadata")
-        return docs.withColumn(name, F.struct(at["file_path"].alias("file"), at["row_index"].alias("place"))), name
+        return docs.withColumns({f"{name}_file": at["file_path"], f"{name}_place": at["row_index"]}), [f"{name}_file", f"{name}_place"]
     except AnalysisException:
         return numbered(shared.write(docs), shared)
 
@@ -176,6 +176,96 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Powers:
+    """Powers of an odd number modulo 2**64 and their inverses, as many as were asked for so far."""
+
+    def __init__(self, base: int):
+        self.base, self.back = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            steps = np.ones((2, max(n, 1 << 12)), np.uint64)
+            steps[0, 1:], steps[1, 1:] = self.base, self.back
+            self.up, self.down = np.multiply.accumulate(steps, axis=1)
+        return self.up[:n], self.down[:n]
+
+
+#: Odd numbers that are 3 modulo 8, so that no short sequence of differences vanishes.
+_OF_BYTES, _OF_WORDS = Powers(0x9E3779B97F4A7C1B), Powers(0xD6E8FEB86659FD93)
+#: Bytes of a text that are hashed at a time.
+TEXT_AT_ONCE = 1 << 20
+
+
+def _byte_values(separates: Callable[[int], bool]) -> np.ndarray:
+    values = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    values[65:91] = values[97:123]
+    values[[b for b in range(256) if separates(b)]] = 0
+    return values
+
+
+_SPACE_VALUES = _byte_values(lambda b: b == 0x20 or 0x09 <= b <= 0x0D)
+_ALNUM_VALUES = _byte_values(lambda b: b < 0x80 and not chr(b).isalnum())
+
+
+def _hashes(text: str, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a text, where its words begin, and their hashes, A-Z as a-z."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    starts, hashes, at = [], [], 0
+    while at < len(data):
+        end = min(len(data), at + TEXT_AT_ONCE)
+        v = values[data[at:end]]
+        while end < len(data) and v[-1]:  # on to the end of the word
+            more = values[data[end : end + TEXT_AT_ONCE]]
+            gap = np.flatnonzero(more == 0)
+            v = np.concatenate([v, more[: gap[0] + 1] if len(gap) else more])
+            end = at + len(v)
+        solid = np.zeros(len(v) + 2, bool)
+        solid[1:-1] = v != 0
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        a, e = edges[::2], edges[1::2]
+        up, down = _OF_BYTES.first(len(v))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(v * up)])
+        starts.append(a + at)
+        hashes.append(mix((total[e] - total[a]) * down[a] + (e - a).astype(np.uint64)) if len(a) else np.zeros(0, np.uint64))
+        at = end
+    if len(starts) == 1:
+        return data, starts[0], hashes[0]
+    return data, np.concatenate([np.zeros(0, np.int64), *starts]), np.concatenate([np.zeros(0, np.uint64), *hashes])
+
+
+def space_hashes(text: str) -> np.ndarray:
+    """Hashes of the words of space_words."""
+    return _hashes(text, _SPACE_VALUES)[2]
+
+
+def alnum_hashes(text: str) -> np.ndarray:
+    """Hashes of the words of alnum_words."""
+    return _hashes(text, _ALNUM_VALUES)[2]
+
+
+def line_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of space_words, and how many of them each line has."""
+    data, starts, h = _hashes(text, _SPACE_VALUES)
+    ends = np.searchsorted(starts, np.append(np.flatnonzero(data == 10), len(data)))
+    return h, np.diff(ends, prepend=0)
+
+
+class Runs:
+    """Hashes of runs of consecutive words."""
+
+    def __init__(self, h: np.ndarray):
+        up, self.down = _OF_WORDS.first(len(h))
+        self.total = np.concatenate([[np.uint64(0)], np.cumsum(h * up)])
+
+    def of(self, n: int) -> np.ndarray:
+        """A hash of every n words; none where there are fewer."""
+        size = len(self.total) - n
+        if size <= 0:
+            return np.zeros(0, np.uint64)
+        return mix((self.total[n:] - self.total[:size]) * self.down[:size] + np.uint64(n))
+
+
 def columns(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
     """The named columns of each batch as Python lists."""
     for b in batches:

@@ -12,10 +12,11 @@ The index of windows is sent to every task, so its size is bounded: window-item
 counted first, and beyond INDEX_PAIRS they are dealt out by hash to blocks that each fit. Each
 block scans the documents; what it finds of a document is added up.
 
-Cases: null texts have no words; an item of fewer words than a window is one window, an item
+Cases: null texts have no words; very long texts are scanned whole; shingles of equal rarity go by their
+hash, which changes no result; an item of fewer words than a window is one window, an item
 without words none; items with a null id are left out, items that repeat an id count once; rows
 of documents that repeat each get their row; an empty benchmark leaves all documents clean; other
-columns are ignored, and an id column may have any type that casts to a string.
+columns, whatever their names, are ignored, and an id column may have any type that casts to a string.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Shared, WordHashes, alnum_words, ngram_hashes
+from spanforge.llm.common import Runs, Shared, alnum_hashes, alnum_words, numbered
 
 SHINGLE = 5
 INDEX_PAIRS = 200_000
@@ -81,13 +82,12 @@ class Index:
 
     def __init__(self, windows: list[bytes], items: list[list[str]], frequency: dict[int, int], threshold: float, q: int):
         self.windows, self.items, self.threshold = [w.split() for w in windows], items, threshold
-        hashes = WordHashes()
         self.shingles: list[np.ndarray] = []
         self.least: list[int] = []
         by: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for n, w in enumerate(self.windows):
             s = shingle_size(len(w), q)
-            h = ngram_hashes(hashes.of(w), s)
+            h = Runs(alnum_hashes(windows[n].decode("utf-8", "surrogatepass"))).of(s)
             distinct = np.unique(h)
             o = max(1, math.ceil(threshold * len(distinct) - 1e-9))
             self.shingles.append(distinct)
@@ -100,13 +100,13 @@ class Index:
         self.sizes = sorted({s for s, _ in by})
         self.places = {s: member(np.array([x for t, x in by if t == s], np.uint64))[0] for s in self.sizes}
 
-    def find(self, words: list[bytes], h: np.ndarray) -> set[tuple[int, int]]:
-        """(window, first word) of every place of the document where a window is contained."""
-        found, tried = set(), set()
+    def find(self, text: str, h: np.ndarray) -> set[tuple[int, int]]:
+        """(window, first word) of every place of the document where a window is contained. h: its words' hashes."""
+        found, tried, words, runs = set(), set(), None, Runs(h)
         for s in self.sizes:
-            if s > len(words):
+            if s > len(h) or not len(self.places[s](g := runs.of(s))):
                 continue
-            g = ngram_hashes(h, s)
+            words = alnum_words(text) if words is None else words
             for i in self.places[s](g).tolist():
                 for n, p in self.by[s, int(g[i])]:
                     m = len(self.windows[n])
@@ -134,12 +134,12 @@ def frequencies(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[int, i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = {s: member(v) for s, v in sent.value.items()}
         counts = {s: np.zeros(len(values), np.int64) for s, (_, values) in tests.items()}
-        hashes = WordHashes()
         for b in batches:
             for t in b.column(0).to_pylist():
-                h = hashes.of(alnum_words(t or ""))
+                h = alnum_hashes(t or "")
+                runs = Runs(h)
                 for s, (places, values) in tests.items():
-                    if len(h) >= s and len(at := places(g := ngram_hashes(h, s))):
+                    if len(h) >= s and len(at := places(g := runs.of(s))):
                         counts[s][np.searchsorted(values, np.unique(g[at]))] += 1
         for s, (_, values) in tests.items():
             on = np.flatnonzero(counts[s])
@@ -149,89 +149,99 @@ def frequencies(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[int, i
     return {r.shingle & (1 << 64) - 1: r.n for r in rows}
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, threshold: float = 1.0, q: int = SHINGLE, index_pairs: int = INDEX_PAIRS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, key (a hash of the text), n_words, n_hit, n_items,
-    items_sha256, contaminated.
+FOUND = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+FOUND_DDL = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, threshold: float = 1.0, q: int = SHINGLE, index_pairs: int = INDEX_PAIRS, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and
+    the columns of carry as c0, c1 and so on.
 
     n_hit counts the document's words inside any occurrence of a window; items_sha256 is that of
     the ids of items with an occurrence, as strings, sorted, comma-joined."""
     spark = docs.sparkSession
     shared = Shared(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     windows = shared.write(item_windows(benchmark, window))
-    pairs = windows.count()
-    blocks = max(1, math.ceil(pairs / index_pairs))
+    blocks = max(1, math.ceil(windows.count() / index_pairs))
+    places: list[str] = []
+    if blocks > 1:
+        docs, places = numbered(docs, shared)
+    carried = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *carried, *(F.col(c).alias(f"place{i}") for i, c in enumerate(places)))
     found = []
     for k in range(blocks):
         block = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k).groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
         block = block.orderBy("words").collect()  # index_pairs bounds it
         listed = [bytes(r.words) for r in block]
-        hashes = WordHashes()
         shingles: dict[int, list[np.ndarray]] = {}
         for w in listed:
-            w = w.split()
-            s = shingle_size(len(w), q)
-            shingles.setdefault(s, []).append(ngram_hashes(hashes.of(w), s))
+            h = alnum_hashes(w.decode("utf-8", "surrogatepass"))
+            s = shingle_size(len(h), q)
+            shingles.setdefault(s, []).append(Runs(h).of(s))
         known = frequencies(rows, {s: np.unique(np.concatenate(v)) for s, v in shingles.items()}) if shingles else {}
         sent = spark.sparkContext.broadcast((listed, [list(r["items"]) for r in block], known))
-        found.append(scan(rows, sent, threshold, q, alone=blocks == 1))
-    if blocks == 1:
-        return found[0]
+        if blocks == 1:
+            return scan(rows, sent, threshold, q)
+        found.append(scan_block(rows.select("text", "place0", "place1"), sent, threshold, q))
     union = found[0]
     for f in found[1:]:
         union = union.unionByName(f)
-    hits = union.groupBy("doc_id", "key").agg(F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    base = rows.mapInArrow(counted, "doc_id long, key long, n_words long")
-    hits = hits.select(F.coalesce("doc_id", F.lit(0)).alias("h_id"), F.col("doc_id").isNull().alias("h_null"), F.col("key").alias("h_key"), "hit", "items")
-    out = base.join(hits, (F.coalesce("doc_id", F.lit(0)) == F.col("h_id")) & (F.col("doc_id").isNull() == F.col("h_null")) & (F.col("key") == F.col("h_key")), "left")
+    hits = union.groupBy("place0", "place1").agg(F.array_distinct(F.flatten(F.collect_list("hit"))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    kept = [c for c in rows.columns if c != "text"]
+    base = rows.select(*kept, "text").mapInArrow(counted, ", ".join([*(f"`{c}` {kind}" for c, kind in rows.select(*kept).dtypes), "n_words long"]))
     items = F.coalesce("items", F.array().cast("array<string>"))
-    n_hit = F.coalesce(F.size("hit"), F.lit(0)).cast("long")
-    n_hit = F.when(F.col("hit").isNull(), F.lit(0)).otherwise(n_hit).cast("long")
-    return out.select("doc_id", "key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    n_hit = F.when(F.col("hit").isNull(), F.lit(0)).otherwise(F.size("hit")).cast("long")
+    out = base.join(hits, ["place0", "place1"], "left").withColumns({"n_hit": n_hit, "n_items": F.size(items).cast("long"), "items_sha256": F.sha2(F.array_join(items, ",").cast("binary"), 256), "contaminated": n_hit > 0})
+    return out.select("doc_id", *FOUND, *(f"c{i}" for i in range(len(carry))))
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, text, as its number of words."""
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(alnum_words(t or "")) for t in b.column(2).to_pylist()], pa.int64())], names=["doc_id", "key", "n_words"])
+        n = pa.array([len(alnum_hashes(t or "")) for t in b.column(b.num_columns - 1).to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], n], names=[*b.schema.names[:-1], "n_words"])
+
 
+def hits_of(sent, threshold: float, q: int):
+    """A function from a text to which of its words are hit and the sorted ids of the items."""
+    windows, items, known = sent.value
+    index = Index(windows, items, known, threshold, q)
 
-ROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
+    def hits(text: str | None) -> tuple[np.ndarray, list[str]]:
+        h = alnum_hashes(text or "")
+        on, ids = np.zeros(len(h), bool), set()
+        for n, at in index.find(text or "", h):
+            on[at : at + len(index.windows[n])] = True
+            ids.update(items[n])
+        return on, sorted(ids)
 
+    return hits
 
-def scan(rows: DataFrame, sent, threshold: float, q: int, alone: bool) -> DataFrame:
-    """What one block finds: whole result rows if it is the only one, else the hit words and items
-    of documents with a hit."""
 
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        windows, items, known = sent.value
-        index, hashes = Index(windows, items, known, threshold, q), WordHashes()
+def scan(rows: DataFrame, sent, threshold: float, q: int) -> DataFrame:
+    """The result rows where one block holds all windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = hits_of(sent, threshold, q)
         for b in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                words = alnum_words(row[-1] or "")
-                h = hashes.of(words)
-                on, ids = np.zeros(len(words), bool), set()
-                for n, at in index.find(words, h):
-                    on[at : at + len(index.windows[n])] = True
-                    ids.update(items[n])
-                out.append((row, on, sorted(ids)))
-            yield out
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in hits(batches):
-            yield pa.RecordBatch.from_pylist([
-                {"doc_id": r[0], "key": r[1], "n_words": len(on), "n_hit": int(on.sum()), "n_items": len(ids), "items_sha256": hashlib.sha256(",".join(ids).encode()).hexdigest(), "contaminated": bool(on.any())}
-                for r, on, ids in out
-            ], ROW)
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("hit", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
-        for out in hits(batches):
-            yield pa.RecordBatch.from_pylist([{"doc_id": r[0], "key": r[1], "hit": np.flatnonzero(on).tolist(), "items": ids} for r, on, ids in out if ids], schema)
-
-    if alone:
-        return rows.mapInArrow(whole, "doc_id long, key long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
-    return rows.mapInArrow(some, "doc_id long, key long, hit array<int>, items array<string>").dropDuplicates(["doc_id", "key"])
+            out = [(len(on), int(on.sum()), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(on.any())) for on, ids in map(hits, b.column(1).to_pylist())]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in out], t) for i, t in enumerate(types)), *b.columns[2:]], names=["doc_id", *FOUND, *b.schema.names[2:]])
+
+    return rows.mapInArrow(run, ", ".join(["doc_id long", FOUND_DDL, *(f"`{c}` {kind}" for c, kind in rows.dtypes[2:])]))
+
+
+def scan_block(rows: DataFrame, sent, threshold: float, q: int) -> DataFrame:
+    """What one block of several finds in rows (text, place0, place1): the hit words and the items of those with a hit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = hits_of(sent, threshold, q)
+        schema = pa.schema([("place0", pa.string()), ("place1", pa.int64()), ("hit", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+        for b in batches:
+            out = [(f, p, *hits(t)) for t, f, p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            yield pa.RecordBatch.from_pylist([{"place0": f, "place1": p, "hit": np.flatnonzero(on).tolist(), "items": ids} for f, p, on, ids in out if ids], schema)
+
+    return rows.mapInArrow(run, "place0 string, place1 long, hit array<int>, items array<string>")
 
 
 #: The same for windows of 10 words as DuckDB SQL.

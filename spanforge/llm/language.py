@@ -7,19 +7,23 @@ text's length estimates the cross entropy, and the language with the least wins.
 
 The automaton is completed: where no transition goes on, a new phrase begins, which the
 transition itself notes. So parsing is one table lookup a character, and a task parses thousands
-of blocks of BLOCK characters in step. A block's first character begins a phrase. All letters of the
-samples are told apart. A language whose sample holds more than DENSE of them, as with Han, has a
-sorted list of its transitions in place of the table, which is slower but of the sample's size.
-
-The fit reads at most DOCS documents a language, CHARS characters a language and TOTAL characters
-in all, chosen by hash among rows that may be learned from, of the LANGUAGES most frequent
-languages. Every text is predicted from all of its characters. Letters are lower-cased, and what
-is not a letter counts as one space.
+of blocks of BLOCK characters in step. A block is first parsed as if a phrase began with it, then again
+from the state that the block before it ended in, until no block's first state changes: what comes out
+is the parse of the whole text, phrase by phrase. All letters of the samples are told apart. A
+language whose sample holds more than DENSE of them, as with Han, has a sorted list of its transitions
+in place of the table, which is slower but of the sample's size.
+
+The fit reads at most DOCS documents a language and CHARS characters a language, fewer where there
+are so many languages that TOTAL would be passed, but LEAST at least. The documents are chosen by hash
+among rows that may be learned from, and so is the place of the characters that are taken from a long
+one. Every value of lang is learned. Every text is predicted from all of its characters. Letters
+are lower-cased, and what is not a letter counts as one space.
 
 Cases: a null text, or one without a letter, is `und` with score 0; null languages are never
 learned; rows with a null id are not learned from and not held out; with nothing learned all
-texts are `und`; ties go to the language that sorts first; repeated rows each get a row; other
-columns are ignored.
+texts are `und`; ties go to the language that sorts first; very long texts are parsed whole; repeated
+rows each get a row; an empty table gives an empty result; other columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 DOCS = 64
 CHARS = 24_000
 TOTAL = 240_000
-LANGUAGES = 100
+LEAST = 2_000
 #: Letters of a sample up to which its automaton is a table.
 DENSE = 94
 BLOCK = 512
@@ -187,23 +191,36 @@ class Model:
         place = np.arange(len(owner)) - np.repeat(ends - blocks, blocks)
         length = np.minimum(BLOCK, sizes[owner] - place * BLOCK)
         at = np.repeat(np.cumsum(sizes) - sizes, blocks) + place * BLOCK
-        order = np.argsort(-length, kind="stable")
-        owner, length, at = owner[order], length[order], at[order]
+        last = np.ones(len(owner), bool)
+        last[:-1] = owner[1:] != owner[:-1]
         flat = np.concatenate([*texts, np.zeros(BLOCK, np.uint8)])
-        alive = np.searchsorted(-length, -np.arange(BLOCK), side="left")  # blocks longer than t
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        steps = [flat[at[: alive[t]] + t].astype(np.int32) for t in range(BLOCK) if alive[t]]
         for k, (automaton, own) in enumerate(zip(self.automata, self.own, strict=True)):
-            state = np.full(len(owner), self.starts[k], np.int32)
-            count = np.zeros(len(owner), np.int32)
-            for c in steps:
-                n = len(c)
-                to = automaton.step(state[:n], c if own is None else own[c])
-                count[:n] += to >> 30
-                state[:n] = to & (NEW - 1)
+            first = np.full(len(owner), self.starts[k], np.int32)
+            end, count = first.copy(), np.zeros(len(owner), np.int32)
+            todo = np.arange(len(owner))
+            while len(todo):
+                todo = todo[np.argsort(-length[todo], kind="stable")]
+                state, n = self.parse(automaton, own, flat, at[todo], length[todo], first[todo])
+                end[todo], count[todo] = state, n
+                todo = todo[~last[todo]] + 1
+                todo = todo[first[todo] != end[todo - 1]]
+                first[todo] = end[todo - 1]
             out[:, k] = np.bincount(owner, count, len(texts))
         return out
 
+    @staticmethod
+    def parse(automaton, own: np.ndarray | None, flat: np.ndarray, at: np.ndarray, length: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last states and phrases begun of some stretches, the longest first, from given states."""
+        state, count = state.copy(), np.zeros(len(at), np.int32)
+        alive = np.searchsorted(-length, -np.arange(length[0]), side="left")  # stretches longer than t
+        for t, n in enumerate(alive.tolist()):
+            c = flat[at[:n] + t].astype(np.int32)
+            to = automaton.step(state[:n], c if own is None else own[c])
+            count[:n] += to >> 30
+            state[:n] = to & (NEW - 1)
+        return state, count
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         codes = [self.alphabet.classes(t or "") for t in texts]
         named, scores = ["und"] * len(texts), [0.0] * len(texts)
@@ -230,16 +247,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, may_learn: Column) -> dict[str, str]:
-    """Sample text by language; DOCS, CHARS, TOTAL and LANGUAGES bound what reaches the driver."""
+    """Sample text by language; DOCS, CHARS, TOTAL and LEAST bound what reaches the driver of each."""
     rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    picks = rows.groupBy("lang", F.pmod("h", F.lit(DOCS)).alias("slot")).agg(F.min("h").alias("h")).select("lang", "h").collect()
+    if not picks:
         return {}
-    chars = min(CHARS, TOTAL // len(counts))
-    picks = rows.groupBy("lang", F.pmod("h", F.lit(DOCS)).alias("slot")).agg(F.min("h").alias("h")).select("lang", "h")
-    picks = picks.where(F.col("lang").isin([r.lang for r in counts])).collect()
+    chars = min(CHARS, max(LEAST, TOTAL // len({r.lang for r in picks})))
     chosen = docs.sparkSession.createDataFrame(picks, "lang string, h long")
-    texts = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.substring("text", 1, chars // 8).alias("text")).distinct().collect()
+    size = chars // 8
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - size, F.lit(0)) + 1).cast("int") + 1
+    texts = rows.join(F.broadcast(chosen), ["lang", "h"]).select("lang", "h", F.substring("text", start, F.lit(size)).alias("text")).distinct().collect()  # DOCS a language
     out: dict[str, str] = {}
     for r in sorted(texts, key=lambda r: (r.lang, r.h, r.text)):
         if len(have := out.get(r.lang, "")) < chars:

@@ -85,6 +85,109 @@ TEXTS = [
     ("proprietary", r"unauthori[sz]ed copying of this (?:file|software|document)", "copying"),
 ]
 
+#: Names and notices as people write them: label, expression, priority, keywords (a word of each is in every match).
+WRITTEN = [
+    ("bsd-2", r"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd license)", 65, ["bsd freebsd"]),
+    ("bsd-3", r"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)", 65, ["bsd"]),
+    ("bsd-4", r"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)", 65, ["bsd"]),
+    ("bsd-3-clear", r"(?:bsd 3 clause clear|clear bsd)", 66, ["bsd"]),
+    ("0bsd", r"(?:0bsd|zero clause bsd)", 66, ["0bsd bsd"]),
+    ("mit", r"mit licen[sc]ed", 60, ["mit"]),
+    ("mit", r"(?:code|project|software|library|package|repo|repository|it|this|we) (?:uses?|is|are) (?:the )?mit", 45, ["mit", "code project software library package repo repository it this we"]),
+    ("mit", r"licen[sc]e mit", 58, ["license licence"]),
+    ("mit-0", r"mit (?:0|no attribution)", 67, ["mit"]),
+    ("apache", r"(?:asl|alv?) ?2(?: 0)?", 62, ["asl asl2 al2 alv2 al alv"]),
+    ("apache", r"licen[sc]ed to the apache software foundation(?: asf)?", 92, ["apache"]),
+    ("apache", r"apache org licen[sc]es license 2 0", 95, ["apache"]),
+    ("apache", r"apache 2(?: 0)?", 62, ["apache"]),
+    ("gpl", r"gnu general public licen[sc]e", 64, ["gnu"]),
+    ("gpl", r"you should have received a copy of the gnu general public licen[sc]e", 97, ["received"]),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public licen[sc]e", 98, ["received"]),
+    ("agpl", r"you should have received a copy of the gnu affero general public licen[sc]e", 98, ["received"]),
+    ("gpl", r"gpl ?v?[123](?: only| or later| or any later version)?", 66, ["gpl gpl1 gpl2 gpl3 gplv1 gplv2 gplv3"]),
+    ("lgpl", r"lgpl ?v?(?:2 1|2|3)(?: only| or later| or any later version)?", 67, ["lgpl lgpl2 lgpl3 lgplv2 lgplv3"]),
+    ("agpl", r"agpl ?v?[13](?: only| or later| or any later version)?", 67, ["agpl agpl1 agpl3 agplv1 agplv3"]),
+    ("gpl-classpath", r"(?:gpl|general public licen[sc]e) (?:version 2 )?with (?:the )?classpath exception", 93, ["classpath"]),
+    ("gpl-linking", r"linking this (?:library|program) statically or dynamically with other modules", 93, ["statically"]),
+    ("mpl", r"mpl ?v?(?:1 1|2 0|2)", 66, ["mpl mpl1 mpl2 mplv1 mplv2"]),
+    ("mpl", r"obtain one at (?:https? )?mozilla org mpl 2 0", 96, ["mozilla"]),
+    ("mpl", r"the contents of this file are subject to the mozilla public licen[sc]e", 97, ["mozilla"]),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse", 97, ["accompanying"]),
+    ("epl", r"eclipse org legal epl v(?:10|20|1 0|2 0)", 95, ["eclipse"]),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution", 97, ["distribution"]),
+    ("boost", r"boost org license 1 0", 95, ["boost"]),
+    ("boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software", 100, ["organization"]),
+    ("artistic", r"(?:same terms as perl itself|terms of the artistic licen[sc]e)", 88, ["perl artistic"]),
+    ("perl", r"redistribute it and or modify it under the same terms as perl", 92, ["perl"]),
+    ("zlib", r"altered source versions must be plainly marked as such", 96, ["altered"]),
+    ("isc", r"isc licen[sc]ed", 60, ["isc"]),
+    ("curl", r"curl (?:license|copyright)", 60, ["curl"]),
+    ("openssl", r"(?:openssl|ssleay) licen[sc]e", 62, ["openssl ssleay"]),
+    ("openssl", r"this product includes software developed by the openssl project", 96, ["openssl"]),
+    ("php", r"php licen[sc]e(?: version)?(?: 3 01?)?", 62, ["php"]),
+    ("ruby", r"ruby licen[sc]e", 62, ["ruby"]),
+    ("postgresql", r"postgresql licen[sc]e", 62, ["postgresql"]),
+    ("ncsa", r"(?:university of illinois ncsa open source|ncsa open source|uiuc) licen[sc]e", 66, ["ncsa uiuc"]),
+    ("w3c", r"w3c (?:software notice and )?licen[sc]e", 66, ["w3c"]),
+    ("unicode", r"unicode (?:license agreement|inc license|terms of use)", 62, ["unicode"]),
+    ("icu", r"icu licen[sc]e", 62, ["icu"]),
+    ("libpng", r"(?:lib)?png (?:reference library )?licen[sc]e", 62, ["libpng png"]),
+    ("libtiff", r"libtiff licen[sc]e", 62, ["libtiff"]),
+    ("ijg", r"independent jpeg group", 62, ["jpeg"]),
+    ("freetype", r"(?:freetype (?:project )?licen[sc]e|freetype team)", 62, ["freetype"]),
+    ("x11", r"x11 licen[sc]e", 62, ["x11"]),
+    ("xfree86", r"xfree86 licen[sc]e", 62, ["xfree86"]),
+    ("beerware", r"(?:beerware|beer ware licen[sc]e)", 62, ["beerware beer"]),
+    ("json", r"the software shall be used for good not evil", 99, ["evil"]),
+    ("sspl", r"server side public licen[sc]e|sspl", 68, ["sspl server"]),
+    ("busl", r"business source licen[sc]e|busl 1 1", 68, ["business busl"]),
+    ("elastic", r"elastic licen[sc]e(?: 2 0| v2)?", 66, ["elastic"]),
+    ("commons-clause", r"commons clause", 66, ["commons"]),
+    ("polyform", r"polyform (?:noncommercial|small business|strict|shield|perimeter|free trial|internal use)", 66, ["polyform"]),
+    ("openrail", r"(?:creativeml )?open ?rail(?: m| s)?", 62, ["openrail rail"]),
+    ("llama", r"llama (?:2|3|3 1) community licen[sc]e", 68, ["llama"]),
+    ("hippocratic", r"hippocratic licen[sc]e", 66, ["hippocratic"]),
+    ("vim", r"vim licen[sc]e", 62, ["vim"]),
+    ("tcl", r"tcl tk licen[sc]e", 62, ["tcl"]),
+    ("qpl", r"q public licen[sc]e", 64, ["q"]),
+    ("ipl", r"ibm public licen[sc]e", 64, ["ibm"]),
+    ("spl", r"sun public licen[sc]e", 64, ["sun"]),
+    ("apsl", r"apple public source licen[sc]e|apsl", 66, ["apple apsl"]),
+    ("npl", r"netscape public licen[sc]e", 66, ["netscape"]),
+    ("lppl", r"latex project public licen[sc]e|lppl", 66, ["latex lppl"]),
+    ("cecill", r"cecill(?: b| c| 2 1)?", 62, ["cecill"]),
+    ("mulan", r"mulan (?:psl|permissive software licen[sc]e)", 66, ["mulan"]),
+    ("ecl", r"educational community licen[sc]e", 66, ["educational"]),
+    ("upl", r"universal permissive licen[sc]e", 66, ["universal"]),
+    ("cpal", r"common public attribution licen[sc]e", 66, ["common"]),
+    ("rpl", r"reciprocal public licen[sc]e", 66, ["reciprocal"]),
+    ("bittorrent", r"bittorrent open source licen[sc]e", 66, ["bittorrent"]),
+    ("intel", r"intel open source licen[sc]e", 66, ["intel"]),
+    ("nasa", r"nasa open source agreement", 66, ["nasa"]),
+    ("fair", r"fair licen[sc]e", 55, ["fair"]),
+    ("cc0", r"cc0(?: 1 0)?", 62, ["cc0"]),
+    ("cc0", r"to the extent possible under law .{1,80}? has waived all copyright", 97, ["waived"]),
+    ("cc-by", r"creativecommons org licenses by (?:1|2|3|4) [05]", 96, ["creativecommons"]),
+    ("cc-by-sa", r"creativecommons org licenses by sa (?:1|2|3|4) [05]", 96, ["creativecommons"]),
+    ("cc-by-nc", r"creativecommons org licenses by nc (?:1|2|3|4) [05]", 96, ["creativecommons"]),
+    ("cc-by-nd", r"creativecommons org licenses by nd (?:1|2|3|4) [05]", 96, ["creativecommons"]),
+    ("cc-by-nc-sa", r"creativecommons org licenses by nc sa (?:1|2|3|4) [05]", 96, ["creativecommons"]),
+    ("cc-by-nc-nd", r"creativecommons org licenses by nc nd (?:1|2|3|4) [05]", 96, ["creativecommons"]),
+    ("cc-pd", r"creativecommons org publicdomain (?:zero|mark) 1 0", 96, ["creativecommons"]),
+    ("odc-by", r"open data commons attribution licen[sc]e|odc by", 66, ["odc commons"]),
+    ("pddl", r"public domain dedication and licen[sc]e|pddl", 66, ["dedication pddl"]),
+    ("ogl", r"open government licen[sc]e", 66, ["government"]),
+    ("etalab", r"(?:licence ouverte|open licence etalab|etalab)", 62, ["ouverte etalab"]),
+    ("dl-de", r"datenlizenz deutschland", 66, ["datenlizenz"]),
+    ("cdla", r"community data licen[sc]e agreement (?:permissive|sharing)", 66, ["community"]),
+    ("public-domain", r"no copyright is claimed", 52, ["claimed"]),
+    ("dual", r"dual licen[sc]ed under", 50, ["dual"]),
+    ("see-license", r"see (?:the )?(?:accompanying )?licen[sc]e (?:file|txt|md)(?: for details)?", 30, ["see"]),
+    ("proprietary", r"(?:commercial licen[sc]e required|not for redistribution|for internal use only|strictly confidential)", 41, ["commercial redistribution internal confidential"]),
+    ("proprietary", r"end user licen[sc]e agreement", 42, ["agreement"]),
+    ("proprietary", r"trade secrets? of", 41, ["secret secrets"]),
+]
+
 
 @dataclass(frozen=True)
 class Signature:
@@ -108,11 +211,11 @@ def signatures() -> list[Signature]:
     for label, name, versions, spdx, names in FAMILIES:
         name = f"(?:{name})"
         # a version may follow its name without a space
-        names = any_of(" ".join([names, *(f"{w}{v.split()[0]}" for w in names.split() for v in versions)]))
+        names = any_of(" ".join([names, *(f"{w}{mark}{v.split()[0]}" for w in names.split() for v in versions for mark in ("", "v")), *(f"{w}v" for w in names.split() if versions)]))
         add = lambda p, priority, score, *keywords, label=label: out.append(Signature(label, compiled(p), keywords, priority, score))
         for v in versions:
-            add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: version| v)? ?{v}", 90, 1.0, names, under)
-            add(rf"{name}(?: licen[sc]e)?(?: version| v)? ?{v}", 70, 0.9, names)
+            add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: version| ?v)? ?{v}", 90, 1.0, names, under)
+            add(rf"{name}(?: licen[sc]e)?(?: version| ?v)? ?{v}", 70, 0.9, names)
             add(rf"spdx license identifier {spdx} {v}(?: only| or later)?", 95, 1.0, tagged)
         add(rf"(?:licen[sc]ed|released|distributed|available|provided) under (?:the |an |a )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?(?: international| unported)?", 80, 0.95, names, under)
         add(rf"{name} licen[sc]e", 60, 0.8, names, one)
@@ -121,6 +224,9 @@ def signatures() -> list[Signature]:
         add(rf"spdx license identifier {spdx}(?: only| or later)?", 94, 1.0, tagged)
     for label, p, keyword in TEXTS:
         out.append(Signature(label, compiled(p), (frozenset({keyword.encode(), keyword.encode() + b"s"}),), 40 if label in ("proprietary", "public-domain") else 100, 0.5 if label == "proprietary" else 1.0))
+    for label, p, priority, keywords in WRITTEN:
+        score = 0.5 if label == "proprietary" else 0.3 if priority < 50 else 0.7 if priority < 70 else 1.0
+        out.append(Signature(label, compiled(p), tuple(any_of(k) for k in keywords), priority, score))
     for phrase, label in BASE.items():
         out.append(Signature(label, compiled(phrase), (one,), 55, 0.8, True))
     return out

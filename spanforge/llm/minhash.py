@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Shared, WordHashes, hot_join, membership, ngram_hashes
+from spanforge.llm.common import Runs, Shared, hot_join, membership
 from spanforge.llm.components import components
 
 BITS = 4
@@ -49,8 +49,8 @@ SALT_PACKS = 16
 SALT = 200
 HASHES = 640
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+_A = _rng.integers(1, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _MIX = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -80,20 +80,32 @@ UNIT_DDL = "doc_id long, key long, n long, nid long, bands array<long>, planes a
 
 def shingle_set(h: np.ndarray, k: int) -> np.ndarray:
     """Distinct shingles of k words, sorted; the whole sequence where there are fewer words."""
-    return np.unique(ngram_hashes(h, k))
+    if not len(h):
+        return h
+    x = np.sort(Runs(h).of(min(k, len(h))))
+    keep = np.empty(len(x), bool)
+    keep[0], keep[1:] = True, x[1:] != x[:-1]
+    return x[keep]
 
 
 def set_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def short(s: np.ndarray) -> np.ndarray:
+    """High halves of hashes, which minima are taken of."""
+    return (s >> np.uint64(32)).astype(np.uint32)
+
+
 def minima(s: np.ndarray, count: int) -> np.ndarray:
-    """High halves of the smallest of a*x + b over the set, one for each of the first functions."""
-    out, step = None, max(1, 330_000 // count)
-    for at in range(0, len(s), step):
-        m = (s[None, at : at + step] * _A[:count, None] + _B[:count, None]).min(axis=1)
+    """The smallest of a*x + b over the set, modulo 2**32, one for each of the first functions."""
+    x, out, step = short(s), None, max(1, 330_000 // count)
+    for at in range(0, len(x), step):
+        m = x[None, at : at + step] * _A[:count, None]
+        m += _B[:count, None]
+        m = m.min(axis=1)
         out = m if out is None else np.minimum(out, m)
-    return out >> np.uint64(32)
+    return out.astype(np.uint64)
 
 
 def signatures(m: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
@@ -109,14 +121,14 @@ def signatures(m: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: A text's sets with their ids.
-Sets = Callable[[str | None, WordHashes], list[tuple[int, np.ndarray]]]
+Sets = Callable[[str | None], list[tuple[int, np.ndarray]]]
 
 
-def document_set(words: Callable[[str], list[bytes]], k: int) -> Sets:
+def document_set(words: Callable[[str], np.ndarray], k: int) -> Sets:
     """The set of a whole text; none for a text without words."""
 
-    def sets(text: str | None, hashes: WordHashes) -> list[tuple[int, np.ndarray]]:
-        s = shingle_set(hashes.of(words(text or "")), k)
+    def sets(text: str | None) -> list[tuple[int, np.ndarray]]:
+        s = shingle_set(words(text or ""), k)
         return [(set_id(s), s)] if len(s) else []
 
     return sets
@@ -127,18 +139,18 @@ REMEMBERED = 1 << 18
 
 
 def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame:
-    """(doc_id, key, n, nid, bands, planes) of rows (doc_id, key, text).
+    """(doc_id, key, n, nid, bands, planes) and the columns after text of rows (doc_id, key, text).
 
     nid is null without words; bands and planes stand only where the task has not given them for that set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, given = WordHashes(), set()
+        given: set[int] = set()
         for b in batches:
             if len(given) > REMEMBERED:
                 given.clear()
             ns, nids, low, where = [], [], [], []
             for t in b.column(2).to_pylist():
-                own = sets(t, hashes)
+                own = sets(t)
                 nid, s = own[0] if own else (None, ())
                 ns.append(len(s))
                 nids.append(nid)
@@ -153,19 +165,18 @@ def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame
                 at = [[None if w is None else x[w] for w in where] for x in (bands, planes)]
             else:
                 at = [[None] * len(ns)] * 2
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ns, pa.int64()), pa.array(nids, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in at)], schema=UNIT_SCHEMA)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ns, pa.int64()), pa.array(nids, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in at), *b.columns[3:]], names=[*UNIT_SCHEMA.names, *b.schema.names[3:]])
 
-    return rows.select("doc_id", "key", "text").mapInArrow(run, UNIT_DDL)
+    return rows.mapInArrow(run, ", ".join([UNIT_DDL, *(f"`{c}` {kind}" for c, kind in rows.dtypes[3:])]))
 
 
 def sets_of(rows: DataFrame, sets: Sets, keys, nids) -> DataFrame:
     """(nid, items) of rows (key, text): the sets whose ids, of rows whose keys, pass the broadcast filters; a set may come twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
             texts = b.column(1).filter(pa.array(keys.value.test(b.column(0).to_numpy()))).to_pylist()
-            own = [x for t in texts for x in sets(t, hashes)]
+            own = [x for t in texts for x in sets(t)]
             ids = np.array([i for i, _ in own], np.int64)
             on = np.flatnonzero(nids.value.test(ids)) if len(ids) else []
             yield pa.RecordBatch.from_arrays([pa.array([own[k][0] for k in on], pa.int64()), pa.array([own[k][1].view(np.int64) for k in on], pa.list_(pa.int64()))], names=["nid", "items"])
@@ -397,10 +408,11 @@ def unpacked(pack: pa.StructArray) -> tuple[np.ndarray, ...]:
     return nids.to_numpy(), roots.to_numpy(), bands.flatten().to_numpy().reshape(len(nids), -1), items.flatten().to_numpy(), ends
 
 
-def near_duplicates(docs: DataFrame, words: Callable[[str], list[bytes]], k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id (smallest doc_id that links reach), nid.
+def near_duplicates(docs: DataFrame, words: Callable[[str], np.ndarray], k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of docs: doc_id, n_shingles, component_id (smallest doc_id that links reach), nid,
+    root (the nid that stands for the component) and the columns of carry.
 
-    nid is a hash of the row's set, the same for equal sets alone.
+    words gives the hashes of a text's words; nid is a hash of the row's set, the same for equal sets alone.
 
     Cases: a text without words, or null, has no shingles and is linked with nothing, so it is its
     own component and its nid is null; a text of fewer than k words is one shingle; very long texts are
@@ -409,14 +421,15 @@ def near_duplicates(docs: DataFrame, words: Callable[[str], list[bytes]], k: int
     has another; rows that repeat a doc_id each get a row; an empty table gives an empty result; other
     columns, whatever their names, are ignored."""
     shared = Shared(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.col(text).alias("text"), *carry)
     sets = document_set(words, k)
     units = shared.write(units_of(rows, sets))
     classes = shared.write(units.where("nid is not null").groupBy("nid").agg(F.min("key").alias("key"), F.min("doc_id").alias("least")))
     roots = linked_classes(rows, units.where("bands is not null").select("nid", "n", "bands", "planes"), classes.select("nid", "key"), sets, percent, shared)
     named = shared.write(classes.select("nid", "least").join(roots, "nid", "left").select("nid", "least", F.coalesce("root", "nid").alias("root")))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = hot_join(named, smallest, "root").select("nid", "component_id")
-    ids = units.select("doc_id", F.col("n").alias("n_shingles"), "nid")
-    out = hot_join(ids.where("nid is not null"), by_class, "nid").select("doc_id", "n_shingles", "component_id", "nid")
-    return out.unionByName(ids.where("nid is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "nid"))
+    by_class = hot_join(named, smallest, "root").select("nid", "root", "component_id")
+    ids = units.select("doc_id", F.col("n").alias("n_shingles"), "nid", *carry)
+    columns = ["doc_id", "n_shingles", "component_id", "nid", "root", *carry]
+    out = hot_join(ids.where("nid is not null"), by_class, "nid").select(*columns)
+    return out.unionByName(ids.where("nid is null").withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")}).select(*columns))

@@ -14,14 +14,16 @@ the cut, around which the choice of the last few is the one that comes nearest t
 Cases: a null text has size 0 and takes 0 words; a null source is a source of its own and comes
 last; ties of the hash go by id and text; a source without words has target 0; an empty table
 gives an empty result; other columns are passed over. Rows that agree in id and text are
-interchangeable. More than MAX_PATTERNS patterns are refused with an error, as the network is
-solved on the driver.
+interchangeable; very long texts count whole. The network is solved on the driver, so it has at most
+MAX_PATTERNS patterns besides the sources: where there are more, those of the fewest words count
+for one of their sources each, the neediest; the mix still takes from all of their documents.
 """
 
 from __future__ import annotations
 
-import heapq
+from collections import deque
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -33,8 +35,7 @@ MAX_PATTERNS = 20_000
 BINS = 4096
 POOL = 256
 TOP = 1 << 63
-SWAPS = 24
-MOST_BITS = 1 << 23
+SWAPS = 12
 
 
 def words_in(text: str = "text") -> Column:
@@ -66,101 +67,126 @@ def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = (5, 2, 1),
 def min_cost_flow(supply: list[int], belongs: list[list[int]], quota: list[int], passes: int) -> list[int]:
     """Words that each pattern gives when the quotas are filled as far as possible at least cost.
 
-    Successive shortest paths: supply[i] words of pattern i can be used up to passes times, the
-    k-th time at cost k a word; belongs[i] lists the sources that it can feed."""
+    supply[i] words of pattern i can be used up to passes times, the k-th time at cost k a word;
+    belongs[i] lists the sources that it can feed. All that costs lies on the edges from the start, and
+    there the same for all patterns, so the shortest augmenting paths of one cost are those of a
+    maximum flow: one pass after the other gets its capacity, and the flow is made maximal by
+    blocking flows on levels."""
     n, m = len(supply), len(quota)
     s, t = n + m, n + m + 1
-    graph: list[list[list]] = [[] for _ in range(n + m + 2)]  # [to, capacity, cost, place of the reverse]
+    graph: list[list[list]] = [[] for _ in range(n + m + 2)]  # [to, capacity, place of the reverse]
 
-    def edge(a: int, b: int, capacity: int, cost: int) -> None:
-        graph[a].append([b, capacity, cost, len(graph[b])])
-        graph[b].append([a, 0, -cost, len(graph[a]) - 1])
+    def edge(a: int, b: int, capacity: int) -> list:
+        graph[a].append([b, capacity, len(graph[b])])
+        graph[b].append([a, 0, len(graph[a]) - 1])
+        return graph[a][-1]
 
+    first = [edge(s, i, 0) for i in range(n)]
     for i in range(n):
-        for k in range(passes):
-            edge(s, i, supply[i], k + 1)
         for j in belongs[i]:
-            edge(i, n + j, passes * supply[i], 0)
+            edge(i, n + j, passes * supply[i])
     for j in range(m):
-        edge(n + j, t, quota[j], 0)
-    potential = [0] * (n + m + 2)
-    while True:
-        dist, back = {s: 0}, {}
-        heap = [(0, s)]
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > dist[a]:
-                continue
-            for x, (b, capacity, cost, _) in enumerate(graph[a]):
-                if capacity and (e := d + cost + potential[a] - potential[b]) < dist.get(b, TOP):
-                    dist[b] = e
-                    back[b] = (a, x)
-                    heapq.heappush(heap, (e, b))
-        if t not in dist:
-            break
-        for a, d in dist.items():
-            potential[a] += d
-        for a in range(len(potential)):
-            if a not in dist:
-                potential[a] += max(dist.values())
-        path, a = [], t
-        while a != s:
-            path.append(back[a])
-            a = back[a][0]
-        give = min(graph[a][x][1] for a, x in path)
-        for a, x in path:
-            e = graph[a][x]
-            e[1] -= give
-            graph[e[0]][e[3]][1] += give
-    return [sum(graph[e[0]][e[3]][1] for e in graph[s] if e[0] == i) for i in range(n)]
+        edge(n + j, t, quota[j])
+
+    def levels() -> list[int]:
+        level = [-1] * (n + m + 2)
+        level[s], queue = 0, deque([s])
+        while queue:
+            a = queue.popleft()
+            for b, capacity, _ in graph[a]:
+                if capacity and level[b] < 0:
+                    level[b] = level[a] + 1
+                    queue.append(b)
+        return level
+
+    for _ in range(passes):
+        for i in range(n):
+            first[i][1] += supply[i]
+        while (level := levels())[t] >= 0:
+            at, path = [0] * (n + m + 2), []
+            while True:  # a depth-first walk that gives up an edge once it leads nowhere
+                a = path[-1][0] if path else s
+                if a == t:
+                    give = min(e[1] for e in path)
+                    for e in path:
+                        e[1] -= give
+                        graph[e[0]][e[2]][1] += give
+                    path = path[: next(k for k, e in enumerate(path) if not e[1])]
+                elif at[a] < len(graph[a]):
+                    e = graph[a][at[a]]
+                    if e[1] and level[e[0]] == level[a] + 1:
+                        path.append(e)
+                    else:
+                        at[a] += 1
+                elif path:
+                    path.pop()
+                    at[path[-1][0] if path else s] += 1
+                else:
+                    break
+    return [graph[e[0]][e[2]][1] for e in first]
+
+
+def subset_sums(sizes: list[int]) -> np.ndarray:
+    """Sums of all choices; bit i of a place says whether size i is in."""
+    out = np.zeros(1, np.int64)
+    for x in sizes:
+        out = np.concatenate([out, out + x])
+    return out
 
 
 def chosen(sizes: list[int], want: int) -> list[int]:
     """1 for each size that is taken: all up to the cut but for the last SWAPS before it; of those and as many
-    behind it, a choice whose sum comes nearest to what is wanted, from below."""
+    behind it, the choice whose sum comes nearest to what is wanted, from below (of equal ones the first)."""
     cut, total = 0, 0
     while cut < len(sizes) and total + sizes[cut] <= want:
         total += sizes[cut]
         cut += 1
     low, high = max(0, cut - SWAPS), min(len(sizes), cut + SWAPS)
     rest = want - sum(sizes[:low])
-    out = [1] * low + [0] * (len(sizes) - low)
-    if rest > MOST_BITS:  # sums of giant documents: take in order whatever still fits
-        for i in range(low, len(sizes)):
-            if sizes[i] <= rest:
-                out[i], rest = 1, rest - sizes[i]
-        return out
-    reach = [1]  # bit k of the i-th: the first i of these sizes can sum to k
-    for x in sizes[low:high]:
-        reach.append((reach[-1] | reach[-1] << x) & ((1 << (rest + 1)) - 1))
-    best = reach[-1].bit_length() - 1
-    for i in range(high - 1, low - 1, -1):
-        if not reach[i - low] >> best & 1:
-            out[i] = 1
-            best -= sizes[i]
-    return out
-
-
-def mix_sources(docs: DataFrame, members: Column, seed: int = 17, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Two tables: one row for each row of docs (doc_id, key, members, size, copies, taken = copies * size),
-    and one for each source (source, source_size, target).
+    before, behind = subset_sums(sizes[low:cut]), subset_sums(sizes[cut:high])
+    order = np.argsort(before, kind="stable")
+    behind_fits = np.flatnonzero(behind <= rest)
+    k = np.searchsorted(before[order], rest - behind[behind_fits], side="right") - 1
+    best = int((behind[behind_fits] + before[order][k]).argmax())
+    b = int(behind_fits[best])
+    top = before[order][k[best]]
+    a = int(order[np.searchsorted(before[order], top, side="left")])
+    return [1] * low + [a >> i & 1 for i in range(cut - low)] + [b >> i & 1 for i in range(high - cut)] + [0] * (len(sizes) - high)
+
+
+def folded(rows: DataFrame, patterns: DataFrame, need: dict[str | None, float]) -> tuple[DataFrame, DataFrame]:
+    """Rows and patterns where all but the MAX_PATTERNS patterns of the most words belong to one of their sources, the one
+    that needs most for its size. Every document stays in the mix, and no source loses words that only it has."""
+    spark = rows.sparkSession
+    large = patterns.orderBy(F.desc("words"), "members").limit(MAX_PATTERNS).select(F.col("members").alias("large"))
+    needs = spark.createDataFrame([(s, -v) for s, v in need.items()], "source string, need double")
+    small = patterns.join(large, patterns.members.eqNullSafe(F.col("large")), "left_anti")
+    ranked = small.select("members", F.explode(F.array_distinct("members")).alias("m")).join(F.broadcast(needs), F.col("m").eqNullSafe(F.col("source")))  # the sources
+    to = ranked.groupBy("members").agg(F.min(F.struct("need", "m")).alias("best")).select(F.col("members").alias("of"), F.array("best.m").alias("to"))
+    moved = [df.join(to, df.members.eqNullSafe(F.col("of")), "left").withColumn("members", F.coalesce("to", "members")).drop("of", "to") for df in (rows, patterns)]
+    return moved[0], moved[1].groupBy("members").agg(F.sum("words").alias("words"), F.sum("n").alias("n"))
+
+
+def mix_sources(docs: DataFrame, members: Column, seed: int = 17, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Two tables: one row for each row of docs (doc_id, key, members, size, copies, taken = copies * size,
+    and the columns of carry as c0, c1 and so on), and one for each source (source, source_size, target).
 
     members: an array column, the sources of a document; key: pick_key(seed, doc_id, text)."""
     spark = docs.sparkSession
     shared = Shared(spark)
     key = pick_key(seed, doc_id, text)
-    rows = shared.write(docs.select(F.col(doc_id).cast("long").alias("doc_id"), key.alias("key"), members.alias("members"), words_in(text).alias("size")))
+    carried = [f"c{i}" for i in range(len(carry))]
+    rows = shared.write(docs.select(F.col(doc_id).cast("long").alias("doc_id"), key.alias("key"), members.alias("members"), words_in(text).alias("size"), *(F.col(c).alias(n) for c, n in zip(carry, carried, strict=True))))
     # the order of selection: 63 bits of another hash
     rows = rows.withColumn("u", F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "key"), 1))
-    totals = rows.groupBy("members").agg(F.sum("size").alias("words"), F.count("*").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    totals.sort(key=lambda r: [(s is None, s or "") for s in r.members])
-    sizes: dict[str | None, int] = {}
-    for r in totals:
-        for s in set(r.members):
-            sizes[s] = sizes.get(s, 0) + r.words
+    patterns = shared.write(rows.groupBy("members").agg(F.sum("size").alias("words"), F.count("*").alias("n")))
+    by_source = patterns.select(F.explode(F.array_distinct("members")).alias("source"), "words").groupBy("source").agg(F.sum("words").alias("words")).collect()  # the sources
+    sizes: dict[str | None, int] = {r.source: r.words for r in by_source}
     aims = targets(sizes, weights, share, most)
+    if patterns.count() > MAX_PATTERNS:
+        rows, patterns = folded(rows, patterns, {s: aims[s] / max(1, sizes[s]) for s in aims})
+    totals = patterns.collect()  # MAX_PATTERNS and the sources bound it
+    totals.sort(key=lambda r: [(s is None, s or "") for s in r.members])
     places = {s: j for j, s in enumerate(aims)}
     flow = min_cost_flow([r.words for r in totals], [sorted(places[s] for s in set(r.members)) for r in totals], [round(a) for a in aims.values()], most)
     full = {i: (f // r.words if r.words else 1) for i, (f, r) in enumerate(zip(flow, totals, strict=True))}
@@ -191,10 +217,10 @@ def mix_sources(docs: DataFrame, members: Column, seed: int = 17, weights: tuple
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["u", "key", "doc_id", "size"], na_position="first")
         out = chosen(pdf["size"].tolist(), int(pdf.want.iloc[0]))
-        return pdf.assign(copies=pdf.full + out)[["doc_id", "key", "members", "size", "copies"]]
+        return pdf.assign(copies=pdf.full + out)[["doc_id", "key", "members", "size", "copies", *carried]]
 
-    fields = "doc_id long, key long, members array<string>, size long, copies long"
-    inside = placed.where("u between low and top").select("pattern", "doc_id", "key", "members", "size", "u", "full", "want").groupBy("pattern").applyInPandas(fill, fields)
-    out = outside.select("doc_id", "key", "members", "size", F.col("copies").cast("long").alias("copies")).unionByName(inside)
+    fields = ", ".join(["doc_id long, key long, members array<string>, size long, copies long", *(f"{c} {kind}" for c, kind in rows.dtypes if c in carried)])
+    inside = placed.where("u between low and top").select("pattern", "doc_id", "key", "members", "size", "u", "full", "want", *carried).groupBy("pattern").applyInPandas(fill, fields)
+    out = outside.select("doc_id", "key", "members", "size", F.col("copies").cast("long").alias("copies"), *carried).unionByName(inside)
     dims = spark.createDataFrame([(s, int(sizes[s]), float(aims[s])) for s in aims], "source string, source_size long, target double")
     return out.withColumn("taken", F.col("copies") * F.col("size")), dims

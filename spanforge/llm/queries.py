@@ -44,7 +44,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanforge.llm import decontaminate
 
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).drop("key")
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +80,8 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanforge.llm import minhash
 
-    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), common.space_words, k=2, percent=80)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), common.space_hashes, k=2, percent=80)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,6 @@ whatever their names, are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Shared, WordHashes, hot_join, membership, mix, numbered
-from spanforge.llm.minhash import _A, _B, REMEMBERED, Shape, linked_classes, signatures
+from spanforge.llm.common import Runs, Shared, hot_join, line_hashes, membership, numbered, space_hashes
+from spanforge.llm.minhash import _A, _B, REMEMBERED, Shape, linked_classes, shingle_set, short, signatures
 
 MIN_WORDS = 50
 SHINGLE = 5
@@ -55,32 +54,11 @@ UNNAMED = 1 << 62
 #: Shingles whose minima are taken at a time.
 AT_ONCE = 1 << 16
 
-_PAIR, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
 
 def sequence_id(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
 
 
-def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """A hash of every n consecutive words, made of those of runs of powers of two."""
-    out, covered, step, power = None, 0, 1, h
-    while True:
-        if n & step:
-            size = len(h) - covered - step + 1
-            if size <= 0:
-                return np.zeros(0, np.uint64)
-            part = power[covered : covered + size]
-            out = part if out is None else mix(out[:size] * _PAIR + part * _TURN + np.uint64(n))
-            covered += step
-        step *= 2
-        if step > n:
-            return out
-        if len(power) <= step // 2:
-            return np.zeros(0, np.uint64)
-        power = mix(power[: -(step // 2)] * _PAIR + power[step // 2 :] + np.uint64(step))
-
-
 def sliding(x: np.ndarray, n: int, f: np.ufunc) -> np.ndarray:
     """f (minimum or maximum) over every n consecutive values."""
     step = 1
@@ -90,33 +68,30 @@ def sliding(x: np.ndarray, n: int, f: np.ufunc) -> np.ndarray:
     return f(x[: len(x) - (n - step)], x[n - step :]) if n > step else x
 
 
-def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of a text's anchors."""
-    if len(h) < REACH + ANCHOR - 1:
+def anchors(runs: Runs, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the anchors of a text of n words."""
+    if n < REACH + ANCHOR - 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    pair = run_hashes(h, 2)
+    pair = runs.of(2)
     least = np.pad(sliding(pair, REACH, np.minimum), REACH - 1)
     at = np.flatnonzero(sliding(least, REACH, np.maximum) == pair)
-    at = at[at <= len(h) - ANCHOR]
-    return at, run_hashes(h, ANCHOR)[at]
+    at = at[at <= n - ANCHOR]
+    return at, runs.of(ANCHOR)[at]
 
 
 def runs_near(h: np.ndarray, repeated) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the runs of MIN_WORDS words that hold an anchor whose key is in the filter."""
-    at, keys = anchors(h)
+    runs = Runs(h)
+    at, keys = anchors(runs, len(h))
     n = max(0, len(h) - MIN_WORDS + 1)
     at = at[repeated.test(keys)] if len(at) else at
+    if not n or not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, np.clip(at - (MIN_WORDS - ANCHOR), 0, n), 1)
     np.add.at(edge, np.minimum(at + 1, n), -1)
     near = np.flatnonzero(np.cumsum(edge)[:n] > 0)
-    return near, run_hashes(h, MIN_WORDS)[near] if len(near) else np.zeros(0, np.uint64)
-
-
-def cut(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of a text, and how many words each line has."""
-    own = [line.split() for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n")]
-    return hashes.of(list(chain.from_iterable(own))), np.fromiter(map(len, own), np.int64, len(own))
+    return near, runs.of(MIN_WORDS)[near]
 
 
 def long_lines(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,22 +100,23 @@ def long_lines(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.cumsum(counts) - counts)[on], counts[on]
 
 
-def line_sets(text: str | None, hashes: WordHashes) -> list[tuple[int, np.ndarray]]:
-    h, counts = cut(text or "", hashes)
-    return [(sequence_id(h[a : a + n]), np.unique(run_hashes(h[a : a + n], SHINGLE))) for a, n in zip(*(x.tolist() for x in long_lines(counts)), strict=True)]
+def line_sets(text: str | None) -> list[tuple[int, np.ndarray]]:
+    h, counts = line_hashes(text or "")
+    return [(sequence_id(h[a : a + n]), shingle_set(h[a : a + n], SHINGLE)) for a, n in zip(*(x.tolist() for x in long_lines(counts)), strict=True)]
 
 
 def line_minima(shingles: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A row of minima for each line: high halves of the smallest of a*x + b over its shingles."""
+    """A row of minima for each line, as minhash.minima takes them."""
     k = LINES.hashes
-    out = np.empty((len(at), k), np.uint64)
+    out = np.empty((len(at), k), np.uint32)
     ends = np.stack([at, at + size - SHINGLE + 1], axis=1).ravel()
-    padded = np.append(shingles, np.uint64(0))
+    padded = np.append(short(shingles), np.uint32(0))
     step = k if len(padded) <= AT_ONCE else 1
     for i in range(0, k, step):
-        m = padded[None, :] * _A[i : i + step, None] + _B[i : i + step, None]
+        m = padded[None, :] * _A[i : i + step, None]
+        m += _B[i : i + step, None]
         out[:, i : i + step] = np.minimum.reduceat(m, ends, axis=1)[:, ::2].T
-    return out >> np.uint64(32)
+    return out.astype(np.uint64)
 
 
 PARTS = pa.schema([
@@ -156,7 +132,7 @@ def parts(rows: DataFrame) -> DataFrame:
     A task gives the paragraphs of a class once, and the signature of a line once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, classes, given = WordHashes(), set(), set()
+        classes, given = set(), set()
         for b in batches:
             if len(classes) > REMEMBERED:
                 classes.clear()
@@ -165,7 +141,7 @@ def parts(rows: DataFrame) -> DataFrame:
             out: dict[str, list] = {f.name: [] for f in PARTS}
             low: list[np.ndarray] = []
             for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h, counts = cut(t, hashes)
+                h, counts = line_hashes(t)
                 if len(h) < MIN_WORDS:
                     continue
                 name = sequence_id(h)
@@ -177,6 +153,7 @@ def parts(rows: DataFrame) -> DataFrame:
                         out[f].append([])
                     continue
                 classes.add(name)
+                runs = Runs(h)
                 at, size = long_lines(counts)
                 ids = [sequence_id(h[a : a + n]) for a, n in zip(at.tolist(), size.tolist(), strict=True)]
                 new = []
@@ -185,8 +162,8 @@ def parts(rows: DataFrame) -> DataFrame:
                         given.add(i)
                         new.append(k)
                 if new:
-                    low.append(line_minima(run_hashes(h, SHINGLE), at[new], size[new]))
-                for f, x in (("line_id", ids), ("line_at", at), ("line_len", size), ("new_id", [ids[k] for k in new]), ("new_n", size[new] - SHINGLE + 1 if new else []), ("anchors", np.unique(anchors(h)[1]).view(np.int64))):
+                    low.append(line_minima(runs.of(SHINGLE), at[new], size[new]))
+                for f, x in (("line_id", ids), ("line_at", at), ("line_len", size), ("new_id", [ids[k] for k in new]), ("new_n", size[new] - SHINGLE + 1 if new else []), ("anchors", np.unique(anchors(runs, len(h))[1]).view(np.int64))):
                     out[f].append(x)
             bands, planes = (x.tolist() for x in signatures(np.concatenate(low), LINES)) if low else ([], [])
             k = 0
@@ -216,12 +193,11 @@ def runs(rows: DataFrame, keys, repeated) -> DataFrame:
     """(key, class, hash, at), as arrays, of the runs that hold an anchor in the filter, in rows whose keys pass theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
             on = pa.array(keys.value.test(b.column(0).to_numpy()))
             own, names, got = b.column(1).filter(on), [], []
             for t in b.column(2).filter(on).to_pylist():
-                h, _ = cut(t, hashes)
+                h = space_hashes(t)
                 names.append(sequence_id(h))
                 got.append(runs_near(h, repeated.value))
             yield pa.RecordBatch.from_arrays([own, pa.array(names, pa.int64()), pa.array([x.view(np.int64) for _, x in got], pa.list_(pa.int64())), pa.array([a for a, _ in got], pa.list_(pa.int32()))], names=["key", "class", "hash", "at"])
@@ -239,7 +215,7 @@ def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: s
     doc_id of its words' first holder) and kept."""
     shared = Shared(docs.sparkSession)
     row, named = numbered(docs, shared)
-    rows = row.select(F.coalesce(F.col(doc_id).cast("long"), F.shiftrightunsigned(F.xxhash64(named), 2).bitwiseOR(UNNAMED)).alias("key"), F.col(text).alias("text")).where("text is not null")
+    rows = row.select(F.coalesce(F.col(doc_id).cast("long"), F.shiftrightunsigned(F.xxhash64(*named), 2).bitwiseOR(UNNAMED)).alias("key"), F.col(text).alias("text")).where("text is not null")
     cuts = shared.write(parts(rows))
     classes = shared.write(cuts.groupBy("class").agg(F.min("key").alias("key"), F.max("key").alias("last_key"), F.first("n_words").alias("n")))
     # lines
@@ -259,7 +235,7 @@ def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: s
     run = run.select("class", "key", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("class", "key", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
     hits = hot_join(held, in_two(held), "id").unionByName(hot_join(run, in_two(run), "id")).select("class", "at", "len", "first_key")
     whole = classes.where("key <> last_key").select("class", F.lit(0).alias("at"), F.col("n").cast("int").alias("len"), F.col("key").alias("first_key"))
-    spans = hits.unionByName(whole).groupBy("class").agg(F.collect_list(F.struct("at", "len", "first_key")).alias("parts")).mapInArrow(merged, "class long, first_word long, last_word long, n_words long, first_key long")
+    spans = hits.unionByName(whole).repartition("class").sortWithinPartitions("class").mapInArrow(merged, "class long, first_word long, last_word long, n_words long, first_key long")
     spans = shared.write(spans.groupBy("class").agg(F.collect_list(F.struct("first_word", "last_word", "n_words", "first_key")).alias("spans")))
     out = hot_join(shared.write(cuts.select("key", "class").distinct()), spans, "class").select("key", F.inline("spans"))
     told = lambda k: F.when(F.col(k) < UNNAMED, F.col(k))
@@ -267,16 +243,42 @@ def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: s
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of touching words of each class that have the same first holder."""
+    """Spans of touching words of each class that have the same first holder, of rows (class, at, len, first_key) that come class by class."""
+
+    def spans(own: np.ndarray) -> np.ndarray:
+        at, size, keys = own[:, 1], own[:, 2], own[:, 3]
+        low, high = int(at.min()), int((at + size).max())
+        first, there = np.zeros(high - low, np.int64), np.zeros(high - low, bool)
+        for key in np.unique(keys)[::-1].tolist():  # the smallest is written last
+            mine = keys == key
+            edge = np.zeros(high - low + 1, np.int64)
+            np.add.at(edge, at[mine] - low, 1)
+            np.add.at(edge, at[mine] + size[mine] - low, -1)
+            on = np.cumsum(edge[:-1]) > 0
+            first[on], there = key, there | on
+        a = np.concatenate([[0], np.flatnonzero((first[1:] != first[:-1]) | (there[1:] != there[:-1])) + 1])
+        e = np.append(a[1:], high - low)
+        a, e = a[there[a]], e[there[a]]
+        return np.stack([np.full(len(a), own[0, 0]), low + a, low + e - 1, e - a, first[a]], axis=1)
+
+    held: list[np.ndarray] = []
     for b in batches:
-        out: list[tuple] = []
-        for name, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            low, high = min(p["at"] for p in own), max(p["at"] + p["len"] for p in own)
-            first = np.zeros(high - low, np.int64)
-            there = np.zeros(high - low, bool)
-            for p in sorted(own, key=lambda p: -p["first_key"]):
-                at = slice(p["at"] - low, p["at"] + p["len"] - low)
-                first[at], there[at] = p["first_key"], True
-            cuts = np.flatnonzero((first[1:] != first[:-1]) | (there[1:] != there[:-1])) + 1
-            out += [(name, low + a, low + e - 1, e - a, int(first[a])) for a, e in zip([0, *cuts.tolist()], [*cuts.tolist(), high - low], strict=True) if there[a]]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], names=["class", "first_word", "last_word", "n_words", "first_key"])
+        rows = np.stack([c.to_numpy().astype(np.int64) for c in b.columns], axis=1)
+        if not len(rows):
+            continue
+        cuts = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
+        pieces = np.split(rows, cuts)
+        if held and held[0][0, 0] == pieces[0][0, 0]:
+            held.append(pieces.pop(0))
+        if pieces:
+            done = [np.concatenate(held)] if held else []
+            held = [pieces.pop()]
+            if done := done + pieces:
+                out = np.concatenate([spans(x) for x in done])
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(5)], names=SPAN)
+    if held:
+        out = spans(np.concatenate(held))
+        yield pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(5)], names=SPAN)
+
+
+SPAN = ["class", "first_word", "last_word", "n_words", "first_key"]

@@ -112,16 +112,16 @@ def test_against_brute_force(spark, seed):
 
 def test_runs_of_every_length_meet():
     """Each shared run of MIN_WORDS words or more is near an anchor that both texts have, whatever stands around it."""
-    rng, hashes = random.Random(9), common.WordHashes()
+    rng = random.Random(9)
     for k in range(400):
         n = N + k % 30
         p = [str(rng.randrange(40 if k % 2 else 10**9)).encode() for _ in range(n)]
         keys, texts = [], []
         for _ in range(2):
             w = [str(rng.random()).encode() for _ in range(rng.randrange(60))] + p + [str(rng.random()).encode() for _ in range(rng.randrange(60))]
-            h = hashes.of(w)
-            texts.append((h, w.index(p[0]) if k % 2 == 0 else None))
-            keys.append(set(substrings.anchors(h)[1].tolist()))
+            h = common.space_hashes(b" ".join(w).decode())
+            texts.append(h)
+            keys.append(set(substrings.anchors(common.Runs(h), len(h))[1].tolist()))
         both = keys[0] & keys[1]
         assert both
 
@@ -130,8 +130,8 @@ def test_runs_of_every_length_meet():
             def test(x, both=both):
                 return np.array([int(v) in both for v in x], bool)
 
-        runs = [set(substrings.runs_near(h, Among)[1].tolist()) for h, _ in texts]
-        want = set(substrings.run_hashes(hashes.of(p), N).tolist())
+        runs = [set(substrings.runs_near(h, Among)[1].tolist()) for h in texts]
+        want = set(common.Runs(common.space_hashes(b" ".join(p).decode())).of(N).tolist())
         assert want <= runs[0] and want <= runs[1]
 
 
@@ -163,3 +163,21 @@ def test_awkward_tables(spark, tmp_path):
     assert substrings.repeated(d.where("false")).count() == 0
     alone = spark.createDataFrame([(None, line), (None, line)], "doc_id long, text string")
     assert sorted(r.kept for r in substrings.repeated(alone).collect()) == [False, True]
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 7])
+def test_word_hashes(at_once, monkeypatch):
+    """Words are told apart as the splitters do, and hashed by their bytes alone."""
+    monkeypatch.setattr(common, "TEXT_AT_ONCE", at_once)
+    rng = random.Random(1)
+    known: dict[bytes, int] = {}
+    for _ in range(1500):
+        t = "".join(rng.choice("abAB zZ09_-\n\t\r\x0b\x1c\u00a0é日😀.") for _ in range(rng.randrange(30)))
+        for words, hashes in ((common.space_words, common.space_hashes), (common.alnum_words, common.alnum_hashes)):
+            w, h = words(t), hashes(t).tolist()
+            assert len(w) == len(h), t
+            for x, y in zip(w, h, strict=True):
+                assert known.setdefault(x, y) == y
+        h, counts = common.line_hashes(t)
+        assert counts.tolist() == [len(common.space_words(line)) for line in t.split("\n")]
+    assert len(set(known.values())) == len(known) > 3000
