@@ -2,8 +2,11 @@
 drop documents that leak benchmark passages, mix sources to target weights, store token ids.
 
 Every stage works on all that the one before kept, written as Parquet and read again. All but the
-last return the columns of documents; the last returns the place of each document in the store.
-Rows that the mix takes twice appear twice.
+last return the columns of documents, whatever other columns there are; the last returns the place of
+each document in the store. Rows that the mix takes twice appear twice.
+
+Rows are told apart by the file and the place that they stand at, never by what they hold: rows of one
+id, equal rows and rows without an id are documents like others. Very long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -12,51 +15,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.llm import common, decontaminate, minhash, mixing, queries, token_store, toxicity
-from spanforge.llm.common import Shared, table
+from spanforge.llm.common import Shared, numbered, table
 
 #: The fit and the flow network are iterative, so SQL cannot express the stages.
 ORACLE_SQL = None
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model does not reject. It is fitted on the stage's own input."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, keep=tuple(docs.columns))
-    return scored.where("not toxic").select(*docs.columns)
+    """Documents that the severity model does not reject. It is fitted on the stage's own input.
+
+    A null or empty text has no toxic words and stays; at a probability of exactly one half a document
+    goes; without labels of both kinds, or without documents, nothing goes."""
+    model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*(F.col(c).alias(n) for c, n in at.items()), F.col("doc_id").alias("id_"))
+    scored = toxicity.score(plain, model, doc_id="id_", text=at["text"], keep=tuple(at.values()))
+    return scored.where("not toxic").select(*(F.col(n).alias(c) for c, n in at.items()))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that with the smallest doc_id; of rows that repeat it, one.
+    """One document of each group, that with the smallest doc_id; of several, that which stands first.
 
-    Rows with a null doc_id stay, once for each text."""
-    groups = minhash.near_duplicates(docs, common.alnum_words, k=5, percent=80)
-    keep = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "kept_id", "rows": "kept_rows"})
-    keep = Shared(spark).write(keep)
-    once, more = (docs.join(keep.where(x), docs.doc_id == keep.kept_id, "left_semi") for x in ("kept_rows = 1", "kept_rows > 1"))
-    if not keep.where("kept_rows > 1").isEmpty():
-        once = once.unionByName(more.dropDuplicates(["doc_id"]))
-    return once.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])).select(*docs.columns)
+    Documents without an id come after all others; texts without words, nulls among them, are copies of
+    nothing and stay; an empty table stays empty."""
+    rows, place = numbered(docs, Shared(spark))
+    groups = minhash.near_duplicates(rows, common.alnum_hashes, k=5, percent=80, carry=tuple(place))
+    first = groups.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *place)).alias("first"))
+    keep = first.select(*(F.col(f"first.{c}").alias(c) for c in place)).unionByName(groups.where("root is null").select(*place))
+    return rows.join(keep, place, "left_semi").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten consecutive words of a benchmark item."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
-    bad = found.where("contaminated").select(F.col("key").alias("leak_key")).distinct()
-    return docs.withColumn("leak_key", F.xxhash64("text")).join(bad, "leak_key", "left_anti").select(*docs.columns)
+    """Documents without any ten consecutive words of a benchmark item.
+
+    A null text has no words and stays; without items all stay."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, carry=tuple(docs.columns))
+    return found.where("not contaminated").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    taken, _ = mixing.mix_sources(docs, F.array("source"))
-    copies = taken.groupBy(F.col("key").alias("mix_key")).agg(F.sum("copies").cast("int").alias("mix_copies"), F.count("*").alias("mix_rows")).where("mix_copies > 0")
-    picked = docs.withColumn("mix_key", mixing.pick_key(17)).join(copies, "mix_key")
-    again = picked.where("mix_rows > 1").dropDuplicates(["mix_key"])  # rows that agree in id and text are counted together
-    both = picked.where("mix_rows = 1").unionByName(again)
-    return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("mix_copy")).select(*docs.columns)
+    """Documents as often as the mix takes them, not at all, once or twice.
+
+    A text without words has size 0 and is taken like others of its source; a null source is a source;
+    documents that tie in the order of selection go by id and text; an empty table stays empty."""
+    rows, place = numbered(docs, Shared(spark))
+    taken, _ = mixing.mix_sources(rows, F.array("source"), carry=tuple(place))
+    copies = taken.where("copies > 0").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(place)), F.col("copies").cast("int").alias(f"{place[0]}_copies"))
+    picked = rows.join(copies, place)
+    return picked.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(f"{place[0]}_copies"))).alias(f"{place[0]}_copy")).select(*docs.columns)
 
 
 def store(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of all texts in the store, read back: doc_id, start, n_tokens, ids_crc32."""
+    """Ids of all texts in the store, read back: doc_id, start, n_tokens, ids_crc32.
+
+    A null text is an empty one, of the end id alone; rows of one id each have their place, in the order
+    of their texts; an empty table gives no rows."""
     shards = Shared(spark).write(token_store.encode_shards(docs, queries.tokenizer_path(), queries.END_ID))
     return token_store.read_documents(shards)
 

@@ -23,5 +23,7 @@ def durable(df: DataFrame) -> DataFrame:
     The folder is the session's spark.checkpoint.dir; a temporary one is set only where there is none."""
     context = df.sparkSession.sparkContext
     if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spanforge-"))
     return df.checkpoint()
