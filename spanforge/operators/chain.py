@@ -108,35 +108,34 @@ def fold(sections: DataFrame, changes: DataFrame) -> DataFrame:
     """Sections (set_id, section, body) after all changes in order: set_id, section, body, source (the document
     that wrote it last, null for the base) and unapplied, the reasons of changes that found no place.
 
-    The changes of one section are applied in one task: they are as many as a chain's amendments."""
-    a = sections.select("set_id", "section", F.col("body").alias("text"), F.lit(None).cast("string").alias("doc_id"), F.lit(-1).alias("ord"), F.lit(-1).alias("seq"), F.lit("base").alias("kind"), F.lit(None).cast("string").alias("old"))
-    b = changes.select("set_id", "section", F.col("new").alias("text"), "doc_id", "ord", "seq", "kind", "old")
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        body: str | None = None
-        source, unapplied = None, []
-        for r in f.sort_values(["ord", "seq"]).itertuples():
-            if r.kind == "base":
-                body = r.text
-                continue
-            if body is None and r.kind != "restate":
-                unapplied.append(f"{r.doc_id}: no section")
-                continue
-            if r.kind == "restate":
-                body = r.text
-            elif r.kind == "replace":
-                if r.old not in body:
-                    unapplied.append(f"{r.doc_id}: text not found")
-                    continue
-                body = body.replace(r.old, r.text or "", 1)
-            elif r.kind == "delete":
-                body = ""
-            elif r.kind == "insert":
-                body = f"{body} {r.text}".strip()
-            source = r.doc_id
-        return pd.DataFrame({"set_id": [f.set_id.iloc[0]], "section": [f.section.iloc[0]], "body": [body], "source": [source], "unapplied": ["; ".join(unapplied)]})
-
-    return a.unionByName(b).groupBy("set_id", "section").applyInPandas(run, "set_id string, section string, body string, source string, unapplied string")
+    The changes of one section are applied one after the other, as one fold over an array of them."""
+    a = sections.select("set_id", "section", F.struct(F.lit(-1).alias("ord"), F.lit(-1).alias("seq"), F.lit("base").alias("kind"), F.lit(None).cast("string").alias("old"), F.col("body").alias("new"), F.lit(None).cast("string").alias("doc_id")).alias("change"))
+    b = changes.select("set_id", "section", F.struct("ord", "seq", "kind", "old", "new", "doc_id").alias("change"))
+    first = F.struct(F.lit(None).cast("string").alias("body"), F.lit(None).cast("string").alias("source"), F.lit("").alias("unapplied"))
+
+    def state(body: Column, source: Column, unapplied: Column) -> Column:
+        return F.struct(body.alias("body"), source.alias("source"), unapplied.alias("unapplied"))
+
+    def apply(s: Column, c: Column) -> Column:
+        def fails(why: str) -> Column:
+            told = F.concat(c["doc_id"], F.lit(f": {why}"))
+            return state(s["body"], s["source"], F.when(s["unapplied"] == "", told).otherwise(F.concat(s["unapplied"], F.lit("; "), told)))
+
+        at = F.call_function("locate", c["old"], s["body"])
+        replaced = F.concat(F.left(s["body"], at - 1), F.coalesce(c["new"], F.lit("")), F.substr(s["body"], at + F.length(c["old"])))
+        return (
+            F.when(c["kind"] == "base", state(c["new"], s["source"], s["unapplied"]))
+            .when(c["kind"] == "restate", state(c["new"], c["doc_id"], s["unapplied"]))
+            .when(s["body"].isNull(), fails("no section"))
+            .when((c["kind"] == "replace") & (F.coalesce(at, F.lit(0)) == 0), fails("text not found"))
+            .when(c["kind"] == "replace", state(replaced, c["doc_id"], s["unapplied"]))
+            .when(c["kind"] == "delete", state(F.lit(""), c["doc_id"], s["unapplied"]))
+            .when(c["kind"] == "insert", state(F.trim(F.concat(s["body"], F.lit(" "), F.coalesce(c["new"], F.lit("")))), c["doc_id"], s["unapplied"]))
+            .otherwise(s)
+        )
+
+    ordered = a.unionByName(b).groupBy("set_id", "section").agg(F.sort_array(F.collect_list("change")).alias("changes"))
+    return ordered.select("set_id", "section", F.aggregate("changes", first, apply).alias("s")).select("set_id", "section", "s.*")
 
 
 def findings(chain: DataFrame, changes: DataFrame, sections: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 Reaching is a loop of joins: each level joins the last level's new nodes to the edges and leaves
 out what was reached before. Every level is kept in the checkpoint folder, so plans stay short and
-the loop ends with the first empty level. Depths are capped as the definitions themselves are (DEPTH).
+the loop ends with the first empty level. Only closure, which feeds texts of definitions, has a cap
+(DEPTH, the definitions' own); cycles, components, external references and statistics follow ways of any length.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,14 +19,14 @@ from spanforge.session import durable
 DEPTH = 8
 
 
-def closure(edges: DataFrame, starts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(start, node, depth): all nodes that a start reaches within depth steps, at their least depth.
+def closure(edges: DataFrame, starts: DataFrame, depth: int | None = DEPTH) -> DataFrame:
+    """(start, node, depth): all nodes that a start reaches within depth steps (None: any number), at their least depth.
 
     starts: column start. A start reaches itself at depth 0."""
     e = durable(edges.select("src", "dst").distinct())
     level = durable(starts.select("start", F.col("start").alias("node")).distinct().withColumn("depth", F.lit(0)))
     out = level
-    for d in range(1, depth + 1):
+    for d in count(1) if depth is None else range(1, depth + 1):
         step = level.join(e, level.node == e.src).select("start", F.col("dst").alias("node")).distinct()
         level = durable(step.join(out.select("start", "node"), ["start", "node"], "left_anti").withColumn("depth", F.lit(d)))
         if level.isEmpty():
@@ -32,37 +35,37 @@ def closure(edges: DataFrame, starts: DataFrame, depth: int = DEPTH) -> DataFram
     return out
 
 
-def on_cycles(edges: DataFrame, depth: int = DEPTH) -> DataFrame:
+def on_cycles(edges: DataFrame) -> DataFrame:
     """Nodes that reach themselves, with the length of the shortest way back."""
     e = edges.select("src", "dst").distinct()
     first = e.select(F.col("src").alias("start"), F.col("dst").alias("start_next"))
-    reach = closure(e, first.select(F.col("start_next").alias("start")).distinct(), depth - 1)
+    reach = closure(e, first.select(F.col("start_next").alias("start")).distinct(), None)
     back = first.join(reach, (reach.start == first.start_next) & (reach.node == first.start)).groupBy(first.start.alias("node")).agg((F.min("depth") + 1).alias("length"))
     return back
 
 
-def mutual(edges: DataFrame, depth: int = DEPTH) -> DataFrame:
+def mutual(edges: DataFrame) -> DataFrame:
     """(node, component): nodes that reach one another carry their group's smallest node."""
     e = edges.select("src", "dst").distinct()
     nodes = e.select(F.col("src").alias("start")).unionByName(e.select(F.col("dst").alias("start"))).distinct()
-    r = closure(e, nodes, depth).select("start", "node")
+    r = closure(e, nodes, None).select("start", "node")
     both = r.join(r.select(F.col("start").alias("node"), F.col("node").alias("start")), ["start", "node"])
     return both.groupBy(F.col("start").alias("node")).agg(F.min("node").alias("component"))
 
 
-def external_references(edges: DataFrame, starts: DataFrame, external: DataFrame, depth: int = DEPTH) -> DataFrame:
+def external_references(edges: DataFrame, starts: DataFrame, external: DataFrame) -> DataFrame:
     """(start, node, depth) of external nodes on the way from a start other than itself."""
-    return closure(edges, starts, depth).where("depth > 0").join(external.select("node"), "node", "left_semi")
+    return closure(edges, starts, None).where("depth > 0").join(external.select("node"), "node", "left_semi")
 
 
-def stats(edges: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Terms, edges, longest of the shortest ways within depth, terms on cycles."""
+def stats(edges: DataFrame) -> DataFrame:
+    """Terms, edges, longest of the shortest ways, terms on cycles."""
     e = edges.select("src", "dst").distinct()
     nodes = e.select(F.col("src").alias("start")).unionByName(e.select(F.col("dst").alias("start"))).distinct()
     a = e.agg(F.count("*").alias("edges"))
     b = nodes.agg(F.count("*").alias("terms"))
-    c = closure(e, nodes, depth).agg(F.max("depth").alias("max_depth"))
-    d = on_cycles(e, depth).agg(F.count("*").alias("on_cycles"))
+    c = closure(e, nodes, None).agg(F.max("depth").alias("max_depth"))
+    d = on_cycles(e).agg(F.count("*").alias("on_cycles"))
     return a.join(b).join(c).join(d)  # one row each
 
 

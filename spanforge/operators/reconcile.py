@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.functions.scalars import jaccard
+from spanforge.session import durable
 
 SUPPORT_FLOOR = 2
 CONFIDENT = ["confirmed", "absent_from_document", "external_reference", "conflicted"]
@@ -80,3 +81,13 @@ def review_queue(fields: DataFrame) -> DataFrame:
     """Fields that a person must see, gravest first, least certain first; a conflict shows no value."""
     shown = F.when(F.col("status") != "conflicted", F.col("value"))
     return fields.where(F.col("status").isin("needs_review", "conflicted")).withColumn("value", shown).orderBy(F.desc("criticality"), F.coalesce("confidence", F.lit(0)))
+
+
+def queue(items: DataFrame, order: list[str]) -> DataFrame:
+    """The items with their place in an order, counted from 1: sorted by ranges, numbered within each, and moved by the
+    sizes of the ranges before, which are few."""
+    part, place = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    kept = durable(items.orderBy(*order)).withColumns({"_part": part, "_at": place})
+    before = F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = kept.groupBy("_part").agg(F.count("*").alias("n")).select("_part", before.alias("_before"))
+    return kept.join(F.broadcast(sizes), "_part").withColumn("place", F.col("_at") + F.col("_before") + 1).drop("_part", "_at", "_before")

@@ -11,7 +11,7 @@ from spanforge.operators import extract as X
 from spanforge.operators import reconcile as R
 from spanforge.plans.base import query, read
 from spanforge.plans.record_queries import ROWS, schedule
-from spanforge.plans.registry import ANCHORS, KINDS
+from spanforge.plans.registry import ANCHORS, FIELDS, KINDS
 from spanforge.sources import files
 
 
@@ -131,10 +131,10 @@ def chains(spark, sf_dir):
     head = F.when(F.col("n") == 1, F.lit("CREDIT AGREEMENT")).otherwise(F.concat(F.lit("AMENDMENT NO. "), (F.col("n") - 1).cast("string"), F.lit(" TO CREDIT AGREEMENT")))
     change = F.when(F.col("n") > 1, F.concat(F.lit("\n\nSection 2.09 of the Credit Agreement is amended by deleting “rate "), (F.col("n") - 1).cast("string"), F.lit("” and inserting “rate "), F.col("n").cast("string"), F.lit("” in its place."))).otherwise("")
     text = F.concat(head, F.lit(" dated as of "), day, change)
-    return o.where("n <= 12").select(F.col("o_custkey").cast("string").alias("set_id"), F.lpad(F.col("n").cast("string"), 3, "0").alias("doc_id"), text.alias("text"))
+    return o.select(F.col("o_custkey").cast("string").alias("set_id"), F.lpad(F.col("n").cast("string"), 9, "0").alias("doc_id"), text.alias("text"))
 
 
-CHAIN = "chain AS (SELECT CAST(o_custkey AS VARCHAR) AS set_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, CAST(o_orderdate AS DATE) AS day FROM orders QUALIFY n <= 12)"
+CHAIN = "chain AS (SELECT CAST(o_custkey AS VARCHAR) AS set_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, CAST(o_orderdate AS DATE) AS day FROM orders)"
 
 
 def read_chain(spark, sf_dir):
@@ -143,22 +143,22 @@ def read_chain(spark, sf_dir):
     return C.ordered(c.withColumns({"role": kind, "amendment_number": number, "effective_date": C.effective_date(F.col("text"))}))
 
 
-@query(f"WITH {CHAIN} SELECT set_id, lpad(CAST(n AS VARCHAR), 3, '0') AS doc_id, CASE WHEN n = 1 THEN 'base' ELSE 'amendment' END AS role, CASE WHEN n > 1 THEN CAST(n - 1 AS INT) END AS amendment_number, day AS effective_date FROM chain")
+@query(f"WITH {CHAIN} SELECT set_id, lpad(CAST(n AS VARCHAR), 9, '0') AS doc_id, CASE WHEN n = 1 THEN 'base' ELSE 'amendment' END AS role, CASE WHEN n > 1 THEN CAST(n - 1 AS INT) END AS amendment_number, day AS effective_date FROM chain")
 def chain_roles(spark, sf_dir):
     return read_chain(spark, sf_dir).select("set_id", "doc_id", "role", "amendment_number", "effective_date")
 
 
-@query(f"WITH {CHAIN} SELECT set_id, lpad(CAST(n AS VARCHAR), 3, '0') AS doc_id, CAST(row_number() OVER (PARTITION BY set_id ORDER BY day, CASE WHEN n = 1 THEN 0 ELSE n - 1 END, lpad(CAST(n AS VARCHAR), 3, '0')) AS INT) AS ord FROM chain")
+@query(f"WITH {CHAIN} SELECT set_id, lpad(CAST(n AS VARCHAR), 9, '0') AS doc_id, CAST(row_number() OVER (PARTITION BY set_id ORDER BY day, CASE WHEN n = 1 THEN 0 ELSE n - 1 END, lpad(CAST(n AS VARCHAR), 9, '0')) AS INT) AS ord FROM chain")
 def chain_order(spark, sf_dir):
     return read_chain(spark, sf_dir).select("set_id", "doc_id", "ord")
 
 
-@query(f"WITH {CHAIN} SELECT set_id, lpad(CAST(n AS VARCHAR), 3, '0') AS doc_id, 'replace' AS kind, '2.09' AS section, concat('rate ', n - 1) AS old, concat('rate ', n) AS new FROM chain WHERE n > 1")
+@query(f"WITH {CHAIN} SELECT set_id, lpad(CAST(n AS VARCHAR), 9, '0') AS doc_id, 'replace' AS kind, '2.09' AS section, concat('rate ', n - 1) AS old, concat('rate ', n) AS new FROM chain WHERE n > 1")
 def amendment_effects(spark, sf_dir):
     return C.effects(read_chain(spark, sf_dir).where("role = 'amendment'")).select("set_id", "doc_id", "kind", "section", "old", "new")
 
 
-@query(f"WITH {CHAIN}, m AS (SELECT set_id, max(n) AS n FROM chain GROUP BY set_id) SELECT set_id, concat('The rate ', n, ' applies.') AS body, CASE WHEN n > 1 THEN lpad(CAST(n AS VARCHAR), 3, '0') END AS source FROM m")
+@query(f"WITH {CHAIN}, m AS (SELECT set_id, max(n) AS n FROM chain GROUP BY set_id) SELECT set_id, concat('The rate ', n, ' applies.') AS body, CASE WHEN n > 1 THEN lpad(CAST(n AS VARCHAR), 9, '0') END AS source FROM m")
 def operative_text(spark, sf_dir):
     """The section after all amendments, in the order of their numbers."""
     c = read_chain(spark, sf_dir).withColumn("ord", F.coalesce("amendment_number", F.lit(0)).cast("int"))
@@ -192,9 +192,9 @@ def numeral_words(spark, sf_dir):
     return K.found_by("numeral_and_words_agree", {"clauses": c}).select("doc_id", "detail")
 
 
-@query("SELECT field, kind, field_class, criticality FROM (VALUES ('closing_date', 'date', 'dates', 5)) v(field, kind, field_class, criticality)")
+@query("SELECT field, kind, field_class, CAST(criticality AS INT) AS criticality FROM (VALUES {}) v(field, kind, field_class, criticality)".format(", ".join(f"('{a}', '{b}', '{c}', {d})" for a, b, c, d in FIELDS)))
 def field_registry(spark, sf_dir):
-    return X.registry(spark).where("field = 'closing_date'")
+    return X.registry(spark)
 
 
 def fields_of(spark, sf_dir):

@@ -67,13 +67,10 @@ def name_fragments(spark, sf_dir):
     return R.fragments_dropped(v, ["k"])
 
 
-@query("""SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderpriority, o_totalprice, o_orderkey) AS INT) AS place FROM orders QUALIFY place <= 20""")
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_totalprice, o_orderkey) AS place FROM orders""")
 def review_queue(spark, sf_dir):
-    """The top of the queue: a report of twenty rows."""
-    o = read(spark, sf_dir, "orders").orderBy("o_orderpriority", "o_totalprice", "o_orderkey").limit(20)
-    from pyspark.sql import Window as W
-
-    return o.select("o_orderkey", F.row_number().over(W.orderBy("o_orderpriority", "o_totalprice", "o_orderkey")).alias("place"))
+    """The whole queue with each item's place."""
+    return R.queue(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority", "o_totalprice", "o_orderkey"]).select("o_orderkey", "place")
 
 
 STATE = "o_totalprice >= 150_000 and (o_orderstatus in [F, P] or not o_orderpriority == '1-URGENT')"
@@ -101,12 +98,12 @@ def variant_as_of(spark, sf_dir):
     return read(spark, sf_dir, "orders").where(ok).groupBy("o_custkey").agg(F.min("o_orderkey").alias("governing"))
 
 
-@query("""WITH v AS (SELECT o_custkey, o_orderkey AS k, CAST(o_orderdate AS DATE) AS since, CAST(o_orderdate AS DATE) + 200 AS until FROM orders WHERE o_orderkey % 3 = 0)
+@query("""WITH v AS (SELECT o_custkey, o_orderkey AS k, CAST(o_orderdate AS DATE) AS since, CAST(o_orderdate AS DATE) + 200 AS until FROM orders)
 SELECT a.o_custkey, a.k AS first_key, b.k AS second_key FROM v a JOIN v b ON a.o_custkey = b.o_custkey AND a.k < b.k AND a.since <= b.until AND b.since <= a.until""")
 def variant_overlaps(spark, sf_dir):
     """Unconditional variants of one field whose windows overlap."""
     d = F.col("o_orderdate").cast("date")
-    v = read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select("o_custkey", F.col("o_orderkey").alias("k"), d.alias("since"), F.date_add(d, 200).alias("until"))
+    v = read(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("k"), d.alias("since"), F.date_add(d, 200).alias("until"))
     b = v.select("o_custkey", F.col("k").alias("k2"), F.col("since").alias("since2"), F.col("until").alias("until2"))
     return v.join(b, "o_custkey").where("k < k2 and since <= until2 and since2 <= until").select("o_custkey", F.col("k").alias("first_key"), F.col("k2").alias("second_key"))
 
@@ -194,19 +191,26 @@ def grid_bands(spark, sf_dir):
     return P.band_faults(read(spark, sf_dir, "part").select(F.col("p_brand").alias("doc_id"), F.col("p_size").alias("above"), upto.alias("upto")).distinct(), ["doc_id"])
 
 
-EDGES = "edges AS (SELECT DISTINCT l_suppkey AS src, (l_partkey * 7 + l_suppkey) % 100 + 1 AS dst FROM lineitem WHERE l_orderkey % 50 = l_suppkey % 50)"
+#: A term a customer: each uses the term of half its number, and those of the first nations the one of twice it.
+EDGES = "edges AS (SELECT c_custkey AS src, c_custkey // 2 AS dst FROM customer WHERE c_custkey >= 2 UNION SELECT c_custkey, c_custkey * 2 FROM customer WHERE c_nationkey < 5)"
 
 
 def edges(spark, sf_dir):
-    li = read(spark, sf_dir, "lineitem").where("l_orderkey % 50 = l_suppkey % 50")
-    return li.select(F.col("l_suppkey").alias("src"), ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % 100 + 1).alias("dst")).distinct()
+    c = read(spark, sf_dir, "customer")
+    up = c.where("c_custkey >= 2").select(F.col("c_custkey").alias("src"), F.expr("c_custkey div 2").alias("dst"))
+    return up.union(c.where("c_nationkey < 5").select("c_custkey", F.col("c_custkey") * 2)).distinct()
+
+
+def closed(depth: int) -> str:
+    """Reaching within depth steps; 64 are more than any shortest way here has."""
+    return f"""WITH RECURSIVE {EDGES}, nodes AS (SELECT src AS start FROM edges UNION SELECT dst FROM edges),
+r AS (SELECT start, start AS node, 0 AS depth FROM nodes UNION SELECT r.start, e.dst, r.depth + 1 FROM r JOIN edges e ON r.node = e.src WHERE r.depth < {depth}), c AS (SELECT start, node, min(depth) AS depth FROM r GROUP BY start, node)"""
 
 
-CLOSED = f"""WITH RECURSIVE {EDGES}, nodes AS (SELECT src AS start FROM edges UNION SELECT dst FROM edges),
-r AS (SELECT start, start AS node, 0 AS depth FROM nodes UNION SELECT r.start, e.dst, r.depth + 1 FROM r JOIN edges e ON r.node = e.src WHERE r.depth < 8), c AS (SELECT start, node, min(depth) AS depth FROM r GROUP BY start, node)"""
+CLOSED = closed(64)
 
 
-@query(f"{CLOSED} SELECT start, node, CAST(depth AS INT) AS depth FROM c")
+@query(f"{closed(8)} SELECT start, node, CAST(depth AS INT) AS depth FROM c")
 def definition_closure(spark, sf_dir):
     e = edges(spark, sf_dir)
     starts = e.select(F.col("src").alias("start")).unionByName(e.select(F.col("dst").alias("start"))).distinct()
@@ -221,7 +225,7 @@ def external_refs(spark, sf_dir):
     return G.external_references(e, ends, external).select("start", "node", "depth")
 
 
-@query(f"{CLOSED}, b AS (SELECT e.src AS node, min(c.depth) + 1 AS length FROM edges e JOIN c ON c.start = e.dst AND c.node = e.src AND c.depth <= 7 GROUP BY e.src) SELECT node, CAST(length AS INT) AS length FROM b")
+@query(f"{CLOSED}, b AS (SELECT e.src AS node, min(c.depth) + 1 AS length FROM edges e JOIN c ON c.start = e.dst AND c.node = e.src GROUP BY e.src) SELECT node, CAST(length AS INT) AS length FROM b")
 def definition_cycles(spark, sf_dir):
     return G.on_cycles(edges(spark, sf_dir))
 
@@ -232,7 +236,7 @@ def reachability_components(spark, sf_dir):
 
 
 @query(f"""{CLOSED} SELECT (SELECT count(*) FROM edges) AS edges, (SELECT count(*) FROM nodes) AS terms, (SELECT CAST(max(depth) AS INT) FROM c) AS max_depth,
-  (SELECT count(DISTINCT e.src) FROM edges e JOIN c ON c.start = e.dst AND c.node = e.src AND c.depth <= 7) AS on_cycles""")
+  (SELECT count(DISTINCT e.src) FROM edges e JOIN c ON c.start = e.dst AND c.node = e.src) AS on_cycles""")
 def graph_stats(spark, sf_dir):
     return G.stats(edges(spark, sf_dir))
 

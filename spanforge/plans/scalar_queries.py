@@ -224,9 +224,9 @@ def hash_rank(spark, sf_dir):
 
 
 @query("""
-SELECT doc_id, replace(replace(translate(text, '“”‘’–—', '""''''--'), 'ﬁ', 'fi'), 'ﬂ', 'fl') AS folded FROM (SELECT doc_id, concat('“', left(text, 40), '” – ofﬁce ‘x’') AS text FROM documents)""")
+SELECT doc_id, replace(replace(translate(text, '“”‘’–—', '""''''--'), 'ﬁ', 'fi'), 'ﬂ', 'fl') AS folded FROM (SELECT doc_id, concat('“', coalesce(text, ''), '” – ofﬁce ‘x’') AS text FROM documents)""")
 def char_fold(spark, sf_dir):
-    text = F.concat(F.lit("“"), F.left("text", F.lit(40)), F.lit("” – ofﬁce ‘x’"))
+    text = F.concat(F.lit("“"), F.coalesce("text", F.lit("")), F.lit("” – ofﬁce ‘x’"))
     return read(spark, sf_dir, "documents").select("doc_id", S.fold(text).alias("folded"))
 
 

@@ -174,11 +174,11 @@ def text_pages(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("page", "text"))
 
 
-@query("""WITH q AS (SELECT doc_id, text, substr(text, 11, 25) AS quote FROM documents WHERE length(text) >= 60)
+@query("""WITH q AS (SELECT doc_id, text, substr(text, 11, 25) AS quote FROM documents WHERE length(text) >= 11)
 SELECT doc_id, CAST(strpos(text, quote) - 1 AS INT) AS start, strpos(regexp_replace(text, '\\s+', ' ', 'g'), regexp_replace(quote, '\\s+', ' ', 'g')) > 0 AS loosely FROM q""")
 def quote_offsets(spark, sf_dir):
-    """Where a quotation stands: exactly, or with white space collapsed."""
-    d = read(spark, sf_dir, "documents").where("length(text) >= 60").withColumn("quote", F.substring("text", 11, 25))
+    """Where a quotation from the eleventh character on stands, in every text that has one: exactly, or with white space collapsed."""
+    d = read(spark, sf_dir, "documents").where("length(text) >= 11").withColumn("quote", F.substring("text", 11, 25))
     loose = F.expr(r"locate(regexp_replace(quote, '\\s+', ' '), regexp_replace(text, '\\s+', ' '))")
     return d.select("doc_id", (F.expr("locate(quote, text)") - 1).alias("start"), (loose > 0).alias("loosely"))
 
