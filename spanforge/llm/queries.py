@@ -97,6 +97,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from spanforge.llm import decontaminate
+    from spanforge.llm import decontaminate, minhash
 
-    return {"op4_decontaminate": decontaminate.SQL}
+    return {"op4_decontaminate": decontaminate.SQL, "op9_minhash": minhash.SQL}
