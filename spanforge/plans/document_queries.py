@@ -70,6 +70,20 @@ def rule_readings(spark, sf_dir):
     return X.rule_readings(agreements(spark, sf_dir)).select("doc_id", "field", "key", "confidence")
 
 
+@query("""SELECT c_custkey AS doc_id, f AS field, CASE f WHEN 'facility.governing_law' THEN CASE c_custkey % 3 WHEN 2 THEN 'english' ELSE 'new york' END ELSE lower(concat(CASE f WHEN 'borrower.legal_name' THEN 'Alpha' WHEN 'guarantor.legal_name' THEN 'Beta' ELSE 'Gamma' END, ' ', c_custkey, CASE f WHEN 'administrative_agent.legal_name' THEN ' Bank' ELSE ', Inc.' END)) END AS key
+FROM customer, (VALUES ('borrower.legal_name'), ('guarantor.legal_name'), ('administrative_agent.legal_name'), ('facility.governing_law')) v(f) WHERE f <> 'borrower.legal_name' OR c_custkey % 2 = 0""")
+def party_readings(spark, sf_dir):
+    """One borrower or, in every second agreement, three of them, who are not read as one; three forms of the governing law."""
+    k = F.col("c_custkey")
+    n = k.cast("string")
+    many = F.concat(F.lit("among Alpha "), n, F.lit(", Inc., Delta "), n, F.lit(", LLC and Omega "), n, F.lit(" Corporation, as Borrowers, "))
+    one = F.concat(F.lit("among Alpha "), n, F.lit(", Inc., a Delaware corporation, as Borrower, "))
+    law = F.when(k % 3 == 0, "governed by, and construed in accordance with, the laws of the State of New York").when(k % 3 == 1, "governed by the laws of the State of New York").otherwise("governed by and construed in accordance with English law")
+    text = F.concat(F.lit("CREDIT AGREEMENT "), F.when(k % 2 == 0, one).otherwise(many), F.lit("with Beta "), n, F.lit(", Inc., as Guarantor, and Gamma "), n, F.lit(" Bank, as Administrative Agent. It is "), law, F.lit("."))
+    got = X.rule_readings(read(spark, sf_dir, "customer").select(k.alias("doc_id"), text.alias("text")))
+    return got.select("doc_id", "field", "key")
+
+
 @query("""SELECT o_orderkey AS doc_id, t AS term FROM orders, (VALUES ('Closing Date'), ('Applicable Margin'), ('Base Amount')) v(t)""")
 def defined_terms(spark, sf_dir):
     return X.definitions(agreements(spark, sf_dir)).select("doc_id", "term")
