@@ -13,8 +13,14 @@ document is scored, by the whole of its text.
 
 Cases: null or empty texts have no features and get the model's base severity; null labels and
 labels without a document are left out; a document with several labels counts as toxic if one of
-them says so; without labels of both kinds nothing is rejected and all severities are 0; repeated
-rows each get a row; other columns are ignored.
+them says so; without labels of both kinds nothing is rejected and all severities are 0; very long texts
+are scored by all of their words; features of equal standing go by their name; a document at exactly one
+half is rejected; repeated rows each get a row; an empty table gives an empty result; other columns,
+whatever their names, are ignored.
+
+The labels are 0 and 1 alone, so the grades above 0 are made from the counts of marked words, which are
+features too: the upper threshold orders the toxic documents by how many such words they have and
+learns nothing that the labels say.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from pyspark.sql import functions as F
 
 from spanforge.llm.common import WORD_CACHE, Shared, alnum_words
 
+#: Labelled documents, and features, that the fit uses at most; documents and standard errors that a feature needs at least.
 SAMPLE = 20_000
 FEATURES = 4_096
 PREFIXES = (4, 5, 6)

@@ -84,6 +84,30 @@ def test_quality(spark, folder, docs):
         assert not (failed and r.kept)
 
 
+def test_quality_verdicts(spark, folder):
+    """Posteriors of a whole table against a plain expectation-maximisation over its documents one by one."""
+    import math
+
+    got = queries.op1_quality(spark, folder).collect()
+    votes = [tuple(r.votes) for r in got]
+    k = len(votes[0])
+    share = [sum(x < 0 for x in v) / max(1, sum(x != 0 for x in v)) for v in votes]
+    p = [min(0.9, max(0.1, 0.9 - 1.6 * b)) for b in share]
+    for _ in range(quality.ROUNDS):
+        seen = [[{-1: 2 / 3 + (c == 0), 0: 2 / 3, 1: 2 / 3 + (c == 1)} for c in (0, 1)] for _ in range(k)]
+        for v, x in zip(votes, p, strict=True):
+            for j, y in enumerate(v):
+                seen[j][0][y] += 1 - x
+                seen[j][1][y] += x
+        chance = [[{y: n / sum(d.values()) for y, n in d.items()} for d in by] for by in seen]
+        prior = min(0.98, max(0.02, (sum(p) + 4) / (len(p) + 5)))
+        odds = [math.log(prior / (1 - prior)) + sum(math.log(chance[j][1][y] / chance[j][0][y]) for j, y in enumerate(v)) for v in votes]
+        p = [1 / (1 + math.exp(-max(-500, min(500, o)))) for o in odds]
+    for r, x in zip(got, p, strict=True):
+        assert abs(r.quality - x) < 1e-3
+        assert r.kept == (not r.base_failed and r.quality >= 0.5)
+
+
 def test_quality_learns_accuracies():
     rng = random.Random(2)
     patterns = collections.Counter()
@@ -584,3 +608,54 @@ def test_pipeline(spark, folder):
     assert [n for n, _ in p.STAGES] == ["toxicity", "near_dedup", "decontaminate", "mix", "token_store"]
     got = p.run(spark, folder).collect()
     assert sum(r.n_tokens for r in got) == max(r.start + r.n_tokens for r in got)
+
+
+CLASH = ["key", "nid", "h", "size", "hash", "text_", "mix_key", "kept_id", "toxic", "severity", "grade", "contaminated", "n_words", "copies", "root", "id_", "c0", "place0", "row", "spanforge_row_file"]
+
+
+def test_pipeline_tells_rows_apart(spark, folder, tmp_path):
+    """One id on two texts, ids that are null, equal rows and columns of any name: every stage keeps what it should."""
+    import corpus_pipeline as p
+
+    rng = random.Random(11)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    same = fresh(40)
+    rows = [(1, fresh(40), "a"), (1, fresh(40), "a"), (2, same, "b"), (3, same, "b"), (2, same, None), (None, fresh(30), None), (None, fresh(30), None), (4, None, "a"), (5, "", "a"), (6, fresh(20_000), "c")]
+    d = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], SCHEMA)
+    for c in CLASH:
+        d = d.withColumn(c, F.lit("clash"))
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("benchmark", "labels"):
+        os.symlink(f"{SF}/{t}.parquet", f"{tmp_path}/{t}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    told = lambda df: sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in df.collect())
+    want = sorted((i is None, i or 0, t or "") for i, t, _ in rows)
+    for stage in (p.reject_toxic, p.drop_leaks):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert told(out) == want
+    one = p.drop_near_copies(spark, docs, str(tmp_path))
+    assert one.columns == docs.columns
+    assert told(one) == sorted((i is None, i or 0, t or "") for k, (i, t, _) in enumerate(rows) if k not in (3, 4))
+    mixed = p.mix(spark, docs, str(tmp_path))
+    assert mixed.columns == docs.columns
+    assert set(told(mixed)) <= set(want)
+    assert all(n <= 2 * want.count(x) for x, n in collections.Counter(told(mixed)).items())
+    assert {r.doc_id for r in p.run(spark, str(tmp_path)).collect()} <= {i for i, _, _ in rows}
+
+
+@pytest.mark.parametrize("name", ["op1_quality", "op2_licenses", "op3_mixing", "op4_decontaminate", "op7_toxicity", "op9_minhash", "op10_language"])
+def test_columns_of_any_name(name, spark, docs, tmp_path):
+    odd = docs.drop("n_chars").where("doc_id >= 9000 or doc_id < 60 or doc_id is null")
+    for k, d in enumerate((odd, odd.select("*", *[F.lit("clash").alias(c) for c in CLASH]))):
+        d.coalesce(1).write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        for t in ("benchmark", "labels"):
+            os.symlink(f"{SF}/{t}.parquet", f"{tmp_path}/{k}/{t}.parquet")
+    a, b = (sorted(map(str, queries.queries()[name](spark, f"{tmp_path}/{k}").collect())) for k in (0, 1))
+    assert a == b
+
+
+def test_empty_pipeline(spark, empty):
+    import corpus_pipeline as p
+
+    assert p.run(spark, empty).count() == 0
