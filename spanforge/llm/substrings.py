@@ -80,17 +80,21 @@ def anchors(runs: Runs, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs_near(h: np.ndarray, repeated) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the runs of MIN_WORDS words that hold an anchor whose key is in the filter."""
+    """Places and hashes of the runs of MIN_WORDS words whose anchors may be repeated.
+
+    A run begins two stretches of REACH pairs whose anchors have their keys within it, at its first word and
+    its second; if the run is repeated, so are both keys, and those without a key in the filter are left out."""
     runs = Runs(h)
     at, keys = anchors(runs, len(h))
-    n = max(0, len(h) - MIN_WORDS + 1)
+    n = len(h) - MIN_WORDS + 1
     at = at[repeated.test(keys)] if len(at) else at
-    if not n or not len(at):
+    if n <= 0 or not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, np.clip(at - (MIN_WORDS - ANCHOR), 0, n), 1)
-    np.add.at(edge, np.minimum(at + 1, n), -1)
-    near = np.flatnonzero(np.cumsum(edge)[:n] > 0)
+    pair = runs.of(2)
+    known = np.full(len(pair), np.iinfo(np.uint64).max)
+    known[at] = pair[at]
+    found = sliding(known, REACH, np.minimum) == sliding(pair, REACH, np.minimum)
+    near = np.flatnonzero(found[:n] & found[1 : n + 1])
     return near, runs.of(MIN_WORDS)[near]
 
 
