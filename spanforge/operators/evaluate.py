@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanforge.functions.scalars import wilson_lower
+from spanforge.functions.scalars import wilson_lower, wilson_upper
 
 #: A threshold that accepts nothing.
 NOTHING = 1.0001
@@ -27,14 +27,14 @@ def sweep(samples: DataFrame, keys: list[str]) -> DataFrame:
     """Every distinct rounded probability as a threshold: what it accepts, and the Wilson bound of that.
 
     Counts are summed for each probability first, so the running sum is over those, not over samples."""
-    by = samples.groupBy(*keys, F.round("p", 4).cast("decimal(6,4)").alias("t")).agg(F.count("*").alias("c"), F.count_if("correct").alias("k"))
+    by = samples.groupBy(*keys, F.round("p", 4).cast("decimal(6,4)").alias("t")).agg(F.count("*").alias("_c"), F.count_if("correct").alias("_k"))
     w = W.partitionBy(*keys).orderBy(F.desc("t")).rowsBetween(W.unboundedPreceding, 0)
-    run = by.withColumns({"n": F.sum("c").over(w), "right": F.sum("k").over(w)})
+    run = by.withColumns({"n": F.sum("_c").over(w), "right": F.sum("_k").over(w)})
     return run.select(*keys, "t", "n", "right", wilson_lower(F.col("right"), F.col("n")).cast("decimal(12,8)").alias("bound"))
 
 
-def fit(samples: DataFrame, keys: list[str], target: float) -> DataFrame:
-    """The lowest threshold whose bound reaches the target; else the best bound, the higher of ties.
+def fit(samples: DataFrame, keys: list[str], target: float | Column) -> DataFrame:
+    """The lowest threshold whose bound reaches the target, a number or one of the keys; else the best bound, the higher of ties.
 
     Where nothing is right the threshold accepts nothing."""
     s = sweep(samples, keys)
@@ -45,13 +45,56 @@ def fit(samples: DataFrame, keys: list[str], target: float) -> DataFrame:
     return j.select(*keys, t.cast("decimal(6,4)").alias("threshold"), F.col("t_ok").isNotNull().alias("met"))
 
 
-def holdout(names: DataFrame, stratum: str, name: str, one_in: int = 3) -> DataFrame:
-    """fit or holdout: in each stratum of two or more, the first third by hash is held out."""
+def holdout(names: DataFrame, stratum: str, name: str, one_in: int = 3, contaminated: Column | None = None) -> DataFrame:
+    """fit or holdout: in each stratum of two or more, the first third by hash is held out, at least one.
+
+    Contaminated documents were looked at while rules were written: they are never held out and don't count."""
     w = W.partitionBy(stratum)
-    ranked = names.withColumns({"_n": F.count("*").over(w), "_r": F.row_number().over(w.orderBy(F.sha2(F.col(name), 256), name))})
-    quota = F.greatest(F.lit(1), F.floor(F.col("_n") / one_in))
-    side = F.when((F.col("_n") >= 2) & (F.col("_r") <= quota), "holdout").otherwise("fit")
-    return ranked.withColumn("side", side).drop("_n", "_r")
+    bad = F.lit(False) if contaminated is None else F.coalesce(contaminated, F.lit(False))
+    flagged = names.withColumn("_bad", bad).withColumns({"_n": F.count("*").over(w), "_e": F.count_if(~F.col("_bad")).over(w)})
+    ranked = flagged.withColumn("_r", F.row_number().over(w.orderBy("_bad", F.sha2(F.col(name), 256), name)))
+    quota = F.greatest(F.lit(1), F.floor(F.col("_e") / one_in))
+    side = F.when(~F.col("_bad") & (F.col("_n") >= 2) & (F.col("_r") <= quota), "holdout").otherwise("fit")
+    return ranked.withColumn("side", side).drop("_n", "_r", "_e", "_bad")
+
+
+#: The sets of wrong values that a class is fitted against, each within the next, and the least threshold of a class without any.
+FITS = {"labelled": ["labelled"], "off_text": ["labelled", "off_text"], "in_text": ["labelled", "off_text", "in_text", "other_facility"]}
+MISTAKES = ["in_text", "other_facility"]
+DEFAULT_THRESHOLD = 0.8
+
+
+def weighted(samples: DataFrame, keys: list[str], target: float) -> DataFrame:
+    """keys, weighted: the lowest probability whose expected precision reaches the target, if wrong values come at the highest rate that the labels allow.
+
+    samples: kind, p, correct. It must lie above every value that the text does not hold; null if there is none.
+    Counts are summed for each probability first, so the running sums are over those."""
+    labelled = F.col("kind") == "labelled"
+    right, wrong = labelled & F.col("correct"), F.col("kind").isin(MISTAKES) | (labelled & ~F.col("correct"))
+    t = F.round("p", 4).cast("decimal(6,4)")
+    by = samples.groupBy(*keys, t.alias("t")).agg(F.count_if(right).alias("r"), F.count_if(wrong).alias("w"), F.count_if(labelled & ~F.col("correct")).alias("lw"), F.count_if(labelled).alias("l"), F.count_if(F.col("kind") == "off_text").alias("off"))
+    whole = W.partitionBy(*keys)
+    down = whole.orderBy(F.desc("t")).rowsBetween(W.unboundedPreceding, 0)
+    run = by.withColumns({"q_r": F.sum("r").over(down) / F.sum("r").over(whole), "q_w": F.sum("w").over(down) / F.sum("w").over(whole), "rate": wilson_upper(F.sum("lw").over(whole), F.sum("l").over(whole)), "floor": F.max(F.when(F.col("off") > 0, F.col("t"))).over(whole)})
+    precision = F.try_divide((1 - F.col("rate")) * F.col("q_r"), (1 - F.col("rate")) * F.col("q_r") + F.col("rate") * F.col("q_w"))
+    ok = (F.col("r") + F.col("w") > 0) & (F.col("t") > F.coalesce("floor", F.lit(-1))) & (F.col("q_r") > 0) & (precision + 1e-9 >= target)
+    return run.groupBy(*keys).agg(F.min(F.when(ok, F.col("t"))).alias("weighted"))
+
+
+def fit_classes(samples: DataFrame, keys: list[str], target: float) -> DataFrame:
+    """keys, agreed, adopted: one threshold for each class, fitted against three sets of wrong values.
+
+    All three must have samples; where they differ, the weighted threshold is taken, if there is one. A fit that saw nothing
+    wrong is no lower than the default."""
+    sets = F.create_map(*[x for kind in ("labelled", "off_text", *MISTAKES) for x in (F.lit(kind), F.array(*(F.lit(n) for n, kinds in FITS.items() if kind in kinds)))])
+    each = samples.withColumn("fit", F.explode(F.try_element_at(sets, F.col("kind"))))
+    clean = each.groupBy(*keys, "fit").agg(F.bool_and("correct").alias("clean"))
+    t = F.when(F.col("clean") & (F.col("threshold") < DEFAULT_THRESHOLD), F.lit(DEFAULT_THRESHOLD).cast("decimal(6,4)")).otherwise(F.col("threshold"))
+    fits = fit(each, [*keys, "fit"], target).join(clean, [*keys, "fit"]).withColumn("t", t)
+    three = fits.groupBy(*keys).agg(F.count("*").alias("n"), F.min("t").alias("low"), F.max("t").alias("high"))
+    agreed = (F.col("n") == len(FITS)) & (F.col("low") == F.col("high"))
+    adopted = F.when(agreed, F.col("low")).when(F.col("n") == len(FITS), F.col("weighted"))
+    return three.join(weighted(samples, keys, target), keys, "left").select(*keys, agreed.alias("agreed"), adopted.alias("adopted"))
 
 
 def families(outcomes: DataFrame, register: DataFrame) -> DataFrame:

@@ -21,11 +21,12 @@ def attached_unit(kind: Column, value: Column) -> Column:
 
 
 def value_match(kind: Column, expected: Column, observed: Column) -> Column:
-    """Whether a text says the expected value: numbers exactly, percentages and ratios nearly, dates by their first ten characters, else by letters alone."""
+    """Whether a text says the expected value: numbers exactly, percentages and ratios nearly, dates by their first ten characters, else by words without regard to case. Nulls match each other."""
+    words = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
     a, b = expected.try_cast("decimal(38,10)"), observed.try_cast("decimal(38,10)")
     near = F.abs(a - b) <= F.lit(CLOSE).cast("decimal(38,10)")
-    by = F.when(kind.isin("money", "int"), a == b).when(kind.isin("percent", "ratio"), near).when(kind == "date", F.left(expected, F.lit(10)) == F.left(observed, F.lit(10))).otherwise(F.lower(F.trim(expected)) == F.lower(F.trim(observed)))
-    return F.coalesce(by, F.lit(False))
+    by = F.when(kind.isin("money", "int"), a == b).when(kind.isin("percent", "ratio"), near).when(kind == "date", F.left(expected, F.lit(10)) == F.left(observed, F.lit(10))).otherwise(words(expected) == words(observed))
+    return F.when(expected.isNull() | observed.isNull(), expected.isNull() & observed.isNull()).otherwise(F.coalesce(by, F.lit(False)))
 
 
 def restored(kind: Column, text: Column) -> Column:
