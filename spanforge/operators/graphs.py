@@ -36,21 +36,50 @@ def closure(edges: DataFrame, starts: DataFrame, depth: int | None = DEPTH) -> D
 
 
 def on_cycles(edges: DataFrame) -> DataFrame:
-    """Nodes that reach themselves, with the length of the shortest way back."""
+    """Nodes that reach themselves, with the length of the shortest way back. A way back never leaves the node's group, so only edges within groups are followed."""
     e = edges.select("src", "dst").distinct()
-    first = e.select(F.col("src").alias("start"), F.col("dst").alias("start_next"))
-    reach = closure(e, first.select(F.col("start_next").alias("start")).distinct(), None)
-    back = first.join(reach, (reach.start == first.start_next) & (reach.node == first.start)).groupBy(first.start.alias("node")).agg((F.min("depth") + 1).alias("length"))
-    return back
+    group = mutual(e)
+    at = group.join(e.withColumnRenamed("src", "node"), "node").withColumnRenamed("node", "src").withColumnRenamed("component", "from_")
+    inner = durable(at.join(group.withColumnRenamed("node", "dst"), "dst").where("from_ = component").select("src", "dst"))
+    first = inner.select(F.col("src").alias("start"), F.col("dst").alias("start_next"))
+    reach = closure(inner, first.select(F.col("start_next").alias("start")).distinct(), None)
+    return first.join(reach, (reach.start == first.start_next) & (reach.node == first.start)).groupBy(first.start.alias("node")).agg((F.min("depth") + 1).alias("length"))
 
 
 def mutual(edges: DataFrame) -> DataFrame:
-    """(node, component): nodes that reach one another carry their group's smallest node."""
+    """(node, component): nodes that reach one another carry their group's smallest node.
+
+    No pairs of nodes are made. Every node takes the least hash among those that reach it; the nodes of a colour
+    that also reach the node it comes from are a group. Edges between colours or to a found group can't lie on a cycle and
+    go, and the rest is coloured again. The least of random hashes halves what is left on average, so rounds are few."""
     e = edges.select("src", "dst").distinct()
-    nodes = e.select(F.col("src").alias("start")).unionByName(e.select(F.col("dst").alias("start"))).distinct()
-    r = closure(e, nodes, None).select("start", "node")
-    both = r.join(r.select(F.col("start").alias("node"), F.col("node").alias("start")), ["start", "node"])
-    return both.groupBy(F.col("start").alias("node")).agg(F.min("node").alias("component"))
+    nodes = e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node"))).distinct()
+    rest, found = durable(e.where("src <> dst")), None
+    while not rest.isEmpty():
+        colour = _spread(rest, "src", "dst", durable(rest.select(F.col("src").alias("node")).unionByName(rest.select(F.col("dst").alias("node"))).distinct().withColumn("c", F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("root")))))
+        coloured = rest.join(colour.select(F.col("node").alias("src"), F.col("c").alias("sc")), "src").join(colour.select(F.col("node").alias("dst"), F.col("c").alias("dc")), "dst")
+        same = durable(coloured.where("sc = dc").select("src", "dst"))
+        back = _spread(same, "dst", "src", durable(colour.where("node = c.root")))
+        group = durable(back.select("node", F.col("c.root").alias("root")))
+        found = group if found is None else found.unionByName(group)
+        gone = group.select("node")
+        rest = durable(same.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti"))
+    if found is None:
+        return nodes.withColumn("component", F.col("node"))
+    least = found.groupBy("root").agg(F.min("node").alias("least"))
+    grouped = found.join(least, "root").select("node", "least")
+    return nodes.join(grouped, "node", "left").select("node", F.coalesce("least", "node").alias("component"))
+
+
+def _spread(edges: DataFrame, start: str, end: str, known: DataFrame) -> DataFrame:
+    """The least colour c among each node's own and those that come to it along the edges; nodes without one get the first that comes."""
+    state = known.select("node", "c", F.lit(True).alias("fresh"))
+    while True:
+        come = edges.join(state.where("fresh").select(F.col("node").alias(start), "c"), start).groupBy(F.col(end).alias("node")).agg(F.min("c").alias("new"))
+        fresh = F.col("new").isNotNull() & (F.col("c").isNull() | (F.col("new") < F.col("c")))
+        state = durable(state.drop("fresh").join(come, "node", "full").select("node", F.least("c", "new").alias("c"), fresh.alias("fresh")))
+        if state.where("fresh").isEmpty():
+            return state.drop("fresh")
 
 
 def external_references(edges: DataFrame, starts: DataFrame, external: DataFrame) -> DataFrame:
@@ -65,7 +94,10 @@ def stats(edges: DataFrame) -> DataFrame:
     a = e.agg(F.count("*").alias("edges"))
     b = nodes.agg(F.count("*").alias("terms"))
     c = closure(e, nodes, None).agg(F.max("depth").alias("max_depth"))
-    d = on_cycles(e).agg(F.count("*").alias("on_cycles"))
+    groups = durable(mutual(e))
+    members = groups.groupBy("component").agg(F.count("*").alias("n"))
+    loops = e.where("src = dst").select("src")
+    d = groups.join(members.where("n > 1"), "component", "left_semi").select("node").unionByName(loops.select(F.col("src").alias("node"))).distinct().agg(F.count("*").alias("on_cycles"))
     return a.join(b).join(c).join(d)  # one row each
 
 

@@ -153,3 +153,15 @@ def test_streaming(spark, tmp_path):
     stream = ingest.readings_stream(ingest.text_stream(spark, str(tmp_path / "in")))
     ingest.append(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert [(r.doc_id, r.amount) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(1, "5")]
+
+
+def test_mutual_reach(spark):
+    """Two rings, one behind the other, a chain, a loop of one node, a repeated edge; and no edges at all."""
+    from spanforge.operators import graphs
+
+    ring = [(5, 3), (3, 9), (9, 5), (9, 5), (9, 20), (20, 21), (21, 20)]
+    rows = [*ring, (100, 101), (101, 102), (200, 200)]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    assert {r.node: r.component for r in graphs.mutual(edges).collect()} == {3: 3, 5: 3, 9: 3, 20: 20, 21: 20, 100: 100, 101: 101, 102: 102, 200: 200}
+    assert {r.node: r.length for r in graphs.on_cycles(edges).collect()} == {3: 3, 5: 3, 9: 3, 20: 2, 21: 2, 200: 1}
+    assert graphs.mutual(edges.limit(0)).count() == 0
