@@ -75,7 +75,7 @@ def weighted(samples: DataFrame, keys: list[str], target: float) -> DataFrame:
     by = samples.groupBy(*keys, t.alias("t")).agg(F.count_if(right).alias("r"), F.count_if(wrong).alias("w"), F.count_if(labelled & ~F.col("correct")).alias("lw"), F.count_if(labelled).alias("l"), F.count_if(F.col("kind") == "off_text").alias("off"))
     whole = W.partitionBy(*keys)
     down = whole.orderBy(F.desc("t")).rowsBetween(W.unboundedPreceding, 0)
-    run = by.withColumns({"q_r": F.sum("r").over(down) / F.sum("r").over(whole), "q_w": F.sum("w").over(down) / F.sum("w").over(whole), "rate": wilson_upper(F.sum("lw").over(whole), F.sum("l").over(whole)), "floor": F.max(F.when(F.col("off") > 0, F.col("t"))).over(whole)})
+    run = by.withColumns({"q_r": F.try_divide(F.sum("r").over(down), F.sum("r").over(whole)), "q_w": F.try_divide(F.sum("w").over(down), F.sum("w").over(whole)), "rate": wilson_upper(F.sum("lw").over(whole), F.sum("l").over(whole)), "floor": F.max(F.when(F.col("off") > 0, F.col("t"))).over(whole)})
     precision = F.try_divide((1 - F.col("rate")) * F.col("q_r"), (1 - F.col("rate")) * F.col("q_r") + F.col("rate") * F.col("q_w"))
     ok = (F.col("r") + F.col("w") > 0) & (F.col("t") > F.coalesce("floor", F.lit(-1))) & (F.col("q_r") > 0) & (precision + 1e-9 >= target)
     return run.groupBy(*keys).agg(F.min(F.when(ok, F.col("t"))).alias("weighted"))
