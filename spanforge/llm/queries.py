@@ -92,11 +92,32 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, samples).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from spanforge.llm import alignment
+
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), str(public_tokenizers.path("piece_bpe_32k.model")), Shared(spark))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import packing
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), 0, Shared(spark))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanforge.llm import vector_codes
+
+    shared = Shared(spark)
+    return vector_codes.digest(*vector_codes.compress(table(spark, sf_dir, "embeddings"), shared), shared)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op5_substrings, op6_urls, op7_toxicity, op8_token_store, op9_minhash, op10_language)}
+    return {f.__name__: f for f in (op1_quality, op2_licenses, op3_mixing, op4_decontaminate, op5_substrings, op6_urls, op7_toxicity, op8_token_store, op9_minhash, op10_language, op11_alignment, op12_packing, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from spanforge.llm import decontaminate, minhash
+    from spanforge.llm import decontaminate, minhash, vector_codes
 
-    return {"op4_decontaminate": decontaminate.SQL, "op9_minhash": minhash.SQL}
+    return {"op4_decontaminate": decontaminate.SQL, "op9_minhash": minhash.SQL, "op13_vector_codes": vector_codes.SQL}
