@@ -1,4 +1,4 @@
-"""Economic readers over definition bodies, as expressions: limbs, provisos, commitments, maturities, margins, fees, floors."""
+"""Economic readers over definition bodies, as expressions: provisos, commitments, fees, floors. Limbs, margins and dates are in terms."""
 
 from __future__ import annotations
 
@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions import scalars as S
-from spanforge.operators.graphs import DEPTH
-from spanforge.session import durable
 
 #: A fee is at most three per cent; terms that define a maturity, in their order.
 FEE_CAP = 3
 MATURITY_TERMS = ["Maturity Date", "Initial Term Loan Maturity Date", "Term Loan Maturity Date", "Revolving Credit Maturity Date", "Revolving Termination Date", "Final Maturity Date", "Stated Maturity Date", "Termination Date", "Commitment Termination Date"]
 
 _MONEY = r"\$ ?[0-9][0-9,]*(?:\.[0-9]+)?(?: (?:thousand|million|billion))?"
-_DAY = r"[A-Z][a-z]+ [0-9]{1,2}, [0-9]{4}"
 
 
 def first(text: Column, pattern: str, group: int = 1) -> Column:
@@ -27,17 +24,6 @@ def once(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def limbs(body: Column) -> Column:
-    """(marker, text) of the limbs (a), (b) and so on, each with the head before the first of them; citations such as
-    `Section 2.05(a)` or `clause (b)` are no limbs. A body without limbs is one with an empty marker."""
-    hidden = F.regexp_replace(body, r"((?:[0-9]|[Cc]lauses? |[Ss]ection [0-9.]*|\) (?:and|or) )\()([a-z]\))", "$1\u0001$2")
-    cut = F.split(F.regexp_replace(hidden, r"(^|[\s,;:])\(([a-z])\)\s", "$1\u0002($2) "), "\u0002")
-    clean = lambda x: F.trim(F.regexp_replace(x, "\u0001", ""))
-    head = clean(cut[0])
-    own = F.transform(F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0))), lambda x: F.struct(first(x, r"^\(([a-z])\)").alias("marker"), F.trim(F.concat_ws(" ", head, F.regexp_replace(F.trim(F.regexp_replace(clean(x), r"^\([a-z]\)\s*", "")), r"[,;]?( and| or)?$", ""))).alias("text")))
-    return F.when(F.size(cut) > 1, own).otherwise(F.array(F.struct(F.lit("").alias("marker"), head.alias("text"))))
-
-
 def provisos(body: Column) -> Column:
     """The body up to its first proviso and each proviso, where none of them is in parentheses.
 
@@ -66,45 +52,6 @@ def commitment(body: Column) -> Column:
     return once(F.coalesce(*[first(body, p) for p in forms]), S.money)
 
 
-def dated(body: Column, closing: Column) -> Column:
-    """A body's date: N years or months after the closing or its N-th anniversary, the earliest of its dated limbs, or the date
-    that it states. Reckoning from the closing comes first, as a body may name the closing's own date too."""
-    count = r"(?i)(?:date that is )?(?:the )?([a-z]+|[0-9]+)(?: \([0-9]+\))? (years?|months?) (?:after|following|from)"
-    n = F.coalesce(first(body, count).try_cast("int"), S.words_value(F.lower(first(body, count))))
-    after = S.shift(closing, n, F.when(F.lower(first(body, count, 2)).startswith("y"), "years").otherwise("months"))
-    nth = first(body, r"(?i)\b(first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth) anniversary")
-    ordinals = ["first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth"]
-    anniversary = S.shift(closing, F.array_position(F.array(*map(F.lit, ordinals)), F.lower(nth)).cast("int"), F.lit("years"))
-    days = F.transform(F.regexp_extract_all(body, F.lit(f"({_DAY})"), 1), lambda x: S.date(x))
-    return F.when(F.lower(body).contains("earli"), F.array_min(F.array_compact(F.concat(F.array(after, anniversary), days)))).otherwise(F.coalesce(after, anniversary, F.try_element_at(days, F.lit(1))))
-
-
-def refers_to(body: Column) -> Column:
-    """The term that a body only points to (`has the meaning of "X"`, `means the X`), else null."""
-    return first(body, r"^(?:means|has the meaning (?:given to|of|assigned to)) (?:the )?[“\"]?((?:[A-Z][a-z]+ ?){1,6})[”\"]?\.?$")
-
-
-def date_chain(definitions: DataFrame, closings: DataFrame) -> DataFrame:
-    """(doc_id, term, date, steps): each term's date, its own or that of the term that its definition points to, over DEPTH steps
-    at most as the definitions have it; a circle has no date. definitions: doc_id, term, body; closings: doc_id, closing."""
-    d = durable(definitions.join(closings, "doc_id", "left").select("doc_id", "term", dated(F.col("body"), F.col("closing")).alias("date"), F.trim(refers_to(F.col("body"))).alias("to")))
-    known = d.where("date is not null").select("doc_id", "term", "date", F.lit(0).alias("steps"))
-    out, level = known, known
-    for k in range(1, DEPTH + 1):
-        level = durable(d.where("date is null").select("doc_id", "term", "to").join(level.select("doc_id", F.col("term").alias("to"), "date"), ["doc_id", "to"]).select("doc_id", "term", "date", F.lit(k).alias("steps")))
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    return out
-
-
-def margins(body: Column) -> Column:
-    """(benchmark, rate) of each limb that states one rate of one kind of loan; default rates and superseded ones are left out."""
-    kind = lambda t: F.when(t.rlike("(?i)base rate|ABR|prime"), "base_rate").when(t.rlike("(?i)SOFR"), "sofr").when(t.rlike("(?i)eurodollar|LIBO"), "eurodollar")
-    read = F.transform(limbs(body), lambda x: F.struct(kind(x["text"]).alias("benchmark"), first(x["text"], r"([0-9]+(?:\.[0-9]+)?)%").cast("decimal(12,4)").alias("rate"), x["text"].rlike("(?i)default|overdue|prior to the amendment").alias("off")))
-    return F.transform(F.filter(read, lambda x: x["benchmark"].isNotNull() & x["rate"].isNotNull() & ~x["off"]), lambda x: F.struct(x["benchmark"].alias("benchmark"), x["rate"].alias("rate")))
-
-
 def in_letter(body: Column) -> Column:
     """Whether a body leaves the figure to a fee letter."""
     return body.rlike(r"(?i)(?:set forth|specified|agreed|provided) in (?:the |a |any )?(?:separate )?fee letter")

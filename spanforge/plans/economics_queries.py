@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanforge.operators import economics as E
+from spanforge.operators import terms as T
 from spanforge.plans.base import query, read
 
 
@@ -42,10 +43,11 @@ def maturity_chain(spark, sf_dir):
     """Terms that point to one another; two of them to each other, which have no date."""
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderdate").cast("date").alias("closing"))
     forms = ["means the date that is five (5) years after the Closing Date", "means the date that is 18 months after the Closing Date", "means the seventh anniversary of the Closing Date", "means the earlier of (a) the third anniversary of the Closing Date and (b) June 30, 2027", "means March 31, 2026"]
-    own = o.select("doc_id", F.lit("Stated Date").alias("term"), said(forms, F.col("doc_id") % 5).alias("body"))
+    own = o.select("doc_id", F.lit("Stated Date").alias("term"), F.replace(said(forms, F.col("doc_id") % 5), F.lit("the Closing Date"), F.lit("the date of this Agreement")).alias("body"))
     terms = [("Final Date", "means the Stated Date"), ("Maturity Date", "has the meaning of “Final Date”."), ("This Date", "means the That Date"), ("That Date", "means the This Date")]
     more = o.select("doc_id", F.explode(F.array(*[F.struct(F.lit(t).alias("term"), F.lit(b).alias("body")) for t, b in terms])).alias("x")).select("doc_id", "x.*")
-    return E.date_chain(own.unionByName(more), o)
+    found = T.dates(own.unionByName(more).withColumn("at", F.col("term")), o.withColumnRenamed("closing", "agreed"))
+    return found.where("term <> 'Closing Date'").select("doc_id", "term", "date", (F.size("route") - 1).alias("steps"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, marker, CASE marker WHEN 'a' THEN concat('means, for Loans, ', p, '% per annum under Section 2.05(b)') ELSE concat('means, for Loans, ', p + 1, '% as clause (a) says') END AS limb
@@ -53,8 +55,8 @@ FROM (SELECT *, CAST(round(l_discount * 100) AS INT) AS p FROM lineitem), (VALUE
 def limb_splitter(spark, sf_dir):
     p = F.round(F.col("l_discount") * 100).cast("int")
     body = text("means, for Loans, (a) ", p.cast("string"), "% per annum under Section 2.05(b); and (b) ", (p + 1).cast("string"), "% as clause (a) says")
-    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.explode(E.limbs(body)).alias("x"))
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", F.col("x.marker").alias("marker"), F.col("x.text").alias("limb"))
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", body.alias("body"))
+    return T.limb_rows(li, ["l_orderkey", "l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey", F.btrim("path", F.lit("()")).alias("marker"), "limb")
 
 
 @query("""SELECT p_partkey, CAST(i AS INT) AS ix, CASE i WHEN 0 THEN concat(p_name, ' (provided that it is kept)') WHEN 1 THEN concat('provided that ', p_size, ' hold') ELSE 'provided further that none is left' END AS piece FROM part, (VALUES (0), (1), (2)) v(i)""")
@@ -71,7 +73,7 @@ def margin_limbs(spark, sf_dir):
     low = (r - F.lit(0.125).cast("decimal(12,4)")).cast("decimal(12,4)")
     two = lambda name: text(f"means, per annum, (a) for {name} Loans, ", r.cast("string"), "%, (b) for Base Rate Loans, ", low.cast("string"), "% and (c) for overdue Base Rate Loans, 9.5%")
     body = said([two("Eurodollar"), two("Term SOFR"), "means the rate set forth in the Fee Letter"], F.col("p_partkey") % 3)
-    return read(spark, sf_dir, "part").select("p_partkey", F.inline(E.margins(body)))
+    return T.margins(read(spark, sf_dir, "part").select("p_partkey", body.alias("body")), ["p_partkey"]).where("reason is null").select("p_partkey", F.col("kind").alias("benchmark"), "rate")
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN CAST(p_size / 20.0 AS DECIMAL(12,4)) WHEN 1 THEN CAST(0.5 AS DECIMAL(12,4)) END AS fee, p_partkey % 3 = 2 AS in_letter FROM part""")

@@ -24,6 +24,8 @@ SUFFIXES = (".htm", ".html", ".xhtml", ".mht", ".mhtml", ".pdf", ".txt")
 SKIPPED = {"script", "style", "head", "meta", "link", "title", "noscript"}
 BLOCKS = {"p", "div", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "header", "footer", "nav", "main", "aside", "table", "tr", "blockquote", "pre", "form", "dl", "dt", "dd", "body"}
 STRUCK, INSERTED = {"s", "strike", "del"}, {"ins"}
+#: The most columns or rows that a cell is believed to cover.
+MOST_SPAN = 1_000
 VOID = {"br", "hr", "img", "input", "meta", "link", "col", "area", "base", "embed", "source", "wbr"}
 
 
@@ -50,7 +52,8 @@ class Reader(HTMLParser):
         self.stack: list[tuple[str, str | None]] = []
         self.pages, self.cells, self.redlines, self.links = [0], [], [], []
         self.table, self.row, self.col, self.tables = -1, -1, -1, 0
-        self.open_tables: list[tuple[int, int, int]] = []
+        self.open_tables: list[tuple] = []
+        self.taken: dict[int, set[int]] = {}  # columns of the open table that cells of this and earlier rows cover, by row
         self.cell: dict | None = None
 
     def write(self, s: str) -> None:
@@ -90,7 +93,8 @@ class Reader(HTMLParser):
             self.block()
             self.pages.append(self.size)
         if tag == "table":
-            self.open_tables.append((self.table, self.row, self.col))
+            self.open_tables.append((self.table, self.row, self.col, self.taken))
+            self.taken = {}
             self.table, self.row, self.col = self.tables, -1, -1
             self.tables += 1
         elif tag == "tr":
@@ -100,12 +104,22 @@ class Reader(HTMLParser):
             self.col += 1
             if self.col:
                 self.write(" | ")
-            self.cell = {"table_id": f"T{self.table + 1:03d}", "row": self.row, "col": self.col, "start": self.size, "is_header": tag == "th", "colspan": int(attrs.get("colspan") or 1) if (attrs.get("colspan") or "1").isdigit() else 1}
+            self.cell = {"table_id": f"T{self.table + 1:03d}", "row": self.row, "col": self.col, "start": self.size, "is_header": tag == "th"} | self.covered(attrs)
         elif tag == "a" and attrs.get("href"):
             self.links.append({"href": attrs["href"], "start": self.size})
         if tag not in VOID:
             self.stack.append((tag, self.mark(tag, attrs)))
 
+    def covered(self, attrs: dict[str, str | None]) -> dict:
+        """Which columns and rows of the table's grid a cell covers: the first that are free in its row."""
+        wide, down = (min(MOST_SPAN, max(1, int(x))) if (x := attrs.get(k) or "1").isdigit() else 1 for k in ("colspan", "rowspan"))
+        place, taken = 0, self.taken.setdefault(self.row, set())
+        while place in taken:
+            place += 1
+        for r in range(self.row, self.row + down):
+            self.taken.setdefault(r, set()).update(range(place, place + wide))
+        return {"colspan": wide, "rowspan": down, "place": place}
+
     def close_cell(self) -> None:
         if self.cell is not None:
             text = "".join(self.out)[self.cell["start"] : self.size]
@@ -118,7 +132,7 @@ class Reader(HTMLParser):
             self.close_cell()
         if tag == "table" and self.open_tables:
             self.close_cell()
-            self.table, self.row, self.col = self.open_tables.pop()
+            self.table, self.row, self.col, self.taken = self.open_tables.pop()
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
                 del self.stack[k:]
@@ -172,11 +186,11 @@ def pdf_pages(raw: bytes) -> list[str]:
 
 DOCUMENT = pa.schema([
     ("text", pa.string()), ("pages", pa.list_(pa.int64())),
-    ("cells", pa.list_(pa.struct([("table_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("text", pa.string()), ("is_header", pa.bool_()), ("colspan", pa.int32())]))),
+    ("cells", pa.list_(pa.struct([("table_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("text", pa.string()), ("is_header", pa.bool_()), ("colspan", pa.int32()), ("rowspan", pa.int32()), ("place", pa.int32())]))),
     ("redlines", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("text", pa.string())]))),
     ("links", pa.list_(pa.struct([("href", pa.string()), ("start", pa.int64())]))),
 ])
-DOCUMENT_DDL = "text string, pages array<long>, cells array<struct<table_id:string,row:int,col:int,start:long,end:long,text:string,is_header:boolean,colspan:int>>, redlines array<struct<kind:string,start:long,end:long,text:string>>, links array<struct<href:string,start:long>>"
+DOCUMENT_DDL = "text string, pages array<long>, cells array<struct<table_id:string,row:int,col:int,start:long,end:long,text:string,is_header:boolean,colspan:int,rowspan:int,place:int>>, redlines array<struct<kind:string,start:long,end:long,text:string>>, links array<struct<href:string,start:long>>"
 
 
 def one_document(name: str, raw: bytes | str) -> dict:
