@@ -8,9 +8,9 @@ that hold a pair are counted in each block (groups that share a pair are counted
 documents, all others by the documents of their one group) and added up; what a group is worth is
 then joined back to the dictionaries of the blocks by the group, and multiplied by frequencies.
 
-Both encodings start a new token at a single space between two characters that are not white space,
-so texts are cut there and a piece is aligned once while a worker remembers it. Should a piece's
-bytes not be those of its tokens, the whole text is encoded at once.
+Both encodings start a new token at a single space, or at a line end, between two characters that are
+not white space, so texts are cut there and a word is aligned once while a worker remembers it. Texts
+with other white space, and those with a word whose tokens spell other bytes, are encoded at once.
 
 Cases: null and empty texts, and those whose tokens spell other bytes than a space and the text
 (U+2581 is written as a space by B), have no tokens: zeros and an empty groups_sha256. Very long
@@ -22,6 +22,8 @@ empty table gives no rows; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,32 +34,42 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.llm.common import Shared, kept_in_worker
-from spanforge.llm.token_store import Encoder
+from spanforge.llm.packing import LineEncoder
 
 #: Group occurrences after which a block of documents is closed.
-BLOCK_GROUPS = 4_000_000
-#: Pieces of text, and distinct groups, that a Python worker remembers before it starts anew.
-PIECES, GROUPS = 400_000, 1_000_000
-#: Longer pieces are not remembered.
-PIECE_CHARS = 80
+BLOCK_GROUPS = 2_000_000
+#: Words that a Python worker remembers, in each of two generations, and distinct groups, before it starts anew.
+WORDS, GROUPS = 300_000, 1_000_000
+#: Longer words are not remembered.
+WORD_CHARS = 80
 
-Ids = tuple[int, ...]
 
 
 class Aligner:
-    """Groups of texts, by numbers that hold within this worker."""
+    """Groups of texts, by numbers that hold within this worker.
+
+    What stands between single spaces and line ends is aligned once while it is remembered. No piece of B spans a space,
+    a line end (which B writes as a byte), or a letter and a mark after it, and no token of A does, so a word's
+    groups are the same in any text."""
 
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.a = Encoder(path_a, 0)
+        self.a = LineEncoder(path_a, 0)
         self.a.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
-        byte_of = {w: chr(b) for b, w in self.byte_letters().items()}
-        letters = str.maketrans(byte_of)
-        self.bytes_a = {i: w.translate(letters).encode("latin-1", "replace") for w, i in self.a.tokenizer.get_vocab(with_added_tokens=False).items()}
+        letters = str.maketrans({w: chr(b) for b, w in self.byte_letters().items()})
+        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for w, i in vocabulary.items():
+            self.bytes_a[i] = w.translate(letters).encode("latin-1", "replace")
         self.b = SentencePieceProcessor(model_file=path_b)
-        n = self.b.vocab_size()
-        self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(n)]
+        n = range(self.b.vocab_size())
+        spelled = [self.b.id_to_piece(i) for i in n]
+        self.bytes_b = [bytes([int(spelled[i][3:5], 16)]) if self.b.is_byte(i) else spelled[i].replace("▁", " ").encode() for i in n]
+        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        joined = {x for i in n if not self.b.is_byte(i) for x in re.findall(r"(?<=[A-Za-z])[^A-Za-z\s▁]", spelled[i])}
+        self.marks = "".join(m for m in self.a.MARKS if m not in joined)  # that no piece of B holds after a letter
+        self.by_lines = not any("\n" in x or re.search("[^▁]▁", x) for x in spelled) and len(self.b.encode("\n")) == 2
         self.clear()
 
     def byte_letters(self) -> dict[int, str]:
@@ -71,70 +83,104 @@ class Aligner:
         # bytes that no text holds stand for themselves where the alphabet has them
         return out | {ord(w): w for w in rest if ord(w) < 0x100 and ord(w) not in out} | seen
 
+    def forget(self) -> None:
+        """Words, but no groups."""
+        self.spaced: dict[str, bytes | None] = {}
+        self.others: dict[str, bytes | None] = {}
+
     def clear(self) -> None:
-        self.known: dict[str, tuple[bytes, str] | None] = {}
-        self.number: dict[str, int] = {}
+        self.forget()
+        self.older: dict[str, bytes | None] = {}
+        self.number: dict[int | tuple, int] = {}
         self.texts: list[str] = []
         self.sizes: list[tuple[int, int]] = []
         self.pairs: list[np.ndarray] = []
 
-    def group(self, a: Ids, b: Ids) -> int:
-        text = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
-        g = self.number.get(text)
-        if g is None:
-            g = self.number[text] = len(self.texts)
-            self.texts.append(text)
-            self.sizes.append((len(a), len(b)))
-            codes = np.unique(np.asarray(a, np.int64))[:, None] << 32 | np.unique(np.asarray(b, np.int64))[None, :]
-            self.pairs.append(codes.ravel())
+    def group(self, key: int | tuple, a: list[int], b: list[int]) -> int:
+        g = self.number[key] = len(self.texts)
+        self.texts.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
+        self.sizes.append((len(a), len(b)))
+        codes = [x << 32 | y for x in sorted(set(a)) for y in sorted(set(b))] if len(a) * len(b) < 64 else (np.unique(np.asarray(a, np.int64))[:, None] << 32 | np.unique(np.asarray(b, np.int64))[None, :]).ravel()
+        self.pairs.append(np.asarray(codes, np.int64))
         return g
 
-    def aligned(self, text: str) -> list[int] | None:
-        """Group numbers of a text that a space stands before; none if its tokens spell something else."""
-        a = np.frombuffer(self.a.some(tuple(self.cut(text))), "<u4").tolist()
-        b = self.b.encode(text)
-        want = b" " + text.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != want or b"".join([self.bytes_b[i] for i in b]) != want:
+    def merged(self, a: list[int], b: list[int], want: bytes) -> bytes | None:
+        """Little-endian 32-bit numbers of the groups of both encodings; none if either spells something else."""
+        bytes_a, bytes_b, size_a, size_b, number = self.bytes_a, self.bytes_b, self.size_a, self.size_b, self.number
+        if b"".join([bytes_a[i] for i in a]) != want or b"".join([bytes_b[i] for i in b]) != want:
             return None
-        out, i, j, from_i, from_j, end_a, end_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a):
-            end_a += len(self.bytes_a[a[i]])
-            i += 1
+        out, j, from_i, from_j, end_a, end_b = [], 0, 0, 0, 0, 0
+        for i, x in enumerate(a, 1):
+            end_a += size_a[x]
             while end_b < end_a:
-                end_b += len(self.bytes_b[b[j]])
+                end_b += size_b[b[j]]
                 j += 1
             if end_a == end_b:
-                out.append(self.group(tuple(a[from_i:i]), tuple(b[from_j:j])))
+                key = x << 32 | b[from_j] if i - from_i == 1 == j - from_j else (tuple(a[from_i:i]), tuple(b[from_j:j]))
+                g = number.get(key)
+                out.append(self.group(key, a[from_i:i], b[from_j:j]) if g is None else g)
                 from_i, from_j = i, j
-        return out
+        return array("i", out).tobytes()
 
-    def cut(self, text: str) -> list[str]:
-        """Pieces of a space and the text, each with a space at its start."""
+    def whole(self, text: str) -> bytes | None:
+        """Groups of a text that a space stands before."""
         first, *rest = self.a.pieces(text)
-        return [" " + first, *rest]
+        a = np.frombuffer(self.a.some((" " + first, *rest)), "<u4").tolist()
+        return self.merged(a, self.b.encode(text), b" " + text.encode())
+
+    def after_space(self, word: str) -> bytes | None:
+        out = self.older.get(word, b"")
+        if out == b"":
+            out = self.new(word)
+        if len(self.spaced) >= WORDS:
+            self.older, self.spaced = self.spaced, {}
+        if len(word) <= WORD_CHARS:
+            self.spaced[word] = out
+        return out
 
-    def piece(self, x: str) -> tuple[bytes, str] | None:
-        groups = self.aligned(x[1:])
-        out = None if groups is None else (np.asarray(groups, "<i4").tobytes(), ";".join([self.texts[g] for g in groups]))
-        if len(x) <= PIECE_CHARS:
-            self.known[x] = out
+    def new(self, word: str) -> bytes | None:
+        if word.isascii():
+            if word.isalpha():
+                return self.merged([t.id for t in self.a.model.tokenize(self.a.space + word)], self.b.encode(word), b" " + word.encode())
+            body = word.rstrip(self.marks)
+            if body.isalpha() and len(body) < len(word):
+                marks = word[len(body) :]
+                one, two = self.spaced.get(body) or self.after_space(body), self.others.get(marks) or self.unspaced(marks)
+                return None if one is None or two is None else one + two
+        return self.whole(word)
+
+    def unspaced(self, piece: str) -> bytes | None:
+        """Groups of a line end and the word after it, or of marks within a word."""
+        line = piece[0] == "\n"
+        a = (self.a.newline if line else b"") + (self.a.of(piece[1:]) if line else self.a.of(piece))
+        b = self.b.encode(piece)[1:] if line else self.b.encode("\n" + piece)[2:]
+        out = self.merged(np.frombuffer(a, "<u4").tolist(), b, piece.encode())
+        if len(piece) <= WORD_CHARS:
+            if len(self.others) >= WORDS:
+                self.others = {}
+            self.others[piece] = out
         return out
 
-    def __call__(self, text: str | None) -> tuple[bytes, str]:
-        """Little-endian 32-bit group numbers, and the groups as text; both empty for a text without tokens."""
+    def __call__(self, text: str | None) -> bytes:
+        """Little-endian 32-bit group numbers; empty for a text without tokens."""
         if not text:
-            return b"", ""
-        known, got = self.known, []
-        for x in self.cut(text):
-            g = known.get(x)
-            if g is None:
-                g = None if x in known else self.piece(x)
-                if g is None:  # what the pieces don't spell the text may
-                    groups = self.aligned(text)
-                    return (b"", "") if groups is None else (np.asarray(groups, "<i4").tobytes(), ";".join([self.texts[k] for k in groups]))
-            got.append(g)
-        codes, texts = zip(*got, strict=True)
-        return b"".join(codes), ";".join(texts)
+            return b""
+        if not self.by_lines or self.a.odd(text):
+            return self.whole(text) or b""
+        got: list[bytes | None] = []
+        for k, line in enumerate(text.split("\n")):
+            words = line.split(" ")
+            spaced = self.spaced
+            own = list(map(spaced.get, words))
+            if k:
+                piece = "\n" + words[0]
+                own[0] = self.others.get(piece) or self.unspaced(piece)
+            if None in own:
+                for i, x in enumerate(own):
+                    if x is None and (i or not k):
+                        own[i] = self.spaced.get(words[i]) or self.after_space(words[i])
+            got += own
+        return (self.whole(text) or b"") if None in got else b"".join(got)  # what the pieces don't spell the text may
 
 
 BLOCK = pa.schema([
@@ -207,8 +253,11 @@ def encode_blocks(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_
 
         def close() -> pa.RecordBatch:
             n = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
-            used, local = np.unique(np.frombuffer(b"".join(codes), "<i4"), return_inverse=True)
-            texts = [align.texts[g] for g in used.tolist()]
+            numbers = np.frombuffer(b"".join(codes), "<i4")
+            used = np.flatnonzero(np.bincount(numbers, minlength=1))
+            place = np.zeros(len(align.texts) + 1, np.int64)
+            place[used] = np.arange(len(used))
+            local = place[numbers]
             sizes = np.asarray([align.sizes[g] for g in used.tolist()], np.int64).reshape(-1, 2)
             width = max(len(used), 1)
             held, times = np.unique(np.repeat(np.arange(len(n)), n) * width + local, return_counts=True)
@@ -219,25 +268,23 @@ def encode_blocks(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_
             firsts = (np.cumsum(per_doc) - per_doc)[per_doc > 0]
             steps[firsts] = group[firsts]
             row = {
-                "block": [block], "groups": [texts], "pairs": [pairs], "docs": [count], "doc_id": [ids], "n_a": [sums(sizes[local, 0], n)], "n_b": [sums(sizes[local, 1], n)], "n_groups": [n],
+                "block": [block], "groups": [[align.texts[g] for g in used.tolist()]], "pairs": [pairs], "docs": [count], "doc_id": [ids], "n_a": [sums(sizes[local, 0], n)], "n_b": [sums(sizes[local, 1], n)], "n_groups": [n],
                 "n_links": [sums(sizes[local, 0] * sizes[local, 1], n)], "groups_sha256": [shas], "held": [per_doc], "steps": [planes(steps)], "times": [planes(times)],
             }
             return pa.RecordBatch.from_pydict(row, BLOCK)
 
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                code, groups = align(t)
+                code = align(t)
                 ids.append(i)
                 codes.append(code)
-                shas.append(hashlib.sha256(groups.encode()).hexdigest() if groups else "")
+                shas.append(hashlib.sha256(";".join(map(align.texts.__getitem__, array("i", code))).encode()).hexdigest() if code else "")
                 size += len(code) // 4
                 if size >= block_groups:
                     yield close()
                     block, ids, codes, shas, size = block + 1, [], [], [], 0
                     if len(align.texts) > GROUPS:
                         align.clear()
-                elif len(align.known) > PIECES:
-                    align.known.clear()
         if ids:
             yield close()
         if len(align.texts) > GROUPS:
