@@ -43,11 +43,11 @@ from pyspark.sql import functions as F
 from spanforge.llm.common import Runs, Shared, hot_join, line_hashes, membership, numbered, space_hashes
 from spanforge.llm.minhash import _A, _B, REMEMBERED, Shape, linked_classes, shingle_set, short, signatures
 
-MIN_WORDS = 50
+MIN_WORDS = 24
 SHINGLE = 5
-REACH = 24
+REACH = 12
 #: Words of an anchor's key: with the REACH - 1 places that it may stand behind, fewer than MIN_WORDS.
-ANCHOR = 26
+ANCHOR = 12
 LINES = Shape(2, 8)
 #: Keys of documents without an id start here.
 UNNAMED = 1 << 62
