@@ -3,13 +3,18 @@
 Reaching is a loop of joins: each level joins the last level's new nodes to the edges and leaves
 out what was reached before. Every level is kept in the checkpoint folder, so plans stay short and
 the loop ends with the first empty level. Only closure, which feeds texts of definitions, has a cap
-(DEPTH, the definitions' own); cycles, components, external references and statistics follow ways of any length.
+(DEPTH, the definitions' own); cycles, components, chains, external references and statistics follow ways of any length.
+Groups, chains and ways back of a graph of a stated size are found in one task instead of in rounds of small jobs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,26 +40,161 @@ def closure(edges: DataFrame, starts: DataFrame, depth: int | None = DEPTH) -> D
     return out
 
 
+# -- graphs of a stated size, in one task
+#: Edges of a graph that one task solves, and steps of its searches for ways back; larger ones are solved by the joins below, to the same result.
+ONE_TASK, ONE_TASK_STEPS = 500_000, 20_000_000
+
+
+def _of_one_task(edges: DataFrame) -> bool:
+    return edges.limit(ONE_TASK + 1).count() <= ONE_TASK
+
+
+def _numbered(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
+    """Nodes, both ends of the edges by the nodes' ranks, and what each node leads to."""
+    nodes, ends = np.unique(np.concatenate([f.src.to_numpy(), f.dst.to_numpy()]), return_inverse=True)
+    a, b = ends[: len(f)], ends[len(f) :]
+    out: list[list[int]] = [[] for _ in nodes]
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        out[x].append(y)
+    return nodes, a, b, out
+
+
+def groups(out: list[list[int]]) -> list[int]:
+    """For each node the number of its group of nodes that reach one another; a group's number comes after those of all that it leads to.
+
+    A depth-first walk with a stack of its own, as ways may be long."""
+    n, order, low, group, held, path, found = len(out), [0] * len(out), [0] * len(out), [-1] * len(out), [], [], 0
+    seen = 0
+    for start in range(n):
+        if order[start]:
+            continue
+        path.append((start, iter(out[start])))
+        while path:
+            x, rest = path[-1]
+            if not order[x]:
+                seen += 1
+                order[x] = low[x] = seen
+                held.append(x)
+            for y in rest:
+                if not order[y]:
+                    path.append((y, iter(out[y])))
+                    break
+                if group[y] < 0:
+                    low[x] = min(low[x], order[y])
+            else:
+                path.pop()
+                if path:
+                    low[path[-1][0]] = min(low[path[-1][0]], low[x])
+                if low[x] == order[x]:
+                    while group[x] < 0:
+                        group[held.pop()] = found
+                    found += 1
+    return group
+
+
+def chains(out: list[list[int]], group: list[int]) -> list[int]:
+    """Longest chain of groups below each group."""
+    below = [0] * (max(group, default=-1) + 1)
+    members: list[list[int]] = [[] for _ in below]
+    for x, g in enumerate(group):
+        members[g].append(x)
+    for g, own in enumerate(members):  # what a group leads to has smaller numbers
+        below[g] = max((below[group[y]] + 1 for x in own for y in out[x] if group[y] != g), default=0)
+    return below
+
+
+def ways_back(out: list[list[int]]) -> list[int]:
+    """Length of the shortest way from each node back to itself; 0 without one."""
+    found = []
+    for start in range(len(out)):
+        level, seen, d, back = [start], {start}, 0, 0
+        while level and not back:
+            d += 1
+            step = []
+            for x in level:
+                for y in out[x]:
+                    if y == start:
+                        back = d
+                    elif y not in seen:
+                        seen.add(y)
+                        step.append(y)
+            level = step
+        found.append(back)
+    return found
+
+
+def _one_task(edges: DataFrame, solve, columns: str) -> DataFrame:
+    """solve over all edges, in one task: (node, ...)."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [f for f in frames if len(f)]
+        if got:
+            yield solve(*_numbered(pd.concat(got)))
+
+    return edges.select("src", "dst").coalesce(1).mapInPandas(run, f"node {edges.schema['src'].dataType.simpleString()}, {columns}")
+
+
+def _solved(nodes: np.ndarray, a: np.ndarray, b: np.ndarray, out: list[list[int]]) -> pd.DataFrame:
+    group = groups(out)
+    least: dict[int, int] = {}
+    for x, g in enumerate(group):
+        least.setdefault(g, x)
+    below = chains(out, group)
+    return pd.DataFrame({"node": nodes, "component": nodes[[least[g] for g in group]], "depth": np.asarray([below[g] for g in group], np.int32)})
+
+
+def _back(nodes: np.ndarray, a: np.ndarray, b: np.ndarray, out: list[list[int]]) -> pd.DataFrame:
+    return pd.DataFrame({"node": nodes, "length": np.asarray(ways_back(out), np.int32)})
+
+
 def on_cycles(edges: DataFrame) -> DataFrame:
     """Nodes that reach themselves, with the length of the shortest way back. A way back never leaves the node's group, so only edges within groups are followed."""
-    e = edges.select("src", "dst").distinct()
-    group = mutual(e)
+    e = durable(edges.select("src", "dst").distinct())
+    group = durable(mutual(e))
     at = group.join(e.withColumnRenamed("src", "node"), "node").withColumnRenamed("node", "src").withColumnRenamed("component", "from_")
-    inner = durable(at.join(group.withColumnRenamed("node", "dst"), "dst").where("from_ = component").select("src", "dst"))
+    inner = durable(at.join(group.withColumnRenamed("node", "dst"), "dst").where("from_ = component").select("src", "dst", "component"))
+    steps = inner.groupBy("component").agg((F.count("*") * F.count_distinct("src")).alias("n")).agg(F.sum("n")).first()[0] or 0
+    if steps <= ONE_TASK_STEPS and _of_one_task(inner):
+        return _one_task(inner, _back, "length int").where("length > 0")
+    inner = inner.select("src", "dst")
     first = inner.select(F.col("src").alias("start"), F.col("dst").alias("start_next"))
     reach = closure(inner, first.select(F.col("start_next").alias("start")).distinct(), None)
     return first.join(reach, (reach.start == first.start_next) & (reach.node == first.start)).groupBy(first.start.alias("node")).agg((F.min("depth") + 1).alias("length"))
 
 
+def depths(edges: DataFrame) -> DataFrame:
+    """(node, depth): the longest chain below every node, where nodes that reach one another count as one.
+
+    Beyond one task the groups' edges are peeled: of the edges whose end has a chain of k below it, the starts have one of k + 1, so
+    each round takes the edges into the nodes of the round before, and a node's depth is the last round that it is in."""
+    e = durable(edges.select("src", "dst").distinct())
+    if _of_one_task(e):
+        return _one_task(e, _solved, f"component {e.schema['src'].dataType.simpleString()}, depth int").select("node", "depth")
+    group = durable(mutual(e))
+    ends = e.join(group.select(F.col("node").alias("src"), F.col("component").alias("a")), "src").join(group.select(F.col("node").alias("dst"), F.col("component").alias("b")), "dst")
+    rest = durable(ends.where("a <> b").select("a", "b").distinct())
+    level = durable(group.select("component").distinct())
+    rounds = [level.withColumn("depth", F.lit(0))]
+    for d in count(1):
+        rest = durable(rest.join(level.withColumnRenamed("component", "b"), "b", "left_semi"))  # chains through other ends are over
+        level = durable(rest.select(F.col("a").alias("component")).distinct())
+        if level.isEmpty():
+            break
+        rounds.append(level.withColumn("depth", F.lit(d)))
+    deepest = reduce(DataFrame.unionByName, rounds).groupBy("component").agg(F.max("depth").alias("depth"))
+    return group.join(deepest, "component").select("node", "depth")
+
+
 def mutual(edges: DataFrame) -> DataFrame:
     """(node, component): nodes that reach one another carry their group's smallest node.
 
     No pairs of nodes are made. Every node takes the least hash among those that reach it; the nodes of a colour
     that also reach the node it comes from are a group. Edges between colours or to a found group can't lie on a cycle and
     go, and the rest is coloured again. The least of random hashes halves what is left on average, so rounds are few."""
-    e = edges.select("src", "dst").distinct()
+    e = durable(edges.select("src", "dst").distinct())
+    if _of_one_task(e):
+        return _one_task(e, _solved, f"component {e.schema['src'].dataType.simpleString()}, depth int").select("node", "component")
     nodes = e.select(F.col("src").alias("node")).unionByName(e.select(F.col("dst").alias("node"))).distinct()
-    rest, found = durable(e.where("src <> dst")), None
+    rest, found = _trimmed(durable(e.where("src <> dst"))), None
     while not rest.isEmpty():
         colour = _spread(rest, "src", "dst", durable(rest.select(F.col("src").alias("node")).unionByName(rest.select(F.col("dst").alias("node"))).distinct().withColumn("c", F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("root")))))
         coloured = rest.join(colour.select(F.col("node").alias("src"), F.col("c").alias("sc")), "src").join(colour.select(F.col("node").alias("dst"), F.col("c").alias("dc")), "dst")
@@ -71,6 +211,16 @@ def mutual(edges: DataFrame) -> DataFrame:
     return nodes.join(grouped, "node", "left").select("node", F.coalesce("least", "node").alias("component"))
 
 
+def _trimmed(edges: DataFrame, rounds: int = 4) -> DataFrame:
+    """Edges without those whose start nothing leads to or whose end leads nowhere: they lie on no cycle."""
+    for _ in range(rounds):
+        n = edges.count()
+        edges = durable(edges.join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(edges.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi"))
+        if edges.count() == n:
+            break
+    return edges
+
+
 def _spread(edges: DataFrame, start: str, end: str, known: DataFrame) -> DataFrame:
     """The least colour c among each node's own and those that come to it along the edges; nodes without one get the first that comes."""
     state = known.select("node", "c", F.lit(True).alias("fresh"))
@@ -83,22 +233,21 @@ def _spread(edges: DataFrame, start: str, end: str, known: DataFrame) -> DataFra
 
 
 def external_references(edges: DataFrame, starts: DataFrame, external: DataFrame) -> DataFrame:
-    """(start, node, depth) of external nodes on the way from a start other than itself."""
-    return closure(edges, starts, None).where("depth > 0").join(external.select("node"), "node", "left_semi")
+    """(start, node, depth) of external nodes on the way from a start other than itself. The search goes back from the external nodes."""
+    back = closure(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), external.select(F.col("node").alias("start")), None).where("depth > 0")
+    return back.select(F.col("node").alias("start"), F.col("start").alias("node"), "depth").join(starts.select("start").distinct(), "start", "left_semi")
 
 
 def stats(edges: DataFrame) -> DataFrame:
-    """Terms, edges, longest of the shortest ways, terms on cycles."""
-    e = edges.select("src", "dst").distinct()
-    nodes = e.select(F.col("src").alias("start")).unionByName(e.select(F.col("dst").alias("start"))).distinct()
+    """Terms, edges, the longest chain, terms with a chain of three and more below them, terms on cycles."""
+    e = durable(edges.select("src", "dst").distinct())
     a = e.agg(F.count("*").alias("edges"))
-    b = nodes.agg(F.count("*").alias("terms"))
-    c = closure(e, nodes, None).agg(F.max("depth").alias("max_depth"))
-    groups = durable(mutual(e))
-    members = groups.groupBy("component").agg(F.count("*").alias("n"))
-    loops = e.where("src = dst").select("src")
-    d = groups.join(members.where("n > 1"), "component", "left_semi").select("node").unionByName(loops.select(F.col("src").alias("node"))).distinct().agg(F.count("*").alias("on_cycles"))
-    return a.join(b).join(c).join(d)  # one row each
+    b = depths(e).agg(F.count("*").alias("terms"), F.max("depth").alias("max_depth"), F.count_if(F.col("depth") >= 3).alias("deep"))
+    group = durable(mutual(e))
+    members = group.groupBy("component").agg(F.count("*").alias("n"))
+    loops = e.where("src = dst").select(F.col("src").alias("node"))
+    c = group.join(members.where("n > 1"), "component", "left_semi").select("node").unionByName(loops).distinct().agg(F.count("*").alias("on_cycles"))
+    return a.join(b).join(c)  # one row each
 
 
 def governing(edges: DataFrame) -> DataFrame:

@@ -235,7 +235,18 @@ def reachability_components(spark, sf_dir):
     return G.mutual(edges(spark, sf_dir))
 
 
-@query(f"""{CLOSED} SELECT (SELECT count(*) FROM edges) AS edges, (SELECT count(*) FROM nodes) AS terms, (SELECT CAST(max(depth) AS INT) FROM c) AS max_depth,
+#: Longest chains of the groups of terms that use one another.
+CHAINS = f"""{CLOSED}, g AS (SELECT a.start AS node, min(a.node) AS component FROM c a JOIN c b ON a.start = b.node AND a.node = b.start GROUP BY a.start),
+ge AS (SELECT DISTINCT x.component AS a, y.component AS b FROM edges e JOIN g x ON e.src = x.node JOIN g y ON e.dst = y.node WHERE x.component <> y.component),
+l AS (SELECT component, 0 AS depth FROM g UNION SELECT ge.a, l.depth + 1 FROM l JOIN ge ON ge.b = l.component), d AS (SELECT g.node, max(l.depth) AS depth FROM g JOIN l ON g.component = l.component GROUP BY g.node)"""
+
+
+@query(f"{CHAINS} SELECT node, CAST(depth AS INT) AS depth FROM d")
+def definition_depths(spark, sf_dir):
+    return G.depths(edges(spark, sf_dir))
+
+
+@query(f"""{CHAINS} SELECT (SELECT count(*) FROM edges) AS edges, (SELECT count(*) FROM nodes) AS terms, (SELECT CAST(max(depth) AS INT) FROM d) AS max_depth, (SELECT count(*) FROM d WHERE depth >= 3) AS deep,
   (SELECT count(DISTINCT e.src) FROM edges e JOIN c ON c.start = e.dst AND c.node = e.src) AS on_cycles""")
 def graph_stats(spark, sf_dir):
     return G.stats(edges(spark, sf_dir))

@@ -13,8 +13,6 @@ duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
-#: Loops over many small jobs; one of them is enough here.
-SLOW = {"definition_cycles", "reachability_components", "graph_stats", "external_refs"}
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +35,7 @@ def plain(v) -> str:
     return v.isoformat() if hasattr(v, "isoformat") else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(plans.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(plans.oracle_sql()))
 def test_same_as_sql(name, spark, duck):
     got = plans.queries()[name](spark, SF)
     want = duck.sql(plans.oracle_sql()[name])
