@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -235,6 +236,16 @@ def _(d):
     return found(g.withColumn("doc_id", F.col("set_id")), "conflicting_definitions_across_documents", F.col("term"))
 
 
+def refused(source: Column) -> Column:
+    """Whether the grammar of conditions refuses a text."""
+    @F.pandas_udf("boolean")
+    def parse(sources: pd.Series) -> pd.Series:
+        bad = {s for s, _ in conditions_parse(sorted(set(sources.dropna())))}
+        return sources.map(lambda s: s is None or s in bad)
+
+    return parse(source)
+
+
 def conditions_parse(sources: list[str]) -> list[tuple[str, str]]:
     """Conditions that the grammar refuses, with why: conditions are configuration, so this runs on the driver."""
     from spanforge.operators.conditions import ConditionError, variables

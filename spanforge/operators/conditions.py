@@ -34,7 +34,9 @@ def tokenize(source: str) -> list[tuple[str, str]]:
 
 
 class _Parser:
-    """Recursive descent over the tokens. value(name) gives a variable as a text column."""
+    """Recursive descent over the tokens. value(name) gives a variable as a text column; f makes columns."""
+
+    f = F
 
     def __init__(self, tokens: list[tuple[str, str]], value: Callable[[str], Column]):
         self.tokens, self.at, self.value, self.names = tokens, 0, value, set()
@@ -84,17 +86,17 @@ class _Parser:
     def literal(self) -> tuple[str, Column]:
         kind, word = self.take()
         if kind == "number":
-            return kind, F.lit(word.replace("_", "").rstrip("%")).cast("decimal(38,10)")
+            return kind, self.f.lit(word.replace("_", "").rstrip("%")).cast("decimal(38,10)")
         if kind == "date":
-            return kind, F.lit(word).cast("date")
+            return kind, self.f.lit(word).cast("date")
         if kind == "text":
-            return kind, F.lit(word[1:-1].lower())
+            return kind, self.f.lit(word[1:-1].lower())
         if kind == "word" and word not in ("and", "or", "not", "in"):
-            return "text", F.lit(word.lower())
+            return "text", self.f.lit(word.lower())
         raise ConditionError(f"{word!r} is no value")
 
     def typed(self, kind: str, c: Column) -> Column:
-        return c.try_cast("decimal(38,10)") if kind == "number" else F.try_to_date(c, "yyyy-MM-dd") if kind == "date" else F.lower(c)
+        return c.try_cast("decimal(38,10)") if kind == "number" else self.f.try_to_date(c, "yyyy-MM-dd") if kind == "date" else self.f.lower(c)
 
     def comparison(self) -> Column:
         _, left = self.variable()
@@ -107,18 +109,33 @@ class _Parser:
                 self.take()
                 items.append(self.literal())
             self.take("]")
-            found = F.lit(False)
+            found = self.f.lit(False)
             for kind, x in items:
-                found = found | F.coalesce(self.typed(kind, left) == x, F.lit(False))
-            return F.when(left.isNotNull(), found)
+                found = found | self.f.coalesce(self.typed(kind, left) == x, self.f.lit(False))
+            return self.f.when(left.isNotNull(), found)
         if op not in ("<=", ">=", "==", "!=", "<", ">"):
-            return F.when(F.lower(left).isin("true", "false"), F.lower(left) == "true")
+            return self.f.when(self.f.lower(left).isin("true", "false"), self.f.lower(left) == "true")
         self.take()
         kind, right = self.literal()
         a = self.typed(kind, left)
         return {"<=": a <= right, ">=": a >= right, "==": a == right, "!=": a != right, "<": a < right, ">": a > right}[op]
 
 
+class _Nothing:
+    """Stands for columns where only the grammar counts, in a worker too."""
+
+    def __getattr__(self, name: str) -> Callable:
+        return lambda *_: self
+
+    __or__ = __and__ = __eq__ = __ne__ = __lt__ = __gt__ = __le__ = __ge__ = lambda self, _: self  # type: ignore[assignment]
+    __invert__ = lambda self: self
+    __hash__ = None
+
+
+class _Grammar(_Parser):
+    f = _Nothing()
+
+
 def condition(source: str, value: Callable[[str], Column]) -> Column:
     """The condition as a nullable boolean column."""
     p = _Parser(tokenize(source), value)
@@ -136,8 +153,8 @@ def from_map(state: Column) -> Callable[[str], Column]:
 
 
 def variables(source: str) -> set[str]:
-    """Names that a condition refers to. Needs no session state beyond an active one."""
-    p = _Parser(tokenize(source), lambda name: F.lit(None).cast("string"))
+    """Names that a condition refers to."""
+    p = _Grammar(tokenize(source), lambda name: _Grammar.f)
     p.either()
     if p.peek()[0] != "end":
         raise ConditionError(f"{p.peek()[1]!r} is left over")

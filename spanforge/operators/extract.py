@@ -16,22 +16,26 @@ from spanforge.operators.spans import first_of, matches
 AMOUNT, PERCENT, RATIO = r"\$[0-9][0-9,]*(?:\.[0-9]+)?(?: (?:thousand|million|billion))?", r"[0-9]+(?:\.[0-9]+)?%", r"[0-9]+(?:\.[0-9]+)?(?: to 1\.00|:1\.00|x)"
 DAY = r"(?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}, [0-9]{4}"
 #: One name: a comma stands in it only before what ends it, so it never spans a list.
-NAME = r"[A-Z][A-Za-z0-9&.'-]*(?: (?:of|the|[A-Z0-9&][A-Za-z0-9&.'-]*)){0,6}?,? (?:Inc\.|LLC|L\.P\.|LP|Corp\.|Corporation|Company|N\.A\.|Ltd\.|Limited|Bank)"
+ENDINGS = ["Inc.", "INC.", "Incorporated", "LLC", "L.L.C.", "L.P.", "LP", "LLP", "Corp.", "CORP.", "Corporation", "CORPORATION", "Company", "COMPANY", "N.A.", "Ltd.", "LTD.", "Limited", "LIMITED", "Bank", "BANK", "plc", "PLC", "S.A.", "GmbH", "B.V."]
+NAME = rf"[A-Z][A-Za-z0-9&.'-]*(?: (?:of|the|[A-Z0-9&][A-Za-z0-9&.'-]*)){{0,6}}?,? (?:{'|'.join(e.replace('.', r'[.]') for e in ENDINGS)})"
+#: Second words of states, and laws that go by an adjective.
+STATE = r"[A-Z][a-z]+(?: (?:York|Jersey|Hampshire|Mexico|Carolina|Dakota|Island|Virginia))?"
+LAWS = ["English", "Scots", "Scottish", "Irish", "Norwegian", "Swedish", "Danish", "Finnish", "German", "French", "Dutch", "Belgian", "Luxembourg", "Swiss", "Austrian", "Italian", "Spanish", "Portuguese", "Singapore", "Japanese", "Australian", "Canadian", "Brazilian", "Mexican"]
 #: A role in the singular alone: who is one of several is not the party.
 ONE = r"(?![A-Za-z])"
 
 #: Field, kind, anchored pattern with the value in parentheses, confidence, words without which it can't match.
 RULES = [
-    ("borrower.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:as (?:the )?|\(the \"?)[ \"]*Borrower{ONE}", 0.90, "Borrower"),
+    ("borrower.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:in its capacity )?(?:as (?:the )?|\(the \"?)[ \"]*Borrower{ONE}", 0.90, "Borrower"),
     ("holdings.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:as |\(\"?)[ \"]*Holdings{ONE}", 0.90, "Holdings"),
-    ("administrative_agent.legal_name", "text", rf"({NAME}),? as (?:the )?Administrative Agent{ONE}", 0.90, "Administrative Agent"),
-    ("guarantor.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?as (?:the |a )?(?:Parent )?Guarantor{ONE}", 0.85, "Guarantor"),
-    ("collateral_agent.legal_name", "text", rf"({NAME}),? as (?:the )?Collateral Agent{ONE}", 0.85, "Collateral Agent"),
+    ("administrative_agent.legal_name", "text", rf"({NAME}),? (?:in its capacity )?as (?:the )?Administrative Agent{ONE}", 0.90, "Administrative Agent"),
+    ("guarantor.legal_name", "text", rf"({NAME}),? (?:a [A-Z]?[a-z ]{{3,40}}, )?(?:in its capacity )?as (?:the |a )?(?:Parent )?Guarantor{ONE}", 0.85, "Guarantor"),
+    ("collateral_agent.legal_name", "text", rf"({NAME}),? (?:in its capacity )?as (?:the )?Collateral Agent{ONE}", 0.85, "Collateral Agent"),
     ("arranger.legal_name", "text", rf"({NAME}),? as (?:Sole |Joint )?Lead Arranger", 0.85, "Lead Arranger"),
     ("syndication_agent.legal_name", "text", rf"({NAME}),? as Syndication Agent", 0.90, "Syndication Agent"),
-    ("facility.governing_law", "text", r"governed by,? and construed in accordance with,? the laws? of the State of ([A-Z][a-z]+(?: [A-Z][a-z]+)?)", 0.90, "governed by"),
-    ("facility.governing_law", "text", r"governed by (?:and construed under )?the (?:internal )?laws? of the State of ([A-Z][a-z]+(?: [A-Z][a-z]+)?)", 0.90, "governed by"),
-    ("facility.governing_law", "text", r"governed by,? (?:and (?:shall be )?construed in accordance with,? )?([A-Z][a-z]+) law", 0.88, "governed by"),
+    ("facility.governing_law", "text", rf"(?:by|with|under),? the (?:internal |substantive |domestic )?laws? of the (?:State|Commonwealth) of ({STATE})", 0.90, " of the "),
+    # said of the agreement, not of another instrument that is `governed by Dutch law`
+    ("facility.governing_law", "text", rf"(?:is|are|be|been) governed by,? (?:and (?:shall be |is |are )?construed (?:in accordance with|under),? )?({'|'.join(LAWS)}) law", 0.88, "governed by"),
     ("closing_date", "date", rf"[\"“]Closing Date[\"”] means ({DAY})", 0.95, "Closing Date"),
     ("closing_date", "date", rf"dated as of ({DAY})", 0.55, "dated as of"),
     ("initial_term_loan.maturity_date", "date", rf"Initial Term Loan Maturity Date[\"”] means ({DAY})", 0.95, "Initial Term Loan Maturity Date"),
@@ -70,10 +74,10 @@ def rule_readings(docs: DataFrame, rules: list[tuple[str, str, str, float, str]]
     """All hits of anchored patterns: the value is group 1, the citation the whole match.
 
     The rules are an array literal that each document is exploded by, so the text is read once and
-    shuffled never; a rule goes no further where the text lacks its words, and before offsets are made
-    where it has no hit."""
+    shuffled never; it is repeated only for the rules whose words it has, and offsets are made
+    only where there is a hit."""
     table = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(k).alias("kind"), F.lit(p).alias("pattern"), F.lit(c).alias("confidence"), F.lit(w).alias("word")) for f, k, p, c, w in rules])
-    asked = docs.select("doc_id", "text", F.explode(table).alias("r")).select("doc_id", "text", "r.*").where("contains(text, word)")
+    asked = docs.select("doc_id", "text", F.explode(F.filter(table, lambda r: F.contains(F.col("text"), r["word"]))).alias("r")).select("doc_id", "text", "r.*")
     each = asked.withColumns({"hits": F.regexp_extract_all("text", F.col("pattern"), F.lit(0)), "values": F.regexp_extract_all("text", F.col("pattern"), F.lit(1)), "gaps": F.split("text", F.col("pattern"), F.lit(-1))}).where("size(hits) > 0")
     ends = F.transform("hits", lambda h, i: F.aggregate(F.slice("gaps", 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)) + F.aggregate(F.slice("hits", 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)))
     flat = each.select("doc_id", "field", "kind", "confidence", F.explode(F.arrays_zip("hits", "values", ends.alias("ends"))).alias("x"))

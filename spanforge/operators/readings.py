@@ -45,9 +45,29 @@ def cited(target: Column) -> Column:
     return F.when(F.upper(target).rlike("^(ARTICLE|SECTION)"), target).otherwise(F.concat(F.lit("Section "), target))
 
 
-def fiscal_quarter_ends(year_end: Column) -> Column:
-    """The ends of the four quarters of a fiscal year by months, each the last day of its month."""
-    return F.transform(F.sequence(F.lit(-9), F.lit(0), F.lit(3)), lambda m: F.last_day(F.add_months(F.trunc(year_end, "month"), m)))
+def fiscal_year_end(year: Column, month: Column, day: Column, weekday: Column, nearest: Column) -> Column:
+    """The last day of a fiscal year: the day, or the month's last where it has fewer; in a year of weeks (weekday, from Monday as 0,
+    is not null) the last such weekday of the month, or the one nearest to its end."""
+    last = F.last_day(F.make_date(year, month, F.lit(1)))
+    back = F.pmod(F.weekday(last) - weekday, F.lit(7))
+    of_weeks = F.when(nearest & (back > 3), F.date_add(last, F.lit(7) - back)).otherwise(F.date_sub(last, back))
+    return F.when(weekday.isNotNull(), of_weeks).otherwise(F.make_date(year, month, F.least(day, F.dayofmonth(last))))
+
+
+def fiscal_quarter_ends(year: Column, month: Column, day: Column, weekday: Column | None = None, nearest: Column | None = None) -> Column:
+    """The ends of the four quarters of a fiscal year: three months apart, on the year end's day or the last of a shorter month; in a
+    year of weeks thirteen weeks each, the fourth up to the year's end, which takes a fifty-third week."""
+    weekday, nearest = F.lit(None).cast("int") if weekday is None else weekday, F.lit(False) if nearest is None else nearest
+    end = fiscal_year_end(year, month, day, weekday, nearest)
+
+    def by_months(k: Column) -> Column:
+        last = F.last_day(F.add_months(F.make_date(year, month, F.lit(1)), k))
+        return F.date_add(F.trunc(last, "month"), F.least(day, F.dayofmonth(last)) - 1)
+
+    months = F.transform(F.array(*map(F.lit, (-9, -6, -3, 0))), by_months)
+    before = fiscal_year_end(year - 1, month, day, weekday, nearest)
+    weeks = F.array(*(F.date_add(before, 91 * q) for q in (1, 2, 3)), end)
+    return F.when(weekday.isNotNull(), weeks).otherwise(months)
 
 
 def surface_forms(value: Column) -> Column:

@@ -78,9 +78,9 @@ def best_prior(readings: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def review_queue(fields: DataFrame) -> DataFrame:
-    """Fields that a person must see, gravest first, least certain first; a conflict shows no value."""
+    """Fields that a person must see, to be queued by gravity and then sure: gravest first, least certain first; a conflict shows no value."""
     shown = F.when(F.col("status") != "conflicted", F.col("value"))
-    return fields.where(F.col("status").isin("needs_review", "conflicted")).withColumn("value", shown).orderBy(F.desc("criticality"), F.coalesce("confidence", F.lit(0)))
+    return fields.where(F.col("status").isin("needs_review", "conflicted")).withColumns({"value": shown, "gravity": -F.col("criticality"), "sure": F.coalesce("confidence", F.lit(0.0))})
 
 
 def queue(items: DataFrame, order: list[str]) -> DataFrame:

@@ -206,9 +206,12 @@ def numeral_words(spark, sf_dir):
     return K.found_by("numeral_and_words_agree", {"clauses": c}).select("doc_id", "detail")
 
 
-@query("SELECT field, kind, field_class, CAST(criticality AS INT) AS criticality FROM (VALUES {}) v(field, kind, field_class, criticality)".format(", ".join(f"('{a}', '{b}', '{c}', {d})" for a, b, c, d in FIELDS)))
+@query("WITH n AS (SELECT field, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'closing_date' WHEN o_orderkey % 4 = 1 THEN 'mfn_sunset' WHEN o_orderkey % 4 = 2 THEN 'no_such_field' ELSE 'pik.rate_pct' END AS field FROM orders) GROUP BY field) SELECT coalesce(v.field, n.field) AS field, kind, field_class, CAST(criticality AS INT) AS criticality, coalesce(n, 0) AS readings, v.field IS NOT NULL AS known FROM (VALUES {}) v(field, kind, field_class, criticality) FULL JOIN n ON v.field = n.field".format(", ".join(f"('{a}', '{b}', '{c}', {d})" for a, b, c, d in FIELDS)))
 def field_registry(spark, sf_dir):
-    return X.registry(spark)
+    """The registered fields, how many readings there are of each, and readings of fields that are not registered."""
+    names = F.element_at(F.array(*map(F.lit, ["closing_date", "mfn_sunset", "no_such_field", "pik.rate_pct"])), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    n = read(spark, sf_dir, "orders").groupBy(names.alias("field")).agg(F.count("*").alias("n"))
+    return X.registry(spark).withColumn("known", F.lit(True)).join(n, "field", "full").select("field", "kind", "field_class", "criticality", F.coalesce("n", F.lit(0)).alias("readings"), F.coalesce("known", F.lit(False)).alias("known"))
 
 
 def fields_of(spark, sf_dir):

@@ -107,14 +107,22 @@ def floor_advice(spark, sf_dir):
 STATEMENTS = """st AS (SELECT item_id, list_filter(list_transform(regexp_extract_all(lower(text), '([a-z0-9][a-z0-9.,%$-]*)', 1), lambda w: regexp_replace(w, '[.,;:]+$', '')), lambda w: length(w) > 1) AS words FROM benchmark)"""
 
 
-@query(f"""WITH {STATEMENTS}, x AS (SELECT d.doc_id, item_id, lower(coalesce(d.text, '')) AS t, list_filter(words, lambda w: regexp_matches(w, '[0-9]')) AS f, list_filter(words, lambda w: NOT regexp_matches(w, '[0-9]')) AS p FROM st, documents d WHERE len(words) > 0),
-y AS (SELECT doc_id, item_id, CASE WHEN len(f) > 0 THEN len(list_filter(f, lambda w: contains(t, w))) / len(f) END AS a, CASE WHEN len(p) > 0 THEN len(list_filter(p, lambda w: contains(t, w))) / len(p) END AS b FROM x)
+#: A figure as it is, without ending zeros, and as hundredths; null if it is none.
+SHORT = "regexp_replace(regexp_replace(CAST(CAST({0} AS DECIMAL(30,6)) AS VARCHAR), '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '')"
+N = "TRY_CAST(regexp_replace(w, '[$,%]', '', 'g') AS DECIMAL(20,6))"
+FORMS = f"CASE WHEN {N} IS NOT NULL THEN [regexp_replace(w, '[$,%]', '', 'g'), {SHORT.format(N)}, {SHORT.format(N + ' * 100')}] END"
+
+
+@query(f"""WITH {STATEMENTS}, x AS (SELECT d.doc_id, item_id, lower(coalesce(d.text, '')) AS t, list_transform(list_filter(words, lambda w: regexp_matches(w, '[0-9]')), lambda w: list_concat([w], coalesce({FORMS}, [regexp_replace(w, '[$,%]', '', 'g')]))) AS f, list_filter(words, lambda w: NOT regexp_matches(w, '[0-9]')) AS p FROM st, documents d WHERE len(words) > 0),
+y AS (SELECT doc_id, item_id, CASE WHEN len(f) > 0 THEN len(list_filter(f, lambda ws: len(list_filter(ws, lambda w: contains(t, w))) > 0)) / len(f) END AS a, CASE WHEN len(p) > 0 THEN len(list_filter(p, lambda w: contains(t, w))) / len(p) END AS b FROM x)
 SELECT doc_id, item_id, CAST(coalesce(0.75 * a + 0.25 * b, a, b, 0) AS DECIMAL(10,6)) AS support FROM y""")
 def lexical_support(spark, sf_dir):
     """Every document against every item: the items are the stated questions."""
     st = read(spark, sf_dir, "benchmark").select("item_id", content_words(F.col("text"), []).alias("words")).where("size(words) > 0")
+    plain, figures = S.statement_forms(F.col("words"))
+    st = st.select("item_id", plain.alias("plain"), figures.alias("figures"))
     d = read(spark, sf_dir, "documents", "doc_id", "text").withColumn("t", F.lower(F.coalesce("text", F.lit(""))))
-    return S.against(d, st).select("doc_id", "item_id", S.lexical_support(F.col("t"), F.col("words")).cast("decimal(10,6)").alias("support"))
+    return S.against(d, st).select("doc_id", "item_id", S.lexical_support(F.col("t"), F.col("plain"), F.col("figures")).cast("decimal(10,6)").alias("support"))
 
 
 CONCEPT = "least(0.97, 0.02 + 0.32 * (CAST(contains(t, 'the') AS INT) + CAST(contains(t, 'keit') AS INT) + CAST(contains(t, 'ción') AS INT)))"

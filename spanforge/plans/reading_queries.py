@@ -53,9 +53,19 @@ def cite_text(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", R.cited(target).alias("cited"))
 
 
-@query("""SELECT o_orderkey, CAST(i AS INT) AS quarter, last_day(CAST(date_trunc('month', o_orderdate) AS DATE) - to_months(12 - 3 * i)) AS ends FROM orders, (VALUES (1), (2), (3), (4)) q(i)""")
+def _year_end(year: str) -> str:
+    last = f"last_day(make_date({year}, mo, 1))"
+    back = f"((isodow({last}) - 1 - wd + 7) % 7)"
+    return f"CASE WHEN near AND {back} > 3 THEN {last} + CAST(7 - {back} AS INT) ELSE {last} - CAST({back} AS INT) END"
+
+
+@query(f"""WITH c AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS mo, CAST(15 + o_custkey % 17 AS INT) AS d, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey % 7 AS INT) END AS wd, o_orderkey % 3 = 1 AS near FROM orders),
+m AS (SELECT *, CAST(i AS INT) AS quarter, CAST(make_date(y, mo, 1) - to_months(12 - 3 * i) AS DATE) AS q1 FROM c, (VALUES (1), (2), (3), (4)) v(i))
+SELECT o_orderkey, quarter, CASE WHEN wd IS NULL THEN q1 + CAST(least(d, day(last_day(q1))) - 1 AS INT) WHEN quarter = 4 THEN {_year_end("y")} ELSE CAST({_year_end("y - 1")} AS DATE) + 91 * quarter END AS ends FROM m""")
 def fiscal_quarter_ends(spark, sf_dir):
-    ends = R.fiscal_quarter_ends(F.last_day("o_orderdate"))
+    """Years that end on a day, on the last weekday of a month, and on the weekday nearest to its end."""
+    k, d = F.col("o_orderkey") % 3, F.col("o_orderdate")
+    ends = R.fiscal_quarter_ends(F.year(d), F.month(d), (15 + F.col("o_custkey") % 17).cast("int"), F.when(k > 0, (F.col("o_custkey") % 7).cast("int")), k == 1)
     return read(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(ends).alias("q", "ends")).select("o_orderkey", (F.col("q") + 1).alias("quarter"), "ends")
 
 
@@ -66,10 +76,10 @@ def surface_forms(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", R.surface_forms(F.concat(F.lit("0."), F.lpad(p, 2, "0"))).alias("forms"))
 
 
-@query(f"WITH {CLAUSES} SELECT doc_id, line, text, [CAST(CAST(round(l_discount * 100) AS INT) AS DECIMAL(12,4))] AS rates FROM clauses")
+@query(f"WITH {CLAUSES} SELECT doc_id, line, text, CAST(CAST(round(l_discount * 100) AS INT) AS DECIMAL(12,4)) AS rate FROM clauses")
 def rate_list(spark, sf_dir):
     """Rates of a clause that also has a threshold, which is none."""
-    return clauses(spark, sf_dir).select("doc_id", "line", "text", R.rates(F.concat(F.col("text"), F.lit("; the ratio is not to exceed 35.5% of it"))).alias("rates"))
+    return clauses(spark, sf_dir).select("doc_id", "line", "text", F.explode(R.rates(F.concat(F.col("text"), F.lit("; the ratio is not to exceed 35.5% of it")))).alias("rate"))
 
 
 @query("SELECT p_partkey, CAST(CASE WHEN p_size % 5 = 0 THEN 1 WHEN p_size % 5 < 3 THEN 2 ELSE 0 END AS INT) AS level FROM part")

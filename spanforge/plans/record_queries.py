@@ -67,10 +67,14 @@ def name_fragments(spark, sf_dir):
     return R.fragments_dropped(v, ["k"])
 
 
-@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_totalprice, o_orderkey) AS place FROM orders""")
+@query("""WITH f AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'confirmed' WHEN 1 THEN 'needs_review' ELSE 'conflicted' END AS status, CAST(substr(o_orderpriority, 1, 1) AS INT) AS criticality, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_custkey % 50 AS DOUBLE) / 50 END AS confidence, CAST(o_custkey AS VARCHAR) AS value FROM orders)
+SELECT o_orderkey, row_number() OVER (ORDER BY criticality DESC, coalesce(confidence, 0), o_orderkey) AS place, CASE WHEN status <> 'conflicted' THEN value END AS value FROM f WHERE status <> 'confirmed'""")
 def review_queue(spark, sf_dir):
-    """The whole queue with each item's place."""
-    return R.queue(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority", "o_totalprice", "o_orderkey"]).select("o_orderkey", "place")
+    """What is unsettled, gravest first and least certain first, with each item's place; a conflict shows no value."""
+    k = F.col("o_orderkey")
+    status = F.when(k % 3 == 0, "confirmed").when(k % 3 == 1, "needs_review").otherwise("conflicted")
+    fields = read(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"), F.substring("o_orderpriority", 1, 1).cast("int").alias("criticality"), F.when(k % 7 > 0, (F.col("o_custkey") % 50).cast("double") / 50).alias("confidence"), F.col("o_custkey").cast("string").alias("value"))
+    return R.queue(R.review_queue(fields), ["gravity", "sure", "o_orderkey"]).select("o_orderkey", "place", "value")
 
 
 STATE = "o_totalprice >= 150_000 and (o_orderstatus in [F, P] or not o_orderpriority == '1-URGENT')"
