@@ -43,7 +43,7 @@ def folder(docs, tmp_path_factory, spark):
     """A folder of tables with those documents and the other small tables."""
     d = tmp_path_factory.mktemp("tables")
     docs.withColumn("key", F.lit("clash")).write.parquet(f"{d}/documents.parquet")
-    for t in ("benchmark", "labels", "pages"):
+    for t in ("benchmark", "labels", "pages", "embeddings"):
         os.symlink(f"{SF}/{t}.parquet", f"{d}/{t}.parquet")
     return str(d)
 
@@ -52,7 +52,7 @@ def folder(docs, tmp_path_factory, spark):
 def empty(docs, tmp_path_factory, spark):
     d = tmp_path_factory.mktemp("empty")
     docs.where("false").write.parquet(f"{d}/documents.parquet")
-    for t in ("benchmark", "labels", "pages"):
+    for t in ("benchmark", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(f"{d}/{t}.parquet")
     return str(d)
 
@@ -644,7 +644,7 @@ def test_pipeline_tells_rows_apart(spark, folder, tmp_path):
     assert {r.doc_id for r in p.run(spark, str(tmp_path)).collect()} <= {i for i, _, _ in rows}
 
 
-@pytest.mark.parametrize("name", ["op1_quality", "op2_licenses", "op3_mixing", "op4_decontaminate", "op7_toxicity", "op9_minhash", "op10_language"])
+@pytest.mark.parametrize("name", ["op1_quality", "op2_licenses", "op3_mixing", "op4_decontaminate", "op7_toxicity", "op8_token_store", "op9_minhash", "op10_language", "op11_alignment", "op12_packing"])
 def test_columns_of_any_name(name, spark, docs, tmp_path):
     odd = docs.drop("n_chars").where("doc_id >= 9000 or doc_id < 60 or doc_id is null")
     for k, d in enumerate((odd, odd.select("*", *[F.lit("clash").alias(c) for c in CLASH]))):
