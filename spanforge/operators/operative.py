@@ -9,7 +9,8 @@ What an amendment does is read by walking over its targets (sections, definition
 verbs and quotations in the order in which they stand: a verb says what the next quotation is. A change
 that finds no place is reported with the reason, never dropped.
 
-Changes are read a document a row, sets folded a set a group (a set is one agreement and its amendments).
+Changes are read a document a row, sets folded one after the other in a task that has them in order (a set is one agreement and its
+amendments).
 Null texts have no changes and are empty documents; a set without a base has no operative text and each
 of its changes is reported; an empty table gives no rows; of several documents that tie in the order of a
 set, that with the smaller id comes first.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ DEFINITIONS_SECTION = "1.01"
 PARTS = {"table": "table", "chart": "table", "grid": "table", "schedule": "table", "first sentence": "first sentence", "last sentence": "last sentence", "final sentence": "last sentence", "proviso": "proviso"}
 #: How far a restatement may be from its target, and bucket of offsets for attribution.
 REACH, BUCKET = 400, 1 << 14
+#: Rows of a batch of folded sets, and characters of their documents.
+BATCH, BATCH_CHARS = 10_000, 4_000_000
 
 
 class Effect(NamedTuple):
@@ -384,28 +388,50 @@ def effects(chain: DataFrame) -> DataFrame:
     return chain.where("role = 'amendment'").select("set_id", "doc_id", "text").mapInPandas(run, EFFECTS)
 
 
+def _by_set(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[tuple]]]:
+    """Sets of rows that come in their order, a set at a time, across batches."""
+    of, held = None, []
+    for b in batches:
+        for set_id, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if held and set_id != of:
+                yield of, held
+                held = []
+            of = set_id
+            held.append(tuple(row))
+    if held:
+        yield of, held
+
+
 def fold(chain: DataFrame) -> DataFrame:
     """Pieces (seq, section, doc_id, doc_start, text) and changes (effect, kind, target, reason) of each set of (set_id, ord, doc_id,
-    role, text, marked); write it before both are read from it."""
-    found = effects(chain).select(F.col("set_id").alias("of"), "doc_id", "seq", "kind", "section", "element", "old", "new_start", "new_end", "start", "end")
-
-    def run(key: tuple, docs: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
-        if docs.empty:
-            return pd.DataFrame([], columns=[c.split()[0] for c in FOLDED.split(", ")])
-        none = lambda x: None if x is None or x != x or x is pd.NA else x
-        by: dict[str, list[Effect]] = {}
-        for r in changes.sort_values(["doc_id", "seq"]).itertuples(index=False):
-            places = [None if none(x) is None else int(x) for x in (r.new_start, r.new_end)]
-            by.setdefault(r.doc_id, []).append(Effect(r.kind, r.section, none(r.element), none(r.old), *places, int(r.start), int(r.end)))
-        held = [Doc(int(r.ord), r.doc_id, r.role, none(r.text) or "", bool(none(r.marked))) for r in docs.itertuples(index=False)]
-        text, told = folded(held, by)
-        rows = [(key[0], k, section, p.doc, p.at if p.doc else None, p.text, None, None, None, None) for k, (section, p) in enumerate((s, p) for s, ps in (text.order if text else []) for p in ps)]
-        rows += [(key[0], None, None, d, None, None, i, e.kind, e.section, why) for d, i, e, why in told]
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in FOLDED.split(", ")])
-        return out.astype({"seq": "Int32", "doc_start": "Int64", "effect": "Int32"})
+    role, text, marked); write it before both are read from it. Sets come in order, so a task holds one at a time."""
+    schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}[t]) for n, t in (c.split() for c in FOLDED.split(", "))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        chars = 0
+        for set_id, own in _by_set(batches):
+            held = [Doc(int(o), d, r, t or "", bool(m)) for o, d, r, t, m in own]
+            by: dict[str, list[Effect]] = {}
+            for d in held:
+                if d.role == "amendment":
+                    by.setdefault(d.doc_id, []).extend(effects_of(d.text))
+            text, told = folded(held, by)
+            rows += [(set_id, k, section, p.doc, p.at if p.doc else None, p.text, None, None, None, None) for k, (section, p) in enumerate((s, p) for s, ps in (text.order if text else []) for p in ps)]
+            rows += [(set_id, None, None, d, None, None, i, e.kind, e.section, why) for d, i, e, why in told]
+            chars += sum(len(d.text) for d in held)
+            if len(rows) >= BATCH or chars >= BATCH_CHARS:
+                yield _batch(rows, schema)
+                rows, chars = [], 0
+        if rows:
+            yield _batch(rows, schema)
 
     held = chain.select("set_id", "ord", "doc_id", "role", "text", "marked")
-    return held.groupBy("set_id").cogroup(found.groupBy("of")).applyInPandas(run, FOLDED)
+    return held.repartition("set_id").sortWithinPartitions("set_id", "ord", "doc_id").mapInArrow(run, FOLDED)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def pieces(folded_: DataFrame) -> DataFrame:
