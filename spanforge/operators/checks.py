@@ -87,7 +87,7 @@ def fact(facts: DataFrame, field: str, value: str = "value") -> DataFrame:
 
 @check("revolver_maturity_before_term_maturity", "F01_integrity", "facts")
 def _(f):
-    j = fact(f, "revolver.maturity_date", "date").join(fact(f, "initial_term_loan.maturity_date", "date"), "doc_id")
+    j = fact(f, "revolver.maturity_date", "date").join(fact(f, "initial_term_loan.maturity_date", "date").hint("merge"), "doc_id")
     return found(j.where("revolver_maturity_date > initial_term_loan_maturity_date"), "revolver_maturity_before_term_maturity", F.col("revolver_maturity_date"))
 
 
@@ -226,8 +226,10 @@ def _(t):
 
 @check("nested_table_flattening", "F11_layout", "tables")
 def _(t):
-    b = t.select("doc_id", F.col("start").alias("s"), F.col("end").alias("e"))
-    return found(t.join(b, "doc_id").where("s < start and end <= e").select("doc_id", "table_id").distinct(), "nested_table_flattening", F.col("table_id"))
+    """Tables that end within one which starts before them: the furthest end of all earlier starts tells, so no pairs are made."""
+    earlier = W.partitionBy("doc_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    ends = t.where("start is not null").groupBy("doc_id", "start").agg(F.max("end").alias("to")).withColumn("reach", F.max("to").over(earlier)).select("doc_id", "start", "reach")
+    return found(t.join(ends.hint("merge"), ["doc_id", "start"]).where("end <= reach").select("doc_id", "table_id").distinct(), "nested_table_flattening", F.col("table_id"))
 
 
 @check("conflicting_definitions_across_documents", "F09_definitional_depth", "set_definitions")
