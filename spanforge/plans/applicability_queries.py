@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanforge.operators import applicability as A
-from spanforge.plans.base import query, read
+from spanforge.plans.base import query, read, spread
 from spanforge.plans.economics_queries import said, text
 from spanforge.plans.registry import FIELDS
 
@@ -14,7 +14,7 @@ NAMES = [f for f, *_ in FIELDS]
 
 def deals(spark, sf_dir):
     """Revolvers on a borrowing base: one with a term loan of its own, one that holds term loans, one with both, one with neither."""
-    p = read(spark, sf_dir, "part")
+    p = spread(read(spark, sf_dir, "part", "p_partkey", "p_name", "p_size"), "p_partkey")
     head = text("A borrowing base of eligible accounts of ", F.col("p_name"), ". An Event of Default. Each Event of Default. ")
     held = "Each Collateral Loan that is a Term Loan is held. "
     forms = [F.lit("The Term Loan matures."), F.lit(held), text(held, F.repeat(F.lit("w "), F.col("p_size") + 40), "The Term Loan is repaid."), F.lit("Nothing else.")]

@@ -9,7 +9,7 @@ from spanforge.operators import chain as C
 from spanforge.operators import checks as K
 from spanforge.operators import extract as X
 from spanforge.operators import reconcile as R
-from spanforge.plans.base import query, read
+from spanforge.plans.base import query, read, spread
 from spanforge.plans.record_queries import ROWS, schedule
 from spanforge.plans.registry import ANCHORS, FIELDS, KINDS
 from spanforge.sources import files
@@ -18,38 +18,38 @@ from spanforge.sources import files
 @query()
 def html_text_blocks(spark, sf_dir):
     """Text of every page, a block a row."""
-    d = files.parsed(read(spark, sf_dir, "pages"), "page_id", "html")
+    d = files.parsed(read(spark, sf_dir, "pages"), "page_id", "html", parts=("text",))
     return d.select("page_id", F.posexplode(F.split("text", r"\n\n")).alias("ix", "block"))
 
 
 @query()
 def html_links(spark, sf_dir):
-    return files.parsed(read(spark, sf_dir, "pages"), "page_id", "html").select("page_id", F.explode("links").alias("l")).select("page_id", "l.*")
+    return files.parsed(read(spark, sf_dir, "pages"), "page_id", "html", parts=("links",)).select("page_id", F.explode("links").alias("l")).select("page_id", "l.*")
 
 
 def priced_html(spark, sf_dir):
     """A page with a table for every part."""
     row = F.concat(F.lit("<tr><td>"), F.col("p_name"), F.lit("</td><td>$"), F.col("p_size").cast("string"), F.lit(".50</td><td><s>old</s>"), F.col("p_size").cast("string"), F.lit("%</td></tr>"))
     html = F.concat(F.lit("<p>Rates</p><table><tr><td>Name</td><td>Commitment</td><td>Margin</td></tr>"), row, F.lit("</table>"))
-    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), html.alias("html"))
+    return spread(read(spark, sf_dir, "part", "p_partkey", "p_name", "p_size"), "p_partkey").select(F.col("p_partkey").alias("doc_id"), html.alias("html"))
 
 
 @query("""SELECT p_partkey AS doc_id, CAST(c AS INT) AS col, CASE c WHEN 0 THEN 'Name' WHEN 1 THEN 'Commitment' ELSE 'Margin' END AS label, CASE c WHEN 0 THEN p_name WHEN 1 THEN concat('$', p_size, '.50') ELSE concat(p_size, '%') END AS text FROM part, range(3) r(c)""")
 def table_cells(spark, sf_dir):
     """HTML tables to cells with inferred header rows; struck text is left out."""
-    cells = files.parsed(priced_html(spark, sf_dir), "doc_id", "html").select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
+    cells = files.parsed(priced_html(spark, sf_dir), "doc_id", "html", parts=("cells",)).select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
     return files.labelled_rows(cells, ["doc_id"]).select("doc_id", "col", "label", "text")
 
 
 @query("""SELECT p_partkey AS doc_id, 'initial_term_loan.commitment' AS field, concat(p_size, '.5') AS key FROM part UNION ALL SELECT p_partkey, 'commitment_fee_pct', CAST(p_size AS VARCHAR) FROM part""")
 def table_candidates(spark, sf_dir):
-    cells = files.parsed(priced_html(spark, sf_dir), "doc_id", "html").select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
+    cells = files.parsed(priced_html(spark, sf_dir), "doc_id", "html", parts=("cells",)).select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
     return X.table_readings(files.labelled_rows(cells, ["doc_id"]), [("initial_term_loan.commitment", "commitment", "money"), ("commitment_fee_pct", "margin", "percent")]).select("doc_id", "field", "key")
 
 
 @query("SELECT p_partkey AS doc_id, 'struck' AS kind, 'old' AS text FROM part")
 def redlines(spark, sf_dir):
-    return files.parsed(priced_html(spark, sf_dir), "doc_id", "html").select("doc_id", F.explode("redlines").alias("r")).select("doc_id", "r.kind", "r.text")
+    return files.parsed(priced_html(spark, sf_dir), "doc_id", "html", parts=("redlines",)).select("doc_id", F.explode("redlines").alias("r")).select("doc_id", "r.kind", "r.text")
 
 
 def agreements(spark, sf_dir):
@@ -61,7 +61,7 @@ def agreements(spark, sf_dir):
         F.lit(".50% per annum on the Base Amount. “Base Amount” means the Closing Date balance.\n\nSECTION 2.01 Revolving Credit Commitments in an aggregate amount of $"), F.col("o_custkey").cast("string"),
         F.lit(" million. The commitment fee is 0.50%. Notwithstanding Section 1.01 the Fee Letter governs. This Agreement "), F.lit("shall be governed by, and construed in accordance with, the laws of the State of New York."),
     )
-    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), text.alias("text"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_custkey"), k.alias("k"))
+    return spread(read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey").select(F.col("o_orderkey").alias("doc_id"), text.alias("text"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_custkey"), k.alias("k"))
 
 
 @query("""SELECT o_orderkey AS doc_id, f.field, CASE f.field WHEN 'revolver.commitment' THEN CAST(o_custkey * 1000000 AS VARCHAR) WHEN 'commitment_fee_pct' THEN '0.5' WHEN 'facility.governing_law' THEN 'new york' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS key, f.confidence
@@ -80,7 +80,7 @@ def party_readings(spark, sf_dir):
     one = F.concat(F.lit("among Alpha "), n, F.lit(", Inc., a Delaware corporation, as Borrower, "))
     law = F.when(k % 3 == 0, "governed by, and construed in accordance with, the laws of the State of New York").when(k % 3 == 1, "governed by the laws of the State of New York").otherwise("governed by and construed in accordance with English law")
     text = F.concat(F.lit("CREDIT AGREEMENT "), F.when(k % 2 == 0, one).otherwise(many), F.lit("with Beta "), n, F.lit(", Inc., as Guarantor, and Gamma "), n, F.lit(" Bank, as Administrative Agent. It is "), law, F.lit("."))
-    got = X.rule_readings(read(spark, sf_dir, "customer").select(k.alias("doc_id"), text.alias("text")))
+    got = X.rule_readings(spread(read(spark, sf_dir, "customer", "c_custkey"), "c_custkey").select(k.alias("doc_id"), text.alias("text")))
     return got.select("doc_id", "field", "key")
 
 
@@ -131,7 +131,7 @@ def archetype(spark, sf_dir):
     k = F.col("p_size") % 4
     text = F.when(k == 0, "borrowing base and eligible accounts").when(k == 1, "consolidated ebitda, term loan, leverage ratio").when(k == 2, "unitranche; pik toggle").otherwise("a lease")
     a = X.archetype(F.concat(text, F.lit(". An Event of Default. Each Event of Default.")))
-    return read(spark, sf_dir, "part").select("p_partkey", a["archetype"].alias("archetype"), a["tied"].alias("tied"))
+    return spread(read(spark, sf_dir, "part", "p_partkey", "p_size"), "p_partkey").select("p_partkey", a["archetype"].alias("archetype"), a["tied"].alias("tied"))
 
 
 def chains(spark, sf_dir):

@@ -44,7 +44,7 @@ def printed(spark, sf_dir):
 
 
 def cells(spark, sf_dir):
-    return files.parsed(printed(spark, sf_dir), "doc_id", "html").select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
+    return files.parsed(printed(spark, sf_dir), "doc_id", "html", parts=("cells",)).select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
 
 
 @query("SELECT l_orderkey AS doc_id, CAST(l_shipdate AS DATE) AS payment_date, CAST(l_extendedprice AS DECIMAL(14,2)) AS amount FROM lineitem WHERE l_orderkey % 5 < 4")

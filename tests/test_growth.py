@@ -53,3 +53,70 @@ def test_kinds_of_deals_look_at_a_text_once(spark):
     kinds = spark.createDataFrame([("A borrowing base. Event of Default. Event of Default.",), ("unitranche, pik toggle, Event of Default, Event of Default",), (None,)], "t string").select(X.archetype(F.col("t")).alias("k"))
     assert kinds._jdf.queryExecution().optimizedPlan().toString().count("lower(") <= 4
     assert [r.k and (r.k.archetype, r.k.decisive, r.k.tied) for r in kinds.collect()] == [("abl_revolver", 1, False), ("unknown", 1, True), ("unknown", 0, False)]
+
+
+def test_plain_markup_is_read_as_by_the_tolerant_parser():
+    from spanforge.sources import files
+
+    def told(r):
+        return "".join(r.out), r.size, r.pages, r.cells, r.redlines, r.links
+
+    def tolerant(markup):
+        r = files.Reader()
+        r.feed(markup)
+        r.close()
+        r.close_cell()
+        return r
+
+    plain = ["<P>a &amp; b<br/>c</p><table><tr><td colspan=2> x</td><td><s>y</s>z </td></tr></table>", '<div style="text-decoration:line-through">a<p>b</div>c<hr /><a href="u.htm">d</a>', "", "a\n b", "<td>1<td>2", '<p>a</p><del>b<span>c</span></del><ins>d</ins>']
+    other = ["<p>1 < 2", "<!-- c --><p>a", "<p a='1'>b", "<style>p{}</style>a", "a<td", "<p A b>c</p>", "<td colspan=2/>a", "</ p>a", "<title>a</title>b"]
+    assert all(files.plain_tags(m) is not None for m in plain) and all(files.plain_tags(m) is None for m in other)
+    for m in plain + other:
+        assert told(files.parse_html(m)) == told(tolerant(m)), m
+
+
+def test_a_cell_is_cut_from_its_own_pieces():
+    from spanforge.sources import files
+
+    class Counted(list):
+        taken = 0
+
+        def __getitem__(self, k):
+            got = list.__getitem__(self, k)
+            Counted.taken += len(got) if isinstance(k, slice) else 0
+            return got
+
+        def __iter__(self):
+            Counted.taken += len(self)
+            return list.__iter__(self)
+
+    r = files.Reader()
+    r.out = Counted()
+    r.feed("<table>" + "<tr><td>a</td><td>b c</td></tr>" * 500 + "</table>")
+    assert len(r.cells) == 1_000 and Counted.taken < 20_000  # 1,000 cells of about 4 pieces each
+    assert [c["text"] for c in r.cells[:2]] == ["a", "b c"]
+
+
+def test_parts_and_long_batches(spark):
+    from spanforge.sources import files
+
+    page = "<p>" + "w " * 300_000 + "</p><table><tr><td>a</td><td rowspan=2>b</td></tr></table>"
+    rows = spark.createDataFrame([(1, page), (2, None), (3, "<s>x</s>y"), (4, page)], "id long, html string")
+    whole = {r.id: r for r in files.parsed(rows, "id", "html").collect()}
+    assert [c.text for c in whole[4].cells] == ["a", "b"] and whole[3].redlines[0].text == "x" and whole[2].text == "" and whole[2].cells == []
+    cells = files.parsed(rows, "id", "html", parts=("cells",))
+    assert cells.columns == ["id", "cells"] and {r.id: r.cells for r in cells.collect()} == {k: r.cells for k, r in whole.items()}
+
+
+def test_definitions_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(1, "“A Term” means the B Term. “B Term” means it.")], "doc_id long, text string")
+    defs = X.definitions(docs)
+    assert "BroadcastHashJoin" not in plan(X.uses(defs))
+    assert [(r.src, r.dst) for r in X.uses(defs).collect()] == [("A Term", "B Term")]
+
+
+def test_small_tables_are_spread_before_heavy_work(spark):
+    from spanforge.plans import document_queries as D
+
+    pages = D.priced_html(spark, "/root/testdata/sf0.001")
+    assert pages.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
