@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.functions import scalars as S
+from spanforge.session import kept
 
 #: How far the next part of a table may be, and by how much a total may miss the sum of its rows.
 NEXT_PART, TOTAL_SLACK = 400, 1
@@ -64,7 +65,7 @@ def joined(cells: DataFrame, keys: list[str], reach: int = NEXT_PART) -> DataFra
     runs = tables.withColumn("fresh", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("fresh").over(w))
     own = W.partitionBy(*keys, "run").orderBy("from_", "table_id")
     placed = runs.withColumns({"whole": F.first("table_id").over(own), "shift": F.coalesce(F.sum("rows").over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))})
-    out = g.join(placed.select(*by, "first", "fresh", "whole", "shift"), by)
+    out = g.join(placed.select(*by, "first", "fresh", "whole", "shift").hint("merge"), by)
     body = F.when(F.col("fresh") == 1, F.coalesce(F.col("row") >= F.col("first"), F.lit(False))).otherwise(F.lit(True))
     return out.select(*keys, F.col("whole").alias("table_id"), (F.col("row") + F.col("shift")).alias("row"), "col", "text", "start", "end", body.alias("body"))
 
@@ -95,11 +96,11 @@ def assigned(units: DataFrame, keys: list[str], roles: tuple[Role, ...]) -> Data
 
 def read_rows(cells: DataFrame, keys: list[str], roles: tuple[Role, ...]) -> DataFrame:
     """(keys, table_id, row, a text for each role, start, end) of the body rows of fitting tables; what stands in cells of its own under
-    one header, such as a currency sign, is joined to the figure."""
-    grid = joined(cells, keys)
+    one header, such as a currency sign, is joined to the figure. Cells are read four times, so they are kept, not parsed again each time."""
+    grid = joined(kept(cells), keys)
     cast = grid.where("not body").withColumn("col", F.col("col").cast("int"))
     role_of = assigned(columns(cast, keys), keys, roles)
-    own = grid.where("body").withColumn("col", F.col("col").cast("int")).join(role_of, [*keys, "table_id", "col"])
+    own = grid.where("body").withColumn("col", F.col("col").cast("int")).join(role_of.hint("merge"), [*keys, "table_id", "col"])
     per_role = own.groupBy(*keys, "table_id", "row", "role").agg(F.sort_array(F.collect_set(F.struct("start", "text"))).alias("ts"), F.min("start").alias("start"), F.max("end").alias("end"))
     text = F.array_join(F.transform("ts", lambda t: t["text"]), "")
     wide = [F.max(F.when(F.col("role") == r.name, text)).alias(r.name) for r in roles]

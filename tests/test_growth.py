@@ -120,3 +120,16 @@ def test_small_tables_are_spread_before_heavy_work(spark):
 
     pages = D.priced_html(spark, "/root/testdata/sf0.001")
     assert pages.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_pages_are_parsed_once(spark):
+    from spanforge.operators import grids as G
+    from spanforge.sources import files
+
+    html = "<table><tr><td>Payment Date</td><td>Principal</td></tr><tr><td>March 31, 2020</td><td>$5</td></tr></table>"
+    rows = spark.createDataFrame([(1, html)], "doc_id long, html string")
+    cells = files.parsed(rows, "doc_id", "html", parts=("cells",)).select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
+    paid = G.amortization(cells, ["doc_id"])
+    assert "MapInArrow" not in plan(paid) and [(str(r.payment_date), int(r.amount)) for r in paid.collect()] == [("2020-03-31", 5)]
+    labelled = files.labelled_rows(cells, ["doc_id"])
+    assert "MapInArrow" not in plan(labelled) and labelled.count() == 2
