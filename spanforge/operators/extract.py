@@ -5,14 +5,15 @@ A reading is (doc_id, field, key, start, end, confidence, pass_id, segmentation,
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.functions import scalars as S
-from spanforge.operators.spans import first_of, matches
+from spanforge.operators.spans import compiled, first_of, locate, of_each
 
 AMOUNT, PERCENT, RATIO = r"\$[0-9][0-9,]*(?:\.[0-9]+)?(?: (?:thousand|million|billion))?", r"[0-9]+(?:\.[0-9]+)?%", r"[0-9]+(?:\.[0-9]+)?(?: to 1\.00|:1\.00|x)"
 DAY = r"(?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}, [0-9]{4}"
@@ -74,62 +75,98 @@ READING = "doc_id, field, key, start, end, confidence, pass_id, segmentation, ex
 def rule_readings(docs: DataFrame, rules: list[tuple[str, str, str, float, str]] = RULES, segmentation: str = "structural") -> DataFrame:
     """All hits of anchored patterns: the value is group 1, the citation the whole match.
 
-    The rules are an array literal that each document is exploded by, so the text is read once and
-    shuffled never; it is repeated only for the rules whose words it has, and offsets are made
-    only where there is a hit."""
-    table = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(k).alias("kind"), F.lit(p).alias("pattern"), F.lit(c).alias("confidence"), F.lit(w).alias("word")) for f, k, p, c, w in rules])
-    asked = docs.select("doc_id", "text", F.explode(F.filter(table, lambda r: F.contains(F.col("text"), r["word"]))).alias("r")).select("doc_id", "text", "r.*")
-    each = asked.withColumns({"hits": F.regexp_extract_all("text", F.col("pattern"), F.lit(0)), "values": F.regexp_extract_all("text", F.col("pattern"), F.lit(1)), "gaps": F.split("text", F.col("pattern"), F.lit(-1))}).where("size(hits) > 0")
-    ends = F.transform("hits", lambda h, i: F.aggregate(F.slice("gaps", 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)) + F.aggregate(F.slice("hits", 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)))
-    flat = each.select("doc_id", "field", "kind", "confidence", F.explode(F.arrays_zip("hits", "values", ends.alias("ends"))).alias("x"))
-    return flat.select(
-        "doc_id", "field", S.coerced(F.col("kind"), F.col("x.values")).alias("key"), (F.col("x.ends") - F.length("x.hits")).alias("start"), F.col("x.ends").alias("end"), F.col("confidence").cast("decimal(10,4)").alias("confidence"),
+    A text is read once, by the rules whose words it has, and shuffled never; a hit's value is made once."""
+    own = [(f, k, c, compiled(p), w) for f, k, p, c, w in rules]
+
+    def read(t: str) -> Iterator[tuple]:
+        for f, k, c, p, w in own:
+            if w in t:
+                for m in p.finditer(t):
+                    yield f, k, c, m[1], m.start(), m.end()
+
+    hits = of_each(docs, ["doc_id"], "text", read, "field string, kind string, confidence double, raw string, start long, end long")
+    keyed = hits.select("doc_id", "field", F.explode(F.filter(F.array(S.coerced(F.col("kind"), F.col("raw"))), lambda k: k.isNotNull())).alias("key"), "start", "end", "confidence")
+    return keyed.select(
+        "doc_id", "field", "key", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), F.col("confidence").cast("decimal(10,4)").alias("confidence"),
         F.lit("deterministic:rules").alias("pass_id"), F.lit(segmentation).alias("segmentation"), F.lit(None).cast("string").alias("external"),
-    ).where("key is not null")
+    )
 
 
 DEFINED = r"[\"“]([A-Z][A-Za-z0-9 ,/&-]{1,80})[\"”] (?:means|shall mean|has the meaning)"
+_DEFINED, _RUN = compiled(DEFINED), compiled(r"[A-Z][A-Za-z0-9/&-]*(?: [A-Z][A-Za-z0-9/&-]*)*")
+#: Words of the longest part of a run that is looked up.
+LONGEST_TERM = 8
+
+
+def defined(text: str, most: int) -> list[tuple[str, int, int, str | None]]:
+    """term, start, end, body of the definitions of a text."""
+    marks = [(m[1], m.start()) for m in _DEFINED.finditer(text)]
+    first: dict[str, tuple[str, int, int, str | None]] = {}
+    for k, (term, a) in enumerate(marks):
+        b = marks[k + 1][1] if k + 1 < len(marks) else len(text)
+        first.setdefault(term, (term, a, b, text[a:b] if b - a <= most else None))
+    return list(first.values())
+
+
+def named_in(bodies: list[tuple[str, str | None]]) -> Iterator[tuple[str, str]]:
+    """(src, dst) of a document's definitions (term, body): the other terms among the runs of capitalised words of a body and their parts."""
+    terms = {t for t, _ in bodies}
+    opening = {t.split(" ", 1)[0] for t in terms}
+    for src, body in bodies:
+        found: dict[str, None] = {}
+        for run in {m[0] for m in _RUN.finditer(body or "")}:
+            words = run.split(" ")
+            for i, w in enumerate(words):
+                if w in opening:
+                    found |= dict.fromkeys(t for j in range(i + 1, min(len(words), i + LONGEST_TERM) + 1) if (t := " ".join(words[i:j])) in terms and t != src)
+        yield from ((src, dst) for dst in found)
 
 
 def definitions(docs: DataFrame, most: int = 8_000) -> DataFrame:
     """(doc_id, term, start, end, body): each quoted term that is given a meaning, up to the next; the first one
-    of a term stands. Bodies longer than most are declined (null)."""
-    from spanforge.operators.spans import closed
+    of a term stands. Bodies longer than most are declined (null). A row is a document; those without an id have none."""
+    return of_each(docs.where("doc_id is not null"), ["doc_id"], "text", lambda t: defined(t, most), "term string, start long, end long, body string")
 
-    marks = matches(docs, DEFINED, ["doc_id"]).withColumn("term", F.regexp_extract("match", DEFINED, 1)).select("doc_id", "term", "start")
-    spans = closed(marks, docs, ["doc_id"])
-    first = first_of(spans, ["doc_id", "term"], F.col("start"))
-    body = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    return first.join(docs.hint("merge"), "doc_id").select("doc_id", "term", "start", "end", F.when(F.col("end") - F.col("start") <= most, body).alias("body"))
+
+def edges(docs: DataFrame, most: int = 8_000) -> DataFrame:
+    """uses of the definitions of each text, found where the text is."""
+    return of_each(docs.where("doc_id is not null"), ["doc_id"], "text", lambda t: named_in([(term, body) for term, _, _, body in defined(t, most)]), "src string, dst string")
 
 
 def uses(defs: DataFrame) -> DataFrame:
     """Edges (doc_id, src, dst): the defined terms that a definition's body names, by its runs of capitalised words.
 
-    Terms are looked up among the runs and all their parts: an equality join, no pattern of all terms."""
-    words = F.split("run", " ")
-    n = F.size(words)
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(i, F.least(n, i + 7)), lambda j: F.array_join(F.slice(words, i, j - i + 1), " "))))
-    runs = defs.where("body is not null").select("doc_id", F.col("term").alias("src"), F.explode(F.regexp_extract_all("body", F.lit(r"([A-Z][A-Za-z0-9/&-]*(?: [A-Z][A-Za-z0-9/&-]*)*)"), 1)).alias("run"))
-    named = runs.select("doc_id", "src", F.explode(parts).alias("dst")).distinct()
-    return named.where("src <> dst").join(defs.select("doc_id", F.col("term").alias("dst")).hint("merge"), ["doc_id", "dst"], "left_semi").select("doc_id", "src", "dst")
+    A document's definitions, which are no longer than its text, meet in a row. Terms are looked up among the runs and all their parts."""
+    kind = defs.schema["doc_id"].dataType.simpleString()
+    own = defs.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list(F.struct("term", "body")).alias("ds"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, pairs = [], []
+            for k, ds in enumerate(b.column(1).to_pylist()):
+                n = len(pairs)
+                pairs.extend(named_in([(d["term"], d["body"]) for d in ds]))
+                at += [k] * (len(pairs) - n)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *(pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1))], names=["doc_id", "src", "dst"])
+
+    return own.mapInArrow(run, f"doc_id {kind}, src string, dst string")
 
 
 def definition_readings(defs: DataFrame, anchors: DataFrame, kinds: dict[str, str], most: int = 1_200) -> DataFrame:
     """The sole value of a field's defined term; several values or a long body give a valueless reading.
 
-    anchors: (field, anchor, ix), the terms to try in order."""
-    low = defs.withColumn("k", F.lower("term"))
-    found = anchors.withColumn("k", F.lower("anchor")).join(low, "k")
-    one = first_of(found, ["doc_id", "field"], F.col("ix"), F.col("start"))
+    anchors: (field, anchor, ix), the terms to try in order, a table of the size of the registry, which is sent to the definitions:
+    few terms are asked for, so that a merge by them would be a few tasks. Bodies are read where they are; what is shuffled is short."""
+    found = defs.withColumn("k", F.lower("term")).join(F.broadcast(anchors.withColumn("k", F.lower("anchor"))), "k")
     kind = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])[F.col("field")]
     pick = lambda p: F.array_distinct(F.regexp_extract_all("body", F.lit(f"({p})"), 1))
     values = F.when(kind == "money", pick(AMOUNT)).when(kind == "percent", pick(PERCENT)).when(kind == "ratio", pick(RATIO)).when(kind == "date", pick(DAY))
-    raw = F.when((F.length("body") <= most) & (F.size(values) == 1), values[0])
+    raw = once(values, lambda v: F.when((F.length("body") <= most) & (F.size(v) == 1), v[0]))
     letter = F.nullif(F.regexp_extract("body", r"(Fee Letter|Disclosure Letter|Side Letter|Schedule [0-9.]+|Exhibit [A-Z])", 1), F.lit(""))
+    one = first_of(found.select("doc_id", "field", "ix", "start", "end", raw.alias("raw"), letter.alias("letter")), ["doc_id", "field"], F.col("ix"), F.col("start"))
     return one.select(
-        "doc_id", "field", S.coerced(kind, raw).alias("key"), "start", "end", F.lit(0.9).cast("decimal(10,4)").alias("confidence"), F.lit("deterministic:definitions").alias("pass_id"),
-        F.lit("definitional").alias("segmentation"), F.when(raw.isNull(), letter).alias("external"),
+        "doc_id", "field", S.coerced(kind, F.col("raw")).alias("key"), "start", "end", F.lit(0.9).cast("decimal(10,4)").alias("confidence"), F.lit("deterministic:definitions").alias("pass_id"),
+        F.lit("definitional").alias("segmentation"), F.when(F.col("raw").isNull(), F.col("letter")).alias("external"),
     )
 
 
@@ -210,16 +247,11 @@ PRECEDENCE = [("notwithstanding", r"[Nn]otwithstanding[^.]{0,80}?Section ([0-9]+
 
 def precedence(docs: DataFrame, sections: DataFrame) -> DataFrame:
     """(doc_id, src, dst, kind): src yields to dst. With notwithstanding and in lieu of the section that says it wins,
-    else the one it cites. sections: (doc_id, section, start)."""
-    from spanforge.operators.spans import locate
-
-    parts = []
-    for kind, p, citing_wins in PRECEDENCE:
-        m = matches(docs, p, ["doc_id"]).select("doc_id", "start", F.regexp_extract("match", p, 1).alias("cited"))
-        here = locate(m, sections, ["doc_id"], "start", "section").where("section is not null and section <> cited")
-        pair = ("cited", "section") if citing_wins else ("section", "cited")
-        parts.append(here.select("doc_id", F.col(pair[0]).alias("src"), F.col(pair[1]).alias("dst"), F.lit(kind).alias("kind")))
-    return reduce(DataFrame.unionByName, parts).distinct()
+    else the one it cites. sections: (doc_id, section, start). A text is read once for all kinds, and its sections are looked up once."""
+    own = [(kind, compiled(p), wins) for kind, p, wins in PRECEDENCE]
+    said = of_each(docs, ["doc_id"], "text", lambda t: [(kind, wins, m[1], m.start()) for kind, p, wins in own for m in p.finditer(t)], "kind string, wins boolean, cited string, start long")
+    here = locate(said, sections, ["doc_id"], "start", "section").where("section is not null and section <> cited")
+    return here.select("doc_id", F.when(F.col("wins"), F.col("cited")).otherwise(F.col("section")).alias("src"), F.when(F.col("wins"), F.col("section")).otherwise(F.col("cited")).alias("dst"), "kind").distinct()
 
 
 def registry(spark: SparkSession) -> DataFrame:

@@ -2,11 +2,15 @@
 
 Joins on spans always carry the document as an equality key, so Spark shuffles by document and
 checks the range within it; `contained` also cuts long documents into buckets of offsets, so one
-huge document is not one task.
+huge document is not one task. What is read off a text alone is read in one pass over it, where its row is.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,16 +18,50 @@ from pyspark.sql import functions as F
 BUCKET = 1 << 14
 
 
-def matches(docs: DataFrame, pattern: str, keys: list[str], text: str = "text") -> DataFrame:
-    """keys, ix, match, start, end of every match of a pattern that can't match nothing.
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
+#: Rows and characters of texts after which what was read goes on.
+ROWS, CHARS = 20_000, 1 << 24
+
+
+def of_each(docs: DataFrame, keys: list[str], text: str, read: Callable[[str], Iterable[tuple]], ddl: str) -> DataFrame:
+    """keys, and what read finds in a row's text, a row each; null texts hold nothing. Rows stay where they are: no shuffle."""
+    names, kinds = zip(*(p.split() for p in ddl.split(", ")), strict=True)
+    head = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, rows, chars = [], [], 0
+
+            def found() -> pa.RecordBatch:
+                own = [b.column(k).take(pa.array(at)) for k in range(len(keys))]
+                return pa.RecordBatch.from_arrays([*own, *(pa.array(c, ARROW[k]) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=[*keys, *names])
 
-    The text is split at the matches; a match starts after all gaps up to it and all matches before."""
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("hit"))
-    flat = docs.select(*keys, F.posexplode(pairs).alias("ix", "p")).where("p.hit is not null")
-    w = W.partitionBy(*keys).orderBy("ix").rowsBetween(W.unboundedPreceding, 0)
-    size = F.length("p.hit")
-    end = F.sum(F.length("p.gap") + size).over(w)
-    return flat.select(*keys, "ix", F.col("p.hit").alias("match"), (end - size).alias("start"), end.alias("end"))
+            for k, t in enumerate(b.column(len(keys))):
+                t = t.as_py()
+                if t is None:
+                    continue
+                n = len(rows)
+                rows.extend(read(t))
+                at += [k] * (len(rows) - n)
+                chars += len(t)
+                if rows and (len(rows) >= ROWS or chars >= CHARS):
+                    yield found()
+                    at, rows, chars = [], [], 0
+            if rows:
+                yield found()
+
+    return docs.select(*keys, text).mapInArrow(run, f"{head}, {ddl}")
+
+
+def compiled(pattern: str) -> re.Pattern:
+    """A pattern as the engine's own functions read it: classes by letters of ASCII."""
+    return re.compile(pattern, re.ASCII)
+
+
+def matches(docs: DataFrame, pattern: str, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, ix, match, start, end of every match of a pattern that can't match nothing."""
+    p = compiled(pattern)
+    return of_each(docs, keys, text, lambda t: [(k, m[0], m.start(), m.end()) for k, m in enumerate(p.finditer(t))], "ix int, match string, start long, end long")
 
 
 def sliding(docs: DataFrame, keys: list[str], window: int = 6_000, stride: int = 4_200, text: str = "text") -> DataFrame:
@@ -74,7 +112,7 @@ def locate(points: DataFrame, marks: DataFrame, keys: list[str], at: str, value:
     p = points.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(marks.schema[value].dataType).alias("_v"), F.struct(*points.columns).alias("_row"))
     m = marks.select(*keys, F.col("start").alias("_at"), F.lit(0).alias("_kind"), F.col(value).alias("_v"), F.lit(None).cast(p.schema["_row"].dataType).alias("_row"))
     w = W.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(W.unboundedPreceding, 0)
-    return p.unionByName(m).withColumn(value, F.last("_v", ignorenulls=True).over(w)).where("_kind = 1").select("_row.*", value)
+    return p.unionByName(m).withColumn(value, F.last("_v", ignorenulls=True).over(w)).where("_kind = 1").select(*(F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in points.columns), value)
 
 
 def contained(inner: DataFrame, outer: DataFrame, keys: list[str], how: str = "inner", bucket: int = BUCKET) -> DataFrame:

@@ -91,7 +91,7 @@ def defined_terms(spark, sf_dir):
 
 @query("""SELECT o_orderkey AS doc_id, src, dst FROM orders, (VALUES ('Applicable Margin', 'Base Amount'), ('Base Amount', 'Closing Date')) v(src, dst)""")
 def definition_edges(spark, sf_dir):
-    return X.uses(X.definitions(agreements(spark, sf_dir)))
+    return X.edges(agreements(spark, sf_dir))
 
 
 @query("""SELECT o_orderkey AS doc_id, field, CASE field WHEN 'closing_date' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) ELSE concat(o_orderkey % 9, '.5') END AS key FROM orders, (VALUES ('closing_date'), ('applicable_margin.eurodollar_top_level_pct')) v(field)""")
