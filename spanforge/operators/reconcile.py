@@ -13,18 +13,22 @@ SUPPORT_FLOOR = 2
 CONFIDENT = ["confirmed", "absent_from_document", "external_reference", "conflicted"]
 
 
-def value_groups(readings: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each value of a field. readings: keys, key, segmentation, echo, pass_id, confidence.
-
-    Support counts the views that found the value without having been shown it."""
+def _grouped(readings: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     rule = F.col("pass_id").startswith("deterministic:")
-    return readings.where("key is not null").groupBy(*keys, "key").agg(
+    return readings.groupBy(*keys, "key").agg(
         F.count_distinct(F.when(~F.col("echo"), F.col("segmentation"))).alias("support"),
         F.bool_or(rule).alias("deterministic"), F.bool_or(F.col("pass_id") == "deterministic:definitions").alias("from_definition"),
-        F.max("confidence").alias("best"), F.count("*").alias("readings"),
+        F.max("confidence").alias("best"), F.count("*").alias("readings"), *more,
     )
 
 
+def value_groups(readings: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of a field. readings: keys, key, segmentation, echo, pass_id, confidence.
+
+    Support counts the views that found the value without having been shown it."""
+    return _grouped(readings.where("key is not null"), keys)
+
+
 def blend(deterministic: Column, best: Column, support: Column, views: int) -> Column:
     """Confidence of a group: rules count as .95 at least, others by confidence and share of views."""
     mixed = F.round(F.least(F.lit(0.99), 0.45 * best + 0.55 * F.least(support, F.lit(views)) / views), 4)
@@ -40,10 +44,14 @@ def ranked(groups: DataFrame, keys: list[str]) -> DataFrame:
 def reconcile(asked: DataFrame, readings: DataFrame, keys: list[str], views: int, floor: int = SUPPORT_FLOOR) -> DataFrame:
     """A row for every asked key, answered or not: status, value, support, confidence, values.
 
-    readings may also have external (a document named instead of a value)."""
-    best = ranked(value_groups(readings, keys), keys).where("rank = 1")
-    named = readings.groupBy(*keys).agg(F.count("*").alias("n"), F.bool_and(F.col("key").isNull() & F.col("external").isNotNull()).alias("all_external"))
-    out = asked.join(named, keys, "left").join(best, keys, "left")
+    readings may also have external (a document named instead of a value). They are made and shuffled once: what groups
+    them by value also counts them, and the first value in the order of `ranked` is a least one."""
+    dealt = readings.select(*keys, "key", "segmentation", "echo", "pass_id", "confidence", "external").repartition(*keys)
+    groups = _grouped(dealt, keys, F.bool_and(F.col("key").isNull() & F.col("external").isNotNull()).alias("external_"))
+    last = lambda c: F.when(F.col(c), 0).when(~F.col(c), 1).otherwise(2)  # noqa: E731  what is unknown comes last
+    order = F.struct(last("from_definition").alias("a"), last("deterministic").alias("b"), (-F.col("support")).alias("c"), F.col("best").isNull().alias("d"), (-F.col("best")).alias("e"), "key", "deterministic", "support", "best")
+    found = groups.groupBy(*keys).agg(F.sum("readings").alias("n"), F.bool_and("external_").alias("all_external"), F.count("key").alias("values"), F.min(F.when(F.col("key").isNotNull(), order)).alias("x"))
+    out = asked.join(found.hint("merge"), keys, "left").select(*asked.columns, "n", "all_external", "values", *(F.col("x")[c].alias(c) for c in ("key", "deterministic", "support", "best")))
     status = (
         F.when(F.col("n").isNull(), "needs_review")
         .when(F.col("all_external"), "external_reference")
