@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Statuses whose value may be exported.
@@ -23,10 +23,18 @@ INHERITED = [("margin", "applicable_margin.eurodollar_top_level_pct"), ("floor",
 def record(fields: DataFrame) -> DataFrame:
     """Every slot of every document in long form: doc_id, path, status, value, basis (the field).
 
-    fields: doc_id, field, status, value. A slot without a field row is unsettled, never missing."""
-    slots = fields.sparkSession.createDataFrame(SLOTS, "path string, field string")
-    every = fields.select("doc_id").distinct().join(F.broadcast(slots))  # SLOTS is fixed
-    return every.join(fields, ["doc_id", "field"], "left").select("doc_id", "path", F.coalesce("status", F.lit("needs_review")).alias("status"), "value", F.col("field").alias("basis"))
+    fields: doc_id, field, status, value. A slot without a field row is unsettled, never missing. A document's fields
+    meet in one row and the slots, which are fixed, are filled from it: what is shuffled is the fields alone."""
+    said = F.collect_list(F.struct("field", "status", "value"))
+    own = fields.groupBy("doc_id").agg(F.when(F.col("doc_id").isNotNull(), said).alias("fs"))
+    nothing = F.struct(*(F.lit(None).cast(fields.schema[c].dataType).alias(c) for c in ("field", "status", "value")))
+
+    def filled(path: str, field: str) -> Column:
+        hits = F.filter("fs", lambda f: f["field"] == field)
+        each = F.when(F.coalesce(F.size(hits), F.lit(0)) > 0, hits).otherwise(F.array(nothing))
+        return F.transform(each, lambda f: F.struct(F.lit(path).alias("path"), F.coalesce(f["status"], F.lit("needs_review")).alias("status"), f["value"].alias("value"), F.lit(field).alias("basis")))
+
+    return own.select("doc_id", F.explode(F.flatten(F.array(*(filled(p, f) for p, f in SLOTS)))).alias("s")).select("doc_id", "s.*")
 
 
 def tranche_terms(fields: DataFrame, attributed: DataFrame, tranches: list[str]) -> DataFrame:
