@@ -8,7 +8,7 @@ regions that tie the earlier counts; rows of one document id are one document an
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
 import pandas as pd
@@ -17,7 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.operators import graphs, outline
-from spanforge.operators.spans import merge
+from spanforge.operators.extract import defined, named_in
+from spanforge.operators.spans import merge, of_each
 
 #: What stands around a use, how many uses are taken, gaps that are closed, characters of a closure, what stands between parts.
 PAD, MOST_USES, GAP, BUDGET, BETWEEN = 600, 12, 200, 24_000, "\n[...]\n"
@@ -78,16 +79,54 @@ def definitional(docs: DataFrame, defs: DataFrame, pad: int = PAD, most: int = M
     return joined.select("doc_id", "term", F.row_number().over(W.partitionBy("doc_id", "term").orderBy("start")).alias("part"), "start", "end")
 
 
+CLOSURE = "anchor string, ix int, term string, start long, end long"
+
+
+def closed_in(own: list[tuple[str, int, int]], edges: Iterable[tuple[str, str]], budget: int, depth: int = graphs.DEPTH) -> Iterator[tuple[str, int, str, int, int]]:
+    """CLOSURE of one document's definitions (term, start, end): level by level from each anchor, no further than the budget goes."""
+    at = {t: (a, b) for t, a, b in own}
+    out: dict[str, set[str]] = {}
+    for src, dst in edges:
+        out.setdefault(src, set()).add(dst)
+    for anchor in at:
+        seen, level, used, ix = {anchor}, [anchor], 0, 0
+        for _ in range(depth + 1):
+            for t in sorted(level):
+                if t in at:
+                    a, b = at[t]
+                    used, ix = used + b - a, ix + 1
+                    if used > budget:
+                        break
+                    yield anchor, ix, t, a, b
+            level = [] if used > budget else list({y for t in level for y in out.get(t, ())} - seen)
+            if not level:
+                break
+            seen.update(level)
+
+
 def closures(defs: DataFrame, edges: DataFrame, budget: int = BUDGET) -> DataFrame:
     """(doc_id, anchor, ix, term, start, end): the definitions that an anchor's rests on, nearest first and by name within a distance,
-    up to the first that the budget of characters has no room for. edges: doc_id, src, dst."""
-    name = lambda c: F.struct("doc_id", F.col(c).alias("term"))
-    reached = graphs.closure(edges.select(name("src").alias("src"), name("dst").alias("dst")), defs.select(F.struct("doc_id", "term").alias("start")))
-    at = defs.select(F.struct("doc_id", "term").alias("node"), "start", "end")
-    held = reached.select(F.col("start").alias("anchor"), "node", "depth").join(at, "node").withColumn("size", F.col("end") - F.col("start"))
-    w = W.partitionBy("anchor").orderBy("depth", "node.term")
-    fits = held.withColumns({"used": F.sum("size").over(w.rowsBetween(W.unboundedPreceding, 0)), "ix": F.row_number().over(w)}).where(F.col("used") <= budget)
-    return fits.select(F.col("anchor.doc_id").alias("doc_id"), F.col("anchor.term").alias("anchor"), "ix", F.col("node.term").alias("term"), "start", "end")
+    up to the first that the budget of characters has no room for. edges: doc_id, src, dst. No way leaves its document, whose terms meet in a row."""
+    kind = defs.schema["doc_id"].dataType.simpleString()
+    own = defs.groupBy("doc_id").agg(F.collect_list(F.struct("term", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))).alias("ds"))
+    j = own.join(edges.groupBy("doc_id").agg(F.collect_list(F.struct("src", "dst")).alias("es")).hint("merge"), "doc_id", "left")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(doc, *r) for doc, ds, es in zip(f.doc_id, f.ds, f.es, strict=True) for r in closed_in([(d["term"], d["start"], d["end"]) for d in ds], [(e["src"], e["dst"]) for e in (es if es is not None else ())], budget)]
+            yield pd.DataFrame(rows, columns=["doc_id", "anchor", "ix", "term", "start", "end"])
+
+    return j.select("doc_id", "ds", "es").mapInPandas(run, f"doc_id {kind}, {CLOSURE}")
+
+
+def closures_of(docs: DataFrame, budget: int = BUDGET, most: int = 8_000) -> DataFrame:
+    """closures of the definitions of each text and of their uses, found where the text is."""
+
+    def read(t: str) -> Iterator[tuple[str, int, str, int, int]]:
+        own = defined(t, most)
+        return closed_in([(term, a, b) for term, a, b, _ in own], named_in([(term, body) for term, _, _, body in own]), budget)
+
+    return of_each(docs.where("doc_id is not null"), ["doc_id"], "text", read, CLOSURE)
 
 
 def texts(parts: DataFrame, docs: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanforge.operators import contexts as C
 from spanforge.operators import extract as X
-from spanforge.plans.base import query, read
+from spanforge.plans.base import query, read, spread
 from spanforge.plans.economics_queries import said, text
 
 PAD, GAP, BUDGET = 30, 20, 160
@@ -43,9 +43,7 @@ r AS (SELECT a.doc_id, a.term AS anchor, b.term, row_number() OVER w AS ix, sum(
 SELECT doc_id, anchor, CAST(ix AS INT) AS ix, term FROM r WHERE used <= {BUDGET}""")
 def closure_chunks(spark, sf_dir):
     """What a definition rests on, as far as the budget goes; each of the three rests on the next, the last on the first again."""
-    d = agreements(spark, sf_dir)
-    defs = X.definitions(d)
-    return C.closures(defs, X.uses(defs), BUDGET).select("doc_id", "anchor", "ix", "term")
+    return C.closures_of(spread(agreements(spark, sf_dir), "doc_id"), BUDGET).select("doc_id", "anchor", "ix", "term")
 
 
 REGION = """r AS (SELECT o_orderkey AS doc_id, o_orderkey % 4 AS f, repeat('z ', CAST(o_custkey % 30 AS INT)) AS x FROM orders),
