@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 BUCKET = 1 << 14
 
 
-ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "decimal(12,4)": pa.decimal128(12, 4)}
 #: Rows and characters of texts after which what was read goes on.
 ROWS, CHARS = 20_000, 1 << 24
 

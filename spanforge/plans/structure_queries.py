@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spanforge.operators import operative as O
 from spanforge.operators import outline as L
-from spanforge.plans.base import query, read
+from spanforge.plans.base import query, read, spread
 from spanforge.session import durable
 
 # -- an agreement an order: a section for each line, an article for three, contents at the front
@@ -22,7 +22,7 @@ placed AS (SELECT w.*, n0 + coalesce(sum(length(head) + length(body)) OVER (PART
 
 
 def agreements(spark, sf_dir):
-    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    li = spread(read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"), "l_orderkey")
     n = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
     a = F.floor((F.col("n") - 1) / 3) + 1
     word = F.element_at(F.array(*map(F.lit, ["Section ", "SECTION ", "", "Section ", "Section "])), (F.col("l_partkey") % 5 + 1).cast("int"))

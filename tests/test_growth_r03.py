@@ -88,3 +88,29 @@ def test_closures_keep_to_their_documents(spark):
             if used <= 60:
                 want.add((start[0], start[1], ix, t[1]))
     assert {(r.doc_id, r.anchor, r.ix, r.term) for r in got.collect()} == want
+
+
+def test_clauses_stop_in_one_pass():
+    from time import process_time
+
+    from spanforge.operators import outline as L
+
+    text = "".join(f"\n(a) x{k} (i) one or (ii) two and (b) last (c) {k}" for k in range(40)) + "".join(f" ({'ivxl'[k % 4]})" for k in range(400))
+    found = L.clauses(text)
+    for k, c in enumerate(found):
+        assert c.stop == next((b.start for b in found[k + 1 :] if b.level <= c.level), len(text))
+    assert L.paths(found) == [L.path(found, k) for k in range(len(found))]
+    deep = "".join(f" (1) a{k}" + "".join(f" ({n}) b" for n in range(2, 99)) for k in range(60))
+    began = process_time()
+    assert len(L.clauses("(a) all" + deep)) > 90 and process_time() - began < 10
+    assert L.heaviest_rise([(1,), (2,), (3,)], [1, 1, 1]) == [0, 1, 2] and L.heaviest_rise([(1,), (1,)], [1, 1]) == [0]
+    assert "lru_cache" not in str(type(L.ordinals))
+
+
+def test_agreements_are_dealt_over_tasks(spark):
+    from spanforge.plans import economics_queries as E
+    from spanforge.plans import structure_queries as S
+    from spanforge.plans import terms_queries as T
+
+    for df in (S.agreements(spark, "/root/testdata/sf0.001"), E.maturity_chain(spark, "/root/testdata/sf0.001"), T.symbolic_dates(spark, "/root/testdata/sf0.001")):
+        assert "REPARTITION_BY_NUM" in plan(df) and "InPandas" not in plan(df)
