@@ -41,7 +41,7 @@ def commitments(spark, sf_dir):
 SELECT doc_id, term, d AS date, CAST(s AS INT) AS steps FROM own, (VALUES ('Stated Date', 0), ('Final Date', 1), ('Maturity Date', 2)) t(term, s)""")
 def maturity_chain(spark, sf_dir):
     """Terms that point to one another; two of them to each other, which have no date."""
-    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderdate").cast("date").alias("closing"))
+    o = spread(read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate"), "o_orderkey").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderdate").cast("date").alias("closing"))
     forms = ["means the date that is five (5) years after the Closing Date", "means the date that is 18 months after the Closing Date", "means the seventh anniversary of the Closing Date", "means the earlier of (a) the third anniversary of the Closing Date and (b) June 30, 2027", "means March 31, 2026"]
     own = o.select("doc_id", F.lit("Stated Date").alias("term"), F.replace(said(forms, F.col("doc_id") % 5), F.lit("the Closing Date"), F.lit("the date of this Agreement")).alias("body"))
     terms = [("Final Date", "means the Stated Date"), ("Maturity Date", "has the meaning of “Final Date”."), ("This Date", "means the That Date"), ("That Date", "means the This Date")]

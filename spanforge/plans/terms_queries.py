@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanforge.operators import terms as T
-from spanforge.plans.base import query, read
+from spanforge.plans.base import query, read, spread
 from spanforge.plans.economics_queries import said, text
 
 # -- margins: nine forms; r is a rate in quarters, one less for base rate loans
@@ -46,7 +46,7 @@ def symbolic_dates(spark, sf_dir):
     """Maturities as spans, anniversaries, the earliest and latest of dates and events, business days and ends of periods."""
     day = F.to_date("o_orderdate")
     saturday = F.date_add(day, (F.lit(13) - (F.weekday(day) + 1)) % 7)
-    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), day.alias("c"), saturday.alias("sat"), (1 + F.col("o_custkey") % 6).cast("int").alias("n"), ((F.col("o_custkey") + F.floor(F.col("o_orderkey") / 5)) % 12).alias("f"))
+    o = spread(read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey").select(F.col("o_orderkey").alias("doc_id"), day.alias("c"), saturday.alias("sat"), (1 + F.col("o_custkey") % 6).cast("int").alias("n"), ((F.col("o_custkey") + F.floor(F.col("o_orderkey") / 5)) % 12).alias("f"))
     word = F.element_at(F.array(*map(F.lit, ["one", "two", "three", "four", "five", "six"])), F.col("n"))
     nth = F.element_at(F.array(*map(F.lit, ["first", "second", "third", "fourth", "fifth", "sixth"])), F.col("n"))
     n = F.col("n").cast("string")
