@@ -114,3 +114,36 @@ def test_agreements_are_dealt_over_tasks(spark):
 
     for df in (S.agreements(spark, "/root/testdata/sf0.001"), E.maturity_chain(spark, "/root/testdata/sf0.001"), T.symbolic_dates(spark, "/root/testdata/sf0.001")):
         assert "REPARTITION_BY_NUM" in plan(df) and "InPandas" not in plan(df)
+
+
+def test_pairs_of_tables_and_regions_are_dealt(spark, monkeypatch):
+    from spanforge.operators import readings as R
+
+    rng = random.Random(3)
+    t = [(k % 2, k, a := rng.randrange(6_000), a + rng.randrange(300)) for k in range(400)]
+    r = [(k % 2, k, a := rng.randrange(-500, 6_000), a + rng.randrange(2_500)) for k in range(200)]
+    want = {(k, region, table) for k, table, a, b in t for j, region, c, d in r if j == k and c <= a and b <= d}
+    monkeypatch.setattr(R, "PAIRS", 50)
+    got = R.contained_tables(spark.createDataFrame(t, "k int, table int, start int, end int"), spark.createDataFrame(r, "k int, region int, start int, end int"), ["k"])
+    rows = [tuple(x) for x in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert "REPARTITION_BY_NUM" in plan(got) and "BroadcastHashJoin" not in plan(got).split("ShuffledHashJoin")[0]
+    none = R.contained_tables(spark.createDataFrame([], "k int, table int, start int, end int"), spark.createDataFrame(r, "k int, region int, start int, end int"), ["k"])
+    assert none.count() == 0
+
+
+def test_support_reads_a_text_once_for_all_questions(spark):
+    from spanforge.functions.scalars import content_words
+    from spanforge.operators import scoring as S
+
+    said = ["the fee is 5.50% of $1,000.00 in all", "co-operate 12 x", "figures 7% 7%", "ab ab cd", "no such thing-um"]
+    texts = ["the fee: 5.5% of 1000", "x" * 30 + "12cooperate co-operate " + "z-operate", "", "0.07 abc d", "the 550 7 something-umbrella", "É abİcd $1,000.00."]
+    q = spark.createDataFrame(list(enumerate(said)), "item_id int, s string").select("item_id", content_words(F.col("s"), []).alias("words"))
+    plain, figures = S.statement_forms(F.col("words"))
+    q = q.select("item_id", plain.alias("plain"), figures.alias("figures"))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumn("t", F.lower("text"))
+    got, one_by_one = S.support(d, q), S.support(d, q, block=2)
+    assert "NestedLoopJoin" not in plan(got)
+    want = {(r.doc_id, r.item_id): r.s for r in S.against(d, q).select("doc_id", "item_id", S.lexical_support(F.col("t"), F.col("plain"), F.col("figures")).alias("s")).collect()}
+    for df in (got, one_by_one):
+        assert {(r.doc_id, r.item_id): r.support for r in df.collect()} == want
