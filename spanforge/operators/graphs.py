@@ -30,16 +30,30 @@ def closure(edges: DataFrame, starts: DataFrame, depth: int | None = DEPTH) -> D
     starts: column start. A start reaches itself at depth 0."""
     e = durable(edges.select("src", "dst").distinct())
     level = durable(starts.select("start", F.col("start").alias("node")).distinct().withColumn("depth", F.lit(0)))
-    out = level
+    out, m, n = level, e.count(), level.count()
+    total = n
     for d in count(1) if depth is None else range(1, depth + 1):
-        step = level.join(e, level.node == e.src).select("start", F.col("dst").alias("node")).distinct()
-        level = durable(step.join(out.select("start", "node"), ["start", "node"], "left_anti").withColumn("depth", F.lit(d)))
-        if level.isEmpty():
+        k = _tasks(m + n)
+        step = level.repartition(k, "node").join(e.repartition(k, "src"), F.col("node") == F.col("src")).select("start", F.col("dst").alias("node"))
+        k = _tasks(total + 2 * n)
+        level = durable(step.repartition(k, "start", "node").distinct().join(out.select("start", "node").repartition(k, "start", "node"), ["start", "node"], "left_anti").withColumn("depth", F.lit(d)))
+        n = level.count()
+        if not n:
             break
+        total += n
         out = out.unionByName(level)
     return out
 
 
+#: Rows that a task of a level's joins sorts, about.
+TASK_ROWS = 200_000
+
+
+def _tasks(rows: int) -> int:
+    """Tasks for so many rows: what one of them holds does not grow with the graph, and small levels are few tasks."""
+    return max(1, -(-rows // TASK_ROWS))
+
+
 # -- graphs of a stated size, in one task
 #: Edges of a graph that one task solves, and steps of its searches for ways back; larger ones are solved by the joins below, to the same result.
 ONE_TASK, ONE_TASK_STEPS = 500_000, 20_000_000

@@ -147,3 +147,20 @@ def test_support_reads_a_text_once_for_all_questions(spark):
     want = {(r.doc_id, r.item_id): r.s for r in S.against(d, q).select("doc_id", "item_id", S.lexical_support(F.col("t"), F.col("plain"), F.col("figures")).alias("s")).collect()}
     for df in (got, one_by_one):
         assert {(r.doc_id, r.item_id): r.support for r in df.collect()} == want
+
+
+def test_levels_of_a_graph_have_tasks_by_their_rows(spark, monkeypatch):
+    from spanforge.operators import graphs as G
+
+    monkeypatch.setattr(G, "TASK_ROWS", 10)
+    rng = random.Random(5)
+    e = {(rng.randrange(30), rng.randrange(30)) for _ in range(60)}
+    got = G.closure(spark.createDataFrame(sorted(e), "src int, dst int"), spark.range(30).select(F.col("id").cast("int").alias("start")), None)
+    want = {}
+    for s in range(30):
+        level, d = {s}, 0
+        while level:
+            want |= {(s, y): d for y in level}
+            level, d = {y for x in level for a, y in e if a == x and (s, y) not in want}, d + 1
+    assert sorted((r.start, r.node, r.depth) for r in got.collect()) == sorted((*k, d) for k, d in want.items())
+    assert got.rdd.getNumPartitions() > 30
