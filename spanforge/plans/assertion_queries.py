@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spanforge.operators import assertions as A
 from spanforge.operators import evaluate as E
 from spanforge.operators import segments as G
-from spanforge.plans.base import query, read
+from spanforge.plans.base import dealt, query, read
 
 KINDS = ["field_value", "field_status", "tranche_value", "invariant_fired", "report_count", "field_unit", "trap_caught"]
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'confirmed' WHEN 'O' THEN 'needs_review' ELSE 'external_reference' END"
@@ -26,16 +26,18 @@ def asked(spark, sf_dir):
     return o.select("doc_id", "assertion", "family", "k.*")
 
 
-def known(spark, sf_dir):
-    """Facts of orders: a field, the lines of each return flag as tranches, their number, what is urgent and what is open."""
-    o, li = read(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "doc_id"), read(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "doc_id")
+def known(spark, sf_dir, tasks):
+    """Facts of orders: a field, the lines of each return flag as tranches, their number, what is urgent and what is open.
+
+    Orders and lines are dealt by document before they are sorted and grouped: a sort of a piece of a file holds as many rows as the piece."""
+    o, li = read(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "doc_id"), read(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "doc_id").repartition(tasks, "doc_id")
     status = F.when(F.col("o_orderstatus") == "F", "confirmed").when(F.col("o_orderstatus") == "O", "needs_review").otherwise("external_reference")
     none = F.lit(None).cast("string")
     fields = o.select("doc_id", F.lit("total").alias("field"), F.concat(F.col("o_custkey").cast("string"), F.lit(".5")).alias("value"), status.alias("status"), none.alias("external_kind"), F.lit("USD").alias("unit"))
     lines = li.select("doc_id", F.lit("margin").alias("field"), F.col("l_returnflag").alias("tranche"), F.col("l_linestatus").alias("value"), F.when(F.col("l_linenumber") < 3, "confirmed").otherwise("conflict").alias("status"), F.col("l_linenumber").alias("ix"))
     counts = li.groupBy("doc_id").agg(F.lit("lines").alias("name"), F.count("*").alias("n"))
-    urgent = o.where("o_orderpriority = '1-URGENT'").withColumn("name", F.lit("urgent"))
-    traps = o.withColumn("name", F.lit("open"))
+    urgent = o.where("o_orderpriority = '1-URGENT'").repartition(tasks, "doc_id").withColumn("name", F.lit("urgent"))
+    traps = o.repartition(tasks, "doc_id").withColumn("name", F.lit("open"))
     parts = [A.field_facts(fields), A.tranche_facts(lines), A.named_facts(counts, "report_count", F.col("n")), A.named_facts(urgent, "invariant_fired", F.lit("true")), A.named_facts(traps, "trap_caught", F.col("o_orderstatus") == "O")]
     out = parts[0]
     for p in parts[1:]:
@@ -51,7 +53,8 @@ SELECT o.doc_id, o.doc_id AS assertion, family, kind,
   CASE kind WHEN 'field_value' THEN status <> 'needs_review' WHEN 'field_status' THEN status <> 'needs_review' WHEN 'tranche_value' THEN coalesce(line < 3, false) WHEN 'report_count' THEN false WHEN 'field_unit' THEN false ELSE true END AS confident
 FROM o LEFT JOIN t USING (doc_id) LEFT JOIN n USING (doc_id)""")
 def assertion_outcomes(spark, sf_dir):
-    return A.evaluate(asked(spark, sf_dir), known(spark, sf_dir))
+    tasks = dealt(read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem"))
+    return A.evaluate(asked(spark, sf_dir), known(spark, sf_dir, tasks), tasks)
 
 
 @query("""SELECT doc_id, doc_id AS assertion, lang AS family, CASE WHEN doc_id % 2 = 0 THEN 'text_present' ELSE 'orphan_found' END AS kind,

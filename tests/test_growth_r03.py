@@ -164,3 +164,27 @@ def test_levels_of_a_graph_have_tasks_by_their_rows(spark, monkeypatch):
             level, d = {y for x in level for a, y in e if a == x and (s, y) not in want}, d + 1
     assert sorted((r.start, r.node, r.depth) for r in got.collect()) == sorted((*k, d) for k, d in want.items())
     assert got.rdd.getNumPartitions() > 30
+
+
+def test_facts_are_dealt_by_rows_before_they_are_sorted(spark, monkeypatch):
+    import re
+
+    from spanforge.plans import assertion_queries as Q
+    from spanforge.plans import base
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(base, "TASK_ROWS", 500)
+    rows = sum(spark.read.parquet(f"{folder}/{t}.parquet").count() for t in ("orders", "lineitem"))
+    df = Q.assertion_outcomes(spark, folder)
+    lines = [(len(re.match(r"[\s:|+-]*", x)[0]), x) for x in plan(df).splitlines()]
+    for k, (depth, x) in enumerate(lines):
+        if "FileScan" in x:
+            for at, above in reversed(lines[:k]):
+                if at < depth:
+                    depth = at
+                    if "Exchange" in above:
+                        break
+                    assert "Sort" not in above and "Aggregate" not in above, above
+    dealt = re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), (\w+)", plan(df))
+    assert len(dealt) >= 5 and {(int(n), how) for n, how in dealt} == {(-(-rows // 500), "REPARTITION_BY_NUM")}
+    assert df.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
