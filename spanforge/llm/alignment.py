@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanforge.llm.common import Shared, kept_in_worker
-from spanforge.llm.packing import LineEncoder
+from spanforge.llm.token_store import LineEncoder
 
 #: Group occurrences after which a block of documents is closed.
 BLOCK_GROUPS = 2_000_000

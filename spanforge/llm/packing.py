@@ -17,9 +17,7 @@ cut whole; an empty table gives no rows; other columns are ignored, whatever the
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -30,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Shared, kept_in_worker
-from spanforge.llm.token_store import Encoder
+from spanforge.llm.common import Shared
+from spanforge.llm.token_store import encoder
 
 #: Ids of a sequence; the histogram has as many lengths at most.
 HISTOGRAM = 2048
@@ -41,60 +39,6 @@ PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, bl
 PACKED_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-class LineEncoder(Encoder):
-    """The same ids with fewer strings made on the way.
-
-    In a text whose only white space is single spaces and line ends between other characters, words are looked up
-    without the space before them, a line at a time; other texts take the way of Encoder."""
-
-    OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-    WORDS = 500_000
-
-    def __init__(self, path: str, end_id: int):
-        super().__init__(path, end_id)
-        self.spaced: dict[str, bytes] = {}
-        self.spaced_older: dict[str, bytes] = {}
-        self.space = " ".translate(self.written)
-
-    def after_space(self, word: str) -> bytes:
-        out = self.spaced_older.get(word)
-        if out is None:
-            out = self.new(word)
-        if len(self.spaced) >= self.WORDS:
-            self.spaced, self.spaced_older = {}, self.spaced
-        self.spaced[word] = out
-        return out
-
-    def new(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
-                return array("I", [t.id for t in self.model.tokenize(self.space + word)]).tobytes()
-            body = word.rstrip(self.MARKS)
-            if body.isalpha() and len(body) < len(word):  # the splitter cuts off marks that end a word
-                marks = word[len(body) :]
-                return (self.spaced.get(body) or self.after_space(body)) + (self.known.get(marks) or self.of(marks))
-        return self.fresh(" " + word)
-
-    def line(self, line: str) -> bytes:
-        words = line.split(" ")
-        ids = list(map(self.spaced.get, words))
-        ids[0] = self.known.get(words[0]) or self.of(words[0])
-        if None in ids:
-            for k, i in enumerate(ids):
-                if i is None:
-                    ids[k] = self.spaced.get(words[k]) or self.after_space(words[k])
-        return b"".join(ids)
-
-    def odd(self, text: str) -> bool:
-        """Whether there is other white space."""
-        return "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n" or self.OTHER_SPACE.search(text) is not None
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text or self.odd(text):
-            return super().__call__(text)
-        return self.newline.join(map(self.line, text.split("\n"))) + self.end
-
-
 def cut(n: int, size: int) -> Iterator[tuple[int, int]]:
     """start and length of the pieces of n ids."""
     first = n % size or size
@@ -109,7 +53,7 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int =
     """Pieces of all texts with their ids' CRC-32 and their rank among those of their length in the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept_in_worker(("line encoder", tokenizer_path, end_id), lambda: LineEncoder(tokenizer_path, end_id))
+        encode = encoder(tokenizer_path, end_id)
         block, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for b in batches:
             rows = []

@@ -534,6 +534,19 @@ def test_encoder_is_exact():
         assert e(x) == b"".join(i.to_bytes(4, "little") for i in [*ids, 2]), x
 
 
+def test_token_store_looks_words_up_without_their_space():
+    e = token_store.encoder(queries.tokenizer_path(), 2)
+    assert e is token_store.encoder(queries.tokenizer_path(), 2)
+    rng = random.Random(4)
+    words = ["a", "Bc", "é", "Ā1", "x.", "y,", "'s", "日本", "<|endoftext|>", "12", "²", "ß!", "😀", "\x1c", "\u00a0", ""]
+    for k in range(2000):
+        x = "".join(rng.choice(words[: 16 if k % 2 else 13]) + rng.choice([" ", " ", "\n", "."]) for _ in range(rng.randint(0, 12))) + "z"
+        ids = e.tokenizer.encode(x, add_special_tokens=False).ids
+        assert e(x) == b"".join(i.to_bytes(4, "little") for i in [*ids, 2]), x
+    e("one wordofitsown two\nthree")
+    assert "wordofitsown" in e.spaced and " wordofitsown" not in e.known
+
+
 def test_language_phrases():
     model = language.Model({"x": "abracadabra", "y": "simsalabim"})
 
