@@ -90,13 +90,15 @@ def membership(hashes: DataFrame, column: str):
 HOT_ROWS = 1_000
 
 
-def hot_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def hot_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", counted: DataFrame | None = None, total: int | None = None) -> DataFrame:
     """big.join(small, on, how), where one key may hold any share of big, a written table.
 
     small has a row a key. Keys of more than HOT_ROWS rows and a thousandth of all, which are a
-    thousand at most, get as many salts as they need, and their rows of small are repeated."""
-    limit = max(HOT_ROWS, big.count() // 1000)
-    hot = big.groupBy(on).count().where((F.col("count") > limit) & F.col(on).isNotNull()).select(on, F.ceil(F.col("count") / limit).cast("int").alias("salts"))
+    thousand at most, get as many salts as they need, and their rows of small are repeated. counted is
+    a written table with the count of each key of more than HOT_ROWS rows, total the rows of big, where they are known."""
+    limit = max(HOT_ROWS, (big.count() if total is None else total) // 1000)
+    counts = big.groupBy(on).count() if counted is None else counted
+    hot = counts.where((F.col("count") > limit) & F.col(on).isNotNull()).select(on, F.ceil(F.col("count") / limit).cast("int").alias("salts"))
     rows = hot.collect()
     if not rows:
         return big.join(small, on, how)

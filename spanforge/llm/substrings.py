@@ -40,6 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.llm import common
 from spanforge.llm.common import Runs, Shared, hot_join, line_hashes, membership, numbered, space_hashes
 from spanforge.llm.minhash import _A, _B, REMEMBERED, Shape, linked_classes, shingle_set, short, signatures
 
@@ -209,9 +210,13 @@ def runs(rows: DataFrame, keys, repeated) -> DataFrame:
     return rows.select(F.xxhash64("key").alias("h"), "key", "text").mapInArrow(run, "key long, class long, hash array<long>, at array<int>")
 
 
-def in_two(one: DataFrame) -> DataFrame:
-    """(id, first_key) of the ids that two classes have."""
-    return one.groupBy("id").agg(F.min("key").alias("first_key"), F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("id", "first_key")
+def in_two(rows: DataFrame, ids: DataFrame, total: int, shared: Shared) -> DataFrame:
+    """The rows whose id two classes have, with the first_key of each; ids has class, key and id of the rows, total says how many they are.
+
+    The ids are grouped once, for what two classes have and for what is hot in the join."""
+    met = ids.groupBy("id").agg(F.min("key").alias("first_key"), F.min("class").alias("a"), F.max("class").alias("b"), F.count("*").alias("count"))
+    met = shared.write(met.where((F.col("a") != F.col("b")) | (F.col("count") > common.HOT_ROWS)))
+    return hot_join(rows, met.where("a <> b").select("id", "first_key"), "id", counted=met, total=total)
 
 
 def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,8 +241,9 @@ def repeated(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: s
     found = membership(met, "id")
     near = shared.write(holding(cuts, found).join(classes.select("key").distinct(), "key", "left_semi").select(F.xxhash64("key").alias("h")).distinct())
     run = shared.write(runs(rows, membership(near, "h"), found).where("size(at) > 0"))
-    run = run.select("class", "key", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("class", "key", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
-    hits = hot_join(held, in_two(held), "id").unionByName(hot_join(run, in_two(run), "id")).select("class", "at", "len", "first_key")
+    each = run.select("class", F.explode(F.arrays_zip("hash", "at")).alias("x")).select("class", F.col("x.hash").alias("id"), F.col("x.at").alias("at"), F.lit(MIN_WORDS).alias("len"))
+    n = run.agg(F.sum(F.size("at").cast("long"))).first()[0] or 0
+    hits = in_two(held.select("class", "id", "at", "len"), held.select("class", "key", "id"), held.count(), shared).unionByName(in_two(each, run.select("class", "key", F.explode("hash").alias("id")), n, shared)).select("class", "at", "len", "first_key")
     whole = classes.where("key <> last_key").select("class", F.lit(0).alias("at"), F.col("n").cast("int").alias("len"), F.col("key").alias("first_key"))
     spans = hits.unionByName(whole).repartition("class").sortWithinPartitions("class").mapInArrow(merged, "class long, first_word long, last_word long, n_words long, first_key long")
     spans = shared.write(spans.groupBy("class").agg(F.collect_list(F.struct("first_word", "last_word", "n_words", "first_key")).alias("spans")))

@@ -200,3 +200,28 @@ def test_word_hashes(at_once, monkeypatch):
         h, counts = common.line_hashes(t)
         assert counts.tolist() == [len(common.space_words(line)) for line in t.split("\n")]
     assert len(set(known.values())) == len(known) > 3000
+
+
+def test_ids_are_grouped_once_for_joins_of_hot_keys(spark, monkeypatch):
+    rng = random.Random(5)
+    line, own = fresh(rng, 30), " ".join(["again and"] * 60)
+    rows = [(k, f"{fresh(rng, 4)} {line} {fresh(rng, 3)}\n{line}") for k in range(8)] + [(20, own), (21, fresh(rng, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, substrings.repeated(docs).collect()), key=str)
+    given, join = [], common.hot_join
+
+    def seen(big, small, on, *args, **more):
+        if on == "id":
+            counts = {r.id: r["count"] for r in big.groupBy("id").count().collect()}
+            told = {r.id: r["count"] for r in more["counted"].collect()}
+            assert more["total"] == sum(counts.values())
+            assert all(told[i] == n for i, n in counts.items() if n > common.HOT_ROWS)  # those of one class too
+            assert {r.id for r in small.collect()} <= set(told)
+            given.append(len(told))
+        return join(big, small, on, *args, **more)
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(substrings, "hot_join", seen)
+    assert sorted(map(tuple, substrings.repeated(docs).collect()), key=str) == want
+    assert len(given) == 2 and min(given) > 0
+    assert {r[0] for r in want} == set(range(8))
