@@ -142,6 +142,33 @@ def kept_in_worker(key: tuple, make: Callable):
     return state[key]
 
 
+def forget_kept() -> None:
+    """Drop what kept_in_worker has kept: for tasks of another kind, which the process may run next."""
+    sys.modules.pop("_spanforge_kept", None)
+
+
+#: Rows of a batch whose texts are Python strings at a time.
+ROWS_AT_ONCE = 256
+
+
+def few_at_once(column: pa.Array) -> Iterator:
+    """The values of a column in Python, those of a few rows at a time: a batch may hold all texts of a task."""
+    for at in range(0, len(column), ROWS_AT_ONCE):
+        yield from column.slice(at, ROWS_AT_ONCE).to_pylist()
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run in a process that gives back the memory of other tasks first, unless run needs what they kept, and Arrow's free memory at the end."""
+
+    def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget_kept()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return all_of
+
+
 class WordHashes(dict):
     """Word bytes to 64-bit hashes, remembered up to WORD_CACHE words at a time."""
 

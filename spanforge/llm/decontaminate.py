@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Runs, Shared, alnum_hashes, alnum_words, numbered
+from spanforge.llm.common import Runs, Shared, alnum_hashes, alnum_words, few_at_once, numbered, released
 
 SHINGLE = 5
 INDEX_PAIRS = 200_000
@@ -135,7 +135,7 @@ def frequencies(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[int, i
         tests = {s: member(v) for s, v in sent.value.items()}
         counts = {s: np.zeros(len(values), np.int64) for s, (_, values) in tests.items()}
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in few_at_once(b.column(0)):
                 h = alnum_hashes(t or "")
                 runs = Runs(h)
                 for s, (places, values) in tests.items():
@@ -145,7 +145,7 @@ def frequencies(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[int, i
             on = np.flatnonzero(counts[s])
             yield pa.RecordBatch.from_arrays([pa.array(values[on].view(np.int64)), pa.array(counts[s][on])], names=["shingle", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(released(run), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()
     return {r.shingle & (1 << 64) - 1: r.n for r in rows}
 
 
@@ -224,11 +224,11 @@ def scan(rows: DataFrame, sent, threshold: float, q: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = hits_of(sent, threshold, q)
         for b in batches:
-            out = [(len(on), int(on.sum()), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(on.any())) for on, ids in map(hits, b.column(1).to_pylist())]
+            out = [(len(on), int(on.sum()), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(on.any())) for on, ids in map(hits, few_at_once(b.column(1)))]
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in out], t) for i, t in enumerate(types)), *b.columns[2:]], names=["doc_id", *FOUND, *b.schema.names[2:]])
 
-    return rows.mapInArrow(run, ", ".join(["doc_id long", FOUND_DDL, *(f"`{c}` {kind}" for c, kind in rows.dtypes[2:])]))
+    return rows.mapInArrow(released(run), ", ".join(["doc_id long", FOUND_DDL, *(f"`{c}` {kind}" for c, kind in rows.dtypes[2:])]))
 
 
 def scan_block(rows: DataFrame, sent, threshold: float, q: int) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import Runs, Shared, hot_join, membership
+from spanforge.llm.common import Runs, Shared, few_at_once, hot_join, membership, released
 from spanforge.llm.components import components
 
 BITS = 4
@@ -149,7 +149,7 @@ def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame
             if len(given) > REMEMBERED:
                 given.clear()
             ns, nids, low, where = [], [], [], []
-            for t in b.column(2).to_pylist():
+            for t in few_at_once(b.column(2)):
                 own = sets(t)
                 nid, s = own[0] if own else (None, ())
                 ns.append(len(s))
@@ -167,7 +167,7 @@ def units_of(rows: DataFrame, sets: Sets, shape: Shape = DOCUMENTS) -> DataFrame
                 at = [[None] * len(ns)] * 2
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ns, pa.int64()), pa.array(nids, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in at), *b.columns[3:]], names=[*UNIT_SCHEMA.names, *b.schema.names[3:]])
 
-    return rows.mapInArrow(run, ", ".join([UNIT_DDL, *(f"`{c}` {kind}" for c, kind in rows.dtypes[3:])]))
+    return rows.mapInArrow(released(run), ", ".join([UNIT_DDL, *(f"`{c}` {kind}" for c, kind in rows.dtypes[3:])]))
 
 
 def sets_of(rows: DataFrame, sets: Sets, keys, nids) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import kept_in_worker
+from spanforge.llm.common import few_at_once, kept_in_worker, released
 
 SHARD_IDS = 1 << 20
 BLOCK_BITS = 512
@@ -256,7 +256,7 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "n_ids": [total], "doc_ids": [ids], "n_tokens": [lengths], "payload": [payload]}, SHARD_SCHEMA)
 
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for i, t in zip(few_at_once(b.column(0)), few_at_once(b.column(1)), strict=True):
                 code = encode(t)
                 ids.append(i)
                 lengths.append(len(code) // 4)
@@ -270,7 +270,7 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(run, SHARD_DDL)
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(released(run, keeps=True), SHARD_DDL)
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
@@ -281,7 +281,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in (r for k in range(b.num_rows) for r in b.slice(k, 1).to_pylist()):
                 ids = Codes(r["payload"]).all().astype("<u4").tobytes()
                 ends = np.cumsum(r["n_tokens"]) * 4
                 starts = ends - np.asarray(r["n_tokens"]) * 4
@@ -292,7 +292,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     "ids_crc32": pa.array([zlib.crc32(ids[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], pa.int64()),
                 })
 
-    rows = shards.mapInArrow(run, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = shards.mapInArrow(released(run), "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
     meta = shards.select("part", "seq", "n_ids")
     parts = meta.groupBy("part").agg(F.sum("n_ids").alias("n")).withColumn("before", F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)))
     here = F.sum("n_ids").over(W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.common import WORD_CACHE, Shared, alnum_words
+from spanforge.llm.common import Shared, alnum_words, few_at_once, released
 
 #: Labelled documents, and features, that the fit uses at most; documents and standard errors that a feature needs at least.
 SAMPLE = 20_000
@@ -44,6 +44,9 @@ LEAST_DOCS = 3
 LEAST_Z = 4.0
 STEPS = 400
 RIDGE = 1e-4
+#: Features that a task counts before it passes the counts on, and words whose features a task remembers.
+COUNTED = 100_000
+REMEMBERED = 1 << 17
 
 
 def features(word: bytes) -> list[bytes]:
@@ -53,14 +56,14 @@ def features(word: bytes) -> list[bytes]:
 
 
 class Words(dict):
-    """Words to what is known of their features, WORD_CACHE words at a time."""
+    """Words to what is known of their features, REMEMBERED words at a time."""
 
     def __init__(self, known: dict[bytes, int]):
         super().__init__()
         self.known = known
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > WORD_CACHE:
+        if len(self) >= REMEMBERED:
             self.clear()
         out = tuple(self.known[f] for f in features(word) if f in self.known)
         self[word] = out
@@ -82,16 +85,26 @@ def chosen_features(rows: DataFrame, count: int) -> tuple[dict[bytes, int], set[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+
+        def counts() -> Iterator[pa.RecordBatch]:
+            for y, n in seen.items():
+                if n:
+                    none = pa.array(np.zeros(len(n), np.int64))
+                    own = pa.array(list(n.values()), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), none if y else own, own if y else none], names=["f", "n0", "n1"])
+                    n.clear()
+
         for b in batches:
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for t, y in zip(few_at_once(b.column(0)), few_at_once(b.column(1)), strict=True):
                 seen[y].update({f for w in set(alnum_words(t or "")) for f in features(w)})
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([seen[0][f] for f in names], pa.int64()), pa.array([seen[1][f] for f in names], pa.int64())], names=["f", "n0", "n1"])
+                if len(seen[0]) + len(seen[1]) >= COUNTED:
+                    yield from counts()
+        yield from counts()
 
     n0, n1 = rows.agg(F.sum(1 - F.col("toxic")), F.sum("toxic")).first()
     if not n0 or not n1:
         return {}, set()
-    sums = rows.mapInArrow(run, "f binary, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= LEAST_DOCS)
+    sums = rows.mapInArrow(released(run), "f binary, n0 long, n1 long").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= LEAST_DOCS)
     p0, p1 = (F.col("n0") + 0.5) / (n0 + 1), (F.col("n1") + 0.5) / (n1 + 1)
     p = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
     z = F.abs(p1 - p0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
@@ -165,10 +178,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, count: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Words(known)
         for b in batches:
-            got = [counts_of(alnum_words(t or ""), memo) for t in b.column(0).to_pylist()]
+            got = [counts_of(alnum_words(t or ""), memo) for t in few_at_once(b.column(0))]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([list(g) for g in got], pa.list_(pa.int32())), pa.array([list(g.values()) for g in got], pa.list_(pa.int32()))], names=["toxic", "f", "c"])
 
-    data = rows.mapInArrow(run, "toxic int, f array<int>, c array<int>").collect()  # sample bounds it
+    data = rows.mapInArrow(released(run), "toxic int, f array<int>, c array<int>").collect()  # sample bounds it
     data.sort(key=lambda r: (r.toxic, r.f, r.c))
     vectors = [dict(zip(r.f, r.c, strict=True)) for r in data]
     y = np.array([r.toxic for r in data])
@@ -191,7 +204,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         memo = Words(model.known)
         for b in batches:
             out: tuple[list, ...] = ([], [], [], [])
-            for t in b.column(1).to_pylist():
+            for t in few_at_once(b.column(1)):
                 p = model.grade_probabilities(counts_of(alnum_words(t or ""), memo))
                 toxic = float(1 - p[0])
                 for o, x in zip(out, (float((p * np.arange(len(p))).sum()), int(p.argmax()), toxic, toxic >= 0.5), strict=True):
@@ -203,7 +216,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     names = ["id", *kept, "severity", "grade", "p_toxic", "toxic"]
     types = dict(rows.dtypes)
     ddl = ", ".join([f"{c} {types[c]}" for c in ["id", *kept]] + ["severity double, grade int, p_toxic double, toxic boolean"])
-    return rows.mapInArrow(run, ddl).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep) if c != doc_id), F.col("id").alias("doc_id"), "severity", "grade", "p_toxic", "toxic")
+    return rows.mapInArrow(released(run), ddl).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep) if c != doc_id), F.col("id").alias("doc_id"), "severity", "grade", "p_toxic", "toxic")
 
 
 def grade_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
