@@ -86,3 +86,36 @@ def test_external_references(spark):
     starts = spark.createDataFrame([(1,), (4,)], "start long")
     external = spark.createDataFrame([(4,), (9,)], "node long")
     assert sorted(map(tuple, G.external_references(d, starts, external).collect())) == [(1, 4, 3)]
+
+
+@pytest.mark.parametrize("one_task", [3, 10, 20])
+def test_rounds_end_in_one_task(spark, monkeypatch, one_task):
+    """What rounds have left is solved in one task as soon as it fits."""
+    monkeypatch.setattr(G, "ONE_TASK", one_task)
+    edges = graph(77) + graph(78) + [(100 + k, 101 + k) for k in range(6)] + [(106, 104), (3, 100)]
+    comp, depth, _ = plain(edges)
+    d = spark.createDataFrame(edges, "src long, dst long")
+    assert {r.node: r.component for r in G.mutual(d).collect()} == comp
+    assert {r.node: r.depth for r in G.depths(d).collect()} == depth
+
+
+def test_a_task_holds_flat_arrays_and_statistics_solve_once(spark, monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n = 200_000
+    src, dst = [pa.array(np.arange(n))], [pa.array(np.arange(n) // 2)]
+    tracemalloc.start()
+    nodes, out = G._numbered(src, dst)
+    component, depth = G._solved(nodes, out)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert component.to_pylist() == list(range(n)) and depth.to_pylist() == [k.bit_length() for k in range(n)]
+    assert most / n < 100  # bytes of an edge
+    calls, own = [], G.solved
+    monkeypatch.setattr(G, "solved", lambda e: calls.append(1) or own(e))
+    d = spark.createDataFrame([(1, 2), (2, 1), (2, None), (None, 3)], "src long, dst long")
+    assert G.stats(d.dropna()).first().asDict() == {"edges": 2, "terms": 2, "max_depth": 0, "deep": 0, "on_cycles": 2} and len(calls) == 1
+    assert {(r.node, r.component) for r in own(d).collect()} == {(1, 1), (2, 1), (3, 3)}
