@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from spanforge.operators import grids as G
 from spanforge.plans.base import query, read
-from spanforge.sources import files
 
 
 def tags(*parts):
@@ -43,23 +42,19 @@ def printed(spark, sf_dir):
     return own.select("doc_id", tags(other, F.when(k == 3, broken).otherwise(whole)).alias("html"))
 
 
-def cells(spark, sf_dir):
-    return files.parsed(printed(spark, sf_dir), "doc_id", "html", parts=("cells",)).select("doc_id", F.explode("cells").alias("c")).select("doc_id", "c.*")
-
-
 @query("SELECT l_orderkey AS doc_id, CAST(l_shipdate AS DATE) AS payment_date, CAST(l_extendedprice AS DECIMAL(14,2)) AS amount FROM lineitem WHERE l_orderkey % 5 < 4")
 def printed_schedules(spark, sf_dir):
     """Payments by the headers of their columns, over page breaks."""
-    return G.amortization(cells(spark, sf_dir), ["doc_id"]).select("doc_id", "payment_date", F.col("amount").cast("decimal(14,2)").alias("amount"))
+    return G.payments(G.page_rows(printed(spark, sf_dir), "doc_id", "html", G.AMORTIZATION), ["doc_id"]).select("doc_id", "payment_date", F.col("amount").cast("decimal(14,2)").alias("amount"))
 
 
 @query("""SELECT l_orderkey AS doc_id, concat('Bank ', l_suppkey) AS name, CAST(l_extendedprice AS DECIMAL(30,2)) AS amount, FALSE AS is_total, CAST(NULL AS BOOLEAN) AS holds FROM lineitem WHERE l_orderkey % 5 = 4
 UNION ALL SELECT l_orderkey, 'Total', sum(CAST(l_extendedprice AS DECIMAL(14,2))) + CASE WHEN l_orderkey % 3 = 0 THEN 100 ELSE 0 END, TRUE, l_orderkey % 3 <> 0 FROM lineitem WHERE l_orderkey % 5 = 4 GROUP BY l_orderkey""")
 def printed_commitments(spark, sf_dir):
     """Commitments beside a column of percentages, and totals with whether they hold."""
-    return G.commitments(cells(spark, sf_dir), ["doc_id"]).select("doc_id", "name", "amount", "is_total", "holds")
+    return G.committed(G.page_rows(printed(spark, sf_dir), "doc_id", "html", G.COMMITMENTS), ["doc_id"]).select("doc_id", "name", "amount", "is_total", "holds")
 
 
 @query("SELECT l_orderkey AS doc_id, sum(CAST(l_extendedprice AS DECIMAL(14,2)))::DECIMAL(30,2) AS amount FROM lineitem WHERE l_orderkey % 5 = 4 AND l_orderkey % 3 <> 0 GROUP BY l_orderkey")
 def scheduled_totals(spark, sf_dir):
-    return G.scheduled_total(cells(spark, sf_dir), ["doc_id"])
+    return G.held_total(G.committed(G.page_rows(printed(spark, sf_dir), "doc_id", "html", G.COMMITMENTS), ["doc_id"]), ["doc_id"])
