@@ -70,3 +70,13 @@ def test_printed_pages_are_not_cut_into_cells(spark):
 
     for query in (Q.printed_schedules, Q.printed_commitments, Q.scheduled_totals):
         assert "Generate" not in plan(query(spark, "/root/testdata/sf0.001"))
+
+
+def test_checks_read_schedules_where_the_pages_are(spark):
+    from spanforge.operators import validate as V
+
+    html = "<table><tr><td>Payment Date</td><td>Principal</td></tr><tr><td>March 31, 2020</td><td>$5</td></tr></table>"
+    docs = files.parsed(spark.createDataFrame([("1", html), ("2", None)], "doc_id string, html string"), "doc_id", "html", parts=("text", "cells"))
+    paid = V.tables_of(docs)["schedule"]
+    assert "Exchange" not in plan(paid) and "MapInArrow" not in plan(paid)
+    assert [(r.doc_id, r.row_index, str(r.payment_date), int(r.amount)) for r in paid.collect()] == [("1", 1, "2020-03-31", 5)]
